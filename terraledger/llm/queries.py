@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraledger.llm import avi, bpe, sharding, toxicity
+from terraledger.llm import avi, bpe, quality, sharding, toxicity
 from terraledger.llm.common import held_out, table
 
 
@@ -34,11 +34,19 @@ def op9_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
 
 
+def op10_attention_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.fit_on(docs, labels, ~held_out(F.col("_id"), 3, 1))
+    out = quality.score(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_toxicity": op2_toxicity,
     "op4_avi": op4_avi,
     "op9_interleave": op9_interleave,
+    "op10_attention_mil": op10_attention_mil,
 }
 
 ORACLE: dict[str, str] = {}
