@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraledger.llm import avi, bpe, quality, sharding, toxicity
+from terraledger.llm import avi, bpe, packing, quality, sharding, toxicity
 from terraledger.llm.common import held_out, table
 
 
@@ -29,6 +29,10 @@ def op4_avi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op9_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.interleave(table(spark, sf_dir, "documents"), 24)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
@@ -45,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_toxicity": op2_toxicity,
     "op4_avi": op4_avi,
+    "op5_packing": op5_packing,
     "op9_interleave": op9_interleave,
     "op10_attention_mil": op10_attention_mil,
 }
