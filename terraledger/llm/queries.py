@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraledger.llm import avi, bpe, packing, quality, sharding, toxicity
+from terraledger.llm import avi, bpe, minhash, packing, quality, sharding, toxicity
 from terraledger.llm.common import held_out, table
 
 
@@ -24,6 +24,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id"), 5, 0).alias("held_out"), "score", "predicted")
 
 
+def op3_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_avi(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = avi.stored(table(spark, sf_dir, "documents"), keep_media=False)
     return out.select(F.col("id").alias("doc_id"), "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
@@ -48,6 +52,7 @@ def op10_attention_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_toxicity": op2_toxicity,
+    "op3_dartminhash": op3_dartminhash,
     "op4_avi": op4_avi,
     "op5_packing": op5_packing,
     "op9_interleave": op9_interleave,
