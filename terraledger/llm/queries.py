@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraledger.llm import avi, bpe, minhash, packing, quality, sharding, toxicity
+from terraledger.llm import avi, bpe, chat, minhash, packing, quality, sharding, toxicity
 from terraledger.llm.common import held_out, table
 
 
@@ -37,6 +37,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_tool_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chat.formatted(table(spark, sf_dir, "conversations"))
+    return out.select("conv_id", F.col("seq").cast("long").alias("seq"), "id", F.col("call_turn").cast("long").alias("call_turn"), F.col("result_turn").cast("long").alias("result_turn"), F.col("level").cast("long").alias("level"), "status", "json")
+
+
 def op9_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.interleave(table(spark, sf_dir, "documents"), 24)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
@@ -55,8 +60,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_dartminhash": op3_dartminhash,
     "op4_avi": op4_avi,
     "op5_packing": op5_packing,
+    "op8_tool_links": op8_tool_links,
     "op9_interleave": op9_interleave,
     "op10_attention_mil": op10_attention_mil,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    # plain chat: each assistant turn answers the call that the turn before it makes
+    "op8_tool_links": """
+        WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+        c AS (
+            SELECT conv_id, 't' || turn AS id, turn, '{"role":' || to_json(role) || ',"text":' || to_json(text) || '}' AS args,
+                   row_number() OVER (PARTITION BY conv_id, turn ORDER BY '{"role":' || to_json(role) || ',"text":' || to_json(text) || '}') AS nth
+            FROM t WHERE role <> 'assistant'),
+        r AS (
+            SELECT conv_id, 't' || (turn - 1) AS id, turn, text, row_number() OVER (PARTITION BY conv_id, turn ORDER BY text) AS nth
+            FROM t WHERE role = 'assistant'),
+        j AS (
+            SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.id, r.id) AS id, coalesce(c.nth, r.nth) AS nth,
+                   c.turn AS call_turn, r.turn AS result_turn, CASE WHEN c.id IS NOT NULL THEN 0 END AS level, c.args, r.text,
+                   CASE WHEN c.id IS NULL THEN 'orphan' WHEN r.id IS NULL THEN 'unanswered' ELSE 'ok' END AS status
+            FROM c FULL OUTER JOIN r ON c.conv_id = r.conv_id AND c.id = r.id AND c.nth = r.nth)
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY level NULLS LAST, coalesce(call_turn, result_turn), CASE WHEN level IS NULL THEN -1 ELSE 0 END, id, nth) - 1 AS seq,
+               id, call_turn, result_turn, CAST(level AS BIGINT) AS level, status,
+               '{"arguments":' || coalesce(args, 'null') || ',"call_turn":' || coalesce(call_turn::VARCHAR, 'null')
+               || ',"content":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"id":"' || id || '","level":' || coalesce(level::VARCHAR, 'null')
+               || ',"name":' || CASE WHEN level IS NULL THEN 'null' ELSE '"respond"' END || ',"problems":[],"result_turn":' || coalesce(result_turn::VARCHAR, 'null')
+               || ',"status":"' || status || '"}' AS json
+        FROM j""",
+}
