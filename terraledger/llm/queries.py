@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraledger.llm import avi, bpe, chat, minhash, packing, quality, sharding, toxicity
+from terraledger.llm import avi, bpe, chat, minhash, neighbours, packing, quality, sharding, toxicity
 from terraledger.llm.common import held_out, table
 
 
@@ -37,6 +37,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op8_tool_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = chat.formatted(table(spark, sf_dir, "conversations"))
     return out.select("conv_id", F.col("seq").cast("long").alias("seq"), "id", F.col("call_turn").cast("long").alias("call_turn"), F.col("result_turn").cast("long").alias("result_turn"), F.col("level").cast("long").alias("level"), "status", "json")
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_dartminhash": op3_dartminhash,
     "op4_avi": op4_avi,
     "op5_packing": op5_packing,
+    "op7_nn_descent": op7_nn_descent,
     "op8_tool_links": op8_tool_links,
     "op9_interleave": op9_interleave,
     "op10_attention_mil": op10_attention_mil,
