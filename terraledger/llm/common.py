@@ -85,3 +85,36 @@ def mix(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+_R = np.uint64(0x9E3779B97F4A7C15)
+_POWERS = np.ones(1, np.uint64)
+_INVERSES = np.ones(1, np.uint64)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number modulo 2^64, and of its inverse."""
+    global _POWERS, _INVERSES
+    if len(_POWERS) < n:
+        inverse = np.uint64(pow(int(_R), -1, 1 << 64))
+        made = []
+        for base in (_R, inverse):
+            a = np.full(n + n // 4, base, np.uint64)
+            a[0] = 1
+            made.append(np.multiply.accumulate(a))
+        _POWERS, _INVERSES = made
+    return _POWERS[:n], _INVERSES[:n]
+
+
+def words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words (runs of bytes above 32) of whole texts: ``(hash, text, length in bytes, last byte)``."""
+    raw = [(t or "").encode() for t in texts]
+    a = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
+    ends = np.cumsum(np.array([len(r) + 1 for r in raw], np.int64))
+    edge = np.diff(np.r_[False, a > 32, False].view(np.int8))
+    start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    power, inverse = _powers(len(a))
+    sums = np.zeros(len(a) + 1, np.uint64)
+    np.cumsum(a.astype(np.uint64) * power, out=sums[1:])
+    h = mix((sums[stop] - sums[start]) * inverse[start] + (stop - start).astype(np.uint64))
+    return h, np.searchsorted(ends, start, "right"), stop - start, a[stop - 1]

@@ -34,49 +34,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terraledger.llm.common import drop_written, mix, steps, written
+from terraledger.llm.common import drop_written, mix, steps, words, written
 from terraledger.llm.graphs import components
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 5
 STEP = 1 << 20
 CHUNK = 256
-_R = np.uint64(0x9E3779B97F4A7C15)
-_POWERS = np.ones(1, np.uint64)
-_INVERSES = np.ones(1, np.uint64)
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number modulo 2^64, and of its inverse."""
-    global _POWERS, _INVERSES
-    if len(_POWERS) < n:
-        inverse = np.uint64(pow(int(_R), -1, 1 << 64))
-        made = []
-        for base in (_R, inverse):
-            a = np.full(n + n // 4, base, np.uint64)
-            a[0] = 1
-            made.append(np.multiply.accumulate(a))
-        _POWERS, _INVERSES = made
-    return _POWERS[:n], _INVERSES[:n]
-
-
 def shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingle hashes by text: ``(hash, text, count)``, ascending within a text."""
-    raw = [(t or "").encode() for t in texts]
-    data = b" ".join(raw) + b" "
-    a = np.frombuffer(data, np.uint8)
-    length = np.array([len(r) + 1 for r in raw], np.int64)
-    ends = np.cumsum(length)
-    solid = a > 32
-    edge = np.diff(np.r_[False, solid, False].view(np.int8))
-    start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    if not len(start):
+    word, of = words(texts)[:2]
+    if not len(word):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    power, inverse = _powers(len(a))
-    sums = np.zeros(len(a) + 1, np.uint64)
-    np.cumsum(a.astype(np.uint64) * power, out=sums[1:])
-    word = mix((sums[stop] - sums[start]) * inverse[start] + (stop - start).astype(np.uint64))
-    of = np.searchsorted(ends, start, "right")
     count = np.bincount(of, minlength=len(texts))
     short = np.flatnonzero((count > 0) & (count < SHINGLE))
     if len(short):  # words that hash to 0 fill up short texts

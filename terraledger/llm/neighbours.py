@@ -13,7 +13,7 @@ Only cosines in double precision decide; the links kept are those at or above th
 threshold, between nodes of one label that is not null.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
-components, and rows with a null label, link with nothing and are their own
+components, and rows with a null label or id, link with nothing and are their own
 component; vectors of other lengths than the most common one are compared only
 among equals in length; repeated rows are separate vectors that link with each
 other; an empty table gives no rows; extra columns are not read.
@@ -44,7 +44,7 @@ def vectors(df: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFra
     """Rows ``(id, grp, vec)`` of vectors that can link: ``grp`` is the label with the vector's length."""
     vec = F.col(vec_col).cast("array<double>")
     usable = (
-        F.col(label_col).isNotNull() & F.col(vec_col).isNotNull() & (F.size(vec) > 0)
+        F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & F.col(vec_col).isNotNull() & (F.size(vec) > 0)
         & F.forall(vec, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))) & F.exists(vec, lambda v: v != 0)
     )
     grp = F.concat_ws(":", F.col(label_col).cast("string"), F.size(vec))

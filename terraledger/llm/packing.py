@@ -133,9 +133,11 @@ def pack(df: DataFrame, *, capacity: int = CAPACITY, group_rows: int = GROUP_ROW
         if held:
             yield packed(held)
 
-    schema = "source string, doc_id long, cluster long, piece int, size long, bin_id string"
-    searched = ordered.select("source", "doc_id", "cluster", "piece", "size", "quota", "group").mapInPandas(run, schema)
-    full = whole.withColumn("bin_id", F.concat(F.lit("full-"), F.col("doc_id"), F.lit("-"), F.col("piece"), F.lit("-"), F.col("cluster")))
+    # ids pass as text: a null among them would turn longs into doubles
+    schema = "source string, doc_id string, cluster long, piece int, size long, bin_id string"
+    searched = ordered.select("source", F.col("doc_id").cast("string").alias("doc_id"), "cluster", "piece", "size", "quota", "group").mapInPandas(run, schema)
+    searched = searched.withColumn("doc_id", F.col("doc_id").cast("long"))
+    full = whole.withColumn("bin_id", F.concat(F.lit("full-"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("-"), F.col("piece"), F.lit("-"), F.col("cluster")))
     out = searched.unionByName(full.select("source", "doc_id", "cluster", "piece", "size", "bin_id"))
     source = F.when(F.col("source") != "", F.substring("source", 2, 1 << 30))
     return out.select("doc_id", "piece", (F.col("piece").cast("long") * capacity).alias("start"), "size", "bin_id", source.alias("source"), "cluster")

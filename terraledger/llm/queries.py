@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraledger.llm import avi, bpe, chat, minhash, neighbours, packing, quality, sharding, toxicity
+from terraledger.llm import avi, bpe, chat, masked_lm, minhash, neighbours, packing, quality, sharding, toxicity
 from terraledger.llm.common import held_out, table
 
 
@@ -37,6 +37,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = masked_lm.pseudo_likelihood(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_tokens", "log_likelihood", F.col("mean_log_probability").alias("score"))
+
+
 def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_dartminhash": op3_dartminhash,
     "op4_avi": op4_avi,
     "op5_packing": op5_packing,
+    "op6_masked_lm": op6_masked_lm,
     "op7_nn_descent": op7_nn_descent,
     "op8_tool_links": op8_tool_links,
     "op9_interleave": op9_interleave,
