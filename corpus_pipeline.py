@@ -1,15 +1,55 @@
-"""A training corpus in stages, each an operator of ``terraledger.llm``."""
+"""A training corpus in stages, each an operator of ``terraledger.llm``.
+
+``STAGES`` lists ``(name, function)``; a function takes ``(spark, docs, sf_dir)``
+and returns what its stage keeps.  All but the last return the columns of
+``documents``; the last returns where each piece of each document is packed.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from terraledger.llm import minhash, packing, quality, toxicity
+from terraledger.llm.common import held_out, table, written
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents whose toxicity score is at least 0.5."""
+    model = toxicity.fit_on(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out(F.col("_id"), 5, 0))
+    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+
+
+def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents whose quality score is under 0.5."""
+    model = quality.fit_on(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out(F.col("_id"), 3, 1))
+    return quality.score(docs, model).where("predicted = 1").select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class stays, the one with the smallest id; rows without an id stay."""
+    gone = written(minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct(), spark)
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    again = written(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), spark)
+    if again.limit(1).count():  # one row of those that repeat an id
+        once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+        kept = kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
+    return kept
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lays the documents into bins."""
+    return packing.pack(docs)
+
+
+STAGES = [("toxicity", drop_toxic), ("quality", drop_poor), ("near_dedup", drop_near_copies), ("packing", pack)]
 
-STAGES = []
+#: Models are trained in the stages, so SQL cannot express the rows; tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs
