@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from terraledger.llm.common import drop_written, written
 
+ROWS_A_FILE = 250_000
+
 
 def components(edges: DataFrame, spark: SparkSession, *, most_rounds: int = 200) -> DataFrame:
     """Rows ``(node, component)`` for every node of ``edges(a, b)``; the component is its smallest node.
@@ -16,14 +18,16 @@ def components(edges: DataFrame, spark: SparkSession, *, most_rounds: int = 200)
     each round; nothing goes to the driver but the count of labels that moved.
     """
     pairs = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v")
-    both = written(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), spark)
-    labels = written(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("label")).withColumnRenamed("u", "node"), spark)
+    # label tables are small beside the shuffle's partitions: as many files as their rows ask for
+    files = -(-edges.count() // ROWS_A_FILE) or 1
+    both = written(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct().coalesce(files), spark)
+    labels = written(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("label")).withColumnRenamed("u", "node").coalesce(files), spark)
     for _ in range(most_rounds):
         near = both.join(labels.withColumnRenamed("node", "u"), "u").groupBy("v").agg(F.min("label").alias("near"))
         hooked = labels.join(near.withColumnRenamed("v", "node"), "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         parent = labels.select(F.col("node").alias("label"), F.col("label").alias("over"))
         moved = hooked.join(parent, "label", "left").select("node", "old", F.least("label", F.coalesce("over", "label")).alias("label"))
-        new = written(moved, spark)
+        new = written(moved.coalesce(files), spark)
         changed = new.where("label <> old").limit(1).count()
         drop_written(labels, spark)
         labels = new.select("node", "label")

@@ -41,6 +41,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 5
 STEP = 1 << 20
 CHUNK = 256
+#: Words of the bit filter that precedes a join with texts: 2^20 of 8 bytes at most.
+WORDS = 1 << 20
 def shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingle hashes by text: ``(hash, text, count)``, ascending within a text."""
     word, of = words(texts)[:2]
@@ -133,6 +135,20 @@ def signed(df: DataFrame, *, bands: int = BANDS, rows: int = ROWS, weighting: st
     return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, digest binary, bands array<long>")
 
 
+def likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without most rows whose ``id`` is not in ``ids``, before anything is shuffled.
+
+    The ids set bits in at most ``WORDS`` words of 64; those words are broadcast.
+    Every row whose id is in ``ids`` passes; of the others, few while the bits are
+    many for the ids, and all of them once they are not, which costs only time.
+    """
+    h = F.xxhash64(F.lit(31), "id")
+    word, bit = F.pmod(F.shiftright(h, 6), F.lit(WORDS)).cast("int"), F.expr("shiftleft(1L, cast(_h & 63 as int))")
+    words_set = ids.withColumn("_h", h).select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_set"))
+    marked = docs.withColumn("_h", h).withColumn("_word", word).withColumn("_bit", bit)
+    return marked.join(F.broadcast(words_set), "_word").where(F.col("_set").bitwiseAND(F.col("_bit")) != 0).select("id", "text")
+
+
 def checked(pairs: DataFrame, docs: DataFrame, *, similarity: float = SIMILARITY, weighting: str = "set") -> DataFrame:
     """Of ``pairs(a, b)`` those whose texts ``docs(id, text)`` reach ``similarity``, with it.
 
@@ -143,7 +159,9 @@ def checked(pairs: DataFrame, docs: DataFrame, *, similarity: float = SIMILARITY
     dealt = pairs.join(chunks, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int").alias("chunk"))
     heads = chunks.select("a", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
     rows = heads.select("a", "chunk", F.lit(None).cast("long").alias("b"), F.col("a").alias("id")).unionByName(dealt.select("a", "chunk", "b", F.col("b").alias("id")))
-    laid = rows.join(docs, "id").repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
+    involved = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    # merged on either size of the table: whether the ids happen to fit a broadcast shall not decide the plan
+    laid = rows.hint("merge").join(likely(docs, involved), "id").repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, weight = np.zeros(0, np.uint64), np.zeros(0)
@@ -174,26 +192,25 @@ def near_duplicates(df: DataFrame, *, similarity: float = SIMILARITY, bands: int
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     sig = written(signed(df, bands=bands, rows=rows, weighting=weighting, id_col=id_col, text_col=text_col), spark)
     copies = written(sig.where("digest is not null").groupBy("digest").agg(F.min("id").alias("rep")), spark)
-    nodes = sig.join(copies.select(F.col("rep").alias("id"), "digest"), ["id", "digest"], "left_semi")
-    banded = nodes.select("id", F.explode("bands").alias("key")).distinct()
-    crowded = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = written(banded.join(crowded.select("key"), "key"), spark)
-
-    hubs = members.groupBy("key").agg(F.min("id").alias("a"))
-    stars = members.join(hubs, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    tested = written(stars, spark)
-    links = written(checked(tested, docs, similarity=similarity, weighting=weighting), spark)
+    nodes = sig.join(copies.select(F.col("rep").alias("id"), "digest"), ["id", "digest"], "left_semi").select("id", "bands")
+    nodes = written(nodes.dropDuplicates(["id"]), spark)
+
+    entries = nodes.select("id", F.explode("bands").alias("key"))
+    hubs = entries.groupBy("key").agg(F.min("id").alias("a"))
+    stars = entries.join(hubs, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+    tested = written(_even(stars), spark)
+    links = written(_even(checked(tested, docs, similarity=similarity, weighting=weighting)), spark)
     label = components(links, spark)
 
     for star in range(most_stars + 1):
-        state = members.join(label.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-        mixed = state.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-        open_ = written(state.join(mixed, "key"), spark)
+        state = nodes.join(label.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("component"), F.explode("bands").alias("key"))
+        ends = state.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+        open_ = written(_even(state.join(ends, "key").where("lo <> hi").select("key", "id", "component")), spark)
         left = _open_pairs(open_)
         if not left:
             drop_written(open_, spark)
             break
-        last = left <= pairs_a_row * members.count() or star == most_stars
+        last = left <= pairs_a_row * nodes.count() or star == most_stars
         if last:
             other = open_.select("key", F.col("id").alias("b"), F.col("component").alias("other"))
             pairs = open_.withColumnRenamed("id", "a").join(other, "key").where("a < b and component <> other").select("a", "b").distinct()
@@ -201,19 +218,26 @@ def near_duplicates(df: DataFrame, *, similarity: float = SIMILARITY, bands: int
             turn = F.xxhash64(F.lit(star), "id")
             hub = open_.groupBy("key").agg(F.min_by(F.struct("id", "component"), turn).alias("hub"))
             pairs = open_.join(hub, "key").where("component <> hub.component").select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
-        new = written(pairs.join(tested, ["a", "b"], "left_anti"), spark)
-        links = written(links.unionByName(checked(new, docs, similarity=similarity, weighting=weighting)), spark)
-        label = components(links, spark)
+        new = written(_even(pairs.join(tested, ["a", "b"], "left_anti")), spark)
+        more = written(_even(checked(new, docs, similarity=similarity, weighting=weighting)), spark)
         drop_written(open_, spark)
+        if more.limit(1).count():
+            links = links.unionByName(more)
+            label = components(links, spark)
         if last:
             break
-        tested = written(tested.unionByName(new), spark)
+        tested = tested.unionByName(new)
 
     of_copy = copies.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("class_id"))
     out = sig.select("id", "digest").join(of_copy, "digest", "left")
     return out.select(F.col("id").alias("doc_id"), F.coalesce("class_id", "id").alias("class_id"), (F.coalesce("class_id", "id") == F.col("id")).alias("kept"))
 
 
+def _even(df: DataFrame) -> DataFrame:
+    """Rows that a few partitions hold many of and most hold few of, in fewer tasks where the shuffle made many."""
+    return df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4))
+
+
 def _open_pairs(state: DataFrame) -> int:
     """How many pairs of one bucket lie in different classes, from counts."""
     by = state.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
