@@ -6,5 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a function under its own name, with the SQL that gives the same rows."""
+
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE[f.__name__] = sql
+        return f
+
+    return add
+
+
+from terraledger.plans import fits, graphs, gridded, physics, relational  # noqa: E402, F401
