@@ -13,10 +13,13 @@ shingle weighs 1, and agreement estimates the Jaccard similarity that the check
 uses; ``"count"`` weighs by occurrence (weighted Jaccard).
 
 Texts that are byte for byte equal are one node.  A bucket of a band is joined as
-a star to its smallest member, links are checked exactly, and only members that
-this leaves in different classes are then compared pair by pair, so groups of
-copies do not multiply.  Where such pairs would still be many, further stars from
-other members come first.
+a star to its smallest member, links are checked exactly, and only buckets whose
+members this leaves in different classes are opened: those of up to ``small``
+members pair by pair, the members of larger ones through prefixes of their
+elements, rarest first.  Sets that reach the similarity share an element of those
+prefixes at places that leave room for it, so no link is lost; each element is
+first joined as a star to the member in which it stands foremost, and what then
+still lies in different classes is paired.  So groups of copies do not multiply.
 
 Defined cases: a null text, or one with no word, is alone in its class unless
 other texts are byte for byte equal and not null; a text of under five words is
@@ -31,7 +34,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terraledger.llm.common import drop_written, mix, steps, words, written
@@ -43,6 +46,10 @@ STEP = 1 << 20
 CHUNK = 256
 #: Words of the bit filter that precedes a join with texts: 2^20 of 8 bytes at most.
 WORDS = 1 << 20
+#: Members of an open bucket that are compared pair by pair; members of larger ones go through prefixes.
+SMALL = 32
+
+
 def shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingle hashes by text: ``(hash, text, count)``, ascending within a text."""
     word, of = words(texts)[:2]
@@ -186,7 +193,63 @@ def checked(pairs: DataFrame, docs: DataFrame, *, similarity: float = SIMILARITY
     return laid.select("a", "b", "text").mapInArrow(run, "a long, b long, similarity double")
 
 
-def near_duplicates(df: DataFrame, *, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, weighting: str = "set", id_col: str = "doc_id", text_col: str = "text", pairs_a_row: int = 8, most_stars: int = 12) -> DataFrame:
+def prefixes(members: DataFrame, docs: DataFrame, *, similarity: float = SIMILARITY, weighting: str = "set") -> DataFrame:
+    """Rows ``(id, size, pos, token)``: the rarest elements of each of ``members(id)``, as far as a link needs them.
+
+    A set of ``size`` shares at least ``similarity * size`` elements with any set
+    that it links to, so one of its first ``size - similarity * size + 1`` in any
+    order that all sets have in common.  Weights count as repeated elements.
+    """
+    spark = docs.sparkSession
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in steps(batches, limit=STEP):
+            h, of, count = shingles(texts)
+            if weighting != "set":
+                nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                h, of = mix(np.repeat(h, count) + nth.astype(np.uint64) * np.uint64(0xA24BAED4963EE407)), np.repeat(of, count)
+            cuts = np.searchsorted(of, np.arange(len(texts) + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(cuts), pa.array(h.view(np.int64)))], names=["id", "tokens"])
+
+    texts = members.hint("merge").join(likely(docs, members), "id").select("id", "text").dropDuplicates(["id"])
+    sets = written(_even(texts.mapInArrow(run, "id long, tokens array<long>")), spark)
+    each = sets.select("id", F.explode("tokens").alias("token"))
+    rare = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    ranked = each.join(rare, "token").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("ranked")).withColumn("size", F.size("ranked"))
+    length = F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1
+    out = ranked.select("id", "size", F.posexplode(F.slice("ranked", F.lit(1), length.cast("int"))).alias("pos", "own")).select("id", "size", "pos", "own.token")
+    out = written(_even(out), spark)
+    drop_written(sets, spark)
+    return out
+
+
+def _reach(x: str, y: str, similarity: float) -> Column:
+    """Whether sets that have an element at these places in common can share enough from there on."""
+    left = F.least(F.col(f"{x}.size") - F.col(f"{x}.pos"), F.col(f"{y}.size") - F.col(f"{y}.pos"))
+    return left * (1 + similarity) >= (F.col(f"{x}.size") + F.col(f"{y}.size")) * similarity - 1e-9
+
+
+def prefix_stars(rows: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``(a, b)`` of ``rows(id, size, pos, token, component)`` with the member in which their element stands foremost."""
+    hubs = rows.groupBy("token").agg(F.min(F.struct("pos", "id", "size", "component")).alias("hub"))
+    met = rows.select("token", F.struct("id", "size", "pos", "component").alias("own")).join(hubs, "token").where((F.col("own.component") != F.col("hub.component")) & _reach("own", "hub", similarity))
+    return met.select(F.least("own.id", "hub.id").alias("a"), F.greatest("own.id", "hub.id").alias("b")).distinct()
+
+
+def prefix_pairs(rows: DataFrame, similarity: float) -> DataFrame:
+    """Pairs ``(a, b)`` of all members of different components that prefixes leave possible.
+
+    Of two sets the smaller shares ``2 s / (1 + s)`` of itself, so fewer of its
+    first elements are looked at than of the larger one's.
+    """
+    side = F.struct("id", "size", "pos", "component")
+    x = rows.where(F.col("pos") <= F.col("size") - F.ceil(F.col("size") * (2 * similarity / (1 + similarity)) - 1e-9)).select("token", side.alias("x"))
+    y = rows.select("token", side.alias("y"))
+    met = x.join(y, "token").where((F.col("x.component") != F.col("y.component")) & (F.col("x.size") <= F.col("y.size")) & _reach("x", "y", similarity))
+    return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
+
+def near_duplicates(df: DataFrame, *, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, weighting: str = "set", id_col: str = "doc_id", text_col: str = "text", small: int = SMALL) -> DataFrame:
     """One row per document: ``(doc_id, class_id, kept)``; the class is its smallest ``doc_id``, the one kept."""
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -202,31 +265,31 @@ def near_duplicates(df: DataFrame, *, similarity: float = SIMILARITY, bands: int
     links = written(_even(checked(tested, docs, similarity=similarity, weighting=weighting)), spark)
     label = components(links, spark)
 
-    for star in range(most_stars + 1):
-        state = nodes.join(label.withColumnRenamed("node", "id"), "id", "left").select("id", F.coalesce("component", "id").alias("component"), F.explode("bands").alias("key"))
-        ends = state.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-        open_ = written(_even(state.join(ends, "key").where("lo <> hi").select("key", "id", "component")), spark)
-        left = _open_pairs(open_)
-        if not left:
-            drop_written(open_, spark)
-            break
-        last = left <= pairs_a_row * nodes.count() or star == most_stars
-        if last:
-            other = open_.select("key", F.col("id").alias("b"), F.col("component").alias("other"))
-            pairs = open_.withColumnRenamed("id", "a").join(other, "key").where("a < b and component <> other").select("a", "b").distinct()
-        else:
-            turn = F.xxhash64(F.lit(star), "id")
-            hub = open_.groupBy("key").agg(F.min_by(F.struct("id", "component"), turn).alias("hub"))
-            pairs = open_.join(hub, "key").where("component <> hub.component").select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b")).distinct()
+    def with_component(rows_of: DataFrame) -> DataFrame:
+        return rows_of.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+    def try_pairs(pairs: DataFrame) -> None:
+        nonlocal links, label, tested
         new = written(_even(pairs.join(tested, ["a", "b"], "left_anti")), spark)
         more = written(_even(checked(new, docs, similarity=similarity, weighting=weighting)), spark)
-        drop_written(open_, spark)
+        tested = tested.unionByName(new)
         if more.limit(1).count():
             links = links.unionByName(more)
             label = components(links, spark)
-        if last:
-            break
-        tested = tested.unionByName(new)
+
+    state = with_component(nodes).select("component", "id", F.explode("bands").alias("key"))
+    ends = state.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
+    open_ = written(_even(state.join(ends.where("lo <> hi"), "key").select("key", "id", "component", "n")), spark)
+    near = open_.where(F.col("n") <= small)
+    other = near.select("key", F.col("id").alias("b"), F.col("component").alias("other"))
+    pairs = near.withColumnRenamed("id", "a").join(other, "key").where("a < b and component <> other").select("a", "b").distinct()
+    crowd = open_.where(F.col("n") > small).select("id").distinct()
+    if crowd.limit(1).count():
+        foremost = prefixes(crowd, docs, similarity=similarity, weighting=weighting)
+        try_pairs(pairs.unionByName(prefix_stars(with_component(foremost), similarity)).distinct())
+        pairs = prefix_pairs(with_component(foremost), similarity)
+    try_pairs(pairs)
+    drop_written(open_, spark)
 
     of_copy = copies.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("class_id"))
     out = sig.select("id", "digest").join(of_copy, "digest", "left")
@@ -236,10 +299,3 @@ def near_duplicates(df: DataFrame, *, similarity: float = SIMILARITY, bands: int
 def _even(df: DataFrame) -> DataFrame:
     """Rows that a few partitions hold many of and most hold few of, in fewer tasks where the shuffle made many."""
     return df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4))
-
-
-def _open_pairs(state: DataFrame) -> int:
-    """How many pairs of one bucket lie in different classes, from counts."""
-    by = state.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    row = by.groupBy("key").agg(F.sum("n").alias("s"), F.sum(F.col("n") * F.col("n")).alias("q")).agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2)).first()
-    return int(row[0] or 0)

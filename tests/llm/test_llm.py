@@ -140,7 +140,8 @@ def test_attention_gradients():
 # --- 3 MinHash ---------------------------------------------------------------
 def brute_classes(rows, similarity=0.8):
     """By comparing all pairs."""
-    sets = [None if t is None else frozenset(tuple(t.split()[j : j + 5]) for j in range(max(1, len(t.split()) - 4))) if t.split() else frozenset() for _, t in rows]
+    cut = [None if t is None else t.split() for _, t in rows]
+    sets = [None if w is None else frozenset(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))) if w else frozenset() for w in cut]
     parent = list(range(len(rows)))
 
     def find(a):
@@ -175,8 +176,16 @@ def test_minhash_matches_brute_force(spark):
             words[rng.randrange(len(words))] = f"edit{i}"
         rows.append((i, " ".join(words)))
         rows.append((i + 100, " ".join(f"x{rng.randrange(9999)}" for _ in range(60))))
+    for i in range(300, 340):  # and some that link with few of them
+        words = list(base)
+        for _ in range(2 + i % 6):
+            words[rng.randrange(len(words))] = f"edit{i}"
+        rows.append((i, " ".join(words)))
     got = minhash.near_duplicates(awkward(spark, rows))
     assert sorted((r.doc_id, r.class_id) for r in got.collect() if r.doc_id is not None) == brute_classes(rows)
+    for weighting in ("set", "count"):  # no repeated shingle in the group, so the classes are the same
+        crowded = minhash.near_duplicates(awkward(spark, rows), small=2, weighting=weighting)
+        assert sorted((r.doc_id, r.class_id) for r in crowded.collect() if r.doc_id is not None) == brute_classes(rows)
     assert minhash.near_duplicates(awkward(spark).limit(0)).count() == 0
 
 
