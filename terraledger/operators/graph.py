@@ -91,6 +91,20 @@ def route(nodes: DataFrame, runoff: str, demand: str, protected: float = 0.6) ->
     return done.select("id", "available", "allocated", "outflow")
 
 
+def distances(edges: DataFrame, sources: DataFrame, most: int = 10_000) -> DataFrame:
+    """``(node, distance)``: the fewest undirected ``edges(a, b)`` from any source ``(id)``; unreached nodes are left out."""
+    both = settled(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    seen = settled(sources.select(F.col("id").alias("node")).distinct().withColumn("distance", F.lit(0).cast("long")))
+    front = seen
+    for step in range(1, most):
+        next_ = front.join(both, F.col("node") == F.col("a")).select(F.col("b").alias("node")).distinct()
+        front = settled(next_.join(seen, "node", "left_anti").withColumn("distance", F.lit(step).cast("long")))
+        if not front.limit(1).count():
+            break
+        seen = settled(seen.unionByName(front))
+    return seen
+
+
 def components(edges: DataFrame, most: int = 200) -> DataFrame:
     """``(node, component)``: the smallest node that ``edges(a, b)`` connect a node to."""
     pairs = edges.select("a", "b").where("a <> b")
