@@ -103,23 +103,28 @@ def problems(name: Column, arguments: Column, schemas: dict[str, dict[str, tuple
     return out
 
 
-def levels(calls: DataFrame, most: int = 16) -> DataFrame:
-    """``calls`` with ``level``: 0 for those that refer to no other, null for those in or above a cycle."""
-    refs = calls.select("conv_id", "id", F.explode(F.map_values("arguments")).alias("v")).where(F.col("v").startswith("$")).select("conv_id", "id", F.expr("substring(v, 2)").alias("on")).distinct()
-    known = calls.select("conv_id", F.col("id").alias("on")).distinct()
-    refs = refs.join(known, ["conv_id", "on"], "left_semi")
+def levels(calls: DataFrame) -> DataFrame:
+    """``calls`` with ``level``: 0 for those that refer to no other, null for those in or above a cycle.
+
+    Keys are texts that hold a null conversation or identifier too, so equi-joins
+    meet them.  Rounds end when no further call is ready, however long a chain is.
+    """
+    conv = F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit(""))
+    key = lambda c: F.concat(conv, F.lit("\x01"), F.coalesce(F.concat(F.lit("i"), F.col(c)), F.lit("")))
+    keyed = calls.withColumn("_key", key("id"))
+    named = calls.select("conv_id", "id", F.explode(F.map_values("arguments")).alias("v")).where(F.col("v").startswith("$")).withColumn("_on", F.expr("substring(v, 2)"))
+    refs = named.select(key("id").alias("_key"), key("_on").alias("_on")).distinct()
+    refs = refs.join(keyed.select(F.col("_key").alias("_on")).distinct(), "_on", "left_semi")
     if refs.limit(1).count() == 0:
         return calls.withColumn("level", F.lit(0))
-    level = calls.select("conv_id", "id").distinct().join(refs.select("conv_id", "id").distinct(), ["conv_id", "id"], "left_anti").withColumn("level", F.lit(0))
-    for _ in range(most):
-        below = level.select("conv_id", F.col("id").alias("on"), "level")
-        ready = refs.join(below, ["conv_id", "on"], "left").groupBy("conv_id", "id").agg((F.max("level") + 1).alias("level"), F.count_if(F.col("level").isNull()).alias("open")).where("open = 0").drop("open")
-        ready = ready.join(level.select("conv_id", "id"), ["conv_id", "id"], "left_anti")
-        ready = written(ready, calls.sparkSession)
+    level = keyed.select("_key").distinct().join(refs.select("_key").distinct(), "_key", "left_anti").withColumn("level", F.lit(0))
+    while True:
+        below = level.select(F.col("_key").alias("_on"), "level")
+        ready = refs.join(below, "_on", "left").groupBy("_key").agg((F.max("level") + 1).alias("level"), F.count_if(F.col("level").isNull()).alias("open")).where("open = 0").drop("open")
+        ready = written(ready.join(level.select("_key"), "_key", "left_anti"), calls.sparkSession)
         if ready.limit(1).count() == 0:
-            break
+            return keyed.join(level, "_key", "left").drop("_key")
         level = written(level.unionByName(ready), calls.sparkSession)
-    return calls.join(level, ["conv_id", "id"], "left")
 
 
 def link(df: DataFrame, *, schemas: dict[str, dict[str, tuple[str, bool]]] = SCHEMAS, as_calls: bool = True) -> DataFrame:
