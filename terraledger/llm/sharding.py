@@ -42,15 +42,15 @@ def interleave(df: DataFrame, shards: int, *, seed: int = 17, id_col: str = "doc
     )
     total = df.count()
     buckets = max(1, -(-total // bucket_rows))
-    unit = F.shiftrightunsigned("_key", 11) / F.lit(float(1 << 53))
-    rows = rows.withColumn("_bucket", F.floor(unit * buckets))
+    # the key as an unsigned number: buckets and the order within them agree
+    rows = rows.withColumn("_unit", F.shiftrightunsigned("_key", 11)).withColumn("_bucket", F.floor(F.col("_unit") / F.lit(float(1 << 53)) * buckets))
 
     counts = rows.groupBy("_source", "_bucket").agg(F.count(F.lit(1)).alias("n"))
     by_source = Window.partitionBy("_source")
     before = counts.select(
         "_source", "_bucket", F.sum("n").over(by_source).alias("_of"), (F.sum("n").over(by_source.orderBy("_bucket")) - F.col("n")).alias("_before")
     )
-    order = Window.partitionBy("_source", "_bucket").orderBy("_key", "doc_id", "text_crc32", "size")
+    order = Window.partitionBy("_source", "_bucket").orderBy("_unit", "_key", "doc_id", "text_crc32", "size")
 
     def ranked(part: DataFrame, tie: Window) -> DataFrame:
         rank = F.col("_before") + F.row_number().over(tie)
