@@ -44,7 +44,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("toxicity", drop_toxic), ("quality", drop_poor), ("near_dedup", drop_near_copies), ("packing", pack)]
 
-#: Models are trained in the stages, so SQL cannot express the rows; tests hold each stage against brute force.
+#: Models are trained in the stages, so SQL cannot express the rows; tests hold the stages' operators, and the ids that each stage keeps.
 ORACLE_SQL = None
 
 
