@@ -4,9 +4,10 @@ Equal vectors of one label are one node first.  Neighbour lists start from the
 orders of random hyperplane codes: in each of ``tables`` orders a vector meets
 the few next to it.  NN-descent then refines the lists: the neighbours of a node,
 in both directions, are joined with each other, and each keeps its ``k`` best.
-Lists whose every entry lies above the threshold are saturated; they are enlarged
-to the whole component of links they belong to, compared in square blocks that
-give counts and not pairs.  A recall audit compares a bounded set of query vectors
+The lists serve the search; every pair measured at or above the threshold is kept
+as a link in a table of its own, and components come from that table.  A component
+with a node of ``k`` links or more is compared whole, in square blocks that give
+counts and not pairs.  A recall audit compares a bounded set of query vectors
 with all rows; while it finds links missing, another round with more tables runs.
 
 Only cosines in double precision decide; the links kept are those at or above the
@@ -101,16 +102,19 @@ def best(edges: DataFrame, k: int) -> DataFrame:
     return both.withColumn("place", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("sim"), "v"))).where(F.col("place") <= k)
 
 
-def descend(edges: DataFrame, nodes: DataFrame, k: int, sample: int = 5) -> DataFrame:
-    """One round: of each node's list the ``sample`` nearest, in both directions but bounded, are joined with each other."""
+def descend(edges: DataFrame, nodes: DataFrame, spark: SparkSession, sample: int = 5) -> DataFrame:
+    """What one round measures: of each node's list the ``sample`` nearest, in both directions but bounded, are joined with each other."""
     lists = best(edges, sample)
     reverse = lists.select(F.col("v").alias("u"), F.col("u").alias("v")).withColumn("place", F.row_number().over(Window.partitionBy("u").orderBy(F.xxhash64("u", "v")))).where(F.col("place") <= sample)
     around = lists.select("u", "v").unionByName(reverse.select("u", "v")).groupBy("u").agg(F.collect_set("v").alias("vs"))
     pair = F.explode(F.flatten(F.transform("vs", lambda x: F.transform(F.filter("vs", lambda y: x < y), lambda y: F.struct(x.alias("a"), y.alias("b"))))))
     fresh = around.select(pair.alias("p")).select("p.a", "p.b").distinct().join(edges, ["a", "b"], "left_anti")
-    merged = edges.unionByName(measured(fresh, nodes))
-    kept = best(merged, k).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"), "sim").distinct()
-    return kept
+    return written(measured(fresh, nodes), spark)
+
+
+def nearest(edges: DataFrame, k: int) -> DataFrame:
+    """The edges that stand in the list of one of their ends."""
+    return best(edges, k).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"), "sim").distinct()
 
 
 def blocks_of(members: DataFrame, size: int = BLOCK) -> DataFrame:
@@ -188,19 +192,23 @@ def near_duplicates(df: DataFrame, *, threshold: float = THRESHOLD, k: int = K,
     spark = df.sparkSession
     usable = written(vectors(df, id_col, vec_col, label_col), spark)
     nodes = written(usable.groupBy("grp", "vec").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), spark)
-    edges, recall = None, 0.0
+    edges, links, recall = None, None, 0.0
     for turn in range(most_passes):
         pairs = starts(nodes, tables * (turn + 1), 7 + turn, NEAR)
         if edges is not None:
             pairs = pairs.join(edges, ["a", "b"], "left_anti")
-        found = measured(pairs, nodes)
-        edges = written(found if edges is None else edges.unionByName(found), spark)
+        found = written(measured(pairs, nodes), spark)
+        edges = found if edges is None else edges.unionByName(found)
+        over = [found.where(F.col("sim") >= threshold)]
         for _ in range(rounds):
-            new = written(descend(edges, nodes, k), spark)
-            drop_written(edges, spark)
-            edges = new
-        linked = edges.where(F.col("sim") >= threshold)
-        label, degree = _degrees(linked, nodes, spark, threshold, k)
+            found = descend(edges, nodes, spark)
+            over.append(found.where(F.col("sim") >= threshold))
+            edges = written(nearest(edges.unionByName(found), k), spark)
+        # the lists are cut for the search alone: no link that was measured is lost with them
+        for new in over:
+            links = new if links is None else links.unionByName(new)
+        links = written(links.select("a", "b").distinct(), spark)
+        label, degree = _degrees(links, nodes, spark, threshold, k)
         recall = audit(nodes, degree, threshold, audit_queries)
         if recall >= least_recall:
             break

@@ -337,6 +337,42 @@ def test_nn_descent_matches_brute_force(spark):
     assert got[406].component_id == 0 and got[100].recall >= 0.98
 
 
+def brute_links(rows):
+    """Links and components of ``(id, vector, label)`` by comparing all pairs."""
+    y = np.array([r[1] for r in rows])
+    y /= np.linalg.norm(y, axis=1)[:, None]
+    same = np.array([r[2] for r in rows])
+    near = (y @ y.T >= 0.93) & (same[:, None] == same[None, :])
+    label = np.array([r[0] for r in rows])
+    for _ in rows:
+        low = np.where(near, label, label.max()).min(1)
+        if (low == label).all():
+            break
+        label = low
+    np.fill_diagonal(near, False)
+    return {r[0]: (int(near[k].sum()), int(label[k])) for k, r in enumerate(rows)}
+
+
+def around(rng, center, n, inner):
+    """Unit vectors about a center, with cosines of about ``inner`` between them."""
+    noise = rng.randn(n, len(center))
+    noise -= (noise @ center)[:, None] * center
+    noise /= np.linalg.norm(noise, axis=1)[:, None]
+    return np.sqrt(inner) * center + np.sqrt(1 - inner) * noise
+
+
+def test_nn_descent_keeps_links_between_dense_groups(spark):
+    from terraledger.llm import neighbours
+
+    rng = np.random.RandomState(4)
+    x = np.concatenate([around(rng, np.eye(64)[0], 40, 0.98), around(rng, 0.959 * np.eye(64)[0] + np.sqrt(1 - 0.959**2) * np.eye(64)[1], 40, 0.98), rng.randn(800, 64)])
+    rows = [(i, [float(v) for v in x[i]], 0) for i in range(len(x))]
+    want = brute_links(rows)
+    assert {want[i][1] for i in range(80)} == {0} and len({want[i][0] for i in range(80)}) > 1
+    got = neighbours.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got.collect()} == want
+
+
 # --- 8 chat ---------------------------------------------------------------------------
 def test_tool_calls_are_linked_ordered_and_checked(spark):
     from terraledger.llm import chat
