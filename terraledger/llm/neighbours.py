@@ -7,8 +7,11 @@ in both directions, are joined with each other, and each keeps its ``k`` best.
 The lists serve the search; every pair measured at or above the threshold is kept
 as a link in a table of its own, and components come from that table.  A component
 with a node of ``k`` links or more is compared whole, in square blocks that give
-counts and not pairs.  A recall audit compares a bounded set of query vectors
-with all rows; while it finds links missing, another round with more tables runs.
+counts and not pairs.  The number of orders grows with the largest group, so that
+the share of pairs on the threshold that never meet stays at ``missed``.  A recall
+audit compares query vectors, of each class of degree about as many, with all rows;
+while a group falls short, another round with more tables runs, and groups that
+are short after the last are compared whole, in the same blocks.
 
 Only cosines in double precision decide; the links kept are those at or above the
 threshold, between nodes of one label that is not null.
@@ -22,6 +25,7 @@ other; an empty table gives no rows; extra columns are not read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +38,8 @@ from terraledger.llm.graphs import components
 
 THRESHOLD, K, TABLES, NEAR, BLOCK = 0.93, 12, 12, 3, 256
 AUDIT = 200
+#: The share of pairs on the threshold, with no neighbour in common, that no start may meet.
+MISSED = 0.002
 
 
 def _unit(vectors: pd.Series) -> np.ndarray:
@@ -52,6 +58,21 @@ def vectors(df: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFra
     return df.where(usable).select(F.col(id_col).cast("long").alias("id"), grp.alias("grp"), vec.alias("vec"))
 
 
+def meeting(n: int, threshold: float, near: int) -> float:
+    """The chance that a pair on the threshold meets in one order of ``n`` vectors.
+
+    It shares each bit with probability ``same``; of the ``n / 2^d`` that share ``d``
+    bits, those within ``near`` places of each other meet.
+    """
+    same = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
+    return sum(same**d * (1 - same) * min(1.0, 2 * near / max(1.0, n / 2**d)) for d in range(30)) + same**30
+
+
+def tables_for(n: int, threshold: float, near: int, missed: float) -> int:
+    """As many orders of ``n`` vectors as leave the share ``missed`` of pairs on the threshold without a meeting."""
+    return math.ceil(math.log(missed) / math.log1p(-min(1 - 1e-9, meeting(n, threshold, near))))
+
+
 def starts(nodes: DataFrame, tables: int, seed: int, near: int) -> DataFrame:
     """Candidate pairs ``(a, b)``: neighbours in the orders of random hyperplane codes.
 
@@ -124,7 +145,11 @@ def blocks_of(members: DataFrame, size: int = BLOCK) -> DataFrame:
 
 
 def full_degrees(blocked: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """``(node, n_links)`` inside each component: every pair of blocks is one piece of work that yields counts."""
+    """``(node, n_links, other)`` inside each component: every pair of blocks is one piece of work that yields counts.
+
+    ``other`` is the smallest node that the links of a piece of work connect a node
+    to, so a node has a row for each piece that it takes part in.
+    """
     rows = blocked.join(nodes, blocked["node"] == nodes["id"]).select("component", "node", "block", "blocks", "vec", "copies")
     i, j = F.least("block", "other"), F.greatest("block", "other")
     dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", i).withColumn("j", j)
@@ -136,9 +161,10 @@ def full_degrees(blocked: DataFrame, nodes: DataFrame, threshold: float) -> Data
         if part["i"].iat[0] == part["j"].iat[0]:
             near = _dots(x, x) >= threshold
             np.fill_diagonal(near, False)
-            return pd.DataFrame({"node": ids, "n_links": near @ copies})
+            return pd.DataFrame({"node": ids, "n_links": near @ copies, "other": _lowest(near, ids, ids)[0]})
         near = _dots(x[first], x[~first]) >= threshold
-        return pd.DataFrame({"node": np.r_[ids[first], ids[~first]], "n_links": np.r_[near @ copies[~first], near.T @ copies[first]]})
+        links = np.r_[near @ copies[~first], near.T @ copies[first]]
+        return pd.DataFrame({"node": np.r_[ids[first], ids[~first]], "n_links": links, "other": np.concatenate(_lowest(near, ids[first], ids[~first]))})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, key = [], None
@@ -152,8 +178,23 @@ def full_degrees(blocked: DataFrame, nodes: DataFrame, threshold: float) -> Data
         if held:
             yield count(pd.concat(held, ignore_index=True))
 
-    counted = laid.select("component", "i", "j", "block", "node", "vec", "copies").mapInPandas(run, "node long, n_links long")
-    return counted.groupBy("node").agg(F.sum("n_links").alias("n_links"))
+    return laid.select("component", "i", "j", "block", "node", "vec", "copies").mapInPandas(run, "node long, n_links long, other long")
+
+
+def _lowest(near: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The smallest id that the links ``near`` between two blocks connect each member to."""
+    a, b = left.copy(), right.copy()
+    linked = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
+    near = near[np.ix_(*linked)]
+    top = np.iinfo(np.int64).max
+    while len(linked[0]):
+        low_b = np.minimum(b[linked[1]], np.where(near, a[linked[0]][:, None], top).min(0))
+        b[linked[1]] = low_b
+        low_a = np.minimum(a[linked[0]], np.where(near, low_b, top).min(1))
+        if (low_a == a[linked[0]]).all():
+            break
+        a[linked[0]] = low_a
+    return a, b
 
 
 def _dots(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -164,35 +205,57 @@ def _dots(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
-def audit(nodes: DataFrame, links: DataFrame, threshold: float, queries: int) -> float:
-    """Recall of ``links(node, n_links)`` on at most ``queries`` nodes, each compared with all nodes of its group."""
-    asked = nodes.orderBy(F.xxhash64(F.lit(99), "id")).limit(queries).select(F.col("id").alias("node"), F.col("grp").alias("q_grp"), F.col("vec").alias("q")).collect()
-    if not asked:
-        return 1.0
+def audit(nodes: DataFrame, links: DataFrame, threshold: float, queries: int) -> dict[str, float]:
+    """Recall of ``links(node, n_links)`` for each group with a link, and at ``""`` for all.
+
+    About ``queries`` nodes of each class of found degree (by powers of two) are
+    compared with all nodes of their group.  Recall is a query's own; its means
+    over the classes of true degree are averaged, so a large group of copies does
+    not outweigh pairs.
+    """
+    weighed = nodes.join(links.withColumnRenamed("node", "id"), "id", "left").withColumn("found", F.coalesce("n_links", F.lit(0)))
+    weighed = weighed.withColumn("class", F.floor(F.log2(F.col("found") + 1)).cast("int"))
+    sizes = {r["class"]: r["count"] for r in weighed.groupBy("class").count().collect()}
+    if not sizes:
+        return {"": 1.0}
+    every = F.create_map(*[F.lit(x) for c, n in sizes.items() for x in (c, -(-n // queries))])
+    drawn = weighed.where(F.pmod(F.xxhash64(F.lit(99), "id"), F.element_at(every, F.col("class"))) == 0)
+    asked = drawn.select(F.col("id").alias("node"), F.col("grp").alias("q_grp"), F.col("vec").alias("q"), "found").collect()
     by_grp: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     for g in {r.q_grp for r in asked}:
         own = [r for r in asked if r.q_grp == g]
         by_grp[g] = np.array([r.node for r in own]), _unit(pd.Series([np.array(r.q) for r in own]))
+    held = nodes.sparkSession.sparkContext.broadcast(by_grp)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total: dict[str, np.ndarray] = {}
         for batch in batches:
             for g, part in batch.groupby("grp", sort=False):
-                if g in by_grp:
-                    ids, q = by_grp[g]
+                if g in held.value:
+                    ids, q = held.value[g]
                     near = (_unit(part["vec"]) @ q.T >= threshold) & (part["id"].to_numpy()[:, None] != ids)
-                    yield pd.DataFrame({"node": ids, "truth": near.T @ part["copies"].to_numpy(np.int64)})
+                    total[g] = total.get(g, 0) + near.T @ part["copies"].to_numpy(np.int64)
+        for g, truth in total.items():
+            yield pd.DataFrame({"node": held.value[g][0], "truth": truth})
 
-    truth = nodes.select("id", "grp", "vec", "copies").mapInPandas(run, "node long, truth long").groupBy("node").agg(F.sum("truth").alias("truth"))
-    row = truth.join(links, "node", "left").agg(F.sum("truth").alias("t"), F.sum(F.least("truth", F.coalesce("n_links", F.lit(0)))).alias("f")).first()
-    return 1.0 if not row.t else row.f / row.t
+    counted = nodes.select("id", "grp", "vec", "copies").mapInPandas(run, "node long, truth long").groupBy("node").agg(F.sum("truth").alias("truth")).where("truth > 0")
+    truth = {r.node: r.truth for r in counted.collect()}
+    met: dict[str, dict[int, list[float]]] = {"": {}}
+    for r in asked:
+        if r.node in truth:
+            for g in ("", r.q_grp):
+                met.setdefault(g, {}).setdefault(int(truth[r.node]).bit_length(), []).append(min(1.0, r.found / truth[r.node]))
+    return {g: float(np.mean([np.mean(x) for x in classes.values()])) if classes else 1.0 for g, classes in met.items()}
 
 
-def near_duplicates(df: DataFrame, *, threshold: float = THRESHOLD, k: int = K, tables: int = TABLES, rounds: int = 2, audit_queries: int = AUDIT, least_recall: float = 0.98, most_passes: int = 3, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
+def near_duplicates(df: DataFrame, *, threshold: float = THRESHOLD, k: int = K, tables: int = TABLES, rounds: int = 2, audit_queries: int = AUDIT, least_recall: float = 0.98, most_passes: int = 3, missed: float = MISSED, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """Rows ``(vec_id, n_links, component_id, kept, recall)``, one per input row; ``recall`` is what the audit found."""
     spark = df.sparkSession
     usable = written(vectors(df, id_col, vec_col, label_col), spark)
     nodes = written(usable.groupBy("grp", "vec").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), spark)
-    edges, links, recall = None, None, 0.0
+    largest = nodes.groupBy("grp").count().agg(F.max("count")).first()[0] or 1
+    tables = max(tables, tables_for(largest, threshold, NEAR, missed))
+    edges, links, recall = None, None, {"": 0.0}
     for turn in range(most_passes):
         pairs = starts(nodes, tables * (turn + 1), 7 + turn, NEAR)
         if edges is not None:
@@ -210,15 +273,23 @@ def near_duplicates(df: DataFrame, *, threshold: float = THRESHOLD, k: int = K,
         links = written(links.select("a", "b").distinct(), spark)
         label, degree = _degrees(links, nodes, spark, threshold, k)
         recall = audit(nodes, degree, threshold, audit_queries)
-        if recall >= least_recall:
+        short = [g for g, r in recall.items() if g and r < least_recall]
+        if not short:
             break
+    if short:
+        members = nodes.where(F.col("grp").isin(short)).select(F.col("id").alias("node"), F.col("grp").alias("component"))
+        pieces = written(full_degrees(blocks_of(members), nodes, threshold), spark)
+        exact = pieces.groupBy("node").agg(F.sum("n_links").alias("n_links"))
+        label = components(links.unionByName(pieces.where("node <> other").select(F.col("node").alias("a"), F.col("other").alias("b"))), spark)
+        degree = written(degree.join(exact, "node", "left_anti").unionByName(exact), spark)
+        recall = audit(nodes, degree, threshold, audit_queries)
     copies = nodes.select("grp", "vec", F.col("id").alias("node"), "copies")
     per_vec = usable.join(copies, ["grp", "vec"]).join(degree, "node", "left").join(label, "node", "left")
     per_vec = per_vec.select("id", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), F.coalesce("component", "node").alias("component_id"))
     all_rows = df.select(F.col(id_col).cast("long").alias("id"))
     out = all_rows.join(per_vec.dropDuplicates(["id"]), "id", "left")
     component = F.coalesce("component_id", "id")
-    return out.select(F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("id") == component).alias("kept"), F.lit(float(recall)).alias("recall"))
+    return out.select(F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("id") == component).alias("kept"), F.lit(recall[""]).alias("recall"))
 
 
 def _degrees(linked: DataFrame, nodes: DataFrame, spark: SparkSession, threshold: float, k: int) -> tuple[DataFrame, DataFrame]:
@@ -228,6 +299,6 @@ def _degrees(linked: DataFrame, nodes: DataFrame, spark: SparkSession, threshold
     weighed = lists.join(nodes.select(F.col("id").alias("other"), "copies"), "other")
     listed = weighed.groupBy("node").agg(F.sum("copies").alias("n_links"), F.count(F.lit(1)).alias("listed"))
     full = listed.where(F.col("listed") >= k).join(label, "node").select("component").distinct()
-    enlarged = full_degrees(blocks_of(label.join(full, "component")), nodes, threshold)
+    enlarged = full_degrees(blocks_of(label.join(full, "component")), nodes, threshold).groupBy("node").agg(F.sum("n_links").alias("n_links"))
     degree = listed.join(enlarged.withColumnRenamed("n_links", "all_links"), "node", "left").select("node", F.coalesce("all_links", "n_links").alias("n_links"))
     return label, written(degree, spark)

@@ -373,6 +373,26 @@ def test_nn_descent_keeps_links_between_dense_groups(spark):
     assert {r.vec_id: (r.n_links, r.component_id) for r in got.collect()} == want
 
 
+def test_nn_descent_finds_lone_pairs_beside_large_groups(spark):
+    from terraledger.llm import neighbours as m
+
+    # a pair on the threshold meets as surely in a large table as in a small one
+    for n in (1_000, 20_000, 200_000, 20_000_000):
+        assert (1 - m.meeting(n, 0.93, m.NEAR)) ** m.tables_for(n, 0.93, m.NEAR, m.MISSED) <= m.MISSED
+    rng = np.random.RandomState(6)
+    unit = lambda n: (lambda v: v / np.linalg.norm(v, axis=1)[:, None])(rng.randn(n, 64))
+    one = unit(300)
+    other = np.concatenate([around(rng, v, 1, 0.935**2) for v in one])
+    x = np.concatenate([one, other, around(rng, np.eye(64)[0], 300, 0.99)])
+    rows = [(i, [float(v) for v in x[i]], 0) for i in range(len(x))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    want = brute_links(rows)
+    assert sum(n == 1 for n, _ in want.values()) == 600
+    # with hardly any start the audit sees the pairs, and the group is compared whole
+    got = m.near_duplicates(df, tables=1, rounds=0, most_passes=1, missed=0.9).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want and got[0].recall == 1.0
+
+
 # --- 8 chat ---------------------------------------------------------------------------
 def test_tool_calls_are_linked_ordered_and_checked(spark):
     from terraledger.llm import chat
