@@ -6,7 +6,8 @@ the weighted representation gives the document's score.  Encoder, gate and
 output are trained together in numpy from document labels alone.
 
 Fitting takes a bounded sample of labelled rows (``per_class`` of each class, of
-``max_chars`` characters at most, first in the order of a hash of the id);
+``max_chars`` characters at most, first in the order of a hash of the id),
+and corrects the bias by the classes' counts over all training labels;
 scoring takes every passage of every whole text.
 
 Defined cases: null and empty texts are one empty passage and get the model's
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 
 from terraledger.llm.common import steps
 from terraledger.llm.models import sigmoid
-from terraledger.llm.toxicity import labelled_sample, windows
+from terraledger.llm.toxicity import class_shift, labelled_sample, windows
 
 WORDS, BUCKETS, HIDDEN, GATE = 48, 1024, 24, 12
 STEP = 1 << 20
@@ -125,7 +126,11 @@ def fit(rows: list[tuple[str, int]], *, epochs: int = 14, bag: int = 48, rate: f
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, training: Column, *, label: str = "quality", per_class: int = 1500, max_chars: int = 20_000) -> GatedAttention:
-    return fit(labelled_sample(docs, labels, label, training, {0: per_class, 1: 2 * per_class}, max_chars=max_chars))
+    caps = {0: per_class, 1: 2 * per_class}
+    model = fit(labelled_sample(docs, labels, label, training, caps, max_chars=max_chars))
+    if model.only is None:
+        model.w["out_b"] += np.float32(class_shift(labels, label, training, caps))
+    return model
 
 
 def score(df: DataFrame, model: GatedAttention, *, text_col: str = "text") -> DataFrame:

@@ -11,7 +11,8 @@ model on a document's margins above them gives the score.
 
 Fitting takes a bounded sample of labelled rows (``per_class`` toxic and twice
 as many ordinary ones, of ``max_chars`` characters at most, in the order of a
-hash of the id).  Scoring takes every window of every whole text.
+hash of the id).  The classes' counts over all training labels correct the
+intercept for the sample's shares.  Scoring takes every window of every whole text.
 
 Defined cases: null and empty texts count as one empty window and get the score
 of a text with no margin; labels that are null are skipped; where one of the two
@@ -22,6 +23,7 @@ they are and never read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -172,14 +174,28 @@ def _dictionary(samples: list[bytes], size: int) -> bytes:
         return b"".join(samples)[-size:]
 
 
+def training_labels(labels: DataFrame, label: str, training: Column, id_col: str) -> DataFrame:
+    """``(_id, _label)``, one training row for each id."""
+    own = labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_label")).where(F.col("_id").isNotNull())
+    return own.where(training).groupBy("_id").agg(F.min("_label").alias("_label"))
+
+
+def class_shift(labels: DataFrame, label: str, training: Column, per_class: dict[int, int], *, id_col: str = "doc_id") -> float:
+    """What takes log-odds of class 1 in a sample capped by ``per_class`` to the shares of all training labels."""
+    n = {r["_label"]: r["count"] for r in training_labels(labels, label, training, id_col).groupBy("_label").count().collect()}
+    if not n.get(0) or not n.get(1):
+        return 0.0
+    over = {c: math.log(n[c] / min(n[c], per_class[c])) for c in (0, 1)}
+    return over[1] - over[0]
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, training: Column, per_class: dict[int, int], *, max_chars: int, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
     """A bounded sample of labelled training texts, for each class the first ids in the order of a hash.
 
     The label rows are chosen first, so what is broadcast and collected has the
     size that ``per_class`` and ``max_chars`` allow.
     """
-    own = labels.select(F.col(id_col).alias("_id"), F.col(label).cast("int").alias("_label")).where(F.col("_id").isNotNull())
-    own = own.where(training).dropDuplicates(["_id"])
+    own = training_labels(labels, label, training, id_col)
     chosen = None
     for value, n in per_class.items():
         part = own.where(F.col("_label") == value).orderBy(F.xxhash64("_id"), "_id").limit(n)
@@ -196,8 +212,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, training: Co
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, training: Column, *, label: str = "toxic", per_class: int = 1500, max_chars: int = 20_000) -> CompressionDistance:
-    rows = labelled_sample(docs, labels, label, training, {1: per_class, 0: 2 * per_class}, max_chars=max_chars)
-    return fit([t for t, y in rows if y], [t for t, y in rows if not y])
+    caps = {1: per_class, 0: 2 * per_class}
+    rows = labelled_sample(docs, labels, label, training, caps, max_chars=max_chars)
+    model = fit([t for t, y in rows if y], [t for t, y in rows if not y])
+    if model.weights is not None:
+        model.weights[0, 0] += class_shift(labels, label, training, caps)
+    return model
 
 
 def score(df: DataFrame, model: CompressionDistance, *, text_col: str = "text") -> DataFrame:

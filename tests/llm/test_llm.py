@@ -117,6 +117,21 @@ def test_quality_learns_and_defines_all_cases(spark):
     assert quality.fit([("x", 1)]).only == 1.0
 
 
+def test_caps_do_not_move_the_class_shares(spark):
+    from terraledger.llm import quality, toxicity
+
+    # nothing in the texts tells the classes apart: scores are the share of class 1 among all labels
+    rng = random.Random(3)
+    plain = ["er", "on", "the", "any", "in", "re", "word"]
+    rows = [(i, " ".join(rng.choice(plain) for _ in range(40)), int(i % 10 == 0), int(i % 10 != 0)) for i in range(600)]
+    docs = spark.createDataFrame([(i, t) for i, t, _, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, x, q) for i, _, x, q in rows], "doc_id long, toxic int, quality int")
+    for module, share in ((toxicity, 0.1), (quality, 0.9)):
+        model = module.fit_on(docs, labels, F.lit(True), per_class=40)
+        mean = module.score(docs, model).agg(F.avg("score")).first()[0]
+        assert abs(mean - share) < 0.1, (module.__name__, mean)
+
+
 def test_attention_gradients():
     from terraledger.llm.quality import GatedAttention, encode_passages
 
