@@ -5,7 +5,9 @@ sum of the conditional log-probabilities over a document's tokens is its score.
 The network, in numpy, embeds the four neighbours, has one hidden layer and gives
 a distribution over word classes; a word's share of its class comes from counts
 over all documents.  Words beyond the ``vocabulary`` most frequent belong to
-classes of their ending and length, in which all words seen count alike.
+classes of their ending and length; their shares come from their own counts too,
+joined from the table of all words.  The vocabulary grows with the root of the
+corpus: ``ROOTS`` times the root of its tokens, ``VOCABULARY`` at least.
 
 Counts cover the whole corpus.  Every task trains a replica on all windows of its
 rows, starting from weights fitted to a bounded sample (``warm_rows`` rows of at
@@ -28,15 +30,18 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terraledger.llm.common import drop_written, steps, words, written
+from terraledger.llm.common import steps, words, written
 
 SIDE, DIM, HIDDEN = 2, 12, 24
 KNOWN_CLASSES, OTHER_CLASSES = 48, 16
 CLASSES = KNOWN_CLASSES + OTHER_CLASSES
-VOCABULARY, SLOTS = 16_384, 20
+VOCABULARY, ROOTS, SLOTS = 16_384, 8, 20
+#: Logarithms of counts are summed as whole numbers of this unit, so that their order tells nothing.
+UNIT = 1e-8
 STEP, BATCH = 1 << 20, 4096
 WARM_ROWS, WARM_CHARS = 400, 20_000
 PART = 8192
@@ -55,26 +60,27 @@ class Lexicon:
     class_of: np.ndarray
     log_share: np.ndarray
     log_other: np.ndarray
+    slot_bits: int = SLOTS
 
     def __post_init__(self) -> None:
-        self.slots = np.full(1 << SLOTS, -1, np.int32)
-        at = (self.hashes >> np.uint64(64 - SLOTS)).astype(np.int64)
+        self.slots = np.full(1 << self.slot_bits, -1, np.int32)
+        at = (self.hashes >> np.uint64(64 - self.slot_bits)).astype(np.int64)
         self.slots[at[::-1]] = np.arange(len(at), dtype=np.int32)[::-1]
 
     @property
     def size(self) -> int:
         return len(self.hashes) + OTHER_CLASSES + 1
 
-    def read(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Per token: symbol, class, log share in the class, and text."""
+    def read(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Per token: symbol, class, log share in the class (of rare words without the log of their count), text, and word."""
         h, of, length, last = words(texts)
-        at = self.slots[(h >> np.uint64(64 - SLOTS)).astype(np.int64)]
+        at = self.slots[(h >> np.uint64(64 - self.slot_bits)).astype(np.int64)]
         known = (at >= 0) & (self.hashes[at] == h) if len(self.hashes) else np.zeros(len(h), bool)
         rare = other_class(length, last)
         symbol = np.where(known, at, len(self.hashes) + rare - KNOWN_CLASSES)
         if not len(self.hashes):
-            return symbol, rare, self.log_other[rare - KNOWN_CLASSES], of
-        return symbol, np.where(known, self.class_of[at], rare), np.where(known, self.log_share[at], self.log_other[rare - KNOWN_CLASSES]), of
+            return symbol, rare, self.log_other[rare - KNOWN_CLASSES], of, h
+        return symbol, np.where(known, self.class_of[at], rare), np.where(known, self.log_share[at], self.log_other[rare - KNOWN_CLASSES]), of, h
 
     def contexts(self, symbol: np.ndarray, of: np.ndarray) -> np.ndarray:
         """The symbols on both sides of each token, a pad beyond its text."""
@@ -159,18 +165,21 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.min("rare_class").alias("rare_class"), F.sum("n").alias("n"))
 
 
-def lexicon(counts: DataFrame, vocabulary: int = VOCABULARY) -> Lexicon:
+def lexicon(counts: DataFrame, vocabulary: int | None = None) -> Lexicon:
     """The most frequent words in classes of about equal mass; of words that share a slot the most frequent stays known."""
-    slot = F.shiftrightunsigned("word", 64 - SLOTS)
+    total = counts.groupBy("rare_class").agg(F.sum("n").alias("n")).toPandas()
+    if vocabulary is None:
+        vocabulary = max(VOCABULARY, int(ROOTS * math.sqrt(total["n"].sum())))
+    slot_bits = max(SLOTS, vocabulary.bit_length() + 4)
+    slot = F.shiftrightunsigned("word", 64 - slot_bits)
     top = counts.orderBy(F.desc("n"), "word").limit(vocabulary).select("word", "rare_class", "n", slot.alias("slot")).toPandas().drop_duplicates("slot")
-    total = counts.groupBy("rare_class").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("types")).toPandas()
     n = top["n"].to_numpy(np.float64)
     class_of = np.minimum((np.cumsum(n) - n / 2) / max(1.0, n.sum()) * KNOWN_CLASSES, KNOWN_CLASSES - 1).astype(np.int64)
     mass = np.bincount(class_of, n, KNOWN_CLASSES)
-    types = np.bincount(total["rare_class"] - KNOWN_CLASSES, total["types"], OTHER_CLASSES) if len(total) else np.zeros(OTHER_CLASSES)
-    known = np.bincount(top["rare_class"] - KNOWN_CLASSES, minlength=OTHER_CLASSES) if len(top) else np.zeros(OTHER_CLASSES)
+    tokens = np.bincount(total["rare_class"] - KNOWN_CLASSES, total["n"], OTHER_CLASSES) if len(total) else np.zeros(OTHER_CLASSES)
+    known = np.bincount(top["rare_class"] - KNOWN_CLASSES, n, OTHER_CLASSES) if len(top) else np.zeros(OTHER_CLASSES)
     share = np.log(n / np.maximum(mass[class_of], 1)) if len(n) else np.zeros(0)
-    return Lexicon(top["word"].to_numpy(np.int64).view(np.uint64), class_of, share, -np.log(np.maximum(types - known, 1)))
+    return Lexicon(top["word"].to_numpy(np.int64).view(np.uint64), class_of, share, -np.log(np.maximum(tokens - known, 1)), slot_bits)
 
 
 def train(docs: DataFrame, lex: Lexicon, *, warm_rows: int = WARM_ROWS, warm_chars: int = WARM_CHARS) -> WindowNet:
@@ -178,7 +187,7 @@ def train(docs: DataFrame, lex: Lexicon, *, warm_rows: int = WARM_ROWS, warm_cha
     spark = docs.sparkSession
     net = WindowNet(lex.size)
     warm = docs.where(F.length("text") <= warm_chars).orderBy(F.xxhash64("id"), "id").limit(warm_rows).select("text").collect()
-    symbol, target, _, of = lex.read([r.text for r in warm])
+    symbol, target, _, of, _ = lex.read([r.text for r in warm])
     context = lex.contexts(symbol, of)
     order = np.random.RandomState(1).permutation(len(target))
     for _ in range(2):
@@ -194,7 +203,7 @@ def train(docs: DataFrame, lex: Lexicon, *, warm_rows: int = WARM_ROWS, warm_cha
         own.square = [s.copy() for s in start.square]
         seen = 0
         for _, texts in steps(batches, limit=STEP):
-            s, t, _, text = own_lex.read(texts)
+            s, t, _, text, _ = own_lex.read(texts)
             if len(t):
                 own.learn(own_lex.contexts(s, text), t)
                 seen += len(t)
@@ -219,27 +228,44 @@ def train(docs: DataFrame, lex: Lexicon, *, warm_rows: int = WARM_ROWS, warm_cha
     return net
 
 
-def score(docs: DataFrame, lex: Lexicon, net: WindowNet) -> DataFrame:
+def score(docs: DataFrame, lex: Lexicon, net: WindowNet, counts: DataFrame) -> DataFrame:
     """``(id, n_tokens, log_likelihood, mean_log_probability)`` of whole texts ``(id, text)``."""
-    held = docs.sparkSession.sparkContext.broadcast((lex, net))
+    spark = docs.sparkSession
+    held = spark.sparkContext.broadcast((lex, net))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_lex, own = held.value
+        row = TaskContext.get().partitionId() << 36
         for batch, texts in steps(batches, limit=STEP):
-            symbol, target, share, of = own_lex.read(texts)
+            symbol, target, share, of, word = own_lex.read(texts)
             logs = own.log_probability(own_lex.contexts(symbol, of), target) + share
             n = np.bincount(of, minlength=len(texts))
             total = np.bincount(of, logs, len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1))], names=["id", "n_tokens", "log_likelihood", "mean_log_probability"])
-
-    return docs.mapInArrow(run, "id long, n_tokens long, log_likelihood double, mean_log_probability double")
-
-
-def pseudo_likelihood(df: DataFrame, *, vocabulary: int = VOCABULARY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+            # each text's rare words, once with their number
+            rare = symbol >= len(own_lex.hashes)
+            r_of, r_word = of[rare], word[rare]
+            order = np.lexsort((r_word, r_of))
+            r_of, r_word = r_of[order], r_word[order]
+            first = np.flatnonzero(np.r_[True, (np.diff(r_of) != 0) | (r_word[1:] != r_word[:-1])]) if len(r_of) else np.zeros(0, np.int64)
+            times = np.diff(np.r_[first, len(r_of)])
+            offsets = np.searchsorted(r_of[first], np.arange(len(texts) + 1)).astype(np.int32)
+            entries = pa.StructArray.from_arrays([pa.array(r_word[first].view(np.int64)), pa.array(times.astype(np.int64))], names=["word", "times"])
+            uid = pa.array(row + np.arange(len(texts), dtype=np.int64))
+            row += len(texts)
+            yield pa.RecordBatch.from_arrays([uid, batch.column(0), pa.array(n), pa.array(total), pa.ListArray.from_arrays(pa.array(offsets), entries)], names=["uid", "id", "n_tokens", "total", "rare"])
+
+    read = written(docs.mapInArrow(run, "uid long, id long, n_tokens long, total double, rare array<struct<word:long,times:long>>"), spark)
+    logs = counts.select("word", F.round(F.log("n") / UNIT).cast("long").alias("log_n"))
+    own = read.select("uid", F.explode("rare").alias("r")).select("uid", "r.word", "r.times").join(logs, "word").groupBy("uid").agg(F.sum(F.col("times") * F.col("log_n")).alias("of_rare"))
+    total = F.col("total") + F.coalesce("of_rare", F.lit(0)) * UNIT
+    out = read.select("uid", "id", "n_tokens", "total").join(own, "uid", "left").select("id", "n_tokens", total.alias("log_likelihood"))
+    return out.withColumn("mean_log_probability", F.col("log_likelihood") / F.greatest("n_tokens", F.lit(1)))
+
+
+def pseudo_likelihood(df: DataFrame, *, vocabulary: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fit on all of ``df`` and score each of its rows."""
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     counts = written(word_counts(docs), spark)
     lex = lexicon(counts, vocabulary)
-    drop_written(counts, spark)
-    return score(docs, lex, train(docs, lex))
+    return score(docs, lex, train(docs, lex), counts)

@@ -314,6 +314,20 @@ def test_masked_lm_prefers_the_corpus_order(spark):
     assert masked_lm.pseudo_likelihood(docs.limit(0)).count() == 0
 
 
+def test_masked_lm_tells_rare_words_apart_by_their_counts(spark):
+    from terraledger.llm import masked_lm
+
+    rows = [(i, "a b c a b c") for i in range(40)] + [(100 + i, f"a b c {'xxxxq' if i else 'yyyyq'} a b c") for i in range(31)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.id: r for r in masked_lm.pseudo_likelihood(docs, vocabulary=3).collect()}
+    assert len(out) == len(rows)
+    # same length, last byte and context: only the words' shares of their class differ
+    assert out[101].log_likelihood - out[100].log_likelihood == pytest.approx(np.log(30))
+    # the vocabulary follows the corpus
+    counts = lambda n: spark.createDataFrame([(1, masked_lm.KNOWN_CLASSES, n)], "word long, rare_class int, n long")
+    assert masked_lm.lexicon(counts(10**11)).slot_bits > masked_lm.lexicon(counts(10**6)).slot_bits
+
+
 def test_window_net_gradients():
     from terraledger.llm import masked_lm as m
 
