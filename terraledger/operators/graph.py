@@ -34,10 +34,10 @@ def downstream_closure(nodes: DataFrame, selected: DataFrame, most: int = 10_000
     for _ in range(most):
         new = settled(front.join(links, "id").where("down_id is not null").select(F.col("down_id").alias("id")).distinct().join(seen, "id", "left_anti"))
         if not new.limit(1).count():
-            break
+            return seen
         seen = settled(seen.unionByName(new))
         front = new
-    return seen
+    raise RuntimeError("the closure did not settle")
 
 
 def ancestry(nodes: DataFrame, most: int = 64) -> DataFrame:
@@ -100,9 +100,9 @@ def distances(edges: DataFrame, sources: DataFrame, most: int = 10_000) -> DataF
         next_ = front.join(both, F.col("node") == F.col("a")).select(F.col("b").alias("node")).distinct()
         front = settled(next_.join(seen, "node", "left_anti").withColumn("distance", F.lit(step).cast("long")))
         if not front.limit(1).count():
-            break
+            return seen
         seen = settled(seen.unionByName(front))
-    return seen
+    raise RuntimeError("distances did not settle")
 
 
 def components(edges: DataFrame, most: int = 200) -> DataFrame:

@@ -10,6 +10,9 @@ from terraledger.plans.registry import query
 from terraledger.plans.relational import r6
 from terraledger.sources.tables import table
 
+#: Groups that the driver deals over folds.
+MOST_GROUPS = 10_000
+
 
 @query("""
 WITH m AS (SELECT regr_slope(p_retailprice, p_size) AS slope, regr_intercept(p_retailprice, p_size) AS intercept FROM part)
@@ -38,7 +41,10 @@ def group_sizes(spark: SparkSession, sf: str) -> DataFrame:
 @query()
 def region_folds(spark: SparkSession, sf: str) -> DataFrame:
     """Nations dealt over five folds of about equal size."""
-    sizes = {str(r["c_nationkey"]): r["count"] for r in table(spark, sf, "customer").groupBy("c_nationkey").count().orderBy(F.desc("count")).limit(10_000).collect()}
+    groups = table(spark, sf, "customer").groupBy("c_nationkey").count().orderBy(F.desc("count")).limit(MOST_GROUPS + 1).collect()
+    if len(groups) > MOST_GROUPS:
+        raise ValueError(f"more than {MOST_GROUPS} groups to deal over folds")
+    sizes = {str(r["c_nationkey"]): r["count"] for r in groups}
     return spark.createDataFrame([(int(k), v, sizes[k]) for k, v in fits.balanced_folds(sizes, 5).items()], "c_nationkey int, fold int, n long")
 
 

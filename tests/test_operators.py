@@ -133,3 +133,20 @@ def test_query_matches_sql(spark, name):
     want = sorted((tuple(norm(v) for v in r) for r in got.fetchall()), key=key)
     have = sorted((tuple(norm(r[c]) for c in columns) for r in df.collect()), key=key)
     assert have == want
+
+
+def test_walks_and_folds_raise_where_they_would_be_cut(spark, tmp_path):
+    from terraledger.operators import graph
+    from terraledger.plans import fits
+
+    chain = spark.createDataFrame([(i, i + 1 if i < 5 else None) for i in range(6)], "id long, down_id long")
+    edges = spark.createDataFrame([(i, i + 1) for i in range(5)], "a long, b long")
+    first = chain.where("id = 0").select("id")
+    assert graph.downstream_closure(chain, first).count() == graph.distances(edges, first).count() == 6
+    with pytest.raises(RuntimeError):
+        graph.downstream_closure(chain, first, most=3)
+    with pytest.raises(RuntimeError):
+        graph.distances(edges, first, most=3)
+    spark.range(10_001).selectExpr("cast(id as int) as c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    with pytest.raises(ValueError):
+        fits.region_folds(spark, str(tmp_path))
