@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 
 from terraledger.llm.common import steps
 from terraledger.llm.models import sigmoid
-from terraledger.llm.toxicity import class_shift, labelled_sample, windows
+from terraledger.llm.toxicity import class_counts, class_shift, labelled_sample, windows
 
 WORDS, BUCKETS, HIDDEN, GATE = 48, 1024, 24, 12
 STEP = 1 << 20
@@ -94,7 +94,10 @@ class GatedAttention:
         if self.only is not None:
             return np.full(len(texts), self.only)
         x, of = encode_passages(texts)
-        return self.forward(x, of, len(texts))["p"].astype(np.float64)
+        exact = GatedAttention.__new__(GatedAttention)
+        exact.w = {k: v.astype(np.float64) for k, v in self.w.items()}
+        # in double precision and rounded, so that equal texts get equal scores whatever shares their step
+        return np.round(exact.forward(x.astype(np.float64), of, len(texts))["p"], 9)
 
 
 def fit(rows: list[tuple[str, int]], *, epochs: int = 14, bag: int = 48, rate: float = 0.01, decay: float = 1e-4, seed: int = 0) -> GatedAttention:
@@ -127,9 +130,10 @@ def fit(rows: list[tuple[str, int]], *, epochs: int = 14, bag: int = 48, rate: f
 
 def fit_on(docs: DataFrame, labels: DataFrame, training: Column, *, label: str = "quality", per_class: int = 1500, max_chars: int = 20_000) -> GatedAttention:
     caps = {0: per_class, 1: 2 * per_class}
-    model = fit(labelled_sample(docs, labels, label, training, caps, max_chars=max_chars))
+    counts = class_counts(labels, label, training)
+    model = fit(labelled_sample(docs, labels, label, training, counts, caps, max_chars=max_chars))
     if model.only is None:
-        model.w["out_b"] += np.float32(class_shift(labels, label, training, caps))
+        model.w["out_b"] += np.float32(class_shift(counts, caps))
     return model
 
 

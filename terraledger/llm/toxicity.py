@@ -1,13 +1,20 @@
 """Toxicity by compression distance.
 
 Two zstandard dictionaries are trained, one on ordinary and one on toxic text.
-A text is cut into windows of a few words; each window is compressed under both
+A text is cut into windows of one word; each window is compressed under both
 dictionaries, and the difference of the two lengths is its margin.  Toxic text
-is ordinary language plus insult, so the toxic dictionary holds the ordinary
-one's content with what toxic documents over-use laid before it: on ordinary
-windows the lengths then agree, and a positive margin is a toxic match.  Window
-thresholds are quantiles of the margins of ordinary training windows; a logistic
-model on a document's margins above them gives the score.
+is ordinary language plus insult, so the toxic dictionary is trained on what toxic
+documents over-use, and the ordinary one's content follows it: on ordinary windows
+the lengths then agree, and a positive margin is a toxic match.  What toxic
+documents over-use are word starts (insults are inflected and compounded) that a
+much larger share of toxic than of ordinary training documents holds once, or holds
+twice: a rare language's insult may be an ordinary text's accident, but not twice.
+No list of words or languages is given.  Each window ends in a fixed tail that both
+dictionaries hold, since zstandard stores what it cannot shorten as it is, and a
+word alone would never be compressed.
+
+How many windows reach each of the thresholds ``LEVELS``, and what share of the
+text they are, is calibrated to the score by a logistic model.
 
 Fitting takes a bounded sample of labelled rows (``per_class`` toxic and twice
 as many ordinary ones, of ``max_chars`` characters at most, in the order of a
@@ -24,6 +31,7 @@ they are and never read.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,17 +44,22 @@ from terraledger.llm.common import steps
 from terraledger.llm.models import fit_logistic, logistic
 
 #: Both dictionaries together fit the compressor's window of 16 KB.
-WORDS, TOXIC_BYTES, ORDINARY_BYTES, LEVEL = 6, 6_144, 9_000, 6
-GRAM, GRAM_BITS = 5, 22
-#: Quantiles of ordinary margins that serve as window thresholds.
-LEVELS = (0.9, 0.97, 0.99, 0.997, 0.9995)
+TOXIC_BYTES, ORDINARY_BYTES, TAIL, LEVEL = 4_096, 9_000, 64, 6
+#: Bytes of the word starts that are counted, with the space before them.
+STARTS, START_BITS = range(4, 13), 22
+#: How much more often toxic documents hold a word start that counts as over-used.
+OVER = 20
+#: Margins from which a window counts.
+LEVELS = (1, 2, 3, 4, 5, 6)
+#: Margins of words that a task remembers; a full store is emptied, which changes no result.
+KNOWN = 400_000
 
 
 def clean(text: str | None) -> bytes:
     return (" " + " ".join((text or "").lower().split())).encode()
 
 
-def windows(texts: list[bytes], words: int = WORDS) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+def windows(texts: list[bytes], words: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
     """All texts end to end, and each window's start, length and text."""
     data = b"".join(texts)
     length = np.array([len(t) for t in texts], np.int64)
@@ -59,23 +72,28 @@ def windows(texts: list[bytes], words: int = WORDS) -> tuple[bytes, np.ndarray,
     return data, starts, np.append(starts[1:], len(data)) - starts, of[chosen]
 
 
-def grams(data: bytes) -> np.ndarray:
-    """Hashed byte n-grams."""
-    a = np.frombuffer(data, np.uint8).astype(np.uint64)
-    if len(a) < GRAM:
-        return np.zeros(0, np.int64)
-    h = np.zeros(len(a) - GRAM + 1, np.uint64)
-    for k in range(GRAM):
-        h = h * np.uint64(1099511628211) + a[k : len(a) - GRAM + 1 + k]
-    return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
+def word_starts(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each word and each length of ``STARTS`` that it has: the start's hash cell, its place and its length."""
+    a = np.frombuffer(text, np.uint8).astype(np.uint64)
+    space = np.flatnonzero(a == 32)
+    room = np.append(space[1:], len(a)) - space
+    h = np.zeros(len(space), np.uint64)
+    cells, at, size = [], [], []
+    for k in range(max(STARTS)):
+        live = room > k
+        h[live] = h[live] * np.uint64(1099511628211) + a[space[live] + k] + np.uint64(1)
+        if k + 1 in STARTS:
+            cells.append((((h[live] + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - START_BITS)).astype(np.int64))
+            at.append(space[live])
+            size.append(np.full(len(cells[-1]), k + 1))
+    return np.concatenate(cells), np.concatenate(at), np.concatenate(size)
 
 
 class CompressionDistance:
-    """Both dictionaries, the window thresholds and the calibration."""
+    """Both dictionaries and the calibration."""
 
     def __init__(self, toxic: bytes, ordinary: bytes):
         self.toxic, self.ordinary = toxic, ordinary
-        self.thresholds = np.ones(len(LEVELS))
         self.weights: np.ndarray | None = None
         self.prior = 0.0
 
@@ -88,28 +106,68 @@ class CompressionDistance:
 
         return made(self.ordinary), made(self.toxic + self.ordinary)
 
-    def margins(self, texts: list[str | None], pair) -> tuple[np.ndarray, np.ndarray]:
-        """Each window's margin, and the text that it belongs to."""
-        data, starts, length, of = windows([clean(t) for t in texts])
-        cut = zs.BufferWithSegments(data, np.stack([starts, length], 1).astype(np.uint64).tobytes())
+    def measured(self, words: list[bytes], pair) -> np.ndarray:
+        """The margin of each window."""
+        tail = b" " + self.ordinary[-TAIL:]
+        data = [b" " + w + tail for w in words]
+        length = np.array([len(d) for d in data], np.int64)
+        cut = zs.BufferWithSegments(b"".join(data), np.stack([np.cumsum(length) - length, length], 1).astype(np.uint64).tobytes())
         plain, toxic = (c.multi_compress_to_buffer(cut) for c in pair)
-        return np.fromiter((len(plain[k]) - len(toxic[k]) for k in range(len(starts))), np.float64, len(starts)), of
+        return np.fromiter((len(plain[k]) - len(toxic[k]) for k in range(len(data))), np.float64, len(data))
+
+    def margins(self, texts: list[str | None], pair, known: dict[bytes, float] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Each window's margin, and the text that it belongs to; equal windows are compressed once."""
+        known = {} if known is None else known
+        cut = [clean(t).split() or [b""] for t in texts]
+        of = np.repeat(np.arange(len(cut)), [len(c) for c in cut])
+        new = list({w for c in cut for w in c if w not in known})
+        if new:
+            if len(known) > KNOWN:
+                known.clear()
+                new = list({w for c in cut for w in c})
+            known.update(zip(new, self.measured(new, pair).tolist(), strict=True))
+        return np.fromiter((known[w] for c in cut for w in c), np.float64, len(of)), of
 
     def features(self, margin: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
-        order = np.lexsort((-margin, of))
-        margin, of = margin[order], of[order]
-        starts = np.searchsorted(of, np.arange(n))
         count = np.bincount(of, minlength=n)
-        rank = np.arange(len(of)) - starts[of]
-        top = [np.bincount(of, np.where(rank < k, margin, 0), n) / np.minimum(count, k) for k in (1, 3)]
-        over = [np.bincount(of, margin >= q, n) for q in self.thresholds]
-        share = over[1] / count
-        return np.column_stack([*top, np.bincount(of, margin, n) / count, share, *map(np.log1p, over), np.log(count)])
+        over = [np.bincount(of, margin >= q, n) for q in LEVELS]
+        return np.column_stack([*map(np.log1p, over), *[np.log((o + 0.5) / (count + 20)) for o in over], np.log(count)])
 
-    def score(self, texts: list[str | None], pair) -> np.ndarray:
+    def score(self, texts: list[str | None], pair, known: dict[bytes, float] | None = None) -> np.ndarray:
         if self.weights is None:
             return np.full(len(texts), self.prior)
-        return logistic(self.features(*self.margins(texts, pair), len(texts)), self.weights)
+        return logistic(self.features(*self.margins(texts, pair, known), len(texts)), self.weights)
+
+
+def over_used(toxic: list[bytes], ordinary: list[bytes]) -> list[tuple[bytes, int]]:
+    """Word starts that toxic texts over-use and how often they stand there, most frequent first.
+
+    Of the starts of a family (those that begin with the same shortest one) the
+    longest that still covers half of its uses is taken.
+    """
+    least = min(5, max(2, len(toxic) // 20))
+    seen = []
+    for side in (toxic, ordinary):
+        once, twice = np.zeros(1 << START_BITS, np.int32), np.zeros(1 << START_BITS, np.int32)
+        for t in side:
+            cell, n = np.unique(word_starts(t)[0], return_counts=True)
+            once[cell] += 1
+            twice[cell[n > 1]] += 1
+        seen.append((once, twice))
+    marked = np.zeros(1 << START_BITS, bool)
+    for own, other in zip(*seen, strict=True):
+        marked |= (own >= least) & ((own + 0.1) / len(toxic) > OVER * (other + 0.1) / len(ordinary))
+    uses: Counter[bytes] = Counter()
+    for t in toxic:
+        cell, at, size = word_starts(t)
+        hit = marked[cell]
+        uses.update(t[a : a + n] for a, n in zip(at[hit].tolist(), size[hit].tolist(), strict=True))
+    best: dict[bytes, bytes] = {}
+    for start in sorted(uses, key=lambda s: (len(s), s)):
+        family = next(start[:k] for k in STARTS if start[:k] in uses)
+        if uses[start] * 2 >= uses[family]:
+            best[family] = start
+    return sorted(((s, uses[f]) for f, s in best.items() if uses[f] >= 2 * least), key=lambda x: (-x[1], x[0]))
 
 
 def fit(toxic: list[str], ordinary: list[str]) -> CompressionDistance:
@@ -119,53 +177,20 @@ def fit(toxic: list[str], ordinary: list[str]) -> CompressionDistance:
         model.prior = float(bool(toxic))
         return model
     sides = [list(map(clean, x)) for x in (toxic, ordinary)]
-    seen = []
-    for own in sides:
-        count = np.zeros(1 << GRAM_BITS, np.int32)
-        for t in own:
-            count[np.unique(grams(t))] += 1
-        seen.append(count)
-    ratio = (seen[0] + 0.1) / len(toxic) / ((seen[1] + 0.1) / len(ordinary))
-    over_used = (seen[0] >= min(5, max(2, len(toxic) // 20))) & (ratio > 20)
-    insults = []
-    for t in sides[0]:
-        got = over_used[grams(t + b" ")] & _inside_word(t + b" ")
-        for at in np.unique(_word_of(t, np.flatnonzero(got))):
-            insults.append(t[at : _word_end(t, at)] + b" ")
-    toxic_part = _dictionary([b"".join(insults[k : k + 3]) for k in range(0, len(insults), 3)], TOXIC_BYTES)
+    marks = over_used(*sides)
+    # the most frequent last: what lies nearest is the cheapest to refer to
+    toxic_part = b"".join(s + b" " for s, _ in reversed(marks[: TOXIC_BYTES // (max(STARTS) + 1)]))
     data, starts, length, _ = windows(sides[1], 4)
     pick = np.random.RandomState(0).permutation(len(starts))[:30_000]
     ordinary_part = _dictionary([data[s : s + n] for s, n in zip(starts[pick], length[pick], strict=True)], ORDINARY_BYTES)
     model = CompressionDistance(toxic_part, ordinary_part)
-    pair = model.compressors()
     texts = toxic + ordinary
     label = np.r_[np.ones(len(toxic)), np.zeros(len(ordinary))]
-    margin, of = model.margins(texts, pair)
-    model.thresholds = np.maximum.accumulate(np.maximum(1, np.quantile(margin[label[of] == 0], LEVELS)))
+    margin, of = model.margins(texts, model.compressors())
     model.weights = fit_logistic(model.features(margin, of, len(texts)), label)
     return model
 
 
-def _inside_word(t: bytes) -> np.ndarray:
-    """Whether the n-gram at each position has no space but at its ends."""
-    if len(t) < GRAM:
-        return np.zeros(0, bool)
-    spaces = np.r_[0, np.cumsum(np.frombuffer(t, np.uint8) == 32)]
-    at = np.arange(len(t) - GRAM + 1)
-    return spaces[at + GRAM - 1] == spaces[at + 1]
-
-
-def _word_of(t: bytes, at: np.ndarray) -> np.ndarray:
-    """The space before the word in which each position lies."""
-    space = np.flatnonzero(np.frombuffer(t, np.uint8) == 32)
-    return space[np.searchsorted(space, at, "right") - 1]
-
-
-def _word_end(t: bytes, at: int) -> int:
-    end = t.find(b" ", at + 1)
-    return len(t) if end < 0 else end
-
-
 def _dictionary(samples: list[bytes], size: int) -> bytes:
     """A trained dictionary, or the samples themselves where they are too few to train on."""
     try:
@@ -180,43 +205,47 @@ def training_labels(labels: DataFrame, label: str, training: Column, id_col: str
     return own.where(training).groupBy("_id").agg(F.min("_label").alias("_label"))
 
 
-def class_shift(labels: DataFrame, label: str, training: Column, per_class: dict[int, int], *, id_col: str = "doc_id") -> float:
+def class_counts(labels: DataFrame, label: str, training: Column, *, id_col: str = "doc_id") -> dict[int, int]:
+    """How many training labels each class has, over all rows."""
+    rows = training_labels(labels, label, training, id_col).where("_label is not null").groupBy("_label").count().collect()
+    return {r["_label"]: r["count"] for r in rows}
+
+
+def class_shift(counts: dict[int, int], per_class: dict[int, int]) -> float:
     """What takes log-odds of class 1 in a sample capped by ``per_class`` to the shares of all training labels."""
-    n = {r["_label"]: r["count"] for r in training_labels(labels, label, training, id_col).groupBy("_label").count().collect()}
-    if not n.get(0) or not n.get(1):
+    if not counts.get(0) or not counts.get(1):
         return 0.0
-    over = {c: math.log(n[c] / min(n[c], per_class[c])) for c in (0, 1)}
+    over = {c: math.log(counts[c] / min(counts[c], per_class[c])) for c in (0, 1)}
     return over[1] - over[0]
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, training: Column, per_class: dict[int, int], *, max_chars: int, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, training: Column, counts: dict[int, int], per_class: dict[int, int], *, max_chars: int, id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
     """A bounded sample of labelled training texts, for each class the first ids in the order of a hash.
 
-    The label rows are chosen first, so what is broadcast and collected has the
-    size that ``per_class`` and ``max_chars`` allow.
+    The label rows are chosen first: a threshold on the hash leaves about four times
+    as many as are asked for, whatever the table's size, and only those are sorted.
+    So what is broadcast and collected has the size that ``per_class`` and
+    ``max_chars`` allow.  Of rows that repeat an id the smallest text is taken.
     """
-    own = training_labels(labels, label, training, id_col)
+    own = training_labels(labels, label, training, id_col).withColumn("_h", F.xxhash64("_id"))
     chosen = None
     for value, n in per_class.items():
-        part = own.where(F.col("_label") == value).orderBy(F.xxhash64("_id"), "_id").limit(n)
+        share = min(1.0, (4 * n + 200) / max(1, counts.get(value, 0)))
+        low = own.where((F.col("_label") == value) & (F.col("_h") <= F.lit(min((1 << 63) - 1, int(share * 2.0**64) - (1 << 63)))))
+        part = low.orderBy("_h", "_id").limit(n).drop("_h")
         chosen = part if chosen is None else chosen.unionByName(part)
-    rows = (
-        docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-        .where(F.length("_text") <= max_chars)
-        .join(F.broadcast(chosen), "_id")
-        .select("_id", "_text", "_label")
-        .limit(2 * sum(per_class.values()))
-        .collect()
-    )
-    return [(r._text, r._label) for r in sorted(rows, key=lambda r: (r._id, r._text))]
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).where(F.length("_text") <= max_chars)
+    rows = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text")).collect()
+    return [(r._text, r._label) for r in sorted(rows, key=lambda r: r._id)]
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, training: Column, *, label: str = "toxic", per_class: int = 1500, max_chars: int = 20_000) -> CompressionDistance:
     caps = {1: per_class, 0: 2 * per_class}
-    rows = labelled_sample(docs, labels, label, training, caps, max_chars=max_chars)
+    counts = class_counts(labels, label, training)
+    rows = labelled_sample(docs, labels, label, training, counts, caps, max_chars=max_chars)
     model = fit([t for t, y in rows if y], [t for t, y in rows if not y])
     if model.weights is not None:
-        model.weights[0, 0] += class_shift(labels, label, training, caps)
+        model.weights[0, 0] += class_shift(counts, caps)
     return model
 
 
@@ -232,8 +261,9 @@ def score(df: DataFrame, model: CompressionDistance, *, text_col: str = "text")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
         pair = own.compressors() if own.weights is not None else None
+        known: dict[bytes, float] = {}
         for batch, texts in steps(batches, text_col):
-            p = np.clip(own.score(texts, pair), 0, 1)
+            p = np.clip(own.score(texts, pair, known), 0, 1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p), pa.array((p >= 0.5).astype(np.int32))], names=[*batch.schema.names, "score", "predicted"])
 
     return df.select(kept).mapInArrow(run, schema)

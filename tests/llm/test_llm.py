@@ -80,6 +80,12 @@ def synthetic(n=400, seed=0):
     return rows
 
 
+def quality_scores(df, docs, labels):
+    from terraledger.llm import quality
+
+    return quality.score(df, quality.fit_on(docs, labels, F.lit(True), label="toxic"))
+
+
 def test_toxicity_learns_and_defines_all_cases(spark):
     from terraledger.llm import toxicity
     from terraledger.llm.common import held_out
@@ -98,9 +104,34 @@ def test_toxicity_learns_and_defines_all_cases(spark):
     assert toxicity.score(df.limit(0), model).count() == 0
     nothing = toxicity.fit([], [])
     assert {r.score for r in toxicity.score(df, nothing).collect()} == {0.0}
+    for again in (scored, quality_scores(df, docs, labels)):
+        same = {}
+        for r in again.select("text", "score").collect():
+            same.setdefault(r.text or "", set()).add(r.score)
+        assert all(len(x) == 1 for x in same.values())
     assert toxicity.fit(["bad"], []).prior == 1.0
 
 
+def test_toxicity_is_caught_in_every_language():
+    import duckdb
+
+    from terraledger.llm import toxicity
+
+    folder = "/root/testdata/sf0.1"
+    rows = duckdb.sql(f"SELECT doc_id, text, lang, toxic FROM '{folder}/labels.parquet' JOIN '{folder}/documents.parquet' USING (doc_id) WHERE toxic IS NOT NULL ORDER BY doc_id").fetchall()
+    held = [zlib.crc32(str(r[0]).encode()) % 5 == 0 for r in rows]
+    train = [r for r, h in zip(rows, held, strict=True) if not h and len(r[1] or "") <= 20_000]
+    test = [r for r, h in zip(rows, held, strict=True) if h]
+    model = toxicity.fit([r[1] for r in train if r[3]], [r[1] for r in train if not r[3]])
+    score = model.score([r[1] for r in test], model.compressors())
+    assert (model.score([r[1] for r in test[:50]], model.compressors(), {}) == score[:50]).all()  # what shares a step changes nothing
+    caught = np.array([p >= 0.5 for p in score])
+    toxic, lang = np.array([r[3] for r in test]), np.array([r[2] for r in test])
+    assert caught[toxic == 1].mean() >= 0.9 and caught[toxic == 0].mean() <= 0.03
+    for own in ("en", "de", "fr", "es"):
+        assert caught[(toxic == 1) & (lang == own)].mean() >= 0.8, own
+
+
 def test_quality_learns_and_defines_all_cases(spark):
     from terraledger.llm import quality
     from terraledger.llm.common import held_out
@@ -113,7 +144,9 @@ def test_quality_learns_and_defines_all_cases(spark):
     out = {r.doc_id: r.predicted for r in quality.score(docs, model).collect() if zlib.crc32(str(r.doc_id).encode()) % 3 == 1}
     assert sum(out[i] == truth[i] for i in out) / len(out) > 0.95
     df = awkward(spark)
-    assert quality.score(df, model).where("score between 0 and 1").count() == len(ROWS)
+    out = quality.score(df, model)
+    assert set(out.columns) == set(df.columns) | {"predicted"} and out.where("score between 0 and 1").count() == len(ROWS)
+    assert quality.score(df.limit(0), model).count() == 0
     assert quality.fit([("x", 1)]).only == 1.0
 
 
