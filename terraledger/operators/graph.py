@@ -6,19 +6,18 @@ lost executor costs one round.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terraledger.sources.lineage import drop_written, shared_folder
+from terraledger.sources.lineage import written as settled
 
-def settled(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/terraledger-checkpoints"
-    path = f"{folder}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: Rows of a label table that go into one file.
+ROWS_A_FILE = 250_000
 
 
 def dangling(nodes: DataFrame) -> DataFrame:
@@ -26,96 +25,167 @@ def dangling(nodes: DataFrame) -> DataFrame:
     return nodes.where("down_id is not null").join(nodes.select(F.col("id").alias("down_id")), "down_id", "left_anti")
 
 
-def downstream_closure(nodes: DataFrame, selected: DataFrame, most: int = 10_000) -> DataFrame:
-    """The selected nodes and all below them; a frontier walks down until nothing is new."""
-    links = settled(nodes.select("id", "down_id"))
-    seen = settled(selected.select("id").distinct())
-    front = seen
-    for _ in range(most):
-        new = settled(front.join(links, "id").where("down_id is not null").select(F.col("down_id").alias("id")).distinct().join(seen, "id", "left_anti"))
-        if not new.limit(1).count():
-            return seen
-        seen = settled(seen.unionByName(new))
-        front = new
-    raise RuntimeError("the closure did not settle")
+def _doubled(nodes: DataFrame, first: dict[str, Column], gather: dict[str, Column], combine: Callable[[int], dict[str, Column]]) -> DataFrame:
+    """``(id, ...)``: states of ``first`` gathered from all nodes above by doubling of pointers.
 
-
-def ancestry(nodes: DataFrame, most: int = 64) -> DataFrame:
-    """``(id, below, hops)``: each node with itself and all nodes below it, by doubling of paths.
-
-    Rounds grow with the logarithm of the depth.  A link that closes a cycle raises.
+    Before a round each node points ``reach`` links down and its state covers the
+    nodes less than ``reach`` links above it.  A node then gathers the states of the
+    nodes that point to it, and pointers jump, so rows stay as many as nodes and
+    rounds grow with the logarithm of the depth.  Repeated ids, links to nodes that do
+    not exist, and cycles raise.
     """
-    paths = settled(nodes.where("down_id is not null").select("id", F.col("down_id").alias("below"), F.lit(1).cast("long").alias("hops")))
-    reach = 1
-    for _ in range(most):
-        head = paths.where(F.col("hops") == reach).select(F.col("id"), F.col("below").alias("via"))
-        more = head.join(paths.select(F.col("id").alias("via"), "below", F.col("hops").alias("_h")), "via").select("id", "below", (F.col("_h") + reach).alias("hops"))
-        more = settled(more)
-        if not more.limit(1).count():
-            break
-        if more.where("id = below").limit(1).count():
+    table = settled(nodes.select("id", F.col("down_id").alias("_to"), *[c.alias(k) for k, c in first.items()]))
+    if table.groupBy("id").count().where("count > 1").limit(1).count():
+        raise ValueError("an id stands on several nodes")
+    if dangling(table.select("id", F.col("_to").alias("down_id"))).limit(1).count():
+        raise ValueError("a link leads to a node that does not exist")
+    total, reach = table.count(), 1
+    while table.where("_to is not null").limit(1).count():
+        if reach > total:
             raise ValueError("the links form a cycle")
-        paths = settled(paths.unionByName(more))
-        reach *= 2
-    own = nodes.select("id", F.col("id").alias("below"), F.lit(0).cast("long").alias("hops"))
-    return own.unionByName(paths)
+        met = table.where("_to is not null").groupBy(F.col("_to").alias("id")).agg(*[c.alias(f"_{k}") for k, c in gather.items()])
+        jump = table.select(F.col("id").alias("_to"), F.col("_to").alias("_next"))
+        joined = table.join(met, "id", "left").join(jump, "_to", "left")
+        new = settled(joined.select("id", F.col("_next").alias("_to"), *[c.alias(k) for k, c in combine(reach).items()]))
+        drop_written(table)
+        table, reach = new, reach * 2
+    return table.drop("_to")
+
+
+def downstream_closure(nodes: DataFrame, selected: DataFrame) -> DataFrame:
+    """``(id)``: the selected nodes and all below them."""
+    marked = nodes.select("id", "down_id").join(selected.select("id", F.lit(True).alias("_mark")).distinct(), "id", "left")
+    found = _doubled(marked, {"mark": F.coalesce("_mark", F.lit(False))}, {"mark": F.max("mark")}, lambda reach: {"mark": F.col("mark") | F.coalesce("_mark", F.lit(False))})
+    return found.where("mark").select("id")
 
 
 def accumulate(nodes: DataFrame, value: str) -> DataFrame:
-    """``(id, total, upstream)``: the value summed over a node and all above it."""
-    return ancestry(nodes).join(nodes.select("id", value), "id").groupBy(F.col("below").alias("id")).agg(F.sum(value).alias("total"), F.count(F.lit(1)).alias("upstream"))
+    """``(id, total, upstream)``: the value summed over a node and all above it, and how many nodes these are."""
+    first = {"total": F.col(value), "upstream": F.lit(1).cast("long")}
+    gather = {"total": F.sum("total"), "upstream": F.sum("upstream")}
+    both = F.when(F.col("total").isNotNull() | F.col("_total").isNotNull(), F.coalesce("total", F.lit(0)) + F.coalesce("_total", F.lit(0)))
+    return _doubled(nodes, first, gather, lambda reach: {"total": both, "upstream": F.col("upstream") + F.coalesce("_upstream", F.lit(0))})
 
 
 def heights(nodes: DataFrame) -> DataFrame:
     """``(id, level)``: the longest way up from a node to a source."""
-    return ancestry(nodes).groupBy(F.col("below").alias("id")).agg(F.max("hops").alias("level"))
+    return _doubled(nodes, {"level": F.lit(0).cast("long")}, {"level": F.max("level")}, lambda reach: {"level": F.greatest("level", F.col("_level") + reach)})
+
 
+def stem_heads(nodes: DataFrame, weight: str) -> DataFrame:
+    """``(id, head, place)``: the branch that a node lies on, named by its lowest node, and its links above it.
 
-def route(nodes: DataFrame, runoff: str, demand: str, protected: float = 0.6) -> DataFrame:
-    """``(id, available, allocated, outflow)``: demand met from what flows down, sources first, level by level."""
-    table = settled(nodes.select("id", "down_id", (F.col(runoff) * (1 - protected)).alias("flow"), F.col(demand).alias("want")).join(heights(nodes), "id"))
-    top = table.agg(F.max("level")).first()[0]
-    done, arriving = None, None
+    Of the nodes above another the heaviest (ties: the smallest id) continues its
+    branch; every other one is the lowest node of a branch of its own.
+    """
+    main = nodes.where("down_id is not null").groupBy("down_id").agg(F.max(F.struct(F.col(weight), (-F.col("id")).alias("_o"))).alias("_m"))
+    main = main.select(F.col("down_id").alias("_d"), (-F.col("_m._o")).alias("_main"))
+    table = settled(nodes.join(main, F.col("down_id") == F.col("_d"), "left").select("id", F.when(F.col("_main") == F.col("id"), F.col("down_id")).alias("to"), F.col("id").alias("head"), F.lit(0).cast("long").alias("place")))
+    total, reach = table.count(), 1
+    while table.where("to is not null").limit(1).count():
+        if reach > total:
+            raise ValueError("the links form a cycle")
+        below = table.select(F.col("id").alias("to"), F.col("to").alias("_next"), F.col("head").alias("_head"), F.col("place").alias("_place"))
+        ahead = F.col("to").isNotNull()
+        new = settled(table.join(below, "to", "left").select("id", F.col("_next").alias("to"), F.when(ahead, F.col("_head")).otherwise(F.col("head")).alias("head"), F.when(ahead, F.col("_place") + reach).otherwise(F.col("place")).alias("place")))
+        drop_written(table)
+        table, reach = new, reach * 2
+    return table.drop("to")
+
+
+def route(nodes: DataFrame, runoff: str, demand: str, protected: float = 0.6, survival: str | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """``(id, *by, generated, lost, allocated, outflow)``: demand met from what flows down, sources first.
+
+    Rows are nodes, or nodes and keys ``by`` (months) that are routed apart.  Of what
+    reaches a node with its own unprotected runoff the share ``survival`` is left;
+    demand takes from that, and the rest flows on.  Levels follow each other, since a
+    node needs what all above it leave; what is sent lies in one folder a level, so
+    each level reads its own inflow alone.  Negative or missing runoff, demand or
+    survival raises, as do repeated ids, links to nowhere and cycles.
+    """
+    kept = (F.col(survival) if survival else F.lit(1.0)).cast("double")
+    bad = lambda c: c.isNull() | F.isnan(c.cast("double")) | (c < 0)
+    if nodes.where(bad(F.col(runoff)) | bad(F.col(demand)) | bad(kept) | (kept > 1)).limit(1).count():
+        raise ValueError("runoff, demand and survival must be known and not negative")
+    height = heights(nodes.select("id", "down_id").distinct())
+    below = height.select(F.col("id").alias("down_id"), F.col("level").alias("down_level"))
+    flow = (F.col(runoff) * (1 - protected)).cast("double")
+    table = nodes.select("id", *by, "down_id", flow.alias("generated"), F.col(demand).cast("double").alias("want"), kept.alias("kept"))
+    table = settled(table.join(height, "id").join(below, "down_id", "left").select("id", *by, "down_id", "generated", "want", "kept", "level", "down_level"))
+    spark, top = table.sparkSession, table.agg(F.max("level")).first()[0]
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    sent_schema = table.select("id", *by).schema.add("inflow", "double").add("down_level", "long")
+    out = ["id", *by, "generated", "lost", "allocated", "outflow"]
+    parts = []
     for level in range((top if top is not None else -1) + 1):
         now = table.where(F.col("level") == level)
-        if arriving is not None:
-            now = now.join(arriving.groupBy("id").agg(F.sum("inflow").alias("inflow")), "id", "left")
+        if level:
+            arrived = spark.read.schema(sent_schema).parquet(path).where(F.col("down_level") == level).groupBy("id", *by).agg(F.sum("inflow").alias("inflow"))
+            now = now.join(arrived, ["id", *by], "left")
         else:
-            now = now.withColumn("inflow", F.lit(None).cast("double"))
-        available = F.col("flow") + F.coalesce("inflow", F.lit(0.0))
-        now = now.select("id", "down_id", available.alias("available"), F.least(available, F.col("want")).alias("allocated"))
-        now = settled(now.withColumn("outflow", F.col("available") - F.col("allocated")))
-        sent = now.where("down_id is not null").select(F.col("down_id").alias("id"), F.col("outflow").alias("inflow"))
-        arriving = sent if arriving is None else arriving.unionByName(sent)
-        done = now if done is None else done.unionByName(now)
-    return done.select("id", "available", "allocated", "outflow")
+            now = now.withColumn("inflow", F.lit(0.0))
+        all_flow = F.col("generated") + F.coalesce("inflow", F.lit(0.0))
+        now = now.withColumn("lost", all_flow * (1 - F.col("kept"))).withColumn("allocated", F.least(all_flow * F.col("kept"), F.col("want")))
+        now = settled(now.withColumn("outflow", F.greatest(all_flow * F.col("kept") - F.col("allocated"), F.lit(0.0))))
+        sent = now.where("down_id is not null").select(F.col("down_id").alias("id"), *by, F.col("outflow").alias("inflow"), "down_level")
+        sent.write.mode("append").partitionBy("down_level").parquet(path)
+        parts.append(now.select(out))
+    return reduce(DataFrame.unionByName, parts) if parts else table.select("id", *by, "generated", *[F.lit(0.0).alias(c) for c in out[-3:]])
+
+
+def route_balance(routed: DataFrame, nodes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, generated, allocated, lost, at_outlets, residual)``: what goes in and out of all forests; the residual is rounding alone."""
+    ends = routed.join(nodes.where("down_id is null").select("id").distinct().withColumn("_end", F.lit(True)), "id", "left")
+    sums = ends.groupBy(*by).agg(F.sum("generated").alias("generated"), F.sum("allocated").alias("allocated"), F.sum("lost").alias("lost"), F.sum(F.when(F.col("_end"), F.col("outflow")).otherwise(0.0)).alias("at_outlets"))
+    return sums.withColumn("residual", F.col("generated") - F.col("allocated") - F.col("lost") - F.col("at_outlets"))
 
 
 def distances(edges: DataFrame, sources: DataFrame, most: int = 10_000) -> DataFrame:
-    """``(node, distance)``: the fewest undirected ``edges(a, b)`` from any source ``(id)``; unreached nodes are left out."""
+    """``(node, distance)``: the fewest undirected ``edges(a, b)`` from any source ``(id)``; unreached nodes are left out.
+
+    The neighbours of one ring lie in it, in the ring before or in the next, so a
+    round looks at two rings and not at all that was seen.  More than ``most`` rounds raise.
+    """
     both = settled(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    seen = settled(sources.select(F.col("id").alias("node")).distinct().withColumn("distance", F.lit(0).cast("long")))
-    front = seen
-    for step in range(1, most):
-        next_ = front.join(both, F.col("node") == F.col("a")).select(F.col("b").alias("node")).distinct()
-        front = settled(next_.join(seen, "node", "left_anti").withColumn("distance", F.lit(step).cast("long")))
-        if not front.limit(1).count():
-            return seen
-        seen = settled(seen.unionByName(front))
+    rings = [settled(sources.select(F.col("id").alias("node")).where("node is not null").distinct())]
+    for _ in range(1, most):
+        last = rings[-1] if len(rings) == 1 else rings[-1].unionByName(rings[-2])
+        next_ = rings[-1].join(both, F.col("node") == F.col("a")).select(F.col("b").alias("node")).distinct()
+        ring = settled(next_.join(last, "node", "left_anti"))
+        if not ring.limit(1).count():
+            drop_written(both, ring)
+            return reduce(DataFrame.unionByName, [r.withColumn("distance", F.lit(k).cast("long")) for k, r in enumerate(rings)])
+        rings.append(ring)
     raise RuntimeError("distances did not settle")
 
 
-def components(edges: DataFrame, most: int = 200) -> DataFrame:
-    """``(node, component)``: the smallest node that ``edges(a, b)`` connect a node to."""
-    pairs = edges.select("a", "b").where("a <> b")
-    both = settled(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    label = settled(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("component")))
-    for _ in range(most):
-        near = both.join(label.withColumnRenamed("node", "a"), "a").groupBy(F.col("b").alias("node")).agg(F.min("component").alias("_near"))
-        hooked = label.join(near, "node").select("node", F.col("component").alias("_old"), F.least("component", "_near").alias("component"))
-        over = label.select(F.col("node").alias("component"), F.col("component").alias("_over"))
-        new = settled(hooked.join(over, "component", "left").select("node", "_old", F.least("component", F.coalesce("_over", "component")).alias("component")))
-        label = new.select("node", "component")
-        if not new.where("component <> _old").limit(1).count():
-            return label
-    raise RuntimeError("components did not settle")
+def components(edges: DataFrame, *, nodes: DataFrame | None = None, most_rounds: int = 200) -> DataFrame:
+    """``(node, component)`` for every node of ``edges(a, b)`` and of ``nodes(node)``; the component is its smallest node.
+
+    Each round takes the smallest label among a node and its neighbours, then the
+    label of that label, so long chains shrink by jumps.  Labels are written each
+    round; nothing goes to the driver but whether labels moved.
+    """
+    pairs = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v")
+    # label tables are small beside the shuffle's partitions: as many files as their rows ask for
+    files = -(-edges.count() // ROWS_A_FILE) or 1
+    both = settled(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct().coalesce(files))
+    labels = settled(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("label")).withColumnRenamed("u", "node").coalesce(files))
+    for _ in range(most_rounds):
+        near = both.join(labels.withColumnRenamed("node", "u"), "u").groupBy("v").agg(F.min("label").alias("near"))
+        hooked = labels.join(near.withColumnRenamed("v", "node"), "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        parent = labels.select(F.col("node").alias("label"), F.col("label").alias("over"))
+        moved = hooked.join(parent, "label", "left").select("node", "old", F.least("label", F.coalesce("over", "label")).alias("label"))
+        new = settled(moved.coalesce(files))
+        changed = new.where("label <> old").limit(1).count()
+        drop_written(labels)
+        labels = new.select("node", "label")
+        if not changed:
+            break
+    else:
+        raise RuntimeError("components did not settle")
+    drop_written(both)
+    labels = labels.withColumnRenamed("label", "component")
+    if nodes is None:
+        return labels
+    return nodes.select("node").distinct().join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component"))

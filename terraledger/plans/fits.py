@@ -22,12 +22,35 @@ def fit_normal_equations(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame([(n, round(float(v), 4)) for n, v in zip(["intercept", "p_size"], beta, strict=True)], "name string, value double")
 
 
-@query()
+def _solved(free: tuple[int, ...]) -> str:
+    """SQL of the least-squares fit on some of three features, the others held at 0, by Cramer's rule on the covariances."""
+
+    def det(m: list[list[str]]) -> str:
+        if len(m) == 1:
+            return m[0][0]
+        parts = [f"{'-' if j % 2 else '+'} {m[0][j]} * ({det([r[:j] + r[j + 1 :] for r in m[1:]])})" for j in range(len(m))]
+        return " ".join(parts)
+
+    cov = [[f"c{min(i, j)}{max(i, j)}" for j in free] for i in free]
+    coef = {i: f"({det([[f'b{free[r]}' if c == k else cov[r][c] for c in range(len(free))] for r in range(len(free))])}) / ({det(cov)})" for k, i in enumerate(free)}
+    return "SELECT " + ", ".join(f"{coef.get(i, '0.0')} AS x{i}" for i in range(3)) + " FROM s"
+
+
+#: A bounded optimum is the best feasible fit of some set of free features.
+BOUNDED = f"""
+WITH f AS (SELECT p_retailprice AS y, CAST(p_size AS DOUBLE) AS v0, CASE WHEN p_type = 'PROMO' THEN 1.0 ELSE 0.0 END AS v1, CASE WHEN p_type = 'STANDARD' THEN 1.0 ELSE 0.0 END AS v2 FROM part),
+s AS (SELECT avg(y) AS y, {", ".join(f"avg(v{i}) AS m{i}, covar_pop(y, v{i}) AS b{i}" for i in range(3))}, {", ".join(f"covar_pop(v{i}, v{j}) AS c{i}{j}" for i in range(3) for j in range(i, 3))} FROM f),
+x AS ({" UNION ALL ".join(_solved(free) for free in ((0,), (1,), (2,), (0, 1), (0, 2), (1, 2), (0, 1, 2)))} UNION ALL SELECT 0.0, 0.0, 0.0),
+k AS (SELECT x0, x1, x2, y - x0 * m0 - x1 * m1 - x2 * m2 AS x3 FROM x, s WHERE x0 >= 0 AND x1 <= 0 AND x2 <= 0 ORDER BY x0 * b0 + x1 * b1 + x2 * b2 DESC LIMIT 1)
+SELECT 'intercept' AS name, round(x3, 3) AS value FROM k UNION ALL SELECT 'p_size', round(x0, 3) FROM k UNION ALL SELECT 'promo', round(x1, 3) FROM k UNION ALL SELECT 'standard', round(x2, 3) FROM k"""
+
+
+@query(BOUNDED)
 def fit_bounded(spark: SparkSession, sf: str) -> DataFrame:
-    """Effects of two classes, held to at most zero, and a slope held to at least zero (no SQL: tested for optimality)."""
+    """Effects of two classes, held to at most zero, and a slope held to at least zero."""
     x = [F.col("p_size").cast("double"), (F.col("p_type") == "PROMO").cast("double"), (F.col("p_type") == "STANDARD").cast("double")]
-    beta = fits.box_ridge(table(spark, sf, "part"), x, F.col("p_retailprice"), [0, -1e9, -1e9], [1e9, 0, 0])
-    return spark.createDataFrame([(n, float(v)) for n, v in zip(["intercept", "p_size", "promo", "standard"], beta, strict=True)], "name string, value double")
+    beta = fits.box_ridge(table(spark, sf, "part"), x, F.col("p_retailprice"), [0, -1e9, -1e9], [1e9, 0, 0], penalty=0.0)
+    return spark.createDataFrame([(n, round(float(v), 3) + 0.0) for n, v in zip(["intercept", "p_size", "promo", "standard"], beta, strict=True)], "name string, value double")
 
 
 @query("""
@@ -38,7 +61,11 @@ def group_sizes(spark: SparkSession, sf: str) -> DataFrame:
     return sizes.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), "g")).cast("long"))
 
 
-@query()
+@query("""
+WITH RECURSIVE s AS (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1), o AS (SELECT *, row_number() OVER (ORDER BY n DESC, CAST(c_nationkey AS VARCHAR)) AS k FROM s),
+d AS (SELECT 0 AS k, CAST(NULL AS BIGINT) AS fold, CAST([0, 0, 0, 0, 0] AS BIGINT[]) AS load
+      UNION ALL SELECT o.k, list_position(load, list_min(load)) - 1, list_transform(range(5), lambda f: load[f + 1] + CASE WHEN f = list_position(load, list_min(load)) - 1 THEN n ELSE 0 END) FROM d JOIN o ON o.k = d.k + 1)
+SELECT CAST(c_nationkey AS INTEGER) AS c_nationkey, CAST(fold AS INTEGER) AS fold, n FROM d JOIN o USING (k)""")
 def region_folds(spark: SparkSession, sf: str) -> DataFrame:
     """Nations dealt over five folds of about equal size."""
     groups = table(spark, sf, "customer").groupBy("c_nationkey").count().orderBy(F.desc("count")).limit(MOST_GROUPS + 1).collect()
