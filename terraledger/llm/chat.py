@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraledger.llm.common import written
+from terraledger.sources.lineage import written
 
 #: What each tool takes: field -> (JSON type, required).
 SCHEMAS: dict[str, dict[str, tuple[str, bool]]] = {"respond": {"role": ("string", True), "text": ("string", True)}}
@@ -121,10 +121,10 @@ def levels(calls: DataFrame) -> DataFrame:
     while True:
         below = level.select(F.col("_key").alias("_on"), "level")
         ready = refs.join(below, "_on", "left").groupBy("_key").agg((F.max("level") + 1).alias("level"), F.count_if(F.col("level").isNull()).alias("open")).where("open = 0").drop("open")
-        ready = written(ready.join(level.select("_key"), "_key", "left_anti"), calls.sparkSession)
+        ready = written(ready.join(level.select("_key"), "_key", "left_anti"))
         if ready.limit(1).count() == 0:
             return keyed.join(level, "_key", "left").drop("_key")
-        level = written(level.unionByName(ready), calls.sparkSession)
+        level = written(level.unionByName(ready))
 
 
 def link(df: DataFrame, *, schemas: dict[str, dict[str, tuple[str, bool]]] = SCHEMAS, as_calls: bool = True) -> DataFrame:

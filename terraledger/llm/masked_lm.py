@@ -34,7 +34,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terraledger.llm.common import steps, words, written
+from terraledger.llm.common import steps, words
+from terraledger.sources.lineage import written
 
 SIDE, DIM, HIDDEN = 2, 12, 24
 KNOWN_CLASSES, OTHER_CLASSES = 48, 16
@@ -254,7 +255,7 @@ def score(docs: DataFrame, lex: Lexicon, net: WindowNet, counts: DataFrame) -> D
             row += len(texts)
             yield pa.RecordBatch.from_arrays([uid, batch.column(0), pa.array(n), pa.array(total), pa.ListArray.from_arrays(pa.array(offsets), entries)], names=["uid", "id", "n_tokens", "total", "rare"])
 
-    read = written(docs.mapInArrow(run, "uid long, id long, n_tokens long, total double, rare array<struct<word:long,times:long>>"), spark)
+    read = written(docs.mapInArrow(run, "uid long, id long, n_tokens long, total double, rare array<struct<word:long,times:long>>"))
     logs = counts.select("word", F.round(F.log("n") / UNIT).cast("long").alias("log_n"))
     own = read.select("uid", F.explode("rare").alias("r")).select("uid", "r.word", "r.times").join(logs, "word").groupBy("uid").agg(F.sum(F.col("times") * F.col("log_n")).alias("of_rare"))
     total = F.col("total") + F.coalesce("of_rare", F.lit(0)) * UNIT
@@ -266,6 +267,6 @@ def pseudo_likelihood(df: DataFrame, *, vocabulary: int | None = None, id_col: s
     """Fit on all of ``df`` and score each of its rows."""
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    counts = written(word_counts(docs), spark)
+    counts = written(word_counts(docs))
     lex = lexicon(counts, vocabulary)
     return score(docs, lex, train(docs, lex), counts)

@@ -12,7 +12,8 @@ Elements are shingles of five words.  In sets (``weighting="set"``) each distinc
 shingle weighs 1, and agreement estimates the Jaccard similarity that the check
 uses; ``"count"`` weighs by occurrence (weighted Jaccard).
 
-Texts that are byte for byte equal are one node.  A bucket of a band is joined as
+Texts that are byte for byte equal are one node, named by a 64-bit hash of the
+text, so ids may be missing or repeated.  A bucket of a band is joined as
 a star to its smallest member, links are checked exactly, and only buckets whose
 members this leaves in different classes are opened: those of up to ``small``
 members pair by pair, the members of larger ones through prefixes of their
@@ -21,10 +22,14 @@ prefixes at places that leave room for it, so no link is lost; each element is
 first joined as a star to the member in which it stands foremost, and what then
 still lies in different classes is paired.  So groups of copies do not multiply.
 
-Defined cases: a null text, or one with no word, is alone in its class unless
-other texts are byte for byte equal and not null; a text of under five words is
-one shingle; repeated rows are copies of each other; an empty table gives no rows;
-extra columns are not read.  Texts are never cut.
+Defined cases: a null text is alone in its class and kept; a text with no word is
+in a class with its byte-for-byte copies; a text of under five words is one
+shingle; rows without an id take part like others (the class takes its smallest id,
+null where it has none); an id that stands on different texts is decided for each
+of them apart; repeated rows are copies of each other; different texts whose hashes
+agree (a second hash tells them apart) are in classes with their own copies alone,
+so none is lost; an empty table gives no rows; extra columns are not read.
+Texts are never cut.
 """
 
 from __future__ import annotations
@@ -37,8 +42,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terraledger.llm.common import drop_written, mix, steps, words, written
-from terraledger.llm.graphs import components
+from terraledger.llm.common import mix, steps, words
+from terraledger.operators.graph import components
+from terraledger.sources.lineage import drop_written, written
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 5
@@ -48,6 +54,8 @@ CHUNK = 256
 WORDS = 1 << 20
 #: Members of an open bucket that are compared pair by pair; members of larger ones go through prefixes.
 SMALL = 32
+#: Band entries that one task joins.
+ENTRIES_A_PART = 1_000_000
 
 
 def shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -125,21 +133,31 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def named(text: Column) -> dict[str, Column]:
+    """The two hashes that tell texts apart; null for a null text."""
+    return {"node": F.when(text.isNotNull(), F.xxhash64(text)), "check": F.when(text.isNotNull(), F.xxhash64(F.lit(1), text))}
+
+
 def signed(df: DataFrame, *, bands: int = BANDS, rows: int = ROWS, weighting: str = "set", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows ``(id, digest, bands)`` of whole texts; ``digest`` is null for null texts, ``bands`` empty for texts without words."""
+    """Rows ``(id, node, check, bands)`` of whole texts; of equal texts in a step the first bears the bands, which are empty without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in steps(batches, limit=STEP):
-            h, of, count = shingles(texts)
+            node = np.array(batch.column(1).fill_null(0))
+            first = np.sort(np.unique(node, return_index=True)[1])
+            own = [texts[k] for k in first]
+            h, of, count = shingles(own)
             weight = np.ones(len(h)) if weighting == "set" else count.astype(np.float64)
-            keys = band_keys(dart_signatures(h, of, weight, len(texts), bands * rows), bands, rows)
-            some = np.bincount(of, minlength=len(texts)) > 0
-            offsets = np.r_[0, np.cumsum(np.where(some, bands, 0))].astype(np.int32)
-            digest = [None if t is None else blake2b(t.encode(), digest_size=16).digest() for t in texts]
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[some].ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digest, pa.binary()), lists], names=["id", "digest", "bands"])
+            keys = band_keys(dart_signatures(h, of, weight, len(own), bands * rows), bands, rows)
+            some = np.bincount(of, minlength=len(own)) > 0
+            size = np.zeros(len(texts), np.int64)
+            size[first[some]] = bands
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)].astype(np.int32)), pa.array(keys[some].ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), lists], names=["id", "node", "check", "bands"])
 
-    return df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, digest binary, bands array<long>")
+    text = F.col(text_col)
+    rows_of = df.select(F.col(id_col).cast("long").alias("id"), *[c.alias(k) for k, c in named(text).items()], text.alias("text"))
+    return rows_of.mapInArrow(run, "id long, node long, check long, bands array<long>")
 
 
 def likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -168,7 +186,8 @@ def checked(pairs: DataFrame, docs: DataFrame, *, similarity: float = SIMILARITY
     rows = heads.select("a", "chunk", F.lit(None).cast("long").alias("b"), F.col("a").alias("id")).unionByName(dealt.select("a", "chunk", "b", F.col("b").alias("id")))
     involved = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
     # merged on either size of the table: whether the ids happen to fit a broadcast shall not decide the plan
-    laid = rows.hint("merge").join(likely(docs, involved), "id").repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
+    texts = likely(docs, involved).dropDuplicates(["id"])
+    laid = rows.hint("merge").join(texts, "id").repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, weight = np.zeros(0, np.uint64), np.zeros(0)
@@ -200,7 +219,6 @@ def prefixes(members: DataFrame, docs: DataFrame, *, similarity: float = SIMILAR
     that it links to, so one of its first ``size - similarity * size + 1`` in any
     order that all sets have in common.  Weights count as repeated elements.
     """
-    spark = docs.sparkSession
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in steps(batches, limit=STEP):
@@ -211,15 +229,15 @@ def prefixes(members: DataFrame, docs: DataFrame, *, similarity: float = SIMILAR
             cuts = np.searchsorted(of, np.arange(len(texts) + 1)).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(cuts), pa.array(h.view(np.int64)))], names=["id", "tokens"])
 
-    texts = members.hint("merge").join(likely(docs, members), "id").select("id", "text").dropDuplicates(["id"])
-    sets = written(_even(texts.mapInArrow(run, "id long, tokens array<long>")), spark)
+    texts = members.hint("merge").join(likely(docs, members).dropDuplicates(["id"]), "id").select("id", "text")
+    sets = written(_even(texts.mapInArrow(run, "id long, tokens array<long>"), members.count(), 500))
     each = sets.select("id", F.explode("tokens").alias("token"))
     rare = each.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
     ranked = each.join(rare, "token").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("ranked")).withColumn("size", F.size("ranked"))
     length = F.col("size") - F.ceil(F.col("size") * similarity - 1e-9) + 1
     out = ranked.select("id", "size", F.posexplode(F.slice("ranked", F.lit(1), length.cast("int"))).alias("pos", "own")).select("id", "size", "pos", "own.token")
-    out = written(_even(out), spark)
-    drop_written(sets, spark)
+    out = written(out)
+    drop_written(sets)
     return out
 
 
@@ -249,37 +267,33 @@ def prefix_pairs(rows: DataFrame, similarity: float) -> DataFrame:
     return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
-def near_duplicates(df: DataFrame, *, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, weighting: str = "set", id_col: str = "doc_id", text_col: str = "text", small: int = SMALL) -> DataFrame:
-    """One row per document: ``(doc_id, class_id, kept)``; the class is its smallest ``doc_id``, the one kept."""
-    spark = df.sparkSession
-    docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sig = written(signed(df, bands=bands, rows=rows, weighting=weighting, id_col=id_col, text_col=text_col), spark)
-    copies = written(sig.where("digest is not null").groupBy("digest").agg(F.min("id").alias("rep")), spark)
-    nodes = sig.join(copies.select(F.col("rep").alias("id"), "digest"), ["id", "digest"], "left_semi").select("id", "bands")
-    nodes = written(nodes.dropDuplicates(["id"]), spark)
-
-    entries = nodes.select("id", F.explode("bands").alias("key"))
+def classes(nodes: DataFrame, docs: DataFrame, *, similarity: float = SIMILARITY, bands: int = BANDS, weighting: str = "set", small: int = SMALL) -> DataFrame:
+    """``(node, component)`` of the nodes that a link connects, from ``nodes(id, bands)`` and their texts ``docs(id, text)``."""
+    n_nodes = nodes.count()
+    # one partitioning by key serves the smallest member and the star; as many parts as the entries ask for
+    entries = nodes.select("id", F.explode("bands").alias("key")).repartition(-(-n_nodes * bands // ENTRIES_A_PART) or 1, "key")
     hubs = entries.groupBy("key").agg(F.min("id").alias("a"))
-    stars = entries.join(hubs, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    tested = written(_even(stars), spark)
-    links = written(_even(checked(tested, docs, similarity=similarity, weighting=weighting)), spark)
-    label = components(links, spark)
+    tested = written(_even(entries.join(hubs, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct(), n_nodes, 20_000))
+    passed = lambda pairs: written(_even(checked(pairs, docs, similarity=similarity, weighting=weighting), pairs.count(), 2_000))
+    links = passed(tested)
+    label = written(components(links))
 
     def with_component(rows_of: DataFrame) -> DataFrame:
         return rows_of.join(label.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
 
     def try_pairs(pairs: DataFrame) -> None:
         nonlocal links, label, tested
-        new = written(_even(pairs.join(tested, ["a", "b"], "left_anti")), spark)
-        more = written(_even(checked(new, docs, similarity=similarity, weighting=weighting)), spark)
+        new = written(pairs.join(tested, ["a", "b"], "left_anti"))
+        more = passed(new)
         tested = tested.unionByName(new)
         if more.limit(1).count():
             links = links.unionByName(more)
-            label = components(links, spark)
+            old, label = label, written(components(links))
+            drop_written(old)
 
     state = with_component(nodes).select("component", "id", F.explode("bands").alias("key"))
     ends = state.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n"))
-    open_ = written(_even(state.join(ends.where("lo <> hi"), "key").select("key", "id", "component", "n")), spark)
+    open_ = written(state.join(ends.where("lo <> hi"), "key").select("key", "id", "component", "n"))
     near = open_.where(F.col("n") <= small)
     other = near.select("key", F.col("id").alias("b"), F.col("component").alias("other"))
     pairs = near.withColumnRenamed("id", "a").join(other, "key").where("a < b and component <> other").select("a", "b").distinct()
@@ -289,13 +303,54 @@ def near_duplicates(df: DataFrame, *, similarity: float = SIMILARITY, bands: int
         try_pairs(pairs.unionByName(prefix_stars(with_component(foremost), similarity)).distinct())
         pairs = prefix_pairs(with_component(foremost), similarity)
     try_pairs(pairs)
-    drop_written(open_, spark)
+    drop_written(open_, tested, links)
+    return label
 
-    of_copy = copies.join(label.withColumnRenamed("node", "rep"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("class_id"))
-    out = sig.select("id", "digest").join(of_copy, "digest", "left")
-    return out.select(F.col("id").alias("doc_id"), F.coalesce("class_id", "id").alias("class_id"), (F.coalesce("class_id", "id") == F.col("id")).alias("kept"))
 
+def decided(df: DataFrame, *, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, weighting: str = "set", id_col: str = "doc_id", text_col: str = "text", small: int = SMALL) -> DataFrame:
+    """One row per document: ``(id, node, check, class_id, kept)``.
 
-def _even(df: DataFrame) -> DataFrame:
-    """Rows that a few partitions hold many of and most hold few of, in fewer tasks where the shuffle made many."""
-    return df.coalesce(max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4))
+    A class keeps one of its texts, the one with the smallest id, on the rows with that id.
+    """
+    sig = written(signed(df, bands=bands, rows=rows, weighting=weighting, id_col=id_col, text_col=text_col))
+    docs = df.select(named(F.col(text_col))["node"].alias("id"), F.col(text_col).alias("text")).where("text is not null")
+    nodes = written(sig.where(F.size("bands") > 0).select(F.col("node").alias("id"), "bands").dropDuplicates(["id"]))
+    label = classes(nodes, docs, similarity=similarity, bands=bands, weighting=weighting, small=small)
+    texts = sig.where("node is not null").groupBy("node", "check").agg(F.min("id").alias("rep"))
+    clash = texts.groupBy("node").count().where("count > 1").select("node", F.lit(True).alias("clash"))
+    texts = written(texts.join(label, "node", "left").join(clash, "node", "left").select("node", "check", "rep", F.when(F.col("clash"), F.xxhash64("node", "check")).otherwise(F.coalesce("component", "node")).alias("component")))
+    first = F.min_by(F.struct("node", "check"), F.struct(F.col("rep").isNull(), "rep", "node", "check"))
+    chosen = texts.groupBy("component").agg(first.alias("keep"), F.min("rep").alias("class_id"))
+    per_text = texts.join(chosen, "component").select("node", "check", "rep", "class_id", (F.struct("node", "check") == F.col("keep")).alias("keep"))
+    out = sig.select("id", "node", "check").join(per_text, ["node", "check"], "left")
+    kept = F.coalesce(F.col("keep") & F.col("id").eqNullSafe(F.col("rep")), F.lit(True))
+    result = written(out.select("id", "node", "check", F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), kept.alias("kept")))
+    drop_written(sig, nodes, label, texts)
+    return result
+
+
+def near_duplicates(df: DataFrame, **options: object) -> DataFrame:
+    """One row per document: ``(doc_id, class_id, kept)``; the class is its smallest ``doc_id``; options are those of ``decided``."""
+    return decided(df, **options).select(F.col("id").alias("doc_id"), "class_id", "kept")
+
+
+def one_of_each(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options: object) -> DataFrame:
+    """The rows of ``df`` that stay when each near-duplicate class keeps exactly one row; columns as they are.
+
+    A row goes by its id and its text together: no other text is lost that shares the
+    id, and rows without an id go like others.
+    """
+    kinds = decided(df, id_col=id_col, text_col=text_col, **options)
+    found = kinds.where("node is not null").groupBy(F.col("node").alias("_node"), F.col("check").alias("_check"), F.col("id").alias("_id")).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    found = written(found.where("not kept or n > 1"))
+    drop_written(kinds)
+    keyed = df.withColumns({f"__{k}": c for k, c in named(F.col(text_col)).items()}).withColumn("__id", F.col(id_col).cast("long"))
+    same = (F.col("__node") == F.col("_node")) & (F.col("__check") == F.col("_check")) & F.col("__id").eqNullSafe(F.col("_id"))
+    alone = keyed.join(found, same, "left_anti")
+    again = keyed.join(found.where("kept"), same, "left_semi").dropDuplicates(["__node", "__check", "__id"])
+    return alone.unionByName(again).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def _even(df: DataFrame, n_rows: int, rows_a_task: int) -> DataFrame:
+    """As many tasks as ``n_rows`` ask for, where the shuffle made more."""
+    return df.coalesce(max(1, -(-n_rows // rows_a_task)))

@@ -33,8 +33,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from terraledger.llm.common import drop_written, written
-from terraledger.llm.graphs import components
+from terraledger.operators.graph import components
+from terraledger.sources.lineage import drop_written, written
 
 THRESHOLD, K, TABLES, NEAR, BLOCK = 0.93, 12, 12, 3, 256
 AUDIT = 200
@@ -130,7 +130,7 @@ def descend(edges: DataFrame, nodes: DataFrame, spark: SparkSession, sample: int
     around = lists.select("u", "v").unionByName(reverse.select("u", "v")).groupBy("u").agg(F.collect_set("v").alias("vs"))
     pair = F.explode(F.flatten(F.transform("vs", lambda x: F.transform(F.filter("vs", lambda y: x < y), lambda y: F.struct(x.alias("a"), y.alias("b"))))))
     fresh = around.select(pair.alias("p")).select("p.a", "p.b").distinct().join(edges, ["a", "b"], "left_anti")
-    return written(measured(fresh, nodes), spark)
+    return written(measured(fresh, nodes))
 
 
 def nearest(edges: DataFrame, k: int) -> DataFrame:
@@ -251,8 +251,8 @@ def audit(nodes: DataFrame, links: DataFrame, threshold: float, queries: int) ->
 def near_duplicates(df: DataFrame, *, threshold: float = THRESHOLD, k: int = K, tables: int = TABLES, rounds: int = 2, audit_queries: int = AUDIT, least_recall: float = 0.98, most_passes: int = 3, missed: float = MISSED, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """Rows ``(vec_id, n_links, component_id, kept, recall)``, one per input row; ``recall`` is what the audit found."""
     spark = df.sparkSession
-    usable = written(vectors(df, id_col, vec_col, label_col), spark)
-    nodes = written(usable.groupBy("grp", "vec").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")), spark)
+    usable = written(vectors(df, id_col, vec_col, label_col))
+    nodes = written(usable.groupBy("grp", "vec").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")))
     largest = nodes.groupBy("grp").count().agg(F.max("count")).first()[0] or 1
     tables = max(tables, tables_for(largest, threshold, NEAR, missed))
     edges, links, recall = None, None, {"": 0.0}
@@ -260,17 +260,17 @@ def near_duplicates(df: DataFrame, *, threshold: float = THRESHOLD, k: int = K,
         pairs = starts(nodes, tables * (turn + 1), 7 + turn, NEAR)
         if edges is not None:
             pairs = pairs.join(edges, ["a", "b"], "left_anti")
-        found = written(measured(pairs, nodes), spark)
+        found = written(measured(pairs, nodes))
         edges = found if edges is None else edges.unionByName(found)
         over = [found.where(F.col("sim") >= threshold)]
         for _ in range(rounds):
             found = descend(edges, nodes, spark)
             over.append(found.where(F.col("sim") >= threshold))
-            edges = written(nearest(edges.unionByName(found), k), spark)
+            edges = written(nearest(edges.unionByName(found), k))
         # the lists are cut for the search alone: no link that was measured is lost with them
         for new in over:
             links = new if links is None else links.unionByName(new)
-        links = written(links.select("a", "b").distinct(), spark)
+        links = written(links.select("a", "b").distinct())
         label, degree = _degrees(links, nodes, spark, threshold, k)
         recall = audit(nodes, degree, threshold, audit_queries)
         short = [g for g, r in recall.items() if g and r < least_recall]
@@ -278,10 +278,10 @@ def near_duplicates(df: DataFrame, *, threshold: float = THRESHOLD, k: int = K,
             break
     if short:
         members = nodes.where(F.col("grp").isin(short)).select(F.col("id").alias("node"), F.col("grp").alias("component"))
-        pieces = written(full_degrees(blocks_of(members), nodes, threshold), spark)
+        pieces = written(full_degrees(blocks_of(members), nodes, threshold))
         exact = pieces.groupBy("node").agg(F.sum("n_links").alias("n_links"))
-        label = components(links.unionByName(pieces.where("node <> other").select(F.col("node").alias("a"), F.col("other").alias("b"))), spark)
-        degree = written(degree.join(exact, "node", "left_anti").unionByName(exact), spark)
+        label = components(links.unionByName(pieces.where("node <> other").select(F.col("node").alias("a"), F.col("other").alias("b"))))
+        degree = written(degree.join(exact, "node", "left_anti").unionByName(exact))
         recall = audit(nodes, degree, threshold, audit_queries)
     copies = nodes.select("grp", "vec", F.col("id").alias("node"), "copies")
     per_vec = usable.join(copies, ["grp", "vec"]).join(degree, "node", "left").join(label, "node", "left")
@@ -294,11 +294,11 @@ def near_duplicates(df: DataFrame, *, threshold: float = THRESHOLD, k: int = K,
 
 def _degrees(linked: DataFrame, nodes: DataFrame, spark: SparkSession, threshold: float, k: int) -> tuple[DataFrame, DataFrame]:
     """Components ``(node, component)`` and ``(node, n_links)``, the saturated lists enlarged."""
-    label = components(linked, spark)
+    label = components(linked)
     lists = linked.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(linked.select(F.col("b").alias("node"), F.col("a").alias("other")))
     weighed = lists.join(nodes.select(F.col("id").alias("other"), "copies"), "other")
     listed = weighed.groupBy("node").agg(F.sum("copies").alias("n_links"), F.count(F.lit(1)).alias("listed"))
     full = listed.where(F.col("listed") >= k).join(label, "node").select("component").distinct()
     enlarged = full_degrees(blocks_of(label.join(full, "component")), nodes, threshold).groupBy("node").agg(F.sum("n_links").alias("n_links"))
     degree = listed.join(enlarged.withColumnRenamed("n_links", "all_links"), "node", "left").select("node", F.coalesce("all_links", "n_links").alias("n_links"))
-    return label, written(degree, spark)
+    return label, written(degree)
