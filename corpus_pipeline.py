@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraledger.llm import minhash, packing, quality, toxicity
-from terraledger.llm.common import held_out, table, written
+from terraledger.llm.common import held_out
+from terraledger.sources.lineage import written
+from terraledger.sources.tables import table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,14 +29,8 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate class stays, the one with the smallest id; rows without an id stay."""
-    gone = written(minhash.near_duplicates(docs).where("not kept").select("doc_id").distinct(), spark)
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    again = written(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), spark)
-    if again.limit(1).count():  # one row of those that repeat an id
-        once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-        kept = kept.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
-    return kept
+    """One row of each near-duplicate class stays, decided by id and text together; a row whose text is null stays."""
+    return minhash.one_of_each(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,12 +40,13 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("toxicity", drop_toxic), ("quality", drop_poor), ("near_dedup", drop_near_copies), ("packing", pack)]
 
-#: Models are trained in the stages, so SQL cannot express the rows; tests hold the stages' operators, and the ids that each stage keeps.
+#: Models are trained in the stages, so SQL cannot express the rows; a test holds them against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; each but the last is written, since the next ones read its rows several times."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
