@@ -4,22 +4,28 @@ Calls and results are hash-joined by conversation and identifier, put in
 topological order, checked against parameter schemas, and serialised as canonical
 JSON, one line a conversation.
 
-Where calls come from.  A turn whose text is a JSON object with ``tool_calls`` (a
-list of ``{"id", "name", "arguments": {..}}``) holds calls; a turn of role ``tool``
-whose text is ``{"tool_call_id", "content"}`` holds a result.  Plain chat has
+Where calls come from.  A turn whose text is a JSON object with a list ``tool_calls``
+(of ``{"id", "name", "arguments": {..}}``; arguments may be an object or a string that
+holds one) holds calls; a turn of role ``tool`` whose text is ``{"tool_call_id",
+"content"}`` holds a result.  Any other text, broken JSON too, is plain chat, which has
 neither: with ``as_calls=True`` each assistant turn is read as the result of a
 ``respond`` call that the turn before it makes, its arguments being the role and
 the text, so every conversation goes through the same join, order and check.
 
+Values keep the JSON type that they are written with (a number without a fraction is
+an integer); plain chat is text whatever it looks like, and refers to nothing.
+
 Order.  A call depends on the calls whose results it refers to (an argument
 string ``$<id>``) and on nothing else; its level is the longest chain below it,
 found in rounds over the (few) referring calls.  Links are ordered by level, turn
 and place in the turn.
 
 Defined cases: a call without a result, and a result without a call, stay, with
-status ``unanswered`` or ``orphan``; a repeated identifier pairs the n-th call
+status ``unanswered`` or ``orphan``; calls and results without an identifier link
+with nothing; a repeated identifier pairs the n-th call
 with the n-th result; arguments that miss a required field, or have one of
-another type or unknown, give ``invalid`` with the reasons in order; an unknown
+another type (null is a type) or unknown, or are no object, give ``invalid`` with the
+reasons in order; an unknown
 tool is ``unknown_tool``; a null conversation or text counts as empty text of
 conversation null, which is kept as one group; calls in a cycle get status
 ``cyclic``; extra columns are not read; an empty table gives no rows.
@@ -27,6 +33,8 @@ conversation null, which is kept as one group; calls in a cycle get status
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,8 +42,6 @@ from terraledger.sources.lineage import written
 
 #: What each tool takes: field -> (JSON type, required).
 SCHEMAS: dict[str, dict[str, tuple[str, bool]]] = {"respond": {"role": ("string", True), "text": ("string", True)}}
-_CALLS = "array<struct<id:string,name:string,arguments:map<string,string>>>"
-
 
 #: Turns that are numbered together.
 STRETCH = 64
@@ -51,16 +57,23 @@ def quoted(text: Column) -> Column:
     return F.concat(F.lit('"'), out, F.lit('"'))
 
 
-def json_type(value: Column) -> Column:
-    """The JSON type of a raw value as ``from_json`` keeps it in a map of strings."""
-    return (
-        F.when(value.rlike(r"^-?(0|[1-9]\d*)$"), "integer")
-        .when(value.rlike(r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$"), "number")
-        .when(value.isin("true", "false"), "boolean")
-        .when(value.startswith("{"), "object")
-        .when(value.startswith("["), "array")
-        .otherwise("string")
-    )
+def json_type(value: str) -> str:
+    """SQL of the JSON type of a variant value."""
+    schema = f"schema_of_variant({value})"
+    return f"""CASE WHEN {schema} = 'BIGINT' OR {schema} LIKE 'DECIMAL(%,0)' THEN 'integer' WHEN {schema} LIKE 'DECIMAL%' OR {schema} IN ('DOUBLE', 'FLOAT') THEN 'number'
+        WHEN {schema} = 'BOOLEAN' THEN 'boolean' WHEN {schema} LIKE 'OBJECT%' THEN 'object' WHEN {schema} LIKE 'ARRAY%' THEN 'array' WHEN {schema} = 'VOID' THEN 'null' ELSE 'string' END"""
+
+
+#: An argument: its key, its JSON type, its canonical JSON, and the identifier that it refers to.
+_ENTRY = "struct<key:string,type:string,json:string,ref:string>"
+
+
+def entries(arguments: str) -> Column:
+    """The arguments of a variant object, in the order of their keys; null where it is no object."""
+    text = "try_variant_get(e.value, '$', 'string')"
+    ref = f"CASE WHEN schema_of_variant(e.value) = 'STRING' AND startswith({text}, '$') THEN substring({text}, 2) END"
+    held = f"map_entries(try_variant_get({arguments}, '$', 'map<string,variant>'))"
+    return F.array_sort(F.expr(f"transform({held}, e -> struct(e.key AS key, {json_type('e.value')} AS type, to_json(e.value) AS json, {ref} AS ref))"))
 
 
 def turns(df: DataFrame) -> DataFrame:
@@ -69,37 +82,59 @@ def turns(df: DataFrame) -> DataFrame:
 
 
 def extract(rows: DataFrame, *, as_calls: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Calls ``(conv_id, id, turn, place, name, arguments)`` and results ``(conv_id, id, turn, content)``."""
-    parsed = rows.withColumn("_calls", F.when(F.col("text").startswith("{"), F.from_json(F.get_json_object("text", "$.tool_calls"), _CALLS)))
-    calls = parsed.where("_calls is not null").select("conv_id", "turn", F.posexplode("_calls").alias("place", "c")).select("conv_id", F.col("c.id").alias("id"), "turn", "place", F.col("c.name").alias("name"), F.coalesce("c.arguments", F.create_map().cast("map<string,string>")).alias("arguments"))
-    tool = (F.col("role") == "tool") & F.get_json_object("text", "$.tool_call_id").isNotNull()
-    results = rows.where(tool).select("conv_id", F.get_json_object("text", "$.tool_call_id").alias("id"), "turn", F.get_json_object("text", "$.content").alias("content"))
+    """Calls ``(conv_id, id, turn, place, name, arguments)`` and results ``(conv_id, id, turn, content, content_json)``.
+
+    ``arguments`` are entries as ``entries`` gives them, null where they are no object.
+    """
+    parsed = rows.withColumn("_v", F.expr("CASE WHEN startswith(ltrim(text), '{') THEN try_parse_json(text) END"))
+    parsed = parsed.withColumn("_calls", F.expr("try_variant_get(_v, '$.tool_calls', 'array<variant>')"))
+    parsed = parsed.withColumn("_answers", (F.col("role") == "tool") & F.col("_calls").isNull() & F.coalesce(F.expr("schema_of_variant(try_variant_get(_v, '$.tool_call_id')) <> 'VOID'"), F.lit(False)))
+    called = parsed.where("_calls is not null").select("conv_id", "turn", F.posexplode("_calls").alias("place", "c"))
+    called = called.withColumn("_given", F.expr("try_variant_get(c, '$.arguments')"))
+    called = called.withColumn("_given", F.expr("coalesce(CASE WHEN schema_of_variant(_given) = 'STRING' THEN try_parse_json(try_variant_get(_given, '$', 'string')) END, _given)"))
+    given = F.when(F.col("_given").isNull(), F.array().cast(f"array<{_ENTRY}>")).otherwise(entries("_given"))
+    calls = called.select("conv_id", F.expr("try_variant_get(c, '$.id', 'string')").alias("id"), "turn", "place", F.expr("try_variant_get(c, '$.name', 'string')").alias("name"), given.alias("arguments"))
+    said = parsed.where("_answers").withColumn("_said", F.expr("try_variant_get(_v, '$.content')"))
+    words, raw = F.expr("try_variant_get(_said, '$', 'string')"), F.expr("to_json(_said)")
+    plain_text = F.expr("schema_of_variant(_said) = 'STRING'")
+    results = said.select("conv_id", F.expr("try_variant_get(_v, '$.tool_call_id', 'string')").alias("id"), "turn", F.when(plain_text, words).otherwise(raw).alias("content"), F.when(plain_text, quoted(words)).otherwise(raw).alias("content_json"))
     if as_calls:
-        plain = parsed.where(F.col("_calls").isNull() & ~tool)
+        plain = parsed.where(F.col("_calls").isNull() & ~F.col("_answers"))
         name = F.concat(F.lit("t"), F.coalesce(F.col("turn").cast("string"), F.lit("")))
-        asks = plain.where("role <> 'assistant'").select("conv_id", name.alias("id"), "turn", F.lit(0).alias("place"), F.lit("respond").alias("name"), F.create_map(F.lit("role"), F.col("role"), F.lit("text"), F.col("text")).alias("arguments"))
-        gives = plain.where("role = 'assistant'").select("conv_id", F.concat(F.lit("t"), F.coalesce((F.col("turn") - 1).cast("string"), F.lit(""))).alias("id"), "turn", F.col("text").alias("content"))
+        field = lambda key: F.struct(F.lit(key).alias("key"), F.lit("string").alias("type"), quoted(F.col(key)).alias("json"), F.lit(None).cast("string").alias("ref"))
+        asks = plain.where("role <> 'assistant'").select("conv_id", name.alias("id"), "turn", F.lit(0).alias("place"), F.lit("respond").alias("name"), F.array(field("role"), field("text")).cast(f"array<{_ENTRY}>").alias("arguments"))
+        gives = plain.where("role = 'assistant'").select("conv_id", F.concat(F.lit("t"), F.coalesce((F.col("turn") - 1).cast("string"), F.lit(""))).alias("id"), "turn", F.col("text").alias("content"), quoted(F.col("text")).alias("content_json"))
         calls, results = calls.unionByName(asks), results.unionByName(gives)
     return calls, results
 
 
 def nth(df: DataFrame, *order: str) -> DataFrame:
-    """``df`` with ``nth``: the place of a row among those of its conversation and identifier."""
-    return df.withColumn("nth", F.row_number().over(Window.partitionBy("conv_id", "id").orderBy(*order)))
+    """``df`` with ``nth``: the place of a row among those of its conversation and identifier.
+
+    Rows without an identifier link with nothing, so they are spread by their contents
+    and not gathered.
+    """
+    spread = F.when(F.col("id").isNull(), F.xxhash64(*order))
+    return df.withColumn("nth", F.row_number().over(Window.partitionBy("conv_id", "id", spread).orderBy(*order)))
+
+
+def _named(field: str) -> Callable[[Column], Column]:
+    return lambda e: e["key"] == field
 
 
 def problems(name: Column, arguments: Column, schemas: dict[str, dict[str, tuple[str, bool]]]) -> Column:
     """What is wrong with a call's arguments, in the order of the fields."""
     out = F.array(F.lit("unknown_tool"))
     for tool, fields in schemas.items():
-        found = [
-            F.when(value.isNull() if needed else F.lit(False), F.lit(f"missing:{field}")).when(value.isNotNull() & (json_type(value) != kind) & F.lit(kind != "string"), F.lit(f"type:{field}"))
-            for field, (kind, needed) in sorted(fields.items())
-            for value in [F.element_at(arguments, field)]
-        ]
+        found = []
+        for field, (kind, needed) in sorted(fields.items()):
+            held = F.get(F.filter(arguments, _named(field)), F.lit(0))["type"]
+            fits = held.isin("integer", "number") if kind == "number" else held == kind
+            found.append(F.when(held.isNull(), F.lit(f"missing:{field}") if needed else None).when(~fits, F.lit(f"type:{field}")))
         known = F.array(*[F.lit(f) for f in fields]) if fields else F.array().cast("array<string>")
-        extra = F.transform(F.array_sort(F.array_except(F.map_keys(arguments), known)), lambda f: F.concat(F.lit("unknown:"), f))
-        out = F.when(name == tool, F.concat(F.array_compact(F.array(*found).cast("array<string>")), extra)).otherwise(out)
+        extra = F.transform(F.array_sort(F.array_except(F.transform(arguments, lambda e: e["key"]), known)), lambda f: F.concat(F.lit("unknown:"), f))
+        checked = F.concat(F.array_compact(F.array(*found).cast("array<string>")), extra)
+        out = F.when(name == tool, F.when(arguments.isNull(), F.array(F.lit("no_object"))).otherwise(checked)).otherwise(out)
     return out
 
 
@@ -112,7 +147,7 @@ def levels(calls: DataFrame) -> DataFrame:
     conv = F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit(""))
     key = lambda c: F.concat(conv, F.lit("\x01"), F.coalesce(F.concat(F.lit("i"), F.col(c)), F.lit("")))
     keyed = calls.withColumn("_key", key("id"))
-    named = calls.select("conv_id", "id", F.explode(F.map_values("arguments")).alias("v")).where(F.col("v").startswith("$")).withColumn("_on", F.expr("substring(v, 2)"))
+    named = calls.select("conv_id", "id", F.explode(F.transform("arguments", lambda e: e["ref"])).alias("_on")).where("_on is not null")
     refs = named.select(key("id").alias("_key"), key("_on").alias("_on")).distinct()
     refs = refs.join(keyed.select(F.col("_key").alias("_on")).distinct(), "_on", "left_semi")
     if refs.limit(1).count() == 0:
@@ -131,10 +166,10 @@ def link(df: DataFrame, *, schemas: dict[str, dict[str, tuple[str, bool]]] = SCH
     """One row per call or unclaimed result: ``(conv_id, id, nth, level, call_turn, result_turn, name, arguments, content, status, problems)``."""
     calls, results = extract(turns(df), as_calls=as_calls)
     calls = nth(levels(calls).withColumn("arguments_json", arguments_json(F.col("arguments"))), "turn", "place", "name", "arguments_json")
-    results = nth(results, "turn", "content").select("conv_id", "id", "nth", F.col("turn").alias("result_turn"), "content")
+    results = nth(results, "turn", "content").select("conv_id", "id", "nth", F.col("turn").alias("result_turn"), "content", "content_json")
     calls = calls.withColumn("problems", problems(F.col("name"), F.col("arguments"), schemas)).withColumn("_call", F.lit(True))
     on = [F.col("c.conv_id").eqNullSafe(F.col("r.conv_id")), F.col("c.id") == F.col("r.id"), F.col("c.nth") == F.col("r.nth")]
-    both = calls.alias("c").join(results.alias("r"), on[0] & on[1] & on[2], "full_outer")
+    both = calls.alias("c").join(results.hint("shuffle_hash").alias("r"), on[0] & on[1] & on[2], "full_outer")
     status = (
         F.when(F.col("_call").isNull(), "orphan")
         .when(F.col("level").isNull(), "cyclic")
@@ -145,7 +180,7 @@ def link(df: DataFrame, *, schemas: dict[str, dict[str, tuple[str, bool]]] = SCH
     )
     return both.select(
         F.coalesce("c.conv_id", "r.conv_id").alias("conv_id"), F.coalesce("c.id", "r.id").alias("id"), F.coalesce("c.nth", "r.nth").alias("nth"),
-        "level", F.col("turn").alias("call_turn"), "place", "result_turn", "name", "arguments", "arguments_json", "content", status.alias("status"), F.coalesce("problems", F.array().cast("array<string>")).alias("problems"),
+        "level", F.col("turn").alias("call_turn"), "place", "result_turn", "name", "arguments", "arguments_json", "content", "content_json", status.alias("status"), F.coalesce("problems", F.array().cast("array<string>")).alias("problems"),
     )
 
 
@@ -154,15 +189,15 @@ def _field(name: str, value: Column) -> Column:
 
 
 def arguments_json(arguments: Column) -> Column:
-    """An argument map as canonical JSON: keys in order, no spaces."""
-    entry = lambda e: F.concat(quoted(e["key"]), F.lit(":"), F.when(json_type(e["value"]) == "string", quoted(e["value"])).otherwise(e["value"]))
-    return F.concat(F.lit("{"), F.array_join(F.transform(F.array_sort(F.map_entries(arguments)), entry), ","), F.lit("}"))
+    """Argument entries as canonical JSON: keys in order, no spaces."""
+    entry = lambda e: F.concat(quoted(e["key"]), F.lit(":"), e["json"])
+    return F.concat(F.lit("{"), F.array_join(F.transform(arguments, entry), ","), F.lit("}"))
 
 
 def canonical(links: DataFrame) -> DataFrame:
     """``links`` with ``json``: keys in order, no spaces, shortest escapes."""
     fields = [
-        _field("arguments", F.col("arguments_json")), _field("call_turn", F.col("call_turn").cast("string")), _field("content", quoted(F.col("content"))), _field("id", quoted(F.col("id"))),
+        _field("arguments", F.col("arguments_json")), _field("call_turn", F.col("call_turn").cast("string")), _field("content", F.col("content_json")), _field("id", quoted(F.col("id"))),
         _field("level", F.col("level").cast("string")), _field("name", quoted(F.col("name"))), _field("problems", F.concat(F.lit("["), F.array_join(F.transform("problems", quoted), ","), F.lit("]"))),
         _field("result_turn", F.col("result_turn").cast("string")), _field("status", quoted(F.col("status"))),
     ]
@@ -182,6 +217,6 @@ def formatted(df: DataFrame, *, schemas: dict[str, dict[str, tuple[str, bool]]]
     so_far = F.sum("n").over(Window.partitionBy("conv_id").orderBy(F.col("level").asc_nulls_last(), "_stretch"))
     lines = lines.select(*[F.col(c).alias(f"_{c}") for c in stretch], (so_far - F.col("n")).alias("before"))
     same = [out[c].eqNullSafe(lines[f"_{c}"]) for c in stretch]
-    within = Window.partitionBy(*stretch).orderBy("_at", F.coalesce("place", F.lit(-1)), "id", "nth")
+    within = Window.partitionBy(*stretch).orderBy("_at", F.coalesce("place", F.lit(-1)), "id", "nth", "json")
     placed = out.join(lines, same[0] & same[1] & same[2]).withColumn("seq", F.col("before") + F.row_number().over(within) - 1)
     return placed.select("conv_id", "seq", "id", "call_turn", "result_turn", "level", "status", "json")

@@ -480,6 +480,109 @@ def test_tool_calls_are_linked_ordered_and_checked(spark):
     assert chat.formatted(df.limit(0)).count() == 0
 
 
+def brute_links_of_calls(rows, schemas):
+    """Calls and results of ``(conv, turn, role, text)`` linked by plain loops; JSON values by ``(conv, id, nth)``."""
+    calls, results = {}, {}
+    for conv, turn, role, text in sorted(rows, key=lambda r: (str(r[0]), r[1])):
+        try:
+            got = json.loads(text) if (text or "").lstrip().startswith("{") else None
+        except ValueError:
+            got = None
+        if isinstance(got, dict) and isinstance(got.get("tool_calls"), list):
+            for place, c in enumerate(got["tool_calls"]):
+                given = c.get("arguments", {})
+                if isinstance(given, str):
+                    given = json.loads(given) if given.startswith("{") else given
+                calls.setdefault((conv, str(c["id"])), []).append((turn, place, c.get("name"), given))
+        elif isinstance(got, dict) and role == "tool" and got.get("tool_call_id") is not None:
+            results.setdefault((conv, str(got["tool_call_id"])), []).append((turn, got.get("content")))
+    kind = lambda v: "null" if v is None else "boolean" if isinstance(v, bool) else "integer" if isinstance(v, int) else "number" if isinstance(v, float) else {str: "string", dict: "object", list: "array"}[type(v)]
+    refs = {}
+    for (conv, i), own in calls.items():
+        for c in own:
+            values = c[3].values() if isinstance(c[3], dict) else []
+            refs.setdefault((conv, i), set()).update((conv, v[1:]) for v in values if isinstance(v, str) and v.startswith("$") and (conv, v[1:]) in calls)
+
+    def level(key, seen=()):
+        if key in seen:
+            return None
+        below = [level(k, (*seen, key)) for k in refs[key]]
+        return None if None in below else max(below, default=-1) + 1
+
+    out = {}
+    for key in calls.keys() | results.keys():
+        asked, said = sorted(calls.get(key, []), key=lambda c: c[:2]), sorted(results.get(key, []), key=lambda r: r[0])
+        for n in range(max(len(asked), len(said))):
+            c, r = asked[n] if n < len(asked) else None, said[n] if n < len(said) else None
+            wrong = []
+            if c:
+                fields = schemas.get(c[2])
+                if fields is None:
+                    wrong = ["unknown_tool"]
+                elif not isinstance(c[3], dict):
+                    wrong = ["no_object"]
+                else:
+                    for f, (k, needed) in sorted(fields.items()):
+                        if f not in c[3]:
+                            wrong += [f"missing:{f}"] * needed
+                        elif kind(c[3][f]) != k and not (k == "number" and kind(c[3][f]) == "integer"):
+                            wrong.append(f"type:{f}")
+                    wrong += [f"unknown:{f}" for f in sorted(set(c[3]) - set(fields))]
+            at = level(key) if c else None
+            status = "orphan" if not c else "cyclic" if at is None else "unknown_tool" if wrong == ["unknown_tool"] else "invalid" if wrong else "ok" if r else "unanswered"
+            out[(*key, n + 1)] = {"arguments": c[3] if c and isinstance(c[3], dict) else None, "call_turn": c and c[0], "content": r and r[1], "id": key[1], "level": at, "name": c and c[2], "problems": wrong, "result_turn": r and r[0], "status": status}
+    return out
+
+
+def test_tool_calls_match_brute_force(spark):
+    from terraledger.llm import chat
+
+    rng = random.Random(8)
+    values = [1, "12", "$a", "$b", "$c", 2.5, 10**19, None, True, {"k": [1, "q\"\n", None]}, [], "é\u0001", "", "$nobody"]
+    schemas = {"add": {"x": ("integer", True), "y": ("number", False)}, "say": {"text": ("string", True), "deep": ("object", False)}, "none": {}}
+    rows = []
+    for conv in (1, 2, None):
+        for turn in range(60):
+            if rng.random() < 0.5:
+                own = [{"id": rng.choice("abcdefgh"), "name": rng.choice(["add", "say", "none", "other"]), "arguments": {k: rng.choice(values) for k in rng.sample(["x", "y", "text", "deep"], rng.randrange(4))}} for _ in range(rng.randint(1, 3))]
+                if rng.random() < 0.2:
+                    own[0]["arguments"] = rng.choice([[1], "no", json.dumps({"x": 1})])
+                rows.append((conv, turn, "assistant", json.dumps({"tool_calls": own})))
+            else:
+                rows.append((conv, turn, "tool", json.dumps({"tool_call_id": rng.choice(["a", "b", "c", "d", 7]), "content": rng.choice(values)})))
+    rows += [(1, 100, "tool", '{"tool_call_id": "a"'), (1, 101, "user", '{"tool_calls": "none"}')]
+    df = spark.createDataFrame([(*r, 7, "x") for r in rows], "conv_id long, turn long, role string, text string, status int, json string")
+    want = brute_links_of_calls(rows, schemas)
+    linked = chat.canonical(chat.link(df, schemas=schemas, as_calls=False)).collect()
+    assert {(r.conv_id, r.id, r.nth): json.loads(r.json) for r in linked} == want
+    assert {v["status"] for v in want.values()} == {"ok", "unanswered", "orphan", "cyclic", "invalid", "unknown_tool"}
+
+
+def test_plain_chat_is_text_whatever_it_looks_like(spark):
+    from terraledger.llm import chat
+
+    texts = ["{oops", "[1, not json", "42", "true", "$t0", '"', "\x00\x01\x1f", '{"a": 1}', "null", '{"tool_calls": 3}', "\\", "", None]
+    rows = [(c, t, role, text) for c, text in enumerate(texts) for t, role in enumerate(("user", "assistant"))]
+    out = chat.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    assert len(out) == len(texts)
+    for r in out:
+        assert json.loads(r.json) == {"arguments": {"role": "user", "text": texts[r.conv_id] or ""}, "call_turn": 0, "content": texts[r.conv_id] or "", "id": "t0", "level": 0, "name": "respond", "problems": [], "result_turn": 1, "status": "ok"}
+    lost = spark.createDataFrame([(None, None, "tool", '{"tool_call_id": null, "content": 1}'), (1, 0, "a", '{"tool_calls": [{"name": "respond"}, {"name": "respond"}]}')], "conv_id long, turn long, role string, text string")
+    assert sorted(r.status for r in chat.formatted(lost, as_calls=False).collect()) == ["invalid", "invalid"]
+
+
+def test_op8_sql_matches(spark):
+    import duckdb
+
+    from terraledger.llm import queries
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{DATA}/conversations.parquet'")
+    want = con.execute(queries.ORACLE["op8_tool_links"])
+    names = [d[0] for d in want.description]
+    assert sorted(map(str, want.fetchall())) == sorted(str(tuple(r[c] for c in names)) for r in queries.op8_tool_links(spark, DATA).collect())
+
+
 # --- 9 sharding --------------------------------------------------------------------------
 def test_interleaving_follows_fractional_ranks(spark):
     from terraledger.llm import sharding
