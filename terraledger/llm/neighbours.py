@@ -1,12 +1,15 @@
 """Near-duplicate links between embeddings by NN-descent.
 
 Equal vectors of one label are one node first.  Neighbour lists start from the
-orders of random hyperplane codes: in each of ``tables`` orders a vector meets
-the few next to it.  NN-descent then refines the lists: the neighbours of a node,
-in both directions, are joined with each other, and each keeps its ``k`` best.
+orders of random hyperplane codes: in each of ``tables`` orders a vector is measured
+against the few next to it.  NN-descent then refines the lists: the neighbours of a node,
+in both directions, meet at that node and are measured against each other, and each
+keeps its ``k`` best.
 The lists serve the search; every pair measured at or above the threshold is kept
-as a link in a table of its own, and components come from that table.  A component
-with a node of ``k`` links or more is compared whole, in square blocks that give
+as a link in a table of its own, and components come from that table.  In a component
+with a node of ``k`` links or more, members within half the threshold's angle of its
+best linked node are all linked with each other, so they are counted and not compared;
+the others are compared with the whole component, in square blocks that give
 counts and not pairs.  The number of orders grows with the largest group, so that
 the share of pairs on the threshold that never meet stays at ``missed``.  A recall
 audit compares query vectors, of each class of degree about as many, with all rows;
@@ -19,18 +22,21 @@ threshold, between nodes of one label that is not null.
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components, and rows with a null label or id, link with nothing and are their own
 component; vectors of other lengths than the most common one are compared only
-among equals in length; repeated rows are separate vectors that link with each
-other; an empty table gives no rows; extra columns are not read.
+among equals in length; vectors of any finite length are scaled by their largest
+component first; repeated rows, and different rows that bear one id, are separate
+vectors; the recall is null where the audited vectors have no link at all;
+an empty table gives no rows; extra columns are not read.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terraledger.operators.graph import components
@@ -38,24 +44,32 @@ from terraledger.sources.lineage import drop_written, written
 
 THRESHOLD, K, TABLES, NEAR, BLOCK = 0.93, 12, 12, 3, 256
 AUDIT = 200
+#: Vectors of one cell of an order that pass through a task together.
+CELL = 512
 #: The share of pairs on the threshold, with no neighbour in common, that no start may meet.
 MISSED = 0.002
 
 
 def _unit(vectors: pd.Series) -> np.ndarray:
     x = np.stack(vectors.to_list()).astype(np.float64)
+    x /= np.abs(x).max(1)[:, None]
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
+def can_link(id_col: str, vec_col: str, label_col: str) -> Column:
+    """Whether a row's vector may link at all; never null."""
+    vec = F.col(vec_col)
+    finite = F.forall(vec, lambda v: v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < F.lit(float("inf"))))
+    usable = F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & vec.isNotNull() & (F.size(vec) > 0) & finite & F.exists(vec, lambda v: v != 0)
+    return F.coalesce(usable, F.lit(False))
+
+
 def vectors(df: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame:
     """Rows ``(id, grp, vec)`` of vectors that can link: ``grp`` is the label with the vector's length."""
-    vec = F.col(vec_col).cast("array<double>")
-    usable = (
-        F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & F.col(vec_col).isNotNull() & (F.size(vec) > 0)
-        & F.forall(vec, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))) & F.exists(vec, lambda v: v != 0)
-    )
+    # vectors of single precision stay so on their way; every task reads them as doubles
+    vec = F.col(vec_col) if df.schema[vec_col].dataType.simpleString() == "array<float>" else F.col(vec_col).cast("array<double>")
     grp = F.concat_ws(":", F.col(label_col).cast("string"), F.size(vec))
-    return df.where(usable).select(F.col(id_col).cast("long").alias("id"), grp.alias("grp"), vec.alias("vec"))
+    return df.where(can_link(id_col, vec_col, label_col)).select(F.col(id_col).cast("long").alias("id"), grp.alias("grp"), vec.alias("vec"))
 
 
 def meeting(n: int, threshold: float, near: int) -> float:
@@ -74,47 +88,63 @@ def tables_for(n: int, threshold: float, near: int, missed: float) -> int:
 
 
 def starts(nodes: DataFrame, tables: int, seed: int, near: int) -> DataFrame:
-    """Candidate pairs ``(a, b)``: neighbours in the orders of random hyperplane codes.
+    """Measured pairs ``(a, b, sim)``: neighbours in the orders of random hyperplane codes.
 
     An order is cut into cells (label, table, leading code bits, and a salt where a
-    cell is large), so no sort or window spans a label.
+    cell is large), so no sort spans a label; the vectors of a cell pass through one
+    task in order, and only the last few are held.
     """
     total = max(1, nodes.count())
-    bits = max(1, int(np.log2(max(2, total / 64))))
+    bits = min(20, max(1, int(np.log2(max(2, total / 64)))))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def codes(part: pd.DataFrame, d: int) -> Iterator[tuple[int, np.ndarray]]:
+        x = _unit(part["vec"])
+        planes = np.random.RandomState(seed).randn(tables, d, 30)
+        for t in range(tables):
+            yield t, (((x @ planes[t]) > 0).astype(np.int64) << np.arange(29, -1, -1)).sum(1)
+
+    def sized(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if not len(batch):
-                continue
             for d, part in batch.groupby(batch["vec"].map(len), sort=False):
-                x = _unit(part["vec"])
-                planes = np.random.RandomState(seed).randn(tables, d, 30)
-                for t in range(tables):
-                    sign = (x @ planes[t]) > 0
-                    code = (sign.astype(np.int64) << np.arange(29, -1, -1)).sum(1)
-                    yield pd.DataFrame({"id": part["id"], "grp": part["grp"], "t": t, "code": code})
-
-    coded = nodes.select("id", "grp", "vec").mapInPandas(run, "id long, grp string, t int, code long")
-    cell = coded.withColumn("cell", F.shiftright("code", 30 - min(bits, 20)))
-    size = cell.groupBy("grp", "t", "cell").agg(F.count(F.lit(1)).alias("n"))
-    # large cells are salted: their members also meet in the other orders, and through their neighbours
-    cell = cell.join(size, ["grp", "t", "cell"]).withColumn("salt", F.pmod(F.xxhash64("id", "t"), F.ceil(F.col("n") / 512)))
-    order = Window.partitionBy("grp", "t", "cell", "salt").orderBy("code", "id")
-    found = cell.select("id", F.array(*[F.lead("id", k).over(order) for k in range(1, near + 1)]).alias("next"))
-    return found.select(F.col("id").alias("a"), F.explode(F.array_compact("next")).alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a <> b").distinct()
-
+                for t, code in codes(part, d):
+                    cells = pd.DataFrame({"grp": part["grp"].to_numpy(), "cell": code >> (30 - bits)}).value_counts().reset_index(name="n")
+                    yield cells.assign(t=t)[["grp", "t", "cell", "n"]]
 
-def measured(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``pairs(a, b)`` with their cosine ``sim``."""
-    left, right = nodes.select(F.col("id").alias("a"), F.col("vec").alias("va")), nodes.select(F.col("id").alias("b"), F.col("vec").alias("vb"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "va", "vb")
+    def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for d, part in batch.groupby(batch["vec"].map(len), sort=False):
+                for t, code in codes(part, d):
+                    yield pd.DataFrame({"id": part["id"].to_numpy(), "grp": part["grp"].to_numpy(), "vec": part["vec"].to_numpy(), "t": t, "code": code, "cell": code >> (30 - bits)})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, ids, xs = None, np.zeros(0, np.int64), None
         for batch in batches:
-            if len(batch):
-                yield pd.DataFrame({"a": batch["a"], "b": batch["b"], "sim": (_unit(batch["va"]) * _unit(batch["vb"])).sum(1)})
+            for now, part in batch.groupby(["grp", "t", "cell", "salt"], sort=False):
+                x, own = _unit(part["vec"]), part["id"].to_numpy()
+                if now == key:
+                    x, own = np.concatenate([xs, x]), np.concatenate([ids, own])
+                fresh = len(own) - len(part)
+                out = []
+                for k in range(1, near + 1):
+                    first = np.arange(max(0, fresh - k), len(own) - k)
+                    if len(first):
+                        a, b = own[first], own[first + k]
+                        out.append(pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "sim": (x[first] * x[first + k]).sum(1)}))
+                yield from out
+                key, ids, xs = now, own[-near:], x[-near:]
+
+    vec = nodes.schema["vec"].dataType.simpleString()
+    rows = nodes.select("id", "grp", "vec")
+    size = rows.mapInPandas(sized, "grp string, t int, cell long, n long").groupBy("grp", "t", "cell").agg(F.sum("n").alias("n")).where(F.col("n") > CELL)
+    cells = rows.mapInPandas(coded, f"id long, grp string, vec {vec}, t int, code long, cell long")
+    # large cells are salted: their members also meet in the other orders, and through their neighbours
+    cells = cells.join(size, ["grp", "t", "cell"], "left").withColumn("salt", F.pmod(F.xxhash64("id", "t"), F.coalesce(F.ceil(F.col("n") / CELL), F.lit(1))))
+    laid = cells.select("id", "grp", "vec", "t", "code", "cell", "salt").repartition("grp", "t", "cell", "salt").sortWithinPartitions("grp", "t", "cell", "salt", "code", "id")
+    return once(laid.mapInPandas(run, "a long, b long, sim double"))
+
 
-    return joined.mapInPandas(run, "a long, b long, sim double")
+def once(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("a", "b").agg(F.max("sim").alias("sim"))
 
 
 def best(edges: DataFrame, k: int) -> DataFrame:
@@ -123,36 +153,72 @@ def best(edges: DataFrame, k: int) -> DataFrame:
     return both.withColumn("place", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("sim"), "v"))).where(F.col("place") <= k)
 
 
-def descend(edges: DataFrame, nodes: DataFrame, spark: SparkSession, sample: int = 5) -> DataFrame:
-    """What one round measures: of each node's list the ``sample`` nearest, in both directions but bounded, are joined with each other."""
-    lists = best(edges, sample)
-    reverse = lists.select(F.col("v").alias("u"), F.col("u").alias("v")).withColumn("place", F.row_number().over(Window.partitionBy("u").orderBy(F.xxhash64("u", "v")))).where(F.col("place") <= sample)
-    around = lists.select("u", "v").unionByName(reverse.select("u", "v")).groupBy("u").agg(F.collect_set("v").alias("vs"))
-    pair = F.explode(F.flatten(F.transform("vs", lambda x: F.transform(F.filter("vs", lambda y: x < y), lambda y: F.struct(x.alias("a"), y.alias("b"))))))
-    fresh = around.select(pair.alias("p")).select("p.a", "p.b").distinct().join(edges, ["a", "b"], "left_anti")
-    return written(measured(fresh, nodes))
+def descend(edges: DataFrame, nodes: DataFrame, threshold: float, k: int, sample: int = 5) -> DataFrame:
+    """What one round measures ``(a, b, sim)``: of each node's list the ``sample`` nearest, in both directions but bounded, meet at it.
+
+    Of the pairs measured those go on that reach the threshold, or are better than the
+    worst in a full list of one of their ends.
+    """
+    lists = best(edges, k)
+    worst = lists.groupBy("u").agg(F.when(F.count(F.lit(1)) >= k, F.min("sim")).otherwise(-2.0).alias("worst")).withColumnRenamed("u", "v")
+    near = lists.where(F.col("place") <= sample)
+    reverse = near.select(F.col("v").alias("u"), F.col("u").alias("v")).withColumn("place", F.row_number().over(Window.partitionBy("u").orderBy(F.xxhash64("u", "v")))).where(F.col("place") <= sample)
+    around = near.select("u", "v").unionByName(reverse.select("u", "v")).distinct().join(worst, "v")
+    laid = around.join(nodes.select(F.col("id").alias("v"), "vec"), "v").repartition("u").sortWithinPartitions("u", "v")
+
+    def met(own: pd.DataFrame) -> pd.DataFrame:
+        x, v, w = _unit(own["vec"]), own["v"].to_numpy(), own["worst"].to_numpy()
+        i, j = np.triu_indices(len(v), 1)
+        sim = (x[i] * x[j]).sum(1)
+        good = (sim >= threshold) | (sim > w[i]) | (sim > w[j])
+        i, j = i[good], j[good]
+        return pd.DataFrame({"a": np.minimum(v[i], v[j]), "b": np.maximum(v[i], v[j]), "sim": sim[good]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: pd.DataFrame | None = None
+        for batch in batches:
+            if held is not None:
+                batch = pd.concat([held, batch], ignore_index=True)
+            last = batch["u"].iat[-1] if len(batch) else None
+            done, held = batch[batch["u"] != last], batch[batch["u"] == last]
+            parts = [met(own) for _, own in done.groupby("u", sort=False)]
+            if parts:
+                yield pd.concat(parts, ignore_index=True)
+        if held is not None and len(held):
+            yield met(held)
+
+    return once(laid.select("u", "v", "vec", "worst").mapInPandas(run, "a long, b long, sim double"))
 
 
 def nearest(edges: DataFrame, k: int) -> DataFrame:
     """The edges that stand in the list of one of their ends."""
-    return best(edges, k).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"), "sim").distinct()
+    return once(best(once(edges), k).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"), "sim"))
 
 
 def blocks_of(members: DataFrame, size: int = BLOCK) -> DataFrame:
-    """``members(node, component)`` with ``block``: even parts of each component, and ``blocks``, how many it has."""
-    n = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("blocks"))
-    return members.join(n, "component").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    """``members(node, component, core)`` with ``block``: even parts of each component, those outside its core first.
+
+    ``shell`` is the number of these, ``blocks`` that of all.
+    """
+    parts = lambda c: F.ceil(F.count_if(c) / size).cast("int")
+    n = members.groupBy("component").agg(parts(~F.col("core")).alias("shell"), parts(F.col("core")).alias("inner"))
+    n = n.where("shell > 0").select("component", "shell", (F.col("shell") + F.col("inner")).alias("blocks"))
+    h = F.xxhash64("node")
+    block = F.when(F.col("core"), F.col("shell") + F.pmod(h, F.col("blocks") - F.col("shell"))).otherwise(F.pmod(h, F.col("shell")))
+    return members.join(n, "component").withColumn("block", block.cast("int"))
 
 
 def full_degrees(blocked: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """``(node, n_links, other)`` inside each component: every pair of blocks is one piece of work that yields counts.
+    """``(node, n_links, other)`` inside each component, but for links within its core.
 
-    ``other`` is the smallest node that the links of a piece of work connect a node
-    to, so a node has a row for each piece that it takes part in.
+    Every pair of blocks of which one lies outside the core is one piece of work that
+    yields counts.  ``other`` is the smallest node that the links of a piece of work
+    connect a node to, so a node has a row for each piece that it takes part in.
     """
-    rows = blocked.join(nodes, blocked["node"] == nodes["id"]).select("component", "node", "block", "blocks", "vec", "copies")
+    rows = blocked.join(nodes, blocked["node"] == nodes["id"]).select("component", "node", "block", "shell", "blocks", "core", "vec", "copies")
     i, j = F.least("block", "other"), F.greatest("block", "other")
-    dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("i", i).withColumn("j", j)
+    others = F.sequence(F.lit(0), F.when(F.col("core"), F.col("shell")).otherwise(F.col("blocks")) - 1)
+    dealt = rows.withColumn("other", F.explode(others)).withColumn("i", i).withColumn("j", j)
     laid = dealt.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "block")
 
     def count(part: pd.DataFrame) -> pd.DataFrame:
@@ -205,7 +271,7 @@ def _dots(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
-def audit(nodes: DataFrame, links: DataFrame, threshold: float, queries: int) -> dict[str, float]:
+def audit(nodes: DataFrame, links: DataFrame, threshold: float, queries: int) -> dict[str, float | None]:
     """Recall of ``links(node, n_links)`` for each group with a link, and at ``""`` for all.
 
     About ``queries`` nodes of each class of found degree (by powers of two) are
@@ -217,7 +283,7 @@ def audit(nodes: DataFrame, links: DataFrame, threshold: float, queries: int) ->
     weighed = weighed.withColumn("class", F.floor(F.log2(F.col("found") + 1)).cast("int"))
     sizes = {r["class"]: r["count"] for r in weighed.groupBy("class").count().collect()}
     if not sizes:
-        return {"": 1.0}
+        return {"": None}
     every = F.create_map(*[F.lit(x) for c, n in sizes.items() for x in (c, -(-n // queries))])
     drawn = weighed.where(F.pmod(F.xxhash64(F.lit(99), "id"), F.element_at(every, F.col("class"))) == 0)
     asked = drawn.select(F.col("id").alias("node"), F.col("grp").alias("q_grp"), F.col("vec").alias("q"), "found").collect()
@@ -245,60 +311,75 @@ def audit(nodes: DataFrame, links: DataFrame, threshold: float, queries: int) ->
         if r.node in truth:
             for g in ("", r.q_grp):
                 met.setdefault(g, {}).setdefault(int(truth[r.node]).bit_length(), []).append(min(1.0, r.found / truth[r.node]))
-    return {g: float(np.mean([np.mean(x) for x in classes.values()])) if classes else 1.0 for g, classes in met.items()}
+    return {g: float(np.mean([np.mean(x) for x in classes.values()])) if classes else None for g, classes in met.items()}
 
 
 def near_duplicates(df: DataFrame, *, threshold: float = THRESHOLD, k: int = K, tables: int = TABLES, rounds: int = 2, audit_queries: int = AUDIT, least_recall: float = 0.98, most_passes: int = 3, missed: float = MISSED, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """Rows ``(vec_id, n_links, component_id, kept, recall)``, one per input row; ``recall`` is what the audit found."""
-    spark = df.sparkSession
     usable = written(vectors(df, id_col, vec_col, label_col))
-    nodes = written(usable.groupBy("grp", "vec").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies")))
+    nodes = usable.groupBy("grp", "vec").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("copies"))
+    # numbered once, as they are written: an id may stand on several vectors
+    nodes = written(nodes.withColumn("id", F.monotonically_increasing_id()))
     largest = nodes.groupBy("grp").count().agg(F.max("count")).first()[0] or 1
     tables = max(tables, tables_for(largest, threshold, NEAR, missed))
-    edges, links, recall = None, None, {"": 0.0}
+    edges, links, done = None, None, []
     for turn in range(most_passes):
-        pairs = starts(nodes, tables * (turn + 1), 7 + turn, NEAR)
-        if edges is not None:
-            pairs = pairs.join(edges, ["a", "b"], "left_anti")
-        found = written(measured(pairs, nodes))
-        edges = found if edges is None else edges.unionByName(found)
-        over = [found.where(F.col("sim") >= threshold)]
+        over = [written(starts(nodes, tables * (turn + 1), 7 + turn, NEAR))]
+        edges = written(nearest(over[0] if edges is None else edges.unionByName(over[0]), k))
         for _ in range(rounds):
-            found = descend(edges, nodes, spark)
-            over.append(found.where(F.col("sim") >= threshold))
-            edges = written(nearest(edges.unionByName(found), k))
+            over.append(written(descend(edges, nodes, threshold, k)))
+            old, edges = edges, written(nearest(edges.unionByName(over[-1]), k))
+            drop_written(old)
         # the lists are cut for the search alone: no link that was measured is lost with them
-        for new in over:
-            links = new if links is None else links.unionByName(new)
-        links = written(links.select("a", "b").distinct())
-        label, degree = _degrees(links, nodes, spark, threshold, k)
+        new = reduce(DataFrame.unionByName, over).where(F.col("sim") >= threshold).select("a", "b")
+        links = written((new if links is None else links.unionByName(new)).distinct())
+        drop_written(*over)
+        label, degree = _degrees(links, nodes, threshold, k)
         recall = audit(nodes, degree, threshold, audit_queries)
-        short = [g for g, r in recall.items() if g and r < least_recall]
+        short = [g for g, r in recall.items() if g and r is not None and r < least_recall]
+        done += [label, degree, links]
         if not short:
             break
     if short:
-        members = nodes.where(F.col("grp").isin(short)).select(F.col("id").alias("node"), F.col("grp").alias("component"))
+        members = nodes.where(F.col("grp").isin(short)).select(F.col("id").alias("node"), F.col("grp").alias("component"), F.lit(False).alias("core"))
         pieces = written(full_degrees(blocks_of(members), nodes, threshold))
         exact = pieces.groupBy("node").agg(F.sum("n_links").alias("n_links"))
         label = components(links.unionByName(pieces.where("node <> other").select(F.col("node").alias("a"), F.col("other").alias("b"))))
         degree = written(degree.join(exact, "node", "left_anti").unionByName(exact))
         recall = audit(nodes, degree, threshold, audit_queries)
-    copies = nodes.select("grp", "vec", F.col("id").alias("node"), "copies")
-    per_vec = usable.join(copies, ["grp", "vec"]).join(degree, "node", "left").join(label, "node", "left")
-    per_vec = per_vec.select("id", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), F.coalesce("component", "node").alias("component_id"))
-    all_rows = df.select(F.col(id_col).cast("long").alias("id"))
-    out = all_rows.join(per_vec.dropDuplicates(["id"]), "id", "left")
-    component = F.coalesce("component_id", "id")
-    return out.select(F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("id") == component).alias("kept"), F.lit(recall[""]).alias("recall"))
-
-
-def _degrees(linked: DataFrame, nodes: DataFrame, spark: SparkSession, threshold: float, k: int) -> tuple[DataFrame, DataFrame]:
+        done += [label, degree, pieces]
+    lowest = label.join(nodes.select(F.col("id").alias("node"), "low"), "node").groupBy("component").agg(F.min("low").alias("lowest"))
+    known = nodes.select("grp", "vec", F.col("id").alias("node"), "copies", "low").join(degree, "node", "left").join(label, "node", "left").join(lowest, "component", "left")
+    known = known.select("grp", "vec", (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"), F.coalesce("lowest", "low").alias("component_id"))
+    linked = usable.join(known, ["grp", "vec"]).select(F.col("id").alias("vec_id"), "n_links", "component_id")
+    apart = df.where(~can_link(id_col, vec_col, label_col)).select(F.col(id_col).cast("long").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col(id_col).cast("long").alias("component_id"))
+    out = written(linked.unionByName(apart).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True))))
+    drop_written(usable, nodes, edges, *done)
+    return out.withColumn("recall", F.lit(recall[""]).cast("double"))
+
+
+def _degrees(linked: DataFrame, nodes: DataFrame, threshold: float, k: int) -> tuple[DataFrame, DataFrame]:
     """Components ``(node, component)`` and ``(node, n_links)``, the saturated lists enlarged."""
     label = components(linked)
     lists = linked.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(linked.select(F.col("b").alias("node"), F.col("a").alias("other")))
     weighed = lists.join(nodes.select(F.col("id").alias("other"), "copies"), "other")
-    listed = weighed.groupBy("node").agg(F.sum("copies").alias("n_links"), F.count(F.lit(1)).alias("listed"))
-    full = listed.where(F.col("listed") >= k).join(label, "node").select("component").distinct()
-    enlarged = full_degrees(blocks_of(label.join(full, "component")), nodes, threshold).groupBy("node").agg(F.sum("n_links").alias("n_links"))
-    degree = listed.join(enlarged.withColumnRenamed("n_links", "all_links"), "node", "left").select("node", F.coalesce("all_links", "n_links").alias("n_links"))
-    return label, written(degree)
+    listed = written(weighed.groupBy("node").agg(F.sum("copies").alias("n_links"), F.count(F.lit(1)).alias("listed")))
+    # the best linked node of a component with a full list is its centre
+    centres = listed.join(label, "node").groupBy("component").agg(F.max(F.struct("listed", (-F.col("node")).alias("_n"))).alias("m")).where(F.col("m.listed") >= k)
+    centres = centres.select("component", (-F.col("m._n")).alias("centre")).join(nodes.select(F.col("id").alias("centre"), F.col("vec").alias("at")), "centre").select("component", "at")
+    held = label.join(centres, "component").join(nodes.select(F.col("id").alias("node"), "vec", "copies"), "node").select("node", "component", "copies", "vec", "at")
+    half = math.cos(math.acos(min(1.0, threshold)) / 2) + 1e-9
+
+    def inside(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield batch[["node", "component", "copies"]].assign(core=(_unit(batch["vec"]) * _unit(batch["at"])).sum(1) >= half)
+
+    members = written(held.mapInPandas(inside, "node long, component long, copies long, core boolean"))
+    core = members.where("core").groupBy("component").agg(F.sum("copies").alias("_all"))
+    sure = members.where("core").join(core, "component").select("node", (F.col("_all") - F.col("copies")).alias("n_links"))
+    compared = full_degrees(blocks_of(members.drop("copies")), nodes, threshold).select("node", "n_links")
+    enlarged = sure.unionByName(compared).groupBy("node").agg(F.sum("n_links").alias("all_links"))
+    degree = written(listed.join(enlarged, "node", "left").select("node", F.coalesce("all_links", "n_links").alias("n_links")))
+    drop_written(listed, members)
+    return label, degree

@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import math
 import random
 import zlib
 
@@ -455,6 +456,22 @@ def test_nn_descent_finds_lone_pairs_beside_large_groups(spark):
     assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want and got[0].recall == 1.0
 
 
+def test_nn_descent_awkward_vectors(spark):
+    from terraledger.llm import neighbours
+
+    schema = "vec_id long, embedding array<double>, label int, id string, component_id int"
+    far = [(i, [x, x], 0) for i, x in enumerate([1e-200, 1e-160, 1.0, 7.0, 1e200, 3e200], 1)]
+    ids = [(11, [1.0, 0.0], 1), (11, [0.0, 1.0], 1), (12, [1.0, 0.0], 1), (13, [0.0, 1.0], 1), (14, [0.0, 1.0], 1), (15, [0.0, 2.0], 2), (15, [0.0, 2.0], 2)]
+    edge = math.acos(0.93)  # pairs just inside and just outside of the threshold
+    ties = [(20, [1.0, 0.0], 3), (21, [math.cos(edge - 1e-6), math.sin(edge - 1e-6)], 3), (30, [1.0, 0.0], 4), (31, [math.cos(edge + 1e-6), math.sin(edge + 1e-6)], 4), (None, [1.0, 0.0], 3), (40, [0.0, 0.0], None)]
+    df = spark.createDataFrame([(*r, "x", 7) for r in far + ids + ties], schema)
+    got = sorted(((r.vec_id, r.n_links, r.component_id) for r in neighbours.near_duplicates(df).collect()), key=str)
+    want = [(i, 5, 1) for i in range(1, 7)] + [(11, 1, 11), (11, 2, 11), (12, 1, 11), (13, 2, 11), (14, 2, 11), (15, 1, 15), (15, 1, 15), (20, 1, 20), (21, 1, 20), (30, 0, 30), (31, 0, 31), (None, 0, None), (40, 0, 40)]
+    assert got == sorted(want, key=str)
+    assert neighbours.near_duplicates(df.limit(0)).count() == 0
+    assert neighbours.near_duplicates(df.where("vec_id >= 30")).first().recall is None  # no link to find: nothing measured
+
+
 # --- 8 chat ---------------------------------------------------------------------------
 def test_tool_calls_are_linked_ordered_and_checked(spark):
     from terraledger.llm import chat
