@@ -6,14 +6,17 @@ The network, in numpy, embeds the four neighbours, has one hidden layer and give
 a distribution over word classes; a word's share of its class comes from counts
 over all documents.  Words beyond the ``vocabulary`` most frequent belong to
 classes of their ending and length; their shares come from their own counts too,
-joined from the table of all words.  The vocabulary grows with the root of the
-corpus: ``ROOTS`` times the root of its tokens, ``VOCABULARY`` at least.
+joined from the table of all words.  The vocabulary grows with the cube root of the
+corpus: ``ROOTS`` times that of its tokens, ``VOCABULARY`` at least.
 
-Counts cover the whole corpus.  Every task trains a replica on all windows of its
-rows, starting from weights fitted to a bounded sample (``warm_rows`` rows of at
+Counts cover the whole corpus.  Rows are dealt by a hash of id and text to replicas
+of about ``REPLICA_TOKENS`` tokens (more where the weights are large beside that);
+each replica trains on all windows of its rows in a fixed order,
+starting from weights fitted to a bounded sample (``warm_rows`` rows of at
 most ``warm_chars`` characters); the replicas' weights are averaged by tokens in
-two levels, so what is gathered grows with the input and what one task holds does
-not.
+two levels, in the order of the replicas, so what is gathered grows with the input,
+what one task holds does not, and neither the layout of the table nor a repeated task
+changes the model.
 
 Defined cases: null and empty texts have no token and score 0; words outside a
 document's ends are one pad symbol; repeated rows get equal scores; an empty table
@@ -25,7 +28,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -40,7 +42,9 @@ from terraledger.sources.lineage import written
 SIDE, DIM, HIDDEN = 2, 12, 24
 KNOWN_CLASSES, OTHER_CLASSES = 48, 16
 CLASSES = KNOWN_CLASSES + OTHER_CLASSES
-VOCABULARY, ROOTS, SLOTS = 16_384, 8, 20
+VOCABULARY, ROOTS, SLOTS = 16_384, 40, 20
+#: Tokens of a replica, and the least of them for each word of the vocabulary.
+REPLICA_TOKENS, TOKENS_A_WORD = 4_000_000, 100
 #: Logarithms of counts are summed as whole numbers of this unit, so that their order tells nothing.
 UNIT = 1e-8
 STEP, BATCH = 1 << 20, 4096
@@ -166,66 +170,119 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return counted.groupBy("word").agg(F.min("rare_class").alias("rare_class"), F.sum("n").alias("n"))
 
 
+def token_sums(counts: DataFrame) -> dict[int, int]:
+    """The tokens of each class of length and ending."""
+    return {r["rare_class"]: r["n"] for r in counts.groupBy("rare_class").agg(F.sum("n").alias("n")).collect()}
+
+
+def frequent(counts: DataFrame, vocabulary: int) -> pd.DataFrame:
+    """The ``vocabulary`` most frequent words.
+
+    A histogram of the counts first gives a count that about as many words reach, so
+    what is sorted and gathered has the size of the vocabulary, however many parts there are.
+    """
+    level = F.floor(F.log2("n") * 16).cast("long")
+    sizes = sorted(((r["level"], r["count"]) for r in counts.groupBy(level.alias("level")).count().collect()), reverse=True)
+    low, held = 0, 0
+    for low, n in sizes:
+        held += n
+        if held >= vocabulary:
+            break
+    return counts.where(level >= low).orderBy(F.desc("n"), "word").limit(vocabulary).select("word", "rare_class", "n").toPandas()
+
+
 def lexicon(counts: DataFrame, vocabulary: int | None = None) -> Lexicon:
     """The most frequent words in classes of about equal mass; of words that share a slot the most frequent stays known."""
-    total = counts.groupBy("rare_class").agg(F.sum("n").alias("n")).toPandas()
+    total = token_sums(counts)
     if vocabulary is None:
-        vocabulary = max(VOCABULARY, int(ROOTS * math.sqrt(total["n"].sum())))
+        vocabulary = max(VOCABULARY, int(ROOTS * math.cbrt(sum(total.values()))))
     slot_bits = max(SLOTS, vocabulary.bit_length() + 4)
-    slot = F.shiftrightunsigned("word", 64 - slot_bits)
-    top = counts.orderBy(F.desc("n"), "word").limit(vocabulary).select("word", "rare_class", "n", slot.alias("slot")).toPandas().drop_duplicates("slot")
+    top = frequent(counts, vocabulary)
+    slot = pd.Series(top["word"].to_numpy(np.int64).view(np.uint64) >> np.uint64(64 - slot_bits))
+    top = top[~slot.duplicated().to_numpy()]
     n = top["n"].to_numpy(np.float64)
     class_of = np.minimum((np.cumsum(n) - n / 2) / max(1.0, n.sum()) * KNOWN_CLASSES, KNOWN_CLASSES - 1).astype(np.int64)
     mass = np.bincount(class_of, n, KNOWN_CLASSES)
-    tokens = np.bincount(total["rare_class"] - KNOWN_CLASSES, total["n"], OTHER_CLASSES) if len(total) else np.zeros(OTHER_CLASSES)
+    tokens = np.array([total.get(KNOWN_CLASSES + c, 0) for c in range(OTHER_CLASSES)], np.float64)
     known = np.bincount(top["rare_class"] - KNOWN_CLASSES, n, OTHER_CLASSES) if len(top) else np.zeros(OTHER_CLASSES)
     share = np.log(n / np.maximum(mass[class_of], 1)) if len(n) else np.zeros(0)
     return Lexicon(top["word"].to_numpy(np.int64).view(np.uint64), class_of, share, -np.log(np.maximum(tokens - known, 1)), slot_bits)
 
 
-def train(docs: DataFrame, lex: Lexicon, *, warm_rows: int = WARM_ROWS, warm_chars: int = WARM_CHARS) -> WindowNet:
-    """Replicas on all windows of all rows, averaged by tokens."""
-    spark = docs.sparkSession
+def warm_start(docs: DataFrame, lex: Lexicon, warm_rows: int, warm_chars: int) -> WindowNet:
+    """Weights fitted to the rows that come first in the order of a hash; a threshold on it leaves few to sort."""
     net = WindowNet(lex.size)
-    warm = docs.where(F.length("text") <= warm_chars).orderBy(F.xxhash64("id"), "id").limit(warm_rows).select("text").collect()
-    symbol, target, _, of, _ = lex.read([r.text for r in warm])
+    short = docs.where(F.length("text") <= warm_chars).withColumn("_h", F.xxhash64(F.lit(9), "id", "text"))
+    share = min(1.0, (4 * warm_rows + 200) / max(1, docs.count()))
+    rows = short.where(F.col("_h") <= F.lit(min((1 << 63) - 1, int(share * 2.0**64) - (1 << 63)))).orderBy("_h", "id", "text").limit(warm_rows).select("text").collect()
+    symbol, target, _, of, _ = lex.read([r.text for r in rows])
     context = lex.contexts(symbol, of)
     order = np.random.RandomState(1).permutation(len(target))
     for _ in range(2):
         net.learn(context[order], target[order])
-    held = spark.sparkContext.broadcast((lex, net))
+    return net
+
+
+def train(docs: DataFrame, lex: Lexicon, tokens: int, *, warm_rows: int = WARM_ROWS, warm_chars: int = WARM_CHARS) -> WindowNet:
+    """Replicas on all windows of all rows ``(id, text)``, averaged by their tokens."""
+    net = warm_start(docs, lex, warm_rows, warm_chars)
+    held = docs.sparkSession.sparkContext.broadcast((lex, net))
+    replicas = max(4, -(-tokens // max(REPLICA_TOKENS, TOKENS_A_WORD * lex.size)))
     # as many lanes as there are replicas in a lane: no group holds more than the root of the replicas
-    lanes = max(1, math.isqrt(docs.rdd.getNumPartitions()))
+    lanes = max(1, math.isqrt(replicas))
+    h = F.xxhash64(F.lit(3), "id", "text")
+    dealt = docs.where("text is not null").select(F.pmod(h, F.lit(replicas)).cast("int").alias("replica"), h.alias("_h"), "id", "text")
+    laid = dealt.repartition(replicas, "replica").sortWithinPartitions("replica", "_h", "id").select("replica", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_lex, start = held.value
-        own = WindowNet(own_lex.size)
-        own.set_flat(start.flat())
-        own.square = [s.copy() for s in start.square]
-        seen = 0
-        for _, texts in steps(batches, limit=STEP):
+        own, now, seen, texts, size = WindowNet(own_lex.size), None, 0, [], 0
+
+        def learnt() -> None:
+            # steps are cut by what the replica has read, so batches and neighbours tell nothing
+            nonlocal seen, texts, size
             s, t, _, text, _ = own_lex.read(texts)
             if len(t):
                 own.learn(own_lex.contexts(s, text), t)
                 seen += len(t)
-        if seen:
-            flat = own.flat().astype(np.float64) * seen
-            lane = crc32(flat.tobytes()) % lanes
-            parts = [flat[a : a + PART] for a in range(0, len(flat), PART)]
-            yield pa.RecordBatch.from_arrays([pa.array([k for k in range(len(parts))], pa.int32()), pa.array([lane] * len(parts), pa.int32()), pa.array([seen] * len(parts), pa.int64()), pa.array([p.astype(np.float32) for p in parts], pa.list_(pa.float32()))], names=["part", "lane", "seen", "weights"])
+            texts, size = [], 0
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            learnt()
+            if seen:
+                flat = own.flat().astype(np.float64) * seen
+                parts = [flat[a : a + PART] for a in range(0, len(flat), PART)]
+                n = len(parts)
+                arrays = [pa.array(range(n), pa.int32()), pa.array([now % lanes] * n, pa.int32()), pa.array([now] * n, pa.int32()), pa.array([seen] * n, pa.int64()), pa.array(parts, pa.list_(pa.float64()))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["part", "lane", "replica", "seen", "weights"])
+
+        for batch in batches:
+            for replica, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if replica != now:
+                    if now is not None:
+                        yield from ended()
+                    now, seen = replica, 0
+                    own.set_flat(start.flat())
+                    own.square = [s.copy() for s in start.square]
+                texts.append(text)
+                size += len(text)
+                if size >= STEP:
+                    learnt()
+        if now is not None:
+            yield from ended()
 
     def summed(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("replica")
         total = np.zeros(len(pdf["weights"].iat[0]))
         for w in pdf["weights"]:
             total += w
-        return pd.DataFrame({"part": [key[0]], "lane": [0], "seen": [pdf["seen"].sum()], "weights": [total.astype(np.float32)]})
+        return pd.DataFrame({"part": [key[0]], "lane": [0], "replica": [pdf["replica"].iat[0]], "seen": [pdf["seen"].sum()], "weights": [total]})
 
-    shape = "part int, lane int, seen long, weights array<float>"
-    parts = docs.select("id", "text").mapInArrow(run, shape)
-    by_lane = parts.groupBy("part", "lane").applyInPandas(summed, shape)
+    shape = "part int, lane int, replica int, seen long, weights array<double>"
+    by_lane = laid.mapInArrow(run, shape).groupBy("part", "lane").applyInPandas(summed, shape)
     rows = by_lane.groupBy("part").applyInPandas(summed, shape).orderBy("part").collect()
     if rows:
-        net.set_flat(np.concatenate([np.array(r.weights, np.float64) / r.seen for r in rows]))
+        net.set_flat(np.concatenate([np.array(r.weights) / r.seen for r in rows]))
     return net
 
 
@@ -265,8 +322,7 @@ def score(docs: DataFrame, lex: Lexicon, net: WindowNet, counts: DataFrame) -> D
 
 def pseudo_likelihood(df: DataFrame, *, vocabulary: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fit on all of ``df`` and score each of its rows."""
-    spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     counts = written(word_counts(docs))
     lex = lexicon(counts, vocabulary)
-    return score(docs, lex, train(docs, lex), counts)
+    return score(docs, lex, train(docs, lex, sum(token_sums(counts).values())), counts)

@@ -362,11 +362,68 @@ def test_masked_lm_tells_rare_words_apart_by_their_counts(spark):
     assert masked_lm.lexicon(counts(10**11)).slot_bits > masked_lm.lexicon(counts(10**6)).slot_bits
 
 
+def test_masked_lm_matches_brute_force_in_any_layout(spark):
+    from terraledger.llm import masked_lm as m
+    from terraledger.llm.common import words
+
+    rng = random.Random(1)
+    texts = [None, "", "alone", "two words"] + [" ".join(rng.choice(["a", "bb", "ccc", "dddd", f"x{rng.randrange(60)}"]) for _ in range(rng.randint(1, 40))) for _ in range(60)] + [" ".join(f"w{k % 977}" for k in range(60_000))]
+    rows = [(k, t, 1.0, "clash") for k, t in enumerate(texts)] + [(3, "two words", 2.0, "clash"), (None, "no id", 0.0, "clash")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, total double, rare string")
+    both = [{(r.id, r.n_tokens): (r.log_likelihood, r.mean_log_probability) for r in m.pseudo_likelihood(df.repartition(n), vocabulary=40).collect()} for n in (2, 16)]
+    assert both[0] == both[1]
+    # the sum over tokens by plain loops, for the same weights
+    docs = df.select(F.col("doc_id").alias("id"), "text")
+    counts = m.word_counts(docs)
+    lex = m.lexicon(counts, 40)
+    net = m.train(docs, lex, 1000)
+    count = {r.word: r.n for r in counts.collect()}
+    known = {int(h): k for k, h in enumerate(lex.hashes)}
+    mass, other = {}, {}
+    e, w1, b1, w2, b2 = [w.astype(np.float64) for w in net.w]
+    kind = lambda h, n, last: lex.class_of[known[h]] if h in known else int(m.other_class(np.array([n]), np.array([last]))[0])
+    for t in [*texts, "no id"]:
+        for h, n, last in zip(*[x.tolist() for x in np.array(words([t]), object)[[0, 2, 3]]], strict=True):
+            (mass if h in known else other).setdefault(kind(h, n, last), {})[h] = count[np.uint64(h).astype(np.int64).item()]
+    for k, t in enumerate(texts[:40]):
+        h, _, n, last = (x.tolist() for x in words([t]))
+        symbol = [known[x] if x in known else len(lex.hashes) + kind(x, a, b) - m.KNOWN_CLASSES for x, a, b in zip(h, n, last, strict=True)]
+        want = 0.0
+        for i, (x, a, b) in enumerate(zip(h, n, last, strict=True)):
+            near = [symbol[j] if 0 <= j < len(h) else lex.size - 1 for j in (i - 2, i - 1, i + 1, i + 2)]
+            y = np.tanh(np.concatenate([e[c] for c in near]) @ w1 + b1) @ w2 + b2
+            c = kind(x, a, b)
+            shares = mass[c] if x in known else other[c]
+            want += y[c] - y.max() - math.log(np.exp(y - y.max()).sum()) + math.log(shares[x] / sum(shares.values()))
+        got = both[0][(k, len(h))][0]
+        assert got == pytest.approx(want, abs=1e-5), (k, t)
+
+
 def test_window_net_gradients():
     from terraledger.llm import masked_lm as m
 
-    net = m.WindowNet(30, 1)
     rng = np.random.RandomState(0)
+    context, target = rng.randint(0, 30, (8, 4)), rng.randint(0, m.CLASSES, 8)
+    loss = lambda n: -np.log(n.forward(context)[2][np.arange(8), target]).mean()
+    for k in range(5):
+        net = m.WindowNet(30, 1)
+        net.w = [w.astype(np.float64) for w in net.w]
+        if k:  # with a unit of squared gradients, one step moves weights by the gradient itself
+            before, net.square = net.w[k].copy(), [np.ones_like(w) for w in net.w[1:]]
+        else:
+            before = net.w[0].copy()
+        rate = 1e-6
+        net.learn(context, target, rate=rate)
+        step = (before - net.w[k]) / (rate * (1 if k else 20))
+        at = np.unravel_index(np.abs(step).argmax(), step.shape)
+        probe = m.WindowNet(30, 1)
+        probe.w = [w.astype(np.float64) for w in probe.w]
+        probe.w[k][at] += 1e-5
+        up = loss(probe)
+        probe.w[k][at] -= 2e-5
+        slope = (up - loss(probe)) / 2e-5
+        assert step[at] * (np.sqrt(1 + slope * slope) if k else 1) == pytest.approx(slope, rel=1e-3)
+    net = m.WindowNet(30, 1)
     context, target = rng.randint(0, 30, (400, 4)), rng.randint(0, m.CLASSES, 400)
     before = net.log_probability(context, target).mean()
     for _ in range(60):
