@@ -31,11 +31,12 @@ an empty table gives no rows; extra columns are not read.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,6 +88,57 @@ def tables_for(n: int, threshold: float, near: int, missed: float) -> int:
     return math.ceil(math.log(missed) / math.log1p(-min(1 - 1e-9, meeting(n, threshold, near))))
 
 
+def matrix(vectors: pa.Array) -> np.ndarray:
+    """Unit vectors of an Arrow list column; rows of other lengths than the longest are filled up with zeros, which changes no product of equals."""
+    if isinstance(vectors, pa.ChunkedArray):
+        vectors = vectors.combine_chunks()
+    flat, ends = np.asarray(vectors.flatten(), np.float64), np.asarray(vectors.value_lengths(), np.int64)
+    d = int(ends.max(initial=1))
+    if (ends == d).all():
+        x = flat.reshape(len(ends), d).copy()
+    else:
+        x = np.zeros((len(ends), d))
+        x[np.repeat(np.arange(len(ends)), ends), np.arange(len(flat)) - np.repeat(np.cumsum(ends) - ends, ends)] = flat
+    x /= np.abs(x).max(1)[:, None]
+    return x / np.sqrt((x * x).sum(1))[:, None]
+
+
+def _runs(batch: pa.RecordBatch, keys: list[str]) -> np.ndarray:
+    """A number for each row that changes where one of the key columns does."""
+    new = np.zeros(batch.num_rows, bool)
+    for k in keys:
+        column = batch.column(k)
+        values = np.asarray(column.dictionary_encode().indices if pa.types.is_string(column.type) else column)
+        new[1:] |= values[1:] != values[:-1]
+    return np.cumsum(new)
+
+
+def beside(batches: Iterator[pa.RecordBatch], keys: list[str], node: str, reach: int, good: Callable[..., np.ndarray] | None = None) -> Iterator[pa.RecordBatch]:
+    """Cosines of the rows that stand up to ``reach`` places apart under equal keys, in one stream of sorted batches.
+
+    ``good(sim, batch, i, j)`` may leave pairs out.  Only the last ``reach`` rows are held between batches.
+    """
+    held: pa.RecordBatch | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        fresh = held.num_rows if held is not None else 0
+        whole = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        run, own, x = _runs(whole, keys), np.asarray(whole.column(node)), matrix(whole.column("vec"))
+        for k in range(1, reach + 1):
+            j = np.arange(max(fresh, k), whole.num_rows)
+            j = j[run[j] == run[j - k]]
+            if not len(j):
+                continue
+            i = j - k
+            sim = (x[i] * x[j]).sum(1)
+            if good is not None:
+                keep = good(sim, whole, i, j)
+                i, j, sim = i[keep], j[keep], sim[keep]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(own[i], own[j])), pa.array(np.maximum(own[i], own[j])), pa.array(sim)], names=["a", "b", "sim"])
+        held = whole.slice(max(0, whole.num_rows - reach))
+
+
 def starts(nodes: DataFrame, tables: int, seed: int, near: int) -> DataFrame:
     """Measured pairs ``(a, b, sim)``: neighbours in the orders of random hyperplane codes.
 
@@ -97,50 +149,38 @@ def starts(nodes: DataFrame, tables: int, seed: int, near: int) -> DataFrame:
     total = max(1, nodes.count())
     bits = min(20, max(1, int(np.log2(max(2, total / 64)))))
 
-    def codes(part: pd.DataFrame, d: int) -> Iterator[tuple[int, np.ndarray]]:
-        x = _unit(part["vec"])
-        planes = np.random.RandomState(seed).randn(tables, d, 30)
+    def codes(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+        x = matrix(batch.column("vec"))
+        length = np.asarray(batch.column("vec").value_lengths())
         for t in range(tables):
-            yield t, (((x @ planes[t]) > 0).astype(np.int64) << np.arange(29, -1, -1)).sum(1)
-
-    def sized(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for d, part in batch.groupby(batch["vec"].map(len), sort=False):
-                for t, code in codes(part, d):
-                    cells = pd.DataFrame({"grp": part["grp"].to_numpy(), "cell": code >> (30 - bits)}).value_counts().reset_index(name="n")
-                    yield cells.assign(t=t)[["grp", "t", "cell", "n"]]
-
-    def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            code = np.zeros(len(x), np.int64)
+            for d in np.unique(length):
+                own = length == d
+                planes = np.random.RandomState([seed, t, int(d)]).randn(int(d), 30)
+                code[own] = (((x[own, :d] @ planes) > 0).astype(np.int64) << np.arange(29, -1, -1)).sum(1)
+            yield t, code
+
+    def sized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for d, part in batch.groupby(batch["vec"].map(len), sort=False):
-                for t, code in codes(part, d):
-                    yield pd.DataFrame({"id": part["id"].to_numpy(), "grp": part["grp"].to_numpy(), "vec": part["vec"].to_numpy(), "t": t, "code": code, "cell": code >> (30 - bits)})
+            grp = batch.column("grp").to_pandas()
+            for t, code in codes(batch):
+                n = pd.DataFrame({"grp": grp, "cell": code >> (30 - bits)}).value_counts().reset_index(name="n")
+                yield pa.RecordBatch.from_arrays([pa.array(n["grp"], pa.string()), pa.array(np.full(len(n), t, np.int32)), pa.array(n["cell"], pa.int64()), pa.array(n["n"], pa.int64())], names=["grp", "t", "cell", "n"])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, ids, xs = None, np.zeros(0, np.int64), None
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for now, part in batch.groupby(["grp", "t", "cell", "salt"], sort=False):
-                x, own = _unit(part["vec"]), part["id"].to_numpy()
-                if now == key:
-                    x, own = np.concatenate([xs, x]), np.concatenate([ids, own])
-                fresh = len(own) - len(part)
-                out = []
-                for k in range(1, near + 1):
-                    first = np.arange(max(0, fresh - k), len(own) - k)
-                    if len(first):
-                        a, b = own[first], own[first + k]
-                        out.append(pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "sim": (x[first] * x[first + k]).sum(1)}))
-                yield from out
-                key, ids, xs = now, own[-near:], x[-near:]
+            for t, code in codes(batch):
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(code), t, np.int32)), pa.array(code), pa.array(code >> (30 - bits))], names=["id", "grp", "vec", "t", "code", "cell"])
 
     vec = nodes.schema["vec"].dataType.simpleString()
     rows = nodes.select("id", "grp", "vec")
-    size = rows.mapInPandas(sized, "grp string, t int, cell long, n long").groupBy("grp", "t", "cell").agg(F.sum("n").alias("n")).where(F.col("n") > CELL)
-    cells = rows.mapInPandas(coded, f"id long, grp string, vec {vec}, t int, code long, cell long")
+    size = rows.mapInArrow(sized, "grp string, t int, cell long, n long").groupBy("grp", "t", "cell").agg(F.sum("n").alias("n")).where(F.col("n") > CELL)
+    cells = rows.mapInArrow(coded, f"id long, grp string, vec {vec}, t int, code long, cell long")
     # large cells are salted: their members also meet in the other orders, and through their neighbours
-    cells = cells.join(size, ["grp", "t", "cell"], "left").withColumn("salt", F.pmod(F.xxhash64("id", "t"), F.coalesce(F.ceil(F.col("n") / CELL), F.lit(1))))
-    laid = cells.select("id", "grp", "vec", "t", "code", "cell", "salt").repartition("grp", "t", "cell", "salt").sortWithinPartitions("grp", "t", "cell", "salt", "code", "id")
-    return once(laid.mapInPandas(run, "a long, b long, sim double"))
+    cells = cells.join(size, ["grp", "t", "cell"], "left").withColumn("salt", F.pmod(F.xxhash64("id", "t"), F.coalesce(F.ceil(F.col("n") / CELL), F.lit(1))).cast("long"))
+    keys = ["grp", "t", "cell", "salt"]
+    laid = cells.select("id", "vec", *keys, "code").repartition(*keys).sortWithinPartitions(*keys, "code", "id")
+    return once(laid.mapInArrow(lambda batches: beside(batches, keys, "id", near), "a long, b long, sim double"))
 
 
 def once(pairs: DataFrame) -> DataFrame:
@@ -166,28 +206,13 @@ def descend(edges: DataFrame, nodes: DataFrame, threshold: float, k: int, sample
     around = near.select("u", "v").unionByName(reverse.select("u", "v")).distinct().join(worst, "v")
     laid = around.join(nodes.select(F.col("id").alias("v"), "vec"), "v").repartition("u").sortWithinPartitions("u", "v")
 
-    def met(own: pd.DataFrame) -> pd.DataFrame:
-        x, v, w = _unit(own["vec"]), own["v"].to_numpy(), own["worst"].to_numpy()
-        i, j = np.triu_indices(len(v), 1)
-        sim = (x[i] * x[j]).sum(1)
-        good = (sim >= threshold) | (sim > w[i]) | (sim > w[j])
-        i, j = i[good], j[good]
-        return pd.DataFrame({"a": np.minimum(v[i], v[j]), "b": np.maximum(v[i], v[j]), "sim": sim[good]})
+    def good(sim: np.ndarray, batch: pa.RecordBatch, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        w = np.asarray(batch.column("worst"))
+        return (sim >= threshold) | (sim > w[i]) | (sim > w[j])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: pd.DataFrame | None = None
-        for batch in batches:
-            if held is not None:
-                batch = pd.concat([held, batch], ignore_index=True)
-            last = batch["u"].iat[-1] if len(batch) else None
-            done, held = batch[batch["u"] != last], batch[batch["u"] == last]
-            parts = [met(own) for _, own in done.groupby("u", sort=False)]
-            if parts:
-                yield pd.concat(parts, ignore_index=True)
-        if held is not None and len(held):
-            yield met(held)
-
-    return once(laid.select("u", "v", "vec", "worst").mapInPandas(run, "a long, b long, sim double"))
+    # a node has at most twice the sample around it, so all of its pairs stand that near to each other
+    rows = laid.select("u", "v", "vec", "worst")
+    return once(rows.mapInArrow(lambda batches: beside(batches, ["u"], "v", 2 * sample - 1, good), "a long, b long, sim double"))
 
 
 def nearest(edges: DataFrame, k: int) -> DataFrame:
