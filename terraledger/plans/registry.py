@@ -23,4 +23,4 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-from terraledger.plans import fits, graphs, gridded, networks, physics, relational, summaries  # noqa: E402, F401
+from terraledger.plans import checks, fits, graphs, gridded, networks, physics, relational, rules, summaries  # noqa: E402, F401
