@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from terraledger.operators import grid
 from terraledger.plans.registry import query
 from terraledger.plans.relational import r6
-from terraledger.sources.tables import table
+from terraledger.sources.tables import cell_coordinates, cell_of, table
 
 
 def cells(spark: SparkSession, sf: str) -> DataFrame:
@@ -43,6 +43,45 @@ def nearest_valid_fill(spark: SparkSession, sf: str) -> DataFrame:
     return grid.nearest_valid(cells(spark, sf), "value", 3).select("row", "col", "filled", r6("distance"))
 
 
+@query(f"""WITH {CELLS}, m AS (
+    SELECT a.row, a.col, b.value AS near, (a.row - b.row) * (a.row - b.row) + (a.col - b.col) * (a.col - b.col) AS d2,
+           row_number() OVER (PARTITION BY a.row, a.col ORDER BY (a.row - b.row) * (a.row - b.row) + (a.col - b.col) * (a.col - b.col), b.row, b.col) AS k
+    FROM c a JOIN c b ON (a.value IS NULL OR a.col % 4 = 1) AND b.value IS NOT NULL AND b.col % 4 <> 1 AND b.row % 3 = 0)
+SELECT c.row, c.col, CASE WHEN c.col % 4 = 1 OR c.row % 3 <> 0 THEN near ELSE coalesce(value, near) END AS filled, round(sqrt(d2), 6) AS distance
+FROM c LEFT JOIN m ON c.row = m.row AND c.col = m.col AND m.k = 1 WHERE c.value IS NULL OR c.col % 4 = 1 OR c.row % 3 = 0""")
+def nearest_fill(spark: SparkSession, sf: str) -> DataFrame:
+    """Holes filled from the nearest valid cell at any distance; two rows of three give no values."""
+    rows = cells(spark, sf)
+    hole = rows["value"].isNull() | (F.col("col") % 4 == 1)
+    thin = rows.withColumn("value", F.when(~hole & (F.col("row") % 3 == 0), F.col("value"))).where(hole | (F.col("row") % 3 == 0))
+    return grid.nearest_fill(thin, "value").select("row", "col", "filled", r6("distance"))
+
+
+@query("""SELECT p_partkey AS cell_id, p_partkey // 36 AS row, p_partkey % 36 AS col, round(-180 + (p_partkey % 36 + 0.5) * 10, 6)::DOUBLE AS lon, round(90 - (p_partkey // 36 + 0.5) * 0.02, 6)::DOUBLE AS lat FROM part""")
+def cell_centres(spark: SparkSession, sf: str) -> DataFrame:
+    rows = cell_coordinates(table(spark, sf, "part").select(F.col("p_partkey").alias("cell_id")), 9000, 36)
+    return rows.select("cell_id", F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), r6("lon"), r6("lat"))
+
+
+@query("""
+WITH p AS (SELECT c_custkey, (c_custkey * 7919 % 36000) / 100.0 - 180 AS lon, (c_custkey * 104729 % 15000) / 100.0 - 75 AS lat FROM customer),
+s AS (SELECT c_custkey, CAST(floor((90 - lat) / 180 * 18) AS BIGINT) * 36 + CAST(floor((lon + 180) / 10) AS BIGINT) % 36 AS cell FROM p) SELECT c_custkey, p_retailprice AS sampled FROM s LEFT JOIN part ON cell = p_partkey""")
+def point_samples(spark: SparkSession, sf: str) -> DataFrame:
+    """A layer under points, by an equi-join on cells."""
+    layer = table(spark, sf, "part").select(F.col("p_partkey").cast("long").alias("cell"), F.col("p_retailprice").alias("sampled"))
+    return points(spark, sf).select("c_custkey", cell_of(F.col("lon"), F.col("lat"), 18, 36).cast("long").alias("cell")).join(layer, "cell", "left").select("c_custkey", "sampled")
+
+
+@query(f"""WITH {CELLS}, w AS (SELECT row // 6 AS br, col // 6 AS bc, CASE WHEN value IS NULL THEN 'none' WHEN value > 910 THEN 'high' ELSE 'low' END AS kind, cos(radians(row / 2.0)) AS w FROM c)
+SELECT br, bc, kind, round(sum(w) / sum(sum(w)) OVER (PARTITION BY br, bc), 6) AS fraction FROM w GROUP BY 1, 2, 3""")
+def class_fractions(spark: SparkSession, sf: str) -> DataFrame:
+    """Fine classes as fractions of coarse cells, weighted by the cosine of the latitude."""
+    kind = F.when(F.col("value").isNull(), "none").when(F.col("value") > 910, "high").otherwise("low")
+    fine = cells(spark, sf).select(F.expr("row div 6").alias("br"), F.expr("col div 6").alias("bc"), kind.alias("kind"), F.cos(F.radians(F.col("row") / 2.0)).alias("w"))
+    sums = fine.groupBy("br", "bc", "kind").agg(F.sum("w").alias("w"))
+    return sums.select("br", "bc", "kind", F.round(F.col("w") / F.sum("w").over(Window.partitionBy("br", "bc")), 6).alias("fraction"))
+
+
 def points(spark: SparkSession, sf: str) -> DataFrame:
     lon, lat = (F.col("c_custkey") * 7919 % 36000) / 100 - 180, (F.col("c_custkey") * 104729 % 15000) / 100 - 75
     return table(spark, sf, "customer").select("c_custkey", lon.alias("lon"), lat.alias("lat"), "c_acctbal")

@@ -133,6 +133,44 @@ def cyclic_window(spark: SparkSession, sf: str) -> DataFrame:
     return months(spark, sf).select("o_custkey", best.alias("b")).select("o_custkey", (1 - F.col("b.start")).cast("long").alias("start"), F.col("b.score").alias("score"))
 
 
+#: A synthetic year of a supplier: rain, demand and temperature of each month.
+YEAR = """y AS (SELECT s_suppkey AS k, m, 20.0 + (s_suppkey * 7 + m * 13) % 90 AS p, 10.0 + (s_suppkey * 3 + m * 5) % 80 AS e, 12.0 - abs(m - 6) * 4 + s_suppkey % 9 AS t, [31, 28, 31, 30, 31, 30, 31, 31, 30, 31, 30, 31][m + 1] AS d FROM supplier, range(12) r(m))"""
+
+
+@query(f"""WITH RECURSIVE {YEAR},
+c AS (SELECT *, CASE WHEN t < 0 THEN p ELSE 0 END AS fall, greatest(t, 0) * 3 * d AS cap FROM y),
+u AS (SELECT *, sum(fall - cap) OVER (PARTITION BY k ORDER BY m) AS run, sum(fall - cap) OVER (PARTITION BY k ORDER BY m DESC) AS back, sum(fall - cap) OVER (PARTITION BY k) AS annual FROM c),
+i AS (SELECT k, CASE WHEN any_value(annual) > 0 THEN greatest(0, -min(run)) ELSE greatest(0, max(back)) END AS snow FROM u GROUP BY 1),
+s AS (SELECT k, -1 AS m, CAST(snow AS DOUBLE) AS snow, CAST(0 AS DOUBLE) AS water FROM i
+      UNION ALL SELECT s.k, c.m, CAST(greatest(s.snow + c.fall - c.cap, 0) AS DOUBLE), CAST(c.p - c.fall + least(s.snow + c.fall, c.cap) AS DOUBLE) FROM s JOIN c ON c.k = s.k AND c.m = s.m + 1),
+n AS (SELECT s.k, s.m, water, e, water - e AS delta FROM s JOIN c ON c.k = s.k AND c.m = s.m),
+b AS (SELECT k, -1 AS m, CAST(CASE WHEN sum(delta) > 0 THEN 100 ELSE 0 END AS DOUBLE) AS soil FROM n GROUP BY 1
+      UNION ALL SELECT b.k, n.m, CAST(least(greatest(b.soil + n.delta, 0), 100) AS DOUBLE) FROM b JOIN n ON n.k = b.k AND n.m = b.m + 1),
+r AS (SELECT k, -1 AS m, soil, CAST(0 AS DOUBLE) AS eta, CAST(0 AS DOUBLE) AS excess FROM b WHERE m = 11
+      UNION ALL SELECT r.k, n.m, CAST(least(r.soil + n.water - least(n.e, r.soil + n.water), 100) AS DOUBLE), CAST(least(n.e, r.soil + n.water) AS DOUBLE), CAST(greatest(r.soil + n.water - least(n.e, r.soil + n.water) - 100, 0) AS DOUBLE) FROM r JOIN n ON n.k = r.k AND n.m = r.m + 1)
+SELECT r.k AS s_suppkey, round(sum(eta), 4) AS eta, round(sum(n.e) - sum(eta), 4) AS deficit, round(sum(excess), 4) AS excess, round(max(CASE WHEN r.m = 11 THEN soil END), 4) AS soil, round(any_value(CAST(i.snow AS DOUBLE)), 4) AS snow
+FROM r JOIN i USING (k) JOIN n ON n.k = r.k AND n.m = r.m WHERE r.m >= 0 GROUP BY 1""")
+def two_store_bucket(spark: SparkSession, sf: str) -> DataFrame:
+    """Snow and soil through a year that ends as it begins: the starts are fixed points, found without a spin-up."""
+    k, months = F.col("s_suppkey"), F.sequence(F.lit(0), F.lit(11))
+    of = lambda f: F.transform(months, f)
+    days = F.array(*[F.lit(float(d)) for d in expr.DAYS])
+    rows = table(spark, sf, "supplier").select("s_suppkey", of(lambda m: 20.0 + (k * 7 + m * 13) % 90).alias("p"), of(lambda m: 10.0 + (k * 3 + m * 5) % 80).alias("e"), of(lambda m: 12.0 - F.abs(m - 6) * 4 + k % 9).alias("t"))
+    rows = rows.withColumn("fall", F.zip_with("p", "t", lambda p, t: F.when(t < 0, p).otherwise(0.0))).withColumn("cap", F.zip_with("t", days, lambda t, d: F.greatest(t, F.lit(0.0)) * 3 * d))
+    rows = rows.withColumn("change", F.zip_with("fall", "cap", lambda f, c: f - c)).withColumn("snow0", expr.snow_start(F.col("change")))
+    rows = rows.withColumn("snow", expr.folded(F.col("snow0"), F.col("change"), lambda now, x: F.greatest(now + x, F.lit(0.0))))
+    # what leaves the snow with the rain is the rain and snowfall less the growth of the pack
+    before = F.concat(F.array("snow0"), F.slice("snow", 1, 11))
+    rows = rows.withColumn("water", F.zip_with("p", F.zip_with("snow", before, lambda a, b: a - b), lambda p, grown: p - grown))
+    rows = rows.withColumn("soil0", expr.cycle_start(F.zip_with("water", "e", lambda w, e: w - e), 0.0, 100.0))
+    path = expr.folded(F.col("soil0"), F.zip_with("water", "e", lambda w, e: w - e), expr.held(0.0, 100.0))
+    rows = rows.withColumn("soil", path).withColumn("stored", F.concat(F.array("soil0"), F.slice("soil", 1, 11)))
+    rows = rows.withColumn("eta", F.zip_with("e", F.zip_with("stored", "water", lambda s, w: s + w), lambda e, has: F.least(e, has)))
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
+    excess = total("water") + F.col("soil0") - F.element_at("soil", -1) - total("eta")
+    return rows.select("s_suppkey", F.round(total("eta"), 4).alias("eta"), F.round(total("e") - total("eta"), 4).alias("deficit"), F.round(F.greatest(excess, F.lit(0.0)), 4).alias("excess"), F.round(F.element_at("soil", -1), 4).alias("soil"), F.round("snow0", 4).alias("snow"))
+
+
 @query("""
 WITH c AS (SELECT c_nationkey, CAST(sum(CAST(c_acctbal AS DECIMAL(18, 2))) AS DOUBLE) AS flat, count(*) AS levels FROM customer GROUP BY 1)
 SELECT c_nationkey, round((flat + levels * 500.0) * (1 + 0.002 * (c_nationkey % 10)) + 3.0 * (c_nationkey % 10), 4) AS capacity FROM c""")
