@@ -189,3 +189,11 @@ def components(edges: DataFrame, *, nodes: DataFrame | None = None, most_rounds:
     if nodes is None:
         return labels
     return nodes.select("node").distinct().join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+
+
+def toward_source(edges: DataFrame, reached: DataFrame) -> DataFrame:
+    """``(node, distance, next)``: of ``distances`` the neighbour that is one nearer (the smallest); null at a source."""
+    both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    ahead = reached.select(F.col("node").alias("b"), (F.col("distance") + 1).alias("distance"))
+    step = both.join(ahead, "b").groupBy(F.col("a").alias("node"), "distance").agg(F.min("b").alias("next"))
+    return reached.join(step, ["node", "distance"], "left").select("node", "distance", "next")

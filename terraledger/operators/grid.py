@@ -172,3 +172,16 @@ def knn(queries: DataFrame, sources: DataFrame, k: int, *, group: str | None = N
 
     near = laid.mapInPandas(run, "q long, s long, d2 double")
     return near.withColumn("place", F.row_number().over(Window.partitionBy("q").orderBy("d2", "s"))).where(F.col("place") <= k)
+
+
+def donor_quantile(queries: DataFrame, donors: DataFrame, k: int, q: float, *, group: str, value: str) -> DataFrame:
+    """``(q, estimate, donors, pool)``: a quantile of the ``k`` nearest donors of the own group where it has ``k``, else of all.
+
+    Both sides are rows ``(id, vec, group)``; donors bear ``value``.
+    """
+    enough = donors.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= k).select(group)
+    own = queries.join(enough, group, "left_semi")
+    rest = queries.join(enough, group, "left_anti")
+    near = knn(own, donors, k, group=group).withColumn("pool", F.lit("group")).unionByName(knn(rest, donors, k).withColumn("pool", F.lit("all")))
+    held = near.join(donors.select(F.col("id").cast("long").alias("s"), F.col(value).cast("double").alias("_v")), "s")
+    return held.groupBy("q", "pool").agg(F.percentile("_v", q).alias("estimate"), F.count(F.lit(1)).alias("donors"))

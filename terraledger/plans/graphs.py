@@ -45,7 +45,7 @@ q{k} AS (SELECT * FROM q{k - 1} UNION ALL SELECT id, down_id, generated, flow *
 #: Levels that the SQL writes out; the parts are a binary tree of at most 2^16.
 LEVELS = 16
 ROUTE = f"""{PATHS}, h AS (SELECT below AS id, max(hops) AS level FROM a GROUP BY 1),
-n AS (SELECT t.id, t.down_id, size * 0.5 AS generated, CAST(t.id % 11 AS DOUBLE) AS want, 1 - (t.id % 5) / 50.0 AS kept, level FROM t JOIN h USING (id)),
+n AS (SELECT t.id, t.down_id, CAST(size * 0.5 AS DOUBLE) AS generated, CAST(t.id % 11 AS DOUBLE) AS want, CAST(1 - (t.id % 5) / 50.0 AS DOUBLE) AS kept, level FROM t JOIN h USING (id)),
 q0 AS (SELECT id, down_id, generated, generated * (1 - kept) AS lost, least(generated * kept, want) AS allocated, greatest(generated * kept - least(generated * kept, want), 0) AS outflow FROM n WHERE level = 0),
 {", ".join(_level(k) for k in range(1, LEVELS + 1))}"""
 

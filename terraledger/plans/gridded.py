@@ -46,14 +46,14 @@ def nearest_valid_fill(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""WITH {CELLS}, m AS (
     SELECT a.row, a.col, b.value AS near, (a.row - b.row) * (a.row - b.row) + (a.col - b.col) * (a.col - b.col) AS d2,
            row_number() OVER (PARTITION BY a.row, a.col ORDER BY (a.row - b.row) * (a.row - b.row) + (a.col - b.col) * (a.col - b.col), b.row, b.col) AS k
-    FROM c a JOIN c b ON (a.value IS NULL OR a.col % 4 = 1) AND b.value IS NOT NULL AND b.col % 4 <> 1 AND b.row % 3 = 0)
+    FROM c a JOIN c b ON (a.value IS NULL OR a.col % 4 = 1 OR a.row % 3 <> 0) AND b.value IS NOT NULL AND b.col % 4 <> 1 AND b.row % 3 = 0)
 SELECT c.row, c.col, CASE WHEN c.col % 4 = 1 OR c.row % 3 <> 0 THEN near ELSE coalesce(value, near) END AS filled, round(sqrt(d2), 6) AS distance
-FROM c LEFT JOIN m ON c.row = m.row AND c.col = m.col AND m.k = 1 WHERE c.value IS NULL OR c.col % 4 = 1 OR c.row % 3 = 0""")
+FROM c LEFT JOIN m ON c.row = m.row AND c.col = m.col AND m.k = 1""")
 def nearest_fill(spark: SparkSession, sf: str) -> DataFrame:
     """Holes filled from the nearest valid cell at any distance; two rows of three give no values."""
     rows = cells(spark, sf)
     hole = rows["value"].isNull() | (F.col("col") % 4 == 1)
-    thin = rows.withColumn("value", F.when(~hole & (F.col("row") % 3 == 0), F.col("value"))).where(hole | (F.col("row") % 3 == 0))
+    thin = rows.withColumn("value", F.when(~hole & (F.col("row") % 3 == 0), F.col("value")))
     return grid.nearest_fill(thin, "value").select("row", "col", "filled", r6("distance"))
 
 

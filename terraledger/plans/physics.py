@@ -93,10 +93,10 @@ SELECT s_suppkey, CAST(month AS INTEGER) AS month, round(days[month + 1] * great
 @query(ET0)
 def monthly_et0(spark: SparkSession, sf: str) -> DataFrame:
     """Twelve monthly reference values for each supplier's synthetic climate."""
-    k = F.col("s_suppkey") % 20
-    values = [expr.reference_et0(m, k * 6.0 - 57, k * 100.0, F.lit(-2.0 + m) + k / 4, F.lit(9.0 + m) + k / 4, F.lit(0.8), F.lit(2.0), 12000.0 + 300 * k) for m in range(12)]
-    months = table(spark, sf, "supplier").select("s_suppkey", F.posexplode(F.array(*values)).alias("month", "et0"))
-    return months.withColumn("et0", F.round("et0", 5))
+    k, m = F.col("s_suppkey") % 20, F.col("month")
+    months = table(spark, sf, "supplier").select("s_suppkey", F.explode(F.sequence(F.lit(0), F.lit(11))).alias("month"))
+    et0 = expr.reference_et0(m, k * 6.0 - 57, k * 100.0, m - 2.0 + k / 4, m + 9.0 + k / 4, F.lit(0.8), F.lit(2.0), 12000.0 + 300 * k)
+    return months.select("s_suppkey", "month", F.round(et0, 5).alias("et0"))
 
 
 MONTHS = """m AS (SELECT o_custkey, month(o_orderdate) AS mon, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) / 1000 AS v FROM orders GROUP BY 1, 2),

@@ -50,7 +50,7 @@ def test_clamp_fold(spark):
 
 def test_et0_is_positive_in_summer(spark):
     args = [F.lit(x) for x in (45.0, 200.0, 14.0, 28.0, 1.5, 2.0, 24000.0)]
-    r = one(spark, july=expr.reference_et0(6, *args), january=expr.reference_et0(0, F.lit(45.0), F.lit(200.0), F.lit(-5.0), F.lit(2.0), F.lit(0.5), F.lit(2.0), F.lit(4000.0)))
+    r = one(spark, july=expr.reference_et0(F.lit(6), *args), january=expr.reference_et0(F.lit(0), F.lit(45.0), F.lit(200.0), F.lit(-5.0), F.lit(2.0), F.lit(0.5), F.lit(2.0), F.lit(4000.0)))
     assert 150 < r.july < 220 and 0 <= r.january < 30
 
 
@@ -169,3 +169,46 @@ def test_walks_and_folds_raise_where_they_would_be_cut(spark, tmp_path):
     spark.range(10_001).selectExpr("cast(id as int) as c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
     with pytest.raises(ValueError):
         fits.region_folds(spark, str(tmp_path))
+
+
+def test_contracts_are_written_and_checked(spark, tmp_path):
+    from terraledger.sources import sinks
+
+    a = spark.createDataFrame([(1, 0.1, "nan"), (2, None, ""), (3, float("nan"), None)], "id int, v double, tag string")
+    sinks.write_contract({"a": a, "b": spark.range(3)}, str(tmp_path), "v1")
+    assert sinks.broken(spark, str(tmp_path), "v1").count() == 0
+    spark.range(4).write.mode("overwrite").parquet(f"{tmp_path}/v1/b")
+    assert [tuple(r) for r in sinks.broken(spark, str(tmp_path), "v1").collect()] == [("b", "content")]
+    # digests do not depend on the order of rows, but on every value and on repeats
+    assert sinks.fingerprint(a) == sinks.fingerprint(a.orderBy(F.desc("id")).repartition(3))
+    assert len({sinks.fingerprint(x) for x in (a, a.limit(2), a.unionByName(a), a.withColumn("v", F.lit(1.0)), a.limit(0))}) == 5
+    assert sinks.stamp({"a": a}, {"k": 1}, "1") != sinks.stamp({"a": a}, {"k": 2}, "1")
+    rows = [tuple(r) for r in sinks.fixed_digits(a, 3).orderBy("id").collect()]
+    assert rows == [(1, "0.1", "nan"), (2, None, ""), (3, None, None)]
+
+
+def test_checks_refuse(spark):
+    from terraledger.operators import checks
+
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d")], "k int, x string")
+    right = spark.createDataFrame([(1, "A"), (3, "C")], "k int, y string")
+    got = {(r.k, r.issue) for r in checks.one_to_one(left, right, "k").collect()}
+    assert got == {(2, "left_repeats"), (2, "right_missing"), (3, "left_missing"), (None, "right_missing")}
+    with pytest.raises(ValueError):
+        checks.joined_one_to_one(left, right, "k")
+    assert checks.joined_one_to_one(left.where("k = 1"), right.where("k = 1"), "k").count() == 1
+    assert checks.entity_contract(left.limit(0), "k", right.limit(0), ["x"], {}).count() == 0
+
+
+def test_fit_rules():
+    assert fits.rounded_values([10.0, -120.0, 35.0], [[1], [2]], 50).tolist() == [100.0, -100.0, 50.0]
+    assert fits.rounded_values([260.0, -120.0, 35.0], [[1], [2]], 50).tolist() == [250.0, -100.0, 50.0]
+    assert fits.sensible({"a": 3.0, "b": 5.0, "c": -1.0}, at_most={"a": 2.0}, falling=[["a", "b", "c"]], signs={"c": 1}) == ["bound:a", "order:a>b", "sign:c"]
+
+
+def test_nearest_fill_reaches_any_distance(spark):
+    cells = spark.createDataFrame([(0, 0, 1.0), (500, 3, None), (500, 900, 2.0), (2000, 0, None)], "row long, col long, value double")
+    got = {(r.row, r.col): (r.filled, r.distance) for r in grid.nearest_fill(cells, "value").collect()}
+    assert got[(500, 3)] == (1.0, pytest.approx(math.hypot(500, 3))) and got[(2000, 0)][0] == 2.0 and got[(0, 0)] == (1.0, None)
+    empty = grid.nearest_fill(cells.withColumn("value", F.lit(None).cast("double")), "value").collect()
+    assert len(empty) == 4 and all(r.filled is None for r in empty)
