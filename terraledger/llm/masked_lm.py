@@ -44,7 +44,7 @@ KNOWN_CLASSES, OTHER_CLASSES = 48, 16
 CLASSES = KNOWN_CLASSES + OTHER_CLASSES
 VOCABULARY, ROOTS, SLOTS = 16_384, 40, 20
 #: Tokens of a replica, and the least of them for each word of the vocabulary.
-REPLICA_TOKENS, TOKENS_A_WORD = 4_000_000, 100
+REPLICA_TOKENS, TOKENS_A_WORD = 2_000_000, 100
 #: Logarithms of counts are summed as whole numbers of this unit, so that their order tells nothing.
 UNIT = 1e-8
 STEP, BATCH = 1 << 20, 4096
@@ -227,25 +227,40 @@ def train(docs: DataFrame, lex: Lexicon, tokens: int, *, warm_rows: int = WARM_R
     """Replicas on all windows of all rows ``(id, text)``, averaged by their tokens."""
     net = warm_start(docs, lex, warm_rows, warm_chars)
     held = docs.sparkSession.sparkContext.broadcast((lex, net))
-    replicas = max(4, -(-tokens // max(REPLICA_TOKENS, TOKENS_A_WORD * lex.size)))
+    replicas = max(8, -(-tokens // max(REPLICA_TOKENS, TOKENS_A_WORD * lex.size)))
     # as many lanes as there are replicas in a lane: no group holds more than the root of the replicas
     lanes = max(1, math.isqrt(replicas))
     h = F.xxhash64(F.lit(3), "id", "text")
-    dealt = docs.where("text is not null").select(F.pmod(h, F.lit(replicas)).cast("int").alias("replica"), h.alias("_h"), "id", "text")
-    laid = dealt.repartition(replicas, "replica").sortWithinPartitions("replica", "_h", "id").select("replica", "text")
+    dealt = docs.where("text is not null").select(F.pmod(h, F.lit(replicas)).cast("int").alias("replica"), h.alias("h"), "id", "text")
+    kind = np.uint16 if lex.size < 1 << 16 else np.int32
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_lex = held.value[0]
+        for batch, texts in steps(batches, limit=STEP):
+            symbol, _, _, of, _ = own_lex.read(texts)
+            cuts = np.searchsorted(of, np.arange(len(texts) + 1)) * np.dtype(kind).itemsize
+            raw = symbol.astype(kind).tobytes()
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array([raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)], pa.binary())], names=["replica", "h", "id", "symbols"])
+
+    # symbols are shuffled and not texts: a third of their size, and read once
+    read = dealt.mapInArrow(coded, "replica int, h long, id long, symbols binary")
+    laid = read.repartition(replicas, "replica").sortWithinPartitions("replica", "h", "id").select("replica", "symbols")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_lex, start = held.value
-        own, now, seen, texts, size = WindowNet(own_lex.size), None, 0, [], 0
+        own, now, seen, rows, size = WindowNet(own_lex.size), None, 0, [], 0
+        known = len(own_lex.hashes)
+        classes = np.r_[own_lex.class_of, KNOWN_CLASSES + np.arange(OTHER_CLASSES)] if known else KNOWN_CLASSES + np.arange(OTHER_CLASSES)
 
         def learnt() -> None:
             # steps are cut by what the replica has read, so batches and neighbours tell nothing
-            nonlocal seen, texts, size
-            s, t, _, text, _ = own_lex.read(texts)
-            if len(t):
-                own.learn(own_lex.contexts(s, text), t)
-                seen += len(t)
-            texts, size = [], 0
+            nonlocal seen, rows, size
+            if size:
+                s = np.frombuffer(b"".join(rows), kind).astype(np.int64)
+                text = np.repeat(np.arange(len(rows)), [len(r) // np.dtype(kind).itemsize for r in rows])
+                own.learn(own_lex.contexts(s, text), classes[s])
+                seen += len(s)
+            rows, size = [], 0
 
         def ended() -> Iterator[pa.RecordBatch]:
             learnt()
@@ -257,15 +272,15 @@ def train(docs: DataFrame, lex: Lexicon, tokens: int, *, warm_rows: int = WARM_R
                 yield pa.RecordBatch.from_arrays(arrays, names=["part", "lane", "replica", "seen", "weights"])
 
         for batch in batches:
-            for replica, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for replica, symbols in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 if replica != now:
                     if now is not None:
                         yield from ended()
                     now, seen = replica, 0
                     own.set_flat(start.flat())
                     own.square = [s.copy() for s in start.square]
-                texts.append(text)
-                size += len(text)
+                rows.append(symbols)
+                size += len(symbols)
                 if size >= STEP:
                     learnt()
         if now is not None:
