@@ -133,7 +133,10 @@ class WindowNet:
                 self.square[k] += g * g
                 self.w[k + 1] -= rate * g / np.sqrt(self.square[k])
             # embeddings: plain steps on the sums of their windows' gradients
-            np.add.at(self.w[0], ids.ravel(), -(rate * 20) * dx.reshape(-1, DIM))
+            order = np.argsort(ids, axis=None, kind="stable")
+            own = ids.ravel()[order]
+            first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            self.w[0][own[first]] -= (rate * 20) * np.add.reduceat(dx.reshape(-1, DIM)[order], first, axis=0)
 
     def log_probability(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """In double precision and rounded, so that equal windows get equal values wherever they lie in a batch."""
