@@ -142,6 +142,16 @@ def base_requests(base: Column, crop_share: Column, base_area: Column, used_area
     return {k: eligible * scores[k] * d for k, d in dependency.items()}
 
 
+def protected_transfer(base: Column, requests: dict[str, Column], floor: Column) -> tuple[dict[str, Column], Column]:
+    """What each request gets of a base and what stays: all shrink by one factor so that ``floor`` (at most the base) is left; missing where a request is negative or they ask for over the base."""
+    asked = sum(requests.values(), F.lit(0.0))
+    room = positive(base - F.least(base, floor))
+    sound = all_known(base, floor, *requests.values()) & (F.least(F.lit(0.0), *requests.values()) >= 0) & (asked <= base + 1e-5)
+    factor = F.when(sound, F.least(F.when(asked > 0, room / asked).otherwise(0.0), F.lit(1.0)))
+    given = {k: v * factor for k, v in requests.items()}
+    return given, base - asked * factor
+
+
 def digitized(x: Column, breaks: Sequence[float], values: Sequence[float]) -> Column:
     """The value of the class that ``x`` falls into; a class begins at its break."""
     if len(values) != len(breaks) + 1 or list(breaks) != sorted(set(breaks)):

@@ -212,3 +212,35 @@ def test_nearest_fill_reaches_any_distance(spark):
     assert got[(500, 3)] == (1.0, pytest.approx(math.hypot(500, 3))) and got[(2000, 0)][0] == 2.0 and got[(0, 0)] == (1.0, None)
     empty = grid.nearest_fill(cells.withColumn("value", F.lit(None).cast("double")), "value").collect()
     assert len(empty) == 4 and all(r.filled is None for r in empty)
+
+
+def test_lattice_breaks_at_unknown_points_and_the_seam(spark):
+    from terraledger.operators import lines
+
+    rows = [(1, 0, 0.0, 0.0, "a"), (1, 1, 2.0, 1.0, "b"), (1, 2, None, 1.0, "c"), (1, 3, 9.0, 1.0, "d"), (1, 4, 0.0, 1.0, "e"), (2, 0, 3.0, 3.0, "f"), (3, 0, 1.0, -1.0, "g"), (3, 1, 1.0, 1.0, "h"), (4, 0, float("nan"), 0.0, "i"), (4, 1, 1.0, 1.0, "j")]
+    points = spark.createDataFrame(rows, "line long, order int, x double, y double, step string")
+    got = sorted(tuple(r) for r in lines.lattice_cells(points, "line", "order", 10, 10).collect())
+    assert got == [(1, 1, 0, 0, 0, True), (1, 1, 1, 1, 0, False), (1, 1, 2, 1, 1, False), (1, 1, 3, 2, 1, False), (3, 1, 1, 1, 0, True), (3, 1, 2, 1, 1, False)]
+    assert lines.lattice_cells(points.limit(0), "line", "order", 10, 10).count() == 0
+
+
+def test_registration_goes_there_and_back(spark):
+    from terraledger.operators import lines
+
+    map_ = lines.Registration(5.0, 5.0, (0.0, 100.0), 5.0, 5.0, (0.0, -60.0, 2.0), 11)
+    at = [(float(x), float(y), map_.longitude(float(x)), map_.latitude(float(y))) for x in (0, 3, 10) for y in (0, 4, 10)]
+    points = spark.createDataFrame([*at, (0.0, None, -100.0, 89.0), (0.0, None, -100.0, None)], "x double, y double, lon double, lat double")
+    got = map_.pixels(points, "lon", "lat").collect()
+    assert len(got) == 11
+    assert all(abs(r["px"] - r["x"]) < 1e-9 and (r["py"] is None if r["y"] is None else abs(r["py"] - r["y"]) < 1e-9) for r in got)
+    with pytest.raises(ValueError, match="fall"):
+        map_._replace(lat=(0.0, 60.0)).pixels(points, "lon", "lat")
+
+
+def test_blocks_that_never_close_are_missing(spark):
+    from terraledger.functions import text
+
+    rows = spark.createDataFrame([(None,), ("",), ("a = { b = { } ",), ("xa = { }",), ("a={}",), ("b = { soil = p }\nc = { soil = q }\nb = { soil = r }\nd = { }",)], "t string")
+    got = rows.select(text.block_span(F.col("t"), "a").alias("s"), text.block_values(F.col("t"), "soil").alias("v")).collect()
+    assert [r["s"] and tuple(r["s"]) for r in got] == [None, None, None, None, (1, 4), None]
+    assert got[0]["v"] is None and got[1]["v"] == {} and got[5]["v"] == {"c": "q", "b": "r"}
