@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraledger.llm import avi, bpe, chat, masked_lm, minhash, neighbours, packing, quality, sharding, toxicity
+from terraledger.llm import alignment, avi, bpe, centroids, chat, licenses, masked_lm, minhash, neighbours, packing, quality, sharding, toxicity
 from terraledger.llm.common import held_out
 from terraledger.sources.tables import table
 
@@ -64,6 +64,19 @@ def op10_attention_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id"), 3, 1).alias("held_out"), "score", "predicted")
 
 
+def op11_partial_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed=2).withColumnRenamed("id", "vec_id")
+
+
+def op12_license_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("matches").withColumnRenamed("id", "doc_id")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = alignment.linked(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return out.withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_toxicity": op2_toxicity,
@@ -75,6 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_tool_links": op8_tool_links,
     "op9_interleave": op9_interleave,
     "op10_attention_mil": op10_attention_mil,
+    "op11_partial_distance": op11_partial_distance,
+    "op12_license_join": op12_license_join,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 ORACLE: dict[str, str] = {
@@ -100,4 +116,6 @@ ORACLE: dict[str, str] = {
                || ',"name":' || CASE WHEN level IS NULL THEN 'null' ELSE '"respond"' END || ',"problems":[],"result_turn":' || coalesce(result_turn::VARCHAR, 'null')
                || ',"status":"' || status || '"}' AS json
         FROM j""",
+    "op11_partial_distance": centroids.cluster_sql(),
+    "op12_license_join": licenses.scan_sql(),
 }
