@@ -45,7 +45,9 @@ from terraledger.sources.lineage import written
 #: Pairs whose counts may be broadcast, about 60 bytes each in an executor.
 MOST_BROADCAST = 2_000_000
 #: Stretches a worker keeps encoded; a full store is emptied, which changes no result.
-KNOWN = 1_000_000
+KNOWN = 300_000
+#: Text bytes laid end to end at once; a longer text is one step of its own.
+STEP = 2 << 20
 #: Groups with more tokens than this on both sides are counted by distinct ids.
 WIDE = 32
 CUT, TWO_SPACES = re.compile(r"(?<=\S)(?=[ \n]\S)"), re.compile(r"\s\s")
@@ -234,7 +236,7 @@ def encoded_pairs(df: DataFrame, path_a: str, path_b: str, *, id_col: str = "doc
         own = _loaded(files)
         gc.disable()  # millions of strings and no cycles: the collector would only walk them
         try:
-            for batch, texts in steps(batches):
+            for batch, texts in steps(batches, limit=STEP):
                 x = align(own, texts)
                 of = lambda v: pa.ListArray.from_arrays(pa.array(x["offsets"].astype(np.int32)), pa.array(x[v]))  # noqa: E731, B023
                 columns = [batch.column(0), *[pa.array(x[v]) for v in ("n_a", "n_b", "n_groups", "n_links")], pa.array(x["digests"], pa.string()), of("pairs"), of("times")]
