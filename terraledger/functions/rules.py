@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from terraledger.functions.expr import all_known, clip, guarded
+from terraledger.functions.expr import all_known, best, clip, guarded, least_known
 
 
 def gain(better: Column, *others: Column) -> Column:
@@ -34,7 +34,7 @@ def labour_days(days: float, frequency: Column, fraction: Column, upkeep: float)
 
 
 def scenario_factor(low_input: Column, low: Column, high: Column, cultivar: float = 1.0, management: float = 1.0) -> Column:
-    return F.when(low_input, low).otherwise(high) * (cultivar * management)
+    return F.when(low_input, low).when(~low_input, high) * (cultivar * management)
 
 
 def rotation_fraction(crop: Column, fallow: Column) -> Column:
@@ -55,7 +55,7 @@ def maintained_base(base: Column, historical: Column, served: Column, full: Colu
     """Management of land that was in use before, and what its irrigation is corrected by."""
     care = gain(dry, base_dry)
     excess = gain(wet, dry, base_dry, wild) - gain(wet, dry, wild)
-    return {"care_now": F.least(base, historical) * care, "care_most": base * care, "water_now": F.least(served, base) * excess, "water_most": F.least(full, base) * excess}
+    return {"care_now": least_known(base, historical) * care, "care_most": base * care, "water_now": least_known(served, base) * excess, "water_most": least_known(full, base) * excess}
 
 
 def attribution(base: Column, start: Column, most: Column, served: Column, full: Column, dry: Column, wet: Column, wild: Column, low: Column) -> dict[str, Column]:
@@ -87,39 +87,46 @@ def support_values(base: Column, start: Column, most: Column, reference: Column,
 
 def inherited(active: Column, extent: Column, crop_gap: Column, water_gap: Column, ratio: float) -> Column:
     """The active share, held to a multiple of the evidenced extent."""
-    gap = F.greatest(crop_gap, water_gap)
-    return F.least(active, F.when(gap > 0, ratio * extent / gap).otherwise(1.0))
+    gap = best(crop_gap, water_gap)
+    return F.when(extent.isNotNull(), least_known(active, F.when(gap > 0, ratio * extent / gap).when(gap <= 0, 1.0)))
 
 
 def tapered(active: Column, capped: Column, extent: Column, applies: Column, full_below: float, none_above: float) -> Column:
     """The cap in full on sparse land, fading out towards dense land."""
-    return active - F.when(applies, clip((none_above - extent) / (none_above - full_below), 0.0, 1.0)).otherwise(0.0) * (active - capped)
+    fade = clip((none_above - extent) / (none_above - full_below), 0.0, 1.0)
+    return active - F.when(applies, fade).when(~applies & extent.isNotNull(), 0.0) * (active - capped)
 
 
 def command_fraction(fine: Column, km: Column, reach: float, same_basin: Column) -> Column:
-    return F.when(same_basin, clip(fine, 0.0, 1.0) * clip(1 - km / reach, 0.0, 1.0)).otherwise(0.0)
+    near = clip(fine, 0.0, 1.0) * clip(1 - km / reach, 0.0, 1.0)
+    return F.when(same_basin, near).when(~same_basin & near.isNotNull(), 0.0)
 
 
 def seasonal_response(supply: Column, demand: Column, worst: Column, critical: float) -> Column:
-    return clip((1 - critical) * F.when(demand > 0, supply / demand).otherwise(1.0) + critical * worst, 0.0, 1.0)
+    return clip((1 - critical) * F.when(demand > 0, supply / demand).when((demand <= 0) & supply.isNotNull(), 1.0) + critical * worst, 0.0, 1.0)
 
 
 def seasonal_demand(active: Column, deficit: Column, floor_mm: float, extra_mm: Column) -> Column:
-    """Of each month of two arrays: the deficit, at least an even share of the season's floor, and the crop's extra."""
-    months = F.size(F.filter(active, lambda a: a))
-    return F.zip_with(active, deficit, lambda a, d: F.when(a, F.greatest(d, floor_mm / months) + extra_mm).otherwise(0.0))
+    """Of each month of two arrays: the deficit, at least an even share of the season's floor, and the crop's extra.
+
+    Where it isn't known of a month whether it is active, the share and so all months are missing.
+    """
+    months = F.when(F.forall(active, lambda a: a.isNotNull()), F.size(F.filter(active, lambda a: a)))
+    need = F.zip_with(active, deficit, lambda a, d: F.when(a, best(d, floor_mm / months) + extra_mm).when(~a & months.isNotNull() & (d + extra_mm).isNotNull(), 0.0))
+    return need
 
 
 def dry_fields(cultivated: Column, served: Column, full: Column, dry: Column, wet: Column, wild: Column, other: Column, share: float) -> tuple[Column, Column]:
     """What another use adds on fields without water, and how much of that more water displaces."""
     field = positive(cultivated - served) * share
     more = gain(other, dry, wild)
-    return field * more, F.least(positive(full - served), field) * F.least(more, gain(wet, dry, wild))
+    return field * more, least_known(positive(full - served), field) * least_known(more, gain(wet, dry, wild))
 
 
 def inferred_water(cultivated: Column, recorded: Column, command: Column, dry: Column, wet: Column, other: Column, share: float) -> Column:
     needs = (dry <= 1e-6) & (wet > 1e-6) & (other <= 1e-6)
-    return recorded + F.when(needs, positive(F.least(cultivated, command) - recorded) * share).otherwise(0.0)
+    room = positive(least_known(cultivated, command) - recorded) * share
+    return recorded + F.when(needs, room).when(~needs & room.isNotNull(), 0.0)
 
 
 def mixed_mean(own: Column, others: Sequence[Column], share: float) -> tuple[Column, Column]:
@@ -137,7 +144,7 @@ def transfers(clearing: Column, management: Column, scores: dict[str, Column], r
 
 
 def base_requests(base: Column, crop_share: Column, base_area: Column, used_area: Column, scores: dict[str, Column], dependency: dict[str, float]) -> dict[str, Column]:
-    cover = F.least(guarded(used_area, base_area, 0.0), F.lit(1.0))
+    cover = least_known(guarded(used_area, base_area, 0.0), F.lit(1.0))
     eligible = base * clip(crop_share, 0.0, 1.0) * clip(cover, 0.0, 1.0)
     return {k: eligible * scores[k] * d for k, d in dependency.items()}
 
@@ -161,34 +168,38 @@ def digitized(x: Column, breaks: Sequence[float], values: Sequence[float]) -> Co
 
 def limited_score(availability: Column, retention: Column, weight: float, caps: Sequence[tuple[Column, float, float]]) -> Column:
     """A blend of the lesser and the mean, held down by each ``(measure, threshold, cap)`` that is reached."""
-    out = weight * F.least(availability, retention) + (1 - weight) * (availability + retention) / 2
+    out = weight * least_known(availability, retention) + (1 - weight) * (availability + retention) / 2
     for measure, threshold, cap in caps:
-        out = F.when(measure >= threshold, F.least(out, F.lit(cap))).otherwise(out)
+        out = F.when(measure >= threshold, least_known(out, F.lit(cap))).when(measure < threshold, out)
     return out
 
 
 def later_wins(start: Column, rules: Sequence[tuple[Column, object]]) -> Column:
-    """Rules in rising precedence: the last that holds decides."""
-    return reduce(lambda out, rule: F.when(rule[0], F.lit(rule[1])).otherwise(out), rules, start)
+    """Rules in rising precedence: the last that holds decides; missing where a later rule is unknown."""
+    return reduce(lambda out, rule: F.when(rule[0], F.lit(rule[1])).when(~rule[0], out), rules, start)
 
 
 def argmax_label(shares: dict[str, Column]) -> Column:
-    """The name of the largest share, the first among equals."""
-    rows = [F.struct(F.coalesce(v, F.lit(0.0)).alias("v"), F.lit(-k).alias("k"), F.lit(n).alias("n")) for k, (n, v) in enumerate(shares.items())]
+    """The name of the largest known share, the first among equals; missing where none is known."""
+    rows = [F.when(v.isNotNull(), F.struct(v.cast("double").alias("v"), F.lit(-k).alias("k"), F.lit(n).alias("n"))) for k, (n, v) in enumerate(shares.items())]
     return F.array_max(F.array(*rows))["n"]
 
 
 def allowance(population: Column, limit: float, capacity: Column, applies: Column) -> Column:
-    return F.when(applies, F.greatest(population / limit - capacity, F.lit(0.0))).otherwise(0.0)
+    """What people ask for beyond the capacity; 0 where the rule doesn't apply, whatever is known there."""
+    return F.when(applies, positive(population / limit - capacity)).when(~applies, 0.0)
 
 
 def decayed_access(eligible: Column, base: Column, upland: float, river: float, km: Column, decay: float, terrain: Column) -> Column:
+    """Access that fades with the way to a river; ``km`` is null where there is none."""
     share = upland + (river - upland) * F.when(km.isNull(), 0.0).otherwise(F.exp(-positive(km) / decay))
-    return F.when(eligible, F.least(base, share * terrain)).otherwise(base)
+    return F.when(eligible, least_known(base, share * terrain)).when(~eligible, base)
 
 
 def raised_reference(reference: Column, eligible: Column, density: Column) -> Column:
-    return F.when(eligible & (density > 0) & (density > reference), density).otherwise(reference)
+    """A reference lifted to a density that is known to be greater; an unknown density lifts nothing."""
+    lifted = F.coalesce(eligible & (density > 0) & (density > reference), F.lit(False))
+    return F.when(eligible.isNotNull() & reference.isNotNull(), F.when(lifted, density).otherwise(reference))
 
 
 def noted(parts: Sequence[tuple[Column, str]], start: str = "") -> Column:
@@ -199,7 +210,43 @@ def noted(parts: Sequence[tuple[Column, str]], start: str = "") -> Column:
 def exclusive(crop: Column, pasture: Column, wet: dict[str, Column]) -> dict[str, Column]:
     """Shares that add to at most one: crops, then pasture, then wet kinds scaled into what is left; ``rest`` is the remainder."""
     c = clip(crop, 0.0, 1.0)
-    p = F.least(clip(pasture, 0.0, 1.0), 1 - c)
+    p = least_known(clip(pasture, 0.0, 1.0), 1 - c)
     room, total = 1 - c - p, sum(wet.values(), F.lit(0.0))
-    factor = F.least(F.lit(1.0), F.when(total > 0, room / total).otherwise(1.0))
-    return {"crop": c, "pasture": p, **{k: v * factor for k, v in wet.items()}, "rest": F.greatest(room - total * factor, F.lit(0.0))}
+    factor = least_known(F.lit(1.0), F.when(total > 0, room / total).when((total <= 0) & room.isNotNull(), 1.0))
+    return {"crop": c, "pasture": p, **{k: v * factor for k, v in wet.items()}, "rest": positive(room - total * factor)}
+
+
+def refused(conditions: dict[str, Column]) -> Column:
+    """The names of the conditions that don't hold, an unknown one included, in order."""
+    return F.filter(F.array(*[F.when(~F.coalesce(c, F.lit(False)), k) for k, c in conditions.items()]), lambda n: n.isNotNull())
+
+
+def _share(x: Column) -> Column:
+    return (x >= 0) & (x <= 1)
+
+
+def activation_faults(extent: Column, maximum: Column, half: float) -> Column:
+    """What ``expr.activation`` should not be asked for."""
+    return refused({"half": F.lit(half > 0), "maximum": _share(maximum), "extent": _share(extent)})
+
+
+def inherited_faults(active: Column, extent: Column, crop_gap: Column, water_gap: Column, ratio: float) -> Column:
+    return refused({"ratio": F.lit(ratio >= 0), "active": _share(active), "extent": _share(extent), "crop_gap": crop_gap >= 0, "water_gap": water_gap >= 0})
+
+
+def demand_faults(active: Column, deficit: Column, floor_mm: float, extra_mm: Column) -> Column:
+    """Faults of a season's arrays: unequal lengths, unknown months, negative deficits, floors or extras, a floor without active months."""
+    known = F.forall(active, lambda a: a.isNotNull()) & F.forall(deficit, lambda d: d.isNotNull())
+    some = F.exists(active, lambda a: a) | F.lit(floor_mm == 0)
+    return refused({"length": F.size(active) == F.size(deficit), "unknown": known, "deficit": F.forall(deficit, lambda d: d >= 0), "floor": F.lit(floor_mm >= 0), "extra": extra_mm >= 0, "season": some})
+
+
+def transfer_faults(clearing: Column, management: Column, scores: dict[str, Column], rates: dict[str, tuple[float, float]], weight: Column, strength: float = 1.0) -> Column:
+    """Settings outside 0 to 1, and parts that add to more than the gains they are taken from."""
+    taken = [sum((scores[k] * weight * min(1.0, r[side] * strength) for k, r in rates.items()), F.lit(0.0)) for side in (0, 1)]
+    within = [positive(source) * part <= positive(source) + 1e-7 for source, part in zip((clearing, management), taken, strict=True)]
+    return refused({**{k: _share(v) for k, v in scores.items()}, "clearing": within[0], "management": within[1]})
+
+
+def dry_field_faults(cultivated: Column, served: Column, full: Column, share: float) -> Column:
+    return refused({"share": F.lit(0 <= share <= 1), "cultivated": _share(cultivated), "served": (served >= 0) & (served <= cultivated + 1e-9), "full": full >= served - 1e-9})

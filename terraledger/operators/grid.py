@@ -41,39 +41,6 @@ def moving_extreme(cells: DataFrame, value: str, radius: int) -> DataFrame:
     return cells.join(own.select("row", "col", (F.col("_hi") - F.col("_lo")).alias("moving_range")), ["row", "col"], "left")
 
 
-def nearest_fill(cells: DataFrame, value: str) -> DataFrame:
-    """``(row, col, filled, distance)``: a missing value from the nearest valid cell, however far (ties: smaller row, then column).
-
-    Within a column the nearest valid cells above and below are found by windows; a row
-    then looks only at those of its columns.  A column, and a row with its candidates,
-    are as long as the grid is high and wide.  Without any valid cell values stay missing.
-    """
-    known = cells.where(F.col(value).isNotNull()).select("row", "col", F.col(value).cast("double").alias("_v"))
-    # rows that ask, under every column that has a valid cell
-    span = known.agg(F.collect_set("col").alias("_cols"))  # one row, as wide as the grid
-    asked = cells.where(F.col(value).isNull()).select("row").distinct().join(F.broadcast(span)).select("row", F.explode("_cols").alias("col"), F.lit(None).cast("double").alias("_v"))
-    lines = known.unionByName(asked)
-    held = F.when(F.col("_v").isNotNull(), F.struct("row", F.col("_v").alias("v")))
-    order = Window.partitionBy("col").orderBy("row").rangeBetween(Window.unboundedPreceding, 0)
-    after = Window.partitionBy("col").orderBy("row").rangeBetween(0, Window.unboundedFollowing)
-    near = lines.withColumn("_up", F.max(held).over(order)).withColumn("_down", F.min(held).over(after)).where(F.col("_v").isNull())
-    near = near.select("row", "col", F.explode(F.array_distinct(F.array_compact(F.array("_up", "_down")))).alias("n")).select("row", "col", F.col("n.row").alias("from"), F.col("n.v").alias("v"), F.lit(0).alias("kind"))
-    lacking = cells.where(F.col(value).isNull()).select("row", "col", F.lit(None).cast(cells.schema["row"].dataType).alias("from"), F.lit(None).cast("double").alias("v"), F.lit(1).alias("kind"))
-
-    def look(part: pd.DataFrame) -> pd.DataFrame:
-        row = part["row"].iat[0]
-        have, ask = part[part["kind"] == 0].sort_values(["from", "col"]), part.loc[part["kind"] == 1, "col"].to_numpy(np.int64)
-        if not len(have):
-            return pd.DataFrame({"row": row, "col": ask, "v": np.nan, "d2": np.nan})
-        col, up = have["col"].to_numpy(np.int64), (have["from"].to_numpy(np.int64) - row) ** 2
-        best = np.concatenate([((ask[k : k + 256, None] - col) ** 2 + up).argmin(1) for k in range(0, len(ask), 256)]) if len(ask) else np.zeros(0, np.int64)
-        return pd.DataFrame({"row": row, "col": ask, "v": have["v"].to_numpy()[best], "d2": (ask - col[best]) ** 2 + up[best]})
-
-    found = near.unionByName(lacking).groupBy("row").applyInPandas(look, "row long, col long, v double, d2 double").where("not isnan(d2)")
-    found = found.select("row", "col", F.col("v").alias("_f"), F.sqrt("d2").alias("_d"))
-    return cells.join(found, ["row", "col"], "left").select("row", "col", F.coalesce(F.col(value).cast("double"), "_f").alias("filled"), F.col("_d").alias("distance"))
-
-
 def gradient(cells: DataFrame, value: str) -> DataFrame:
     """``gradient``: the largest absolute step to a valid cell beside it."""
     beside = around(cells, value, 1).where("abs(dr) + abs(dc) = 1")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from terraledger.operators import grid
+from terraledger.operators import distance, grid
 from terraledger.plans.registry import query
 from terraledger.plans.relational import r6
 from terraledger.sources.tables import cell_coordinates, cell_of, table
@@ -54,7 +54,7 @@ def nearest_fill(spark: SparkSession, sf: str) -> DataFrame:
     rows = cells(spark, sf)
     hole = rows["value"].isNull() | (F.col("col") % 4 == 1)
     thin = rows.withColumn("value", F.when(~hole & (F.col("row") % 3 == 0), F.col("value")))
-    return grid.nearest_fill(thin, "value").select("row", "col", "filled", r6("distance"))
+    return distance.nearest_fill(thin, "value").select("row", "col", "filled", r6("distance"))
 
 
 @query("""SELECT p_partkey AS cell_id, p_partkey // 36 AS row, p_partkey % 36 AS col, round(-180 + (p_partkey % 36 + 0.5) * 10, 6)::DOUBLE AS lon, round(90 - (p_partkey // 36 + 0.5) * 0.02, 6)::DOUBLE AS lat FROM part""")

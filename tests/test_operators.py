@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from terraledger.functions import expr
 from terraledger.operators import aggregates as ag
-from terraledger.operators import fits, graph, grid
+from terraledger.operators import distance, fits, graph, grid
 from terraledger.plans import registry
 from terraledger.sources.tables import cell_of
 
@@ -208,9 +208,9 @@ def test_fit_rules():
 
 def test_nearest_fill_reaches_any_distance(spark):
     cells = spark.createDataFrame([(0, 0, 1.0), (500, 3, None), (500, 900, 2.0), (2000, 0, None)], "row long, col long, value double")
-    got = {(r.row, r.col): (r.filled, r.distance) for r in grid.nearest_fill(cells, "value").collect()}
+    got = {(r.row, r.col): (r.filled, r.distance) for r in distance.nearest_fill(cells, "value").collect()}
     assert got[(500, 3)] == (1.0, pytest.approx(math.hypot(500, 3))) and got[(2000, 0)][0] == 2.0 and got[(0, 0)] == (1.0, None)
-    empty = grid.nearest_fill(cells.withColumn("value", F.lit(None).cast("double")), "value").collect()
+    empty = distance.nearest_fill(cells.withColumn("value", F.lit(None).cast("double")), "value").collect()
     assert len(empty) == 4 and all(r.filled is None for r in empty)
 
 
