@@ -6,14 +6,13 @@ lost executor costs one round.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terraledger.sources.lineage import drop_written, shared_folder
+from terraledger.sources.lineage import drop_written
 from terraledger.sources.lineage import written as settled
 
 #: Rows of a label table that go into one file.
@@ -98,39 +97,73 @@ def route(nodes: DataFrame, runoff: str, demand: str, protected: float = 0.6, su
 
     Rows are nodes, or nodes and keys ``by`` (months) that are routed apart.  Of what
     reaches a node with its own unprotected runoff the share ``survival`` is left;
-    demand takes from that, and the rest flows on.  Levels follow each other, since a
-    node needs what all above it leave; what is sent lies in one folder a level, so
-    each level reads its own inflow alone.  Negative or missing runoff, demand or
-    survival raises, as do repeated ids, links to nowhere and cycles.
+    demand takes from that, and the rest flows on.
+
+    What leaves a node is ``max(a x + b, c)`` of what enters it, and such functions
+    compose to the same form.  In each round nodes without an open node above settle
+    and add to the one below, while a node with a single open one above takes over
+    that one's function and looks as far up as it did; stretches halve, so rounds grow
+    with the logarithm of the nodes however deep the forest is.  Rows stay as many.
+
+    Negative or missing runoff, demand or survival raises, as do repeated rows, links
+    to nowhere (or to a node without that key) and cycles.
     """
     kept = (F.col(survival) if survival else F.lit(1.0)).cast("double")
     bad = lambda c: c.isNull() | F.isnan(c.cast("double")) | (c < 0)
     if nodes.where(bad(F.col(runoff)) | bad(F.col(demand)) | bad(kept) | (kept > 1)).limit(1).count():
         raise ValueError("runoff, demand and survival must be known and not negative")
-    height = heights(nodes.select("id", "down_id").distinct())
-    below = height.select(F.col("id").alias("down_id"), F.col("level").alias("down_level"))
+    keys = ["id", *by]
     flow = (F.col(runoff) * (1 - protected)).cast("double")
-    table = nodes.select("id", *by, "down_id", flow.alias("generated"), F.col(demand).cast("double").alias("want"), kept.alias("kept"))
-    table = settled(table.join(height, "id").join(below, "down_id", "left").select("id", *by, "down_id", "generated", "want", "kept", "level", "down_level"))
-    spark, top = table.sparkSession, table.agg(F.max("level")).first()[0]
-    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-    sent_schema = table.select("id", *by).schema.add("inflow", "double").add("down_level", "long")
-    out = ["id", *by, "generated", "lost", "allocated", "outflow"]
-    parts = []
-    for level in range((top if top is not None else -1) + 1):
-        now = table.where(F.col("level") == level)
-        if level:
-            arrived = spark.read.schema(sent_schema).parquet(path).where(F.col("down_level") == level).groupBy("id", *by).agg(F.sum("inflow").alias("inflow"))
-            now = now.join(arrived, ["id", *by], "left")
-        else:
-            now = now.withColumn("inflow", F.lit(0.0))
-        all_flow = F.col("generated") + F.coalesce("inflow", F.lit(0.0))
-        now = now.withColumn("lost", all_flow * (1 - F.col("kept"))).withColumn("allocated", F.least(all_flow * F.col("kept"), F.col("want")))
-        now = settled(now.withColumn("outflow", F.greatest(all_flow * F.col("kept") - F.col("allocated"), F.lit(0.0))))
-        sent = now.where("down_id is not null").select(F.col("down_id").alias("id"), *by, F.col("outflow").alias("inflow"), "down_level")
-        sent.write.mode("append").partitionBy("down_level").parquet(path)
-        parts.append(now.select(out))
-    return reduce(DataFrame.unionByName, parts) if parts else table.select("id", *by, "generated", *[F.lit(0.0).alias(c) for c in out[-3:]])
+    base = settled(nodes.select(*keys, "down_id", flow.alias("generated"), F.col(demand).cast("double").alias("want"), kept.alias("kept")))
+    if base.groupBy(*keys).count().where("count > 1").limit(1).count():
+        raise ValueError("an id stands on several nodes")
+    if base.where("down_id is not null").join(base.select(F.col("id").alias("down_id"), *by), ["down_id", *by], "left_anti").limit(1).count():
+        raise ValueError("a link leads to a node that does not exist")
+    out = _settled_outflow(base, keys)
+    arrived = out.where("down_id is not null").groupBy(F.col("down_id").alias("id"), *by).agg(F.sum("out").alias("inflow"))
+    all_flow = F.col("generated") + F.coalesce("inflow", F.lit(0.0))
+    routed = base.join(arrived, keys, "left").withColumn("lost", all_flow * (1 - F.col("kept"))).withColumn("allocated", F.least(all_flow * F.col("kept"), F.col("want")))
+    return routed.withColumn("outflow", F.greatest(all_flow * F.col("kept") - F.col("allocated"), F.lit(0.0))).select(*keys, "generated", "lost", "allocated", "outflow")
+
+
+def _settled_outflow(base: DataFrame, keys: list[str]) -> DataFrame:
+    """``(*keys, down_id, out)`` of routed rows ``(*keys, down_id, generated, want, kept)``, written."""
+    by, kind = keys[1:], base.schema["id"].dataType
+    a, b, c = F.col("a"), F.col("b"), F.col("c")
+    nothing = {"src": F.lit(None).cast(kind), "out": F.lit(None).cast("double"), "told": F.lit(False)}
+    first = base.select(*keys, "down_id", F.col("kept").alias("a"), (F.col("kept") * F.col("generated") - F.col("want")).alias("b"), F.lit(0.0).alias("c"), *[v.alias(k) for k, v in nothing.items()])
+    table = settled(first)
+    open_ = table.count()
+    while open_:
+        # what nodes hear from above: outflows that settled last round, and which nodes are open still
+        above = table.where("down_id is not null and not told").groupBy(F.col("down_id").alias("id"), *by)
+        above = above.agg(F.sum("out").alias("_sum"), F.count_if(F.col("out").isNull()).alias("_open"), F.min(F.when(F.col("out").isNull(), F.col("id"))).alias("_one"))
+        # the node that one looks up to; the others look at themselves, so that no key holds all of them
+        seen = table.select(F.col("id").alias("_at"), *by, a.alias("_a"), b.alias("_b"), c.alias("_c"), F.col("src").alias("_src"), F.col("out").alias("_out"))
+        now = table.join(above, keys, "left").withColumn("_at", F.coalesce("src", "id")).join(seen, ["_at", *by])
+        waits = F.col("out").isNull() & F.col("src").isNull()
+        looks = F.col("out").isNull() & F.col("src").isNotNull()
+        passes = looks & F.col("_out").isNull() & F.col("_src").isNotNull()
+        heard, left = b + a * F.coalesce("_sum", F.lit(0.0)), F.coalesce("_open", F.lit(0))
+        settles = F.when(waits & (left == 0), F.greatest(heard, c)).when(looks & F.col("_out").isNotNull(), F.greatest(a * F.col("_out") + b, c)).otherwise(F.col("out"))
+        source = F.when(waits & (left == 1), F.col("_one")).when(passes, F.col("_src")).otherwise(F.col("src"))
+        new = {
+            "a": F.when(passes, a * F.col("_a")).otherwise(a),
+            "b": F.when(waits, heard).when(passes, a * F.col("_b") + b).otherwise(b),
+            "c": F.when(passes, F.greatest(a * F.col("_c") + b, c)).otherwise(c),
+            "src": source,
+            "out": settles,
+            "told": F.col("out").isNotNull(),
+        }
+        after = settled(now.select(*keys, "down_id", *[v.alias(k) for k, v in new.items()]))
+        drop_written(table)
+        table = after
+        # of an open forest some node has none open above it, so each round settles one at least
+        still = table.where("out is null").count()
+        if still == open_:
+            raise ValueError("the links form a cycle")
+        open_ = still
+    return table.select(*keys, "down_id", "out")
 
 
 def route_balance(routed: DataFrame, nodes: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -244,3 +244,40 @@ def test_blocks_that_never_close_are_missing(spark):
     got = rows.select(text.block_span(F.col("t"), "a").alias("s"), text.block_values(F.col("t"), "soil").alias("v")).collect()
     assert [r["s"] and tuple(r["s"]) for r in got] == [None, None, None, None, (1, 4), None]
     assert got[0]["v"] is None and got[1]["v"] == {} and got[5]["v"] == {"c": "q", "b": "r"}
+
+
+def test_routes_of_every_shape_match_a_walk(spark):
+    import random
+
+    rng = random.Random(1)
+
+    def walked(rows, protected):
+        above = {}
+        for i, down, *_ in rows:
+            above.setdefault(down, []).append(i)
+        own, order, open_ = {r[0]: r for r in rows}, [], [r[0] for r in rows if r[1] is None]
+        while open_:
+            order.append(open_.pop())
+            open_ += above.get(order[-1], [])
+        inflow, out = {}, {}
+        for x in reversed(order):
+            _, down, runoff, demand, survival = own[x]
+            flow = runoff * (1 - protected) + inflow.get(x, 0.0)
+            given = min(flow * survival, demand)
+            out[x] = (given, flow * (1 - survival), max(flow * survival - given, 0.0))
+            inflow[down] = inflow.get(down, 0.0) + out[x][2]
+        return out
+
+    n = 600
+    shapes = {
+        "chain": [i + 1 if i < n - 1 else None for i in range(n)], "star": [0 if i else None for i in range(n)], "comb": [i + 2 if i % 2 == 0 and i + 2 < n else i - 1 if i % 2 else None for i in range(n)],
+        "mixed": [rng.choice([i - 1, i - 1, i - 1, rng.randrange(max(0, i - 30), i)]) if i % 200 else None for i in range(n)], "alone": [None] * 20,
+    }
+    for down in shapes.values():
+        rows = [(i, d, rng.uniform(0, 10), rng.choice([0.0, rng.uniform(0, 12)]), rng.uniform(0.8, 1)) for i, d in enumerate(down)]
+        got = graph.route(spark.createDataFrame(rows, "id long, down_id long, runoff double, demand double, survival double"), "runoff", "demand", 0.5, "survival")
+        assert {r.id: (r.allocated, r.lost, r.outflow) for r in got.collect()} == {k: pytest.approx(v, abs=1e-9) for k, v in walked(rows, 0.5).items()}
+    cycle = [(0, 1), (1, 2), (2, 1), (3, None)], [(0, 5)], [(0, None), (0, None)], [(0, 1), (1, 0)]
+    for bad in cycle:
+        with pytest.raises(ValueError):
+            graph.route(spark.createDataFrame([(*r, 1.0, 1.0) for r in bad], "id long, down_id long, runoff double, demand double"), "runoff", "demand")
