@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from terraledger.functions.expr import haversine_km, sphere
 from terraledger.operators.graph import settled
+from terraledger.operators.neighbours import knn
 
 
 def block_reduce(cells: DataFrame, value: str, factor_rows: int, factor_cols: int) -> DataFrame:
@@ -96,51 +97,6 @@ def _unit(lon: str, lat: str) -> tuple[Column, ...]:
     return sphere(F.col(lon), F.col(lat))
 
 
-def knn(queries: DataFrame, sources: DataFrame, k: int, *, group: str | None = None, block: int = 2048) -> DataFrame:
-    """``(q, s, d2, place)``: the ``k`` sources nearest to each query ``(id, vec)``, exactly; equal ids are skipped.
-
-    Sources and queries are cut into blocks of bounded size; each pair of blocks
-    is one piece of work that yields ``k`` rows a query, so neither all pairs nor
-    a whole side meets in a task.  With ``group`` only equal groups meet.
-    """
-    g = F.col(group) if group else F.lit(0)
-    left = queries.select(g.alias("g"), F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec"))
-    right = sources.select(g.alias("g"), F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec"))
-    n = lambda df, name: df.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(name))
-    parts = n(left, "qn").join(n(right, "sn"), "g")
-    part = lambda name: F.pmod(F.xxhash64("id"), F.col(name)).cast("int")
-    asked = left.join(parts, "g").withColumn("qb", part("qn")).withColumn("sb", F.explode(F.sequence(F.lit(0), F.col("sn") - 1)))
-    held = right.join(parts, "g").withColumn("sb", part("sn")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.col("qn") - 1)))
-    cols = ["g", "qb", "sb", "side", "id", "vec"]
-    laid = held.withColumn("side", F.lit(0)).select(*cols).unionByName(asked.withColumn("side", F.lit(1)).select(*cols))
-    laid = laid.repartition("g", "qb", "sb").sortWithinPartitions("g", "qb", "sb", "side", "id")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, ids, xs = None, [], []
-        for batch in batches:
-            for now, part_ in batch.groupby(["g", "qb", "sb", "side"], sort=False):
-                if now[:3] != key:
-                    key, ids, xs = now[:3], [], []
-                x, own = np.stack(part_["vec"].to_list()), part_["id"].to_numpy()
-                if now[3] == 0:
-                    ids.append(own)
-                    xs.append(x)
-                    continue
-                if not ids:
-                    continue
-                s, y = np.concatenate(ids), np.concatenate(xs)
-                for a in range(0, len(own), 128):
-                    d2 = ((x[a : a + 128, None, :] - y[None, :, :]) ** 2).sum(2)
-                    d2[own[a : a + 128, None] == s[None, :]] = np.inf
-                    order = np.lexsort((np.broadcast_to(s, d2.shape), d2))[:, :k]
-                    q = np.repeat(own[a : a + 128], order.shape[1])
-                    found = pd.DataFrame({"q": q, "s": s[order].ravel(), "d2": np.take_along_axis(d2, order, 1).ravel()})
-                    yield found[np.isfinite(found["d2"])]
-
-    near = laid.mapInPandas(run, "q long, s long, d2 double")
-    return near.withColumn("place", F.row_number().over(Window.partitionBy("q").orderBy("d2", "s"))).where(F.col("place") <= k)
-
-
 def donor_quantile(queries: DataFrame, donors: DataFrame, k: int, q: float, *, group: str, value: str) -> DataFrame:
     """``(q, estimate, donors, pool)``: a quantile of the ``k`` nearest donors of the own group where it has ``k``, else of all.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraledger.operators import distance, overlap, polygons
+from terraledger.operators import distance, overlap, polygons, transfer
 from terraledger.plans.gridded import CELLS, cells
 from terraledger.plans.registry import query
 from terraledger.sources.tables import table
@@ -150,3 +150,58 @@ def deepest_cell(spark: SparkSession, sf: str) -> DataFrame:
     zone = F.expr("(row * 2 + col div 3) div 9 * 7 + (col + row div 4) div 11")
     rows = cells(spark, sf).where((F.col("row") * 5 + F.col("col") * 3) % 29 > 0).withColumn("zone", zone)
     return distance.deepest_cells(rows, "zone")
+
+
+def stations(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as places with two climate features and two values; some lack a feature or a value."""
+    k = F.col("c_custkey")
+    lon, lat = (k * 7919 % 36000) / 100 - 180, (k * 104729 % 15000) / 100 - 75
+    climate = F.array(F.when(k % 23 != 0, (k * 31 % 97) / 10), (k * 17 % 89) / 7)
+    values = F.array((k * 13 % 71) / 9, F.when(k % 29 != 0, F.greatest(F.col("c_acctbal"), F.lit(0.0))))
+    return table(spark, sf, "customer").select(k.alias("id"), lon.alias("lon"), lat.alias("lat"), climate.alias("climate"), values.alias("values"))
+
+
+STATIONS = """p AS (SELECT c_custkey AS id, CAST((c_custkey * 7919 % 36000) / 100.0 - 180 AS DOUBLE) AS lon, CAST((c_custkey * 104729 % 15000) / 100.0 - 75 AS DOUBLE) AS lat,
+    CASE WHEN c_custkey % 23 <> 0 THEN CAST((c_custkey * 31 % 97) / 10.0 AS DOUBLE) END AS c0, CAST(c_custkey * 17 % 89 AS DOUBLE) / 7 AS c1,
+    CAST(c_custkey * 13 % 71 AS DOUBLE) / 9 AS v0, CASE WHEN c_custkey % 29 <> 0 THEN greatest(c_acctbal, 0) END AS v1 FROM customer),
+x AS (SELECT *, 6371.0088 * cos(radians(lat)) * cos(radians(lon)) AS x, 6371.0088 * cos(radians(lat)) * sin(radians(lon)) AS y, 6371.0088 * sin(radians(lat)) AS z, CAST(floor((lon + 180) / 10) + 2 * floor((lat + 90) / 10) AS INTEGER) % 5 AS fold FROM p),
+good AS (SELECT * FROM x WHERE c0 IS NOT NULL AND v1 IS NOT NULL)"""
+
+
+@query(f"""WITH {STATIONS}, s AS (SELECT * FROM good WHERE id % 3 > 0), sc AS (SELECT greatest(stddev_pop(c0), 0.1) AS s0, greatest(stddev_pop(c1), 0.1) AS s1 FROM s),
+d AS (SELECT t.id, s.id AS src, pow(t.x - s.x, 2) + pow(t.y - s.y, 2) + pow(t.z - s.z, 2) AS d2, t.c0 AS t0, t.c1 AS t1, s.c0, s.c1, s.v0, s.v1 FROM x t JOIN s ON t.id % 3 = 0 AND t.c0 IS NOT NULL),
+k AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d2, src) AS place FROM d),
+w AS (SELECT k.*, CASE WHEN sqrt(d2) <= 900 THEN exp(-0.5 * (pow((c0 - t0) / s0, 2) + pow((c1 - t1) / s1, 2)) / 2 - d2 / (2 * 300.0 * 300.0)) ELSE 0 END AS w FROM k, sc WHERE place <= 6)
+SELECT id, round(sum(w * v0) / sum(w), 6) AS first, round(sum(w * v1) / sum(w), 6) AS second, count(*) FILTER (w > 0) AS donors FROM w GROUP BY 1 HAVING sum(w) > 0""")
+def conditioned_transfer(spark: SparkSession, sf: str) -> DataFrame:
+    """Values of two thirds of the places carried to the others, by way and by climate."""
+    rows = stations(spark, sf)
+    out = transfer.conditioned_kernel(rows.where("id % 3 = 0"), rows.where("id % 3 > 0"), features=2, values=2, strength=0.5, k=6, radius_km=900.0, width_km=300.0)
+    return out.select("id", F.round(F.get("estimate", F.lit(0)), 6).alias("first"), F.round(F.get("estimate", F.lit(1)), 6).alias("second"), "donors")
+
+
+@query(f"""WITH {STATIONS}, sc AS (SELECT f, greatest(stddev_pop(c0), 0.1) AS s0, greatest(stddev_pop(c1), 0.1) AS s1 FROM good JOIN range(5) r(f) ON fold <> f GROUP BY 1),
+m AS (SELECT greatest(quantile_cont(v0, 0.5), 1e-8) AS m0, greatest(quantile_cont(v1, 0.5), 1e-8) AS m1 FROM good),
+d AS (SELECT t.id, s.id AS src, t.fold, pow(t.x - s.x, 2) + pow(t.y - s.y, 2) + pow(t.z - s.z, 2) AS d2, t.c0 AS t0, t.c1 AS t1, t.v0 AS o0, t.v1 AS o1, s.c0, s.c1, s.v0, s.v1 FROM good t JOIN good s ON t.fold <> s.fold),
+k AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY d2, src) AS place FROM d),
+w AS (SELECT k.*, strength, CASE WHEN sqrt(d2) <= 900 THEN exp(-strength * (pow((c0 - t0) / s0, 2) + pow((c1 - t1) / s1, 2)) / 2 - d2 / (2 * 300.0 * 300.0)) ELSE 0 END AS w
+      FROM k JOIN sc ON sc.f = k.fold, (VALUES (0.0), (0.25), (1.0), (4.0)) t(strength) WHERE place <= 6),
+e AS (SELECT strength, id, (pow(ln(1 + sum(w * v0) / sum(w) / max(m0)) - ln(1 + max(o0) / max(m0)), 2) + pow(ln(1 + sum(w * v1) / sum(w) / max(m1)) - ln(1 + max(o1) / max(m1)), 2)) / 2 AS e FROM w, m GROUP BY 1, 2 HAVING sum(w) > 0)
+SELECT CAST(strength AS DOUBLE) AS strength, round(sqrt(avg(e)), 6) AS error, count(*) AS evaluated FROM e GROUP BY 1""")
+def kernel_strength(spark: SparkSession, sf: str) -> DataFrame:
+    """How well each weight of the climate tells the values of one part of the globe from the others."""
+    fold = (F.floor((F.col("lon") + 180) / 10) + 2 * F.floor((F.col("lat") + 90) / 10)) % 5
+    out = transfer.strength_errors(stations(spark, sf), fold, 5, features=2, values=2, strengths=(0.0, 0.25, 1.0, 4.0), k=6, radius_km=900.0, width_km=300.0)
+    return out.select("strength", F.round("error", 6).alias("error"), "evaluated")
+
+
+@query(f"""WITH {CELLS}, p AS (SELECT row * 40 + col AS id, row, col, value, (row + col // 6) // 5 AS basin FROM c WHERE (row * 3 + col) % 4 > 0),
+d AS (SELECT a.id, a.basin, b.basin AS other, b.value, row_number() OVER (PARTITION BY a.id ORDER BY CASE WHEN a.id = b.id THEN -1 ELSE pow(a.row - b.row, 2) + pow(a.col - b.col, 2) END, b.id) AS place
+      FROM p a JOIN p b ON abs(a.row - b.row) <= 6 AND abs(a.col - b.col) <= 6)
+SELECT id, round(quantile_cont(value, 0.5), 6) AS smoothed, count(value) AS used FROM d WHERE place <= 9 AND basin = other GROUP BY 1""")
+def basin_smoothing(spark: SparkSession, sf: str) -> DataFrame:
+    """Medians over the nearest cells, never across basins; the SQL looks six cells around, where nine are always found."""
+    rows = cells(spark, sf).where((F.col("row") * 3 + F.col("col")) % 4 > 0)
+    points = rows.select((F.col("row") * 40 + F.col("col")).cast("long").alias("id"), F.col("col").alias("x"), F.col("row").alias("y"), F.expr("(row + col div 6) div 5").alias("basin"), "value")
+    out = transfer.group_median(points, 9, group="basin", value="value")
+    return out.select("id", F.round("smoothed", 6).alias("smoothed"), "used")
