@@ -21,44 +21,6 @@ def block_reduce(cells: DataFrame, value: str, factor_rows: int, factor_cols: in
     )
 
 
-def around(cells: DataFrame, value: str, radius: int) -> DataFrame:
-    """Each cell with its neighbours' values: each cell goes to the (2 r + 1)^2 cells around it, so no range join is needed."""
-    step = F.sequence(F.lit(-radius), F.lit(radius))
-    sent = cells.select("row", "col", F.col(value).alias("_v")).withColumn("_dr", F.explode(step)).withColumn("_dc", F.explode(step))
-    return sent.select((F.col("row") + F.col("_dr")).alias("row"), (F.col("col") + F.col("_dc")).alias("col"), F.col("_v").alias("near"), (-F.col("_dr")).alias("dr"), (-F.col("_dc")).alias("dc"))
-
-
-def moving_extreme(cells: DataFrame, value: str, radius: int) -> DataFrame:
-    """``moving_range``: maximum less minimum of the valid cells around each cell.
-
-    Extremes are separable: along rows first, then along columns, so a cell is sent
-    to twice ``2 r + 1`` places and not to its square.
-    """
-    step = F.explode(F.sequence(F.lit(-radius), F.lit(radius)))
-    own = cells.where(F.col(value).isNotNull()).select("row", "col", F.col(value).alias("_hi"), F.col(value).alias("_lo"))
-    for axis in ("row", "col"):
-        sent = own.withColumn("_d", step).withColumn(axis, F.col(axis) + F.col("_d"))
-        own = sent.groupBy("row", "col").agg(F.max("_hi").alias("_hi"), F.min("_lo").alias("_lo"))
-    return cells.join(own.select("row", "col", (F.col("_hi") - F.col("_lo")).alias("moving_range")), ["row", "col"], "left")
-
-
-def gradient(cells: DataFrame, value: str) -> DataFrame:
-    """``gradient``: the largest absolute step to a valid cell beside it."""
-    beside = around(cells, value, 1).where("abs(dr) + abs(dc) = 1")
-    own = cells.select("row", "col", F.col(value).alias("_own"))
-    steps = own.join(beside, ["row", "col"]).groupBy("row", "col").agg(F.max(F.abs(F.col("near") - F.col("_own"))).alias("gradient"))
-    return cells.join(steps, ["row", "col"], "left")
-
-
-def nearest_valid(cells: DataFrame, value: str, radius: int) -> DataFrame:
-    """``filled``: a missing value from the nearest valid cell within ``radius`` (ties: smaller row, then column)."""
-    lacking = cells.where(F.col(value).isNull()).select("row", "col")
-    near = around(cells.where(F.col(value).isNotNull()), value, radius)
-    d2 = F.col("dr") * F.col("dr") + F.col("dc") * F.col("dc")
-    found = lacking.join(near, ["row", "col"]).groupBy("row", "col").agg(F.min_by("near", F.struct(d2, F.col("row") + F.col("dr"), F.col("col") + F.col("dc"))).alias("_f"), F.min(d2).alias("_d2"))
-    return cells.join(found, ["row", "col"], "left").select(*cells.columns, F.coalesce(value, "_f").alias("filled"), F.sqrt(F.col("_d2")).alias("distance"))
-
-
 def nearest_donor(targets: DataFrame, donors: DataFrame, key: str, *, cell_deg: float = 10.0, rounds: int = 6) -> DataFrame:
     """``(key, donor, km)`` of each target's nearest donor by great-circle distance (ties: smaller donor key).
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from terraledger.operators import distance, grid
+from terraledger.operators import distance, grid, tiles
 from terraledger.plans.registry import query
 from terraledger.plans.relational import r6
 from terraledger.sources.tables import cell_coordinates, cell_of, table
@@ -26,12 +26,12 @@ def block_reduce(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(f"""WITH {CELLS} SELECT a.row, a.col, round(max(abs(b.value - a.value)), 6) AS gradient FROM c a LEFT JOIN c b ON abs(a.row - b.row) + abs(a.col - b.col) = 1 GROUP BY a.row, a.col""")
 def neighbour_gradient(spark: SparkSession, sf: str) -> DataFrame:
-    return grid.gradient(cells(spark, sf), "value").select("row", "col", r6("gradient"))
+    return tiles.gradient(cells(spark, sf), "value").select("row", "col", r6("gradient"))
 
 
 @query(f"""WITH {CELLS} SELECT a.row, a.col, round(max(b.value) - min(b.value), 6) AS moving_range FROM c a LEFT JOIN c b ON b.row BETWEEN a.row - 2 AND a.row + 2 AND b.col BETWEEN a.col - 2 AND a.col + 2 GROUP BY a.row, a.col""")
 def moving_extreme(spark: SparkSession, sf: str) -> DataFrame:
-    return grid.moving_extreme(cells(spark, sf), "value", 2).select("row", "col", r6("moving_range"))
+    return tiles.moving_extreme(cells(spark, sf), "value", 2).select("row", "col", r6("moving_range"))
 
 
 @query(f"""WITH {CELLS}, m AS (
@@ -40,7 +40,7 @@ def moving_extreme(spark: SparkSession, sf: str) -> DataFrame:
     FROM c a JOIN c b ON a.value IS NULL AND b.value IS NOT NULL AND abs(a.row - b.row) <= 3 AND abs(a.col - b.col) <= 3)
 SELECT c.row, c.col, coalesce(value, near) AS filled, round(sqrt(d2), 6) AS distance FROM c LEFT JOIN m ON c.row = m.row AND c.col = m.col AND m.k = 1""")
 def nearest_valid_fill(spark: SparkSession, sf: str) -> DataFrame:
-    return grid.nearest_valid(cells(spark, sf), "value", 3).select("row", "col", "filled", r6("distance"))
+    return tiles.nearest_valid(cells(spark, sf), "value", 3).select("row", "col", "filled", r6("distance"))
 
 
 @query(f"""WITH {CELLS}, m AS (

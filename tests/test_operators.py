@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from terraledger.functions import expr
 from terraledger.operators import aggregates as ag
-from terraledger.operators import distance, fits, graph, grid
+from terraledger.operators import distance, fits, graph, grid, tiles
 from terraledger.plans import registry
 from terraledger.sources.tables import cell_of
 
@@ -66,7 +66,7 @@ def test_point_sampling(spark):
 
 def test_nearest_valid_breaks_ties_by_row(spark):
     cells = spark.createDataFrame([(0, 1, 5.0), (1, 1, None), (2, 1, 7.0), (9, 9, None)], "row long, col long, value double")
-    got = {(r.row, r.col): r.filled for r in grid.nearest_valid(cells, "value", 2).collect()}
+    got = {(r.row, r.col): r.filled for r in tiles.nearest_valid(cells, "value", 2).collect()}
     assert got[(1, 1)] == 5.0 and got[(9, 9)] is None
 
 
