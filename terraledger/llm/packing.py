@@ -110,7 +110,7 @@ def pack(df: DataFrame, *, capacity: int = CAPACITY, group_rows: int = GROUP_ROW
     shares = rows.groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.sum("total").alias("bytes"))
     # the documents of the source that an average bin would hold, with some slack
     per_bin = F.col("n") / F.greatest(F.ceil(F.sum("bytes").over(Window.partitionBy(F.lit(1))) / capacity), F.lit(1))
-    quota = shares.select("source", F.greatest(F.ceil(per_bin * SLACK), F.lit(LEAST)).cast("int").alias("quota"))
+    quota = shares.select("source", F.least(F.greatest(F.ceil(per_bin * SLACK), F.lit(LEAST)), F.lit(4 * group_rows)).cast("int").alias("quota"))
     whole = pieces.where(F.col("size") == capacity)
     dealt = pieces.where(F.col("size") < capacity).join(quota, "source").withColumn("group", F.pmod(F.xxhash64(F.lit(5), "doc_id", "cluster"), F.lit(groups)))
     ordered = dealt.repartition("group").sortWithinPartitions("group", F.desc("size"), "cluster", "doc_id", "piece")

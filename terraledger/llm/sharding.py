@@ -36,7 +36,8 @@ def interleave(df: DataFrame, shards: int, *, seed: int = 17, id_col: str = "doc
     rows = df.select(
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("")).alias("_source"),
-        F.xxhash64(F.lit(seed), F.col(id_col)).alias("_key"),
+        # the text takes part, so that rows without an id, or with the same one, are spread too
+        F.xxhash64(F.lit(seed), F.col(id_col), F.crc32(text.cast("binary")), F.octet_length(text)).alias("_key"),
         (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
     )

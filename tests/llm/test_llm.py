@@ -728,6 +728,10 @@ def test_pipeline_matches_brute_force(spark, tmp_path):
         key = (c, i, t) if t is None else c
         lowest[key] = min(lowest.get(key, (True, 1 << 62, "")), (i is None, i or 0, t or ""))
     want = sorted((i, max(1, len(t.encode()))) for _, i, t in lowest.values())
+    for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.drop_poor, corpus_pipeline.drop_near_copies):
+        mixed = docs.withColumn("Predicted", F.lit(7.5)).withColumn("_own_score", F.lit("mine"))
+        out = stage(spark, mixed, str(tmp_path))
+        assert out.columns == mixed.columns and out.select("score", "Predicted", "_own_score").distinct().collect() == [("clash", 7.5, "mine")]
     got = corpus_pipeline.run(spark, str(tmp_path)).groupBy("doc_id", "cluster").agg(F.sum("size").alias("size"))
     assert sorted((r.doc_id or 0, r["size"]) for r in got.collect()) == want
 
@@ -763,4 +767,4 @@ def test_all_are_registered():
     import __spark_entry__
 
     found = __spark_entry__.queries()
-    assert sorted(int(q[2:].split("_")[0]) for q in found if q.startswith("op")) == list(range(1, 11)) and "pipeline" in found
+    assert sorted(int(q[2:].split("_")[0]) for q in found if q.startswith("op")) == list(range(1, 14)) and "pipeline" in found
