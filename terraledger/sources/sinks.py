@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,17 +48,34 @@ def fingerprint(df: DataFrame) -> str:
     return df.agg(table_digest(df).alias("d")).first()["d"]
 
 
-def write_contract(tables: dict[str, DataFrame], path: str, version: str) -> DataFrame:
-    """Tables as Parquet below ``path/version`` with a manifest ``(name, version, rows, columns, digest)``, which is written last and returned."""
+def write_contract(tables: dict[str, DataFrame], path: str, version: str, *, latest: bool = False) -> DataFrame:
+    """Tables as Parquet below ``path/version`` with a manifest ``(name, version, rows, columns, digest)``, which is returned.
+
+    All of it is written aside and moved to its name last: a version is whole or not
+    there, and one that is there is never written over.  With ``latest`` the tables
+    are mirrored below ``path/latest``, which is replaced as a whole.
+    """
+    from terraledger.sources import stages
+
     spark = next(iter(tables.values())).sparkSession
+    if stages.exists(spark, f"{path}/{version}"):
+        raise FileExistsError(f"{path}/{version}")
+    staging = f"{path}/.{uuid.uuid4().hex}"
     rows = []
     for name, df in tables.items():
-        df.write.option("compression", "zstd").parquet(f"{path}/{version}/{name}")
-        back = spark.read.parquet(f"{path}/{version}/{name}")
+        df.write.option("compression", "zstd").parquet(f"{staging}/{name}")
+        back = spark.read.parquet(f"{staging}/{name}")
         got = back.agg(F.count(F.lit(1)).alias("n"), table_digest(back).alias("d")).first()
         rows.append((name, version, got["n"], ",".join(back.columns), got["d"]))
     manifest = spark.createDataFrame(rows, "name string, version string, rows long, columns string, digest string")
-    manifest.coalesce(1).write.parquet(f"{path}/{version}/manifest")
+    manifest.coalesce(1).write.parquet(f"{staging}/manifest")
+    stages.moved(spark, staging, f"{path}/{version}")
+    if latest:
+        mirror = f"{path}/.{uuid.uuid4().hex}"
+        for name in [*tables, "manifest"]:
+            spark.read.parquet(f"{path}/{version}/{name}").write.option("compression", "zstd").parquet(f"{mirror}/{name}")
+        stages.removed(spark, f"{path}/latest")
+        stages.moved(spark, mirror, f"{path}/latest")
     return manifest
 
 
