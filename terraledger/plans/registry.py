@@ -23,4 +23,4 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-from terraledger.plans import checks, fits, geometry, graphs, gridded, lines, networks, physics, regions, relational, rules, summaries, tallies, ways  # noqa: E402, F401
+from terraledger.plans import accounts, checks, fits, geometry, graphs, gridded, lines, networks, physics, regions, relational, rules, summaries, tallies, ways  # noqa: E402, F401
