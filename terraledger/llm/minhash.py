@@ -160,18 +160,28 @@ def signed(df: DataFrame, *, bands: int = BANDS, rows: int = ROWS, weighting: st
     return rows_of.mapInArrow(run, "id long, node long, check long, bands array<long>")
 
 
+def bit_words(keys: DataFrame, *columns: str) -> DataFrame:
+    """``(_word, _set)``: the bits that the keys set in at most ``WORDS`` words of 64, a table of a bounded size."""
+    h = F.xxhash64(F.lit(31), *columns)
+    word, bit = F.pmod(F.shiftright("_h", 6), F.lit(WORDS)).cast("int"), F.expr("shiftleft(1L, cast(_h & 63 as int))")
+    return keys.select(h.alias("_h")).select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_set"))
+
+
+def marked(df: DataFrame, words_set: DataFrame, *columns: str) -> DataFrame:
+    """``df`` with ``_maybe``: true for every row whose key is in the filter, and for few others while its bits are many for its keys."""
+    out = df.withColumn("_h", F.xxhash64(F.lit(31), *columns))
+    out = out.withColumn("_word", F.pmod(F.shiftright("_h", 6), F.lit(WORDS)).cast("int")).withColumn("_bit", F.expr("shiftleft(1L, cast(_h & 63 as int))"))
+    met = out.join(F.broadcast(words_set), "_word", "left")
+    return met.withColumn("_maybe", F.coalesce(F.col("_set").bitwiseAND(F.col("_bit")) != 0, F.lit(False))).drop("_h", "_word", "_bit", "_set")
+
+
 def likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """``docs`` without most rows whose ``id`` is not in ``ids``, before anything is shuffled.
 
-    The ids set bits in at most ``WORDS`` words of 64; those words are broadcast.
     Every row whose id is in ``ids`` passes; of the others, few while the bits are
     many for the ids, and all of them once they are not, which costs only time.
     """
-    h = F.xxhash64(F.lit(31), "id")
-    word, bit = F.pmod(F.shiftright(h, 6), F.lit(WORDS)).cast("int"), F.expr("shiftleft(1L, cast(_h & 63 as int))")
-    words_set = ids.withColumn("_h", h).select(word.alias("_word"), bit.alias("_bit")).groupBy("_word").agg(F.bit_or("_bit").alias("_set"))
-    marked = docs.withColumn("_h", h).withColumn("_word", word).withColumn("_bit", bit)
-    return marked.join(F.broadcast(words_set), "_word").where(F.col("_set").bitwiseAND(F.col("_bit")) != 0).select("id", "text")
+    return marked(docs, bit_words(ids, "id"), "id").where("_maybe").select("id", "text")
 
 
 def checked(pairs: DataFrame, docs: DataFrame, *, similarity: float = SIMILARITY, weighting: str = "set") -> DataFrame:
@@ -345,10 +355,13 @@ def one_of_each(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     found = written(found.where("not kept or n > 1"))
     drop_written(kinds)
     keyed = df.withColumns({f"__{k}": c for k, c in named(F.col(text_col)).items()}).withColumn("__id", F.col(id_col).cast("long"))
+    # most rows stay: those that the filter doesn't know go past the join, and their texts are never shuffled
+    keyed = marked(keyed, bit_words(found, "_node", "_check", "_id"), "__node", "__check", "__id")
     same = (F.col("__node") == F.col("_node")) & (F.col("__check") == F.col("_check")) & F.col("__id").eqNullSafe(F.col("_id"))
-    alone = keyed.join(found, same, "left_anti")
-    again = keyed.join(found.where("kept"), same, "left_semi").dropDuplicates(["__node", "__check", "__id"])
-    return alone.unionByName(again).select(*[F.col(f"`{c}`") for c in df.columns])
+    maybe = keyed.where("_maybe")
+    alone = maybe.join(found, same, "left_anti")
+    again = maybe.join(found.where("kept"), same, "left_semi").dropDuplicates(["__node", "__check", "__id"])
+    return keyed.where("not _maybe").unionByName(alone).unionByName(again).select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def _even(df: DataFrame, n_rows: int, rows_a_task: int) -> DataFrame:
