@@ -15,9 +15,10 @@ the text, so every conversation goes through the same join, order and check.
 Values keep the JSON type that they are written with (a number without a fraction is
 an integer); plain chat is text whatever it looks like, and refers to nothing.
 
-Order.  A call depends on the calls whose results it refers to (an argument
-string ``$<id>``) and on nothing else; its level is the longest chain below it,
-found in rounds over the (few) referring calls.  Links are ordered by level, turn
+Order.  A call depends on the calls whose results it refers to (a string
+``$<id>`` anywhere in its arguments, keys apart) and on nothing else; its level is
+the longest chain below it, found in rounds, each over the referring calls that are
+still open.  Links are ordered by level, turn
 and place in the turn.
 
 Defined cases: a call without a result, and a result without a call, stay, with
@@ -34,6 +35,7 @@ conversation null, which is kept as one group; calls in a cycle get status
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -57,6 +59,16 @@ def quoted(text: Column) -> Column:
     return F.concat(F.lit('"'), out, F.lit('"'))
 
 
+def spelled(json: Column) -> Column:
+    """JSON text with the control characters spelled as ``quoted`` spells them, so that a value has one form."""
+    out = json
+    for code in (11, *range(14, 32)):
+        if f"{code:04x}" != f"{code:04X}":
+            # an even number of backslashes before it: the escape is one, and no text about one
+            out = F.regexp_replace(out, rf"(?<!\\)((?:\\\\)*)\\u{code:04X}", rf"$1\\u{code:04x}")
+    return F.when(F.contains(json, F.lit("\\u00")), out).otherwise(json)
+
+
 def json_type(value: str) -> str:
     """SQL of the JSON type of a variant value."""
     schema = f"schema_of_variant({value})"
@@ -64,16 +76,24 @@ def json_type(value: str) -> str:
         WHEN {schema} = 'BOOLEAN' THEN 'boolean' WHEN {schema} LIKE 'OBJECT%' THEN 'object' WHEN {schema} LIKE 'ARRAY%' THEN 'array' WHEN {schema} = 'VOID' THEN 'null' ELSE 'string' END"""
 
 
-#: An argument: its key, its JSON type, its canonical JSON, and the identifier that it refers to.
-_ENTRY = "struct<key:string,type:string,json:string,ref:string>"
+#: An argument: its key, its JSON type, its canonical JSON, and the identifiers that it refers to.
+_ENTRY = "struct<key:string,type:string,json:string,refs:array<string>>"
+#: A string in JSON without spaces, with the colon that tells a key.
+_STRING = r'"(?:[^"\\]|\\.)*":?'
+
+
+def references(json: Column) -> Column:
+    """The identifiers that strings ``$<id>`` anywhere in a JSON value name, keys apart."""
+    strings = F.filter(F.regexp_extract_all(json, F.lit(_STRING), F.lit(0)), lambda t: F.startswith(t, F.lit('"$')) & ~F.endswith(t, F.lit('":')))
+    return F.transform(strings, lambda t: F.substring(F.try_variant_get(F.try_parse_json(t), "$", "string"), 2, 1 << 30))
 
 
 def entries(arguments: str) -> Column:
     """The arguments of a variant object, in the order of their keys; null where it is no object."""
-    text = "try_variant_get(e.value, '$', 'string')"
-    ref = f"CASE WHEN schema_of_variant(e.value) = 'STRING' AND startswith({text}, '$') THEN substring({text}, 2) END"
     held = f"map_entries(try_variant_get({arguments}, '$', 'map<string,variant>'))"
-    return F.array_sort(F.expr(f"transform({held}, e -> struct(e.key AS key, {json_type('e.value')} AS type, to_json(e.value) AS json, {ref} AS ref))"))
+    plain = F.expr(f"transform({held}, e -> struct(e.key AS key, {json_type('e.value')} AS type, to_json(e.value) AS json))")
+    typed = F.transform(plain, lambda e: F.struct(e["key"].alias("key"), e["type"].alias("type"), spelled(e["json"]).alias("json")))
+    return F.array_sort(F.transform(typed, lambda e: F.struct(e["key"].alias("key"), e["type"].alias("type"), e["json"].alias("json"), references(e["json"]).alias("refs"))))
 
 
 def turns(df: DataFrame) -> DataFrame:
@@ -95,13 +115,13 @@ def extract(rows: DataFrame, *, as_calls: bool = True) -> tuple[DataFrame, DataF
     given = F.when(F.col("_given").isNull(), F.array().cast(f"array<{_ENTRY}>")).otherwise(entries("_given"))
     calls = called.select("conv_id", F.expr("try_variant_get(c, '$.id', 'string')").alias("id"), "turn", "place", F.expr("try_variant_get(c, '$.name', 'string')").alias("name"), given.alias("arguments"))
     said = parsed.where("_answers").withColumn("_said", F.expr("try_variant_get(_v, '$.content')"))
-    words, raw = F.expr("try_variant_get(_said, '$', 'string')"), F.expr("to_json(_said)")
+    words, raw = F.expr("try_variant_get(_said, '$', 'string')"), spelled(F.expr("to_json(_said)"))
     plain_text = F.expr("schema_of_variant(_said) = 'STRING'")
     results = said.select("conv_id", F.expr("try_variant_get(_v, '$.tool_call_id', 'string')").alias("id"), "turn", F.when(plain_text, words).otherwise(raw).alias("content"), F.when(plain_text, quoted(words)).otherwise(raw).alias("content_json"))
     if as_calls:
         plain = parsed.where(F.col("_calls").isNull() & ~F.col("_answers"))
         name = F.concat(F.lit("t"), F.coalesce(F.col("turn").cast("string"), F.lit("")))
-        field = lambda key: F.struct(F.lit(key).alias("key"), F.lit("string").alias("type"), quoted(F.col(key)).alias("json"), F.lit(None).cast("string").alias("ref"))
+        field = lambda key: F.struct(F.lit(key).alias("key"), F.lit("string").alias("type"), quoted(F.col(key)).alias("json"), F.array().cast("array<string>").alias("refs"))
         asks = plain.where("role <> 'assistant'").select("conv_id", name.alias("id"), "turn", F.lit(0).alias("place"), F.lit("respond").alias("name"), F.array(field("role"), field("text")).cast(f"array<{_ENTRY}>").alias("arguments"))
         gives = plain.where("role = 'assistant'").select("conv_id", F.concat(F.lit("t"), F.coalesce((F.col("turn") - 1).cast("string"), F.lit(""))).alias("id"), "turn", F.col("text").alias("content"), quoted(F.col("text")).alias("content_json"))
         calls, results = calls.unionByName(asks), results.unionByName(gives)
@@ -147,19 +167,26 @@ def levels(calls: DataFrame) -> DataFrame:
     conv = F.coalesce(F.concat(F.lit("c"), F.col("conv_id").cast("string")), F.lit(""))
     key = lambda c: F.concat(conv, F.lit("\x01"), F.coalesce(F.concat(F.lit("i"), F.col(c)), F.lit("")))
     keyed = calls.withColumn("_key", key("id"))
-    named = calls.select("conv_id", "id", F.explode(F.transform("arguments", lambda e: e["ref"])).alias("_on")).where("_on is not null")
+    named = calls.select("conv_id", "id", F.explode(F.flatten(F.transform("arguments", lambda e: e["refs"]))).alias("_on")).where("_on is not null")
     refs = named.select(key("id").alias("_key"), key("_on").alias("_on")).distinct()
     refs = refs.join(keyed.select(F.col("_key").alias("_on")).distinct(), "_on", "left_semi")
     if refs.limit(1).count() == 0:
         return calls.withColumn("level", F.lit(0))
-    level = keyed.select("_key").distinct().join(refs.select("_key").distinct(), "_key", "left_anti").withColumn("level", F.lit(0))
+    # calls that refer to others, with how many of these are open; a round closes what the last one made ready
+    refs = written(refs)
+    first = keyed.select("_key").distinct().join(refs.select("_key").distinct(), "_key", "left_anti").select("_key", F.lit(0).alias("level"))
+    open_ = written(refs.groupBy("_key").agg(F.count(F.lit(1)).alias("open"), F.lit(0).alias("level")))
+    rounds = [first]
     while True:
-        below = level.select(F.col("_key").alias("_on"), "level")
-        ready = refs.join(below, "_on", "left").groupBy("_key").agg((F.max("level") + 1).alias("level"), F.count_if(F.col("level").isNull()).alias("open")).where("open = 0").drop("open")
-        ready = written(ready.join(level.select("_key"), "_key", "left_anti"))
-        if ready.limit(1).count() == 0:
+        closed = refs.join(rounds[-1].withColumnRenamed("_key", "_on"), "_on").groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), (F.max("level") + 1).alias("_level"))
+        new = open_.join(closed, "_key", "left").select("_key", (F.col("open") - F.coalesce("_n", F.lit(0))).alias("open"), F.greatest("level", F.coalesce("_level", F.lit(0))).alias("level"))
+        new = written(new)
+        ready = new.where("open = 0").select("_key", "level")
+        if not ready.limit(1).count():
+            level = reduce(DataFrame.unionByName, rounds)
             return keyed.join(level, "_key", "left").drop("_key")
-        level = written(level.unionByName(ready))
+        rounds.append(ready)
+        open_ = new.where("open > 0")
 
 
 def link(df: DataFrame, *, schemas: dict[str, dict[str, tuple[str, bool]]] = SCHEMAS, as_calls: bool = True) -> DataFrame:

@@ -52,6 +52,27 @@ def op8_tool_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("conv_id", F.col("seq").cast("long").alias("seq"), "id", F.col("call_turn").cast("long").alias("call_turn"), F.col("result_turn").cast("long").alias("result_turn"), F.col("level").cast("long").alias("level"), "status", "json")
 
 
+def chat_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The turns of each conversation rewritten as calls and results of one tool.
+
+    A user's turn calls ``lookup``, referring to the call two turns before from inside
+    a list; an assistant's turn is the result of the call before it.  Some calls name
+    another tool, bear a field of a wrong type, or refer to themselves; some results
+    answer no call.
+    """
+    turn, size, conv = F.col("turn"), F.col("size"), F.col("conv_id")
+    rows = table(spark, sf_dir, "conversations").where("conv_id is not null and turn is not null").groupBy("conv_id", "turn").agg(F.max("role").alias("role"), F.max(F.length("text")).alias("size"))
+    name = F.when(conv % 11 == 3, "search").otherwise("lookup")
+    back = F.when((conv % 13 == 5) & (turn % 4 == 0), turn).otherwise(turn - 2)
+    number = F.when(turn % 5 == 3, F.concat(F.lit('"'), size, F.lit('"'))).otherwise(size.cast("string"))
+    call = F.format_string('{"tool_calls": [{"id": "c%d", "name": "%s", "arguments": {"n": %s, "after": [{"on": "$c%d"}]}}]}', turn, name, number, back)
+    answer = F.format_string('{"tool_call_id": "c%d", "content": %d}', F.when(conv % 7 == 2, turn + 50).otherwise(turn - 1), size)
+    text = F.when(F.col("role") == "user", call).when(F.col("role") == "assistant", answer).otherwise("plain")
+    role = F.when(F.col("role") == "assistant", "tool").otherwise(F.col("role"))
+    out = chat.canonical(chat.link(rows.select("conv_id", "turn", role.alias("role"), text.alias("text")), schemas={"lookup": {"n": ("integer", True), "after": ("array", False)}}, as_calls=False))
+    return out.select("conv_id", "id", F.col("level").cast("long").alias("level"), "status", F.array_join("problems", ",").alias("problems"), "json")
+
+
 def op9_interleave(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.interleave(table(spark, sf_dir, "documents"), 24)
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "source")
@@ -86,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_masked_lm": op6_masked_lm,
     "op7_nn_descent": op7_nn_descent,
     "op8_tool_links": op8_tool_links,
+    "chat_tool_calls": chat_tool_calls,
     "op9_interleave": op9_interleave,
     "op10_attention_mil": op10_attention_mil,
     "op11_partial_distance": op11_partial_distance,
@@ -116,6 +138,26 @@ ORACLE: dict[str, str] = {
                || ',"name":' || CASE WHEN level IS NULL THEN 'null' ELSE '"respond"' END || ',"problems":[],"result_turn":' || coalesce(result_turn::VARCHAR, 'null')
                || ',"status":"' || status || '"}' AS json
         FROM j""",
+    "chat_tool_calls": """
+        WITH RECURSIVE t AS (SELECT conv_id, turn, max(role) AS role, max(length(text)) AS size FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY 1, 2),
+        c AS (
+            SELECT conv_id, turn, 'c' || turn AS id, CASE WHEN conv_id % 11 = 3 THEN 'search' ELSE 'lookup' END AS name, CASE WHEN turn % 5 = 3 THEN '"' || size || '"' ELSE '' || size END AS number,
+                   turn % 5 = 3 AS wrong, CASE WHEN conv_id % 13 = 5 AND turn % 4 = 0 THEN turn ELSE turn - 2 END AS back
+            FROM t WHERE role = 'user'),
+        l AS (
+            SELECT conv_id, turn, 0 AS level FROM c WHERE NOT EXISTS (SELECT 1 FROM c b WHERE b.conv_id = c.conv_id AND b.turn = c.back)
+            UNION ALL SELECT c.conv_id, c.turn, l.level + 1 FROM c JOIN l ON l.conv_id = c.conv_id AND l.turn = c.back),
+        r AS (SELECT conv_id, 'c' || CASE WHEN conv_id % 7 = 2 THEN turn + 50 ELSE turn - 1 END AS id, turn, size FROM t WHERE role = 'assistant'),
+        j AS (
+            SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.id, r.id) AS id, CAST(l.level AS BIGINT) AS level, c.turn AS asked, r.turn AS answered, name, number, back, r.size,
+                   CASE WHEN c.id IS NULL THEN '' WHEN name = 'search' THEN 'unknown_tool' WHEN wrong THEN 'type:n' ELSE '' END AS problems, c.id IS NULL AS orphan
+            FROM c FULL JOIN r ON r.conv_id = c.conv_id AND r.id = c.id LEFT JOIN l ON l.conv_id = c.conv_id AND l.turn = c.turn),
+        s AS (SELECT *, CASE WHEN orphan THEN 'orphan' WHEN level IS NULL THEN 'cyclic' WHEN problems = 'unknown_tool' THEN 'unknown_tool' WHEN problems <> '' THEN 'invalid' WHEN answered IS NULL THEN 'unanswered' ELSE 'ok' END AS status FROM j)
+        SELECT conv_id, id, level, status, problems,
+               '{"arguments":' || CASE WHEN orphan THEN 'null' ELSE '{"after":[{"on":"$c' || back || '"}],"n":' || number || '}' END || ',"call_turn":' || coalesce(asked::VARCHAR, 'null')
+               || ',"content":' || coalesce(size::VARCHAR, 'null') || ',"id":"' || id || '","level":' || coalesce(level::VARCHAR, 'null') || ',"name":' || coalesce('"' || name || '"', 'null')
+               || ',"problems":[' || CASE WHEN problems = '' THEN '' ELSE '"' || problems || '"' END || '],"result_turn":' || coalesce(answered::VARCHAR, 'null') || ',"status":"' || status || '"}' AS json
+        FROM s""",
     "op11_partial_distance": centroids.cluster_sql(),
     "op12_license_join": licenses.scan_sql(),
 }

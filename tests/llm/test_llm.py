@@ -572,10 +572,14 @@ def brute_links_of_calls(rows, schemas):
             results.setdefault((conv, str(got["tool_call_id"])), []).append((turn, got.get("content")))
     kind = lambda v: "null" if v is None else "boolean" if isinstance(v, bool) else "integer" if isinstance(v, int) else "number" if isinstance(v, float) else {str: "string", dict: "object", list: "array"}[type(v)]
     refs = {}
+
+    def strings(v):
+        return [v] if isinstance(v, str) else [s for x in (v.values() if isinstance(v, dict) else v) for s in strings(x)] if isinstance(v, (dict, list)) else []
+
     for (conv, i), own in calls.items():
         for c in own:
-            values = c[3].values() if isinstance(c[3], dict) else []
-            refs.setdefault((conv, i), set()).update((conv, v[1:]) for v in values if isinstance(v, str) and v.startswith("$") and (conv, v[1:]) in calls)
+            values = strings(c[3]) if isinstance(c[3], dict) else []
+            refs.setdefault((conv, i), set()).update((conv, v[1:]) for v in values if v.startswith("$") and (conv, v[1:]) in calls)
 
     def level(key, seen=()):
         if key in seen:
@@ -612,7 +616,7 @@ def test_tool_calls_match_brute_force(spark):
     from terraledger.llm import chat
 
     rng = random.Random(8)
-    values = [1, "12", "$a", "$b", "$c", 2.5, 10**19, None, True, {"k": [1, "q\"\n", None]}, [], "é\u0001", "", "$nobody"]
+    values = [1, "12", "$a", "$b", "$c", 2.5, 10**19, None, True, {"k": [1, "q\"\n", None]}, [], "é\u0001", "", "$nobody", ["x", {"$e": "$d"}], {"deep": {"er": ["$a"]}}, 'no "$b', "\x0b\x1f\\u000B\\\\u001F"]
     schemas = {"add": {"x": ("integer", True), "y": ("number", False)}, "say": {"text": ("string", True), "deep": ("object", False)}, "none": {}}
     rows = []
     for conv in (1, 2, None):
@@ -632,6 +636,42 @@ def test_tool_calls_match_brute_force(spark):
     assert {v["status"] for v in want.values()} == {"ok", "unanswered", "orphan", "cyclic", "invalid", "unknown_tool"}
 
 
+def test_values_have_one_spelling(spark):
+    from terraledger.llm import chat
+
+    odd = "".join(map(chr, range(32))) + "\x0b" + "\\u000B \\\\u001F \\\\\x1e"
+    rows = [(1, 0, "assistant", json.dumps({"tool_calls": [{"id": "a", "name": "n", "arguments": {"k": odd, "l": [odd, {odd: 1}]}}]})), (2, 0, "user", odd)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    called, plain = (r.json for r in chat.formatted(df).orderBy("conv_id").collect())
+    text = lambda json_: json_[json_.index("text") + 6 :].split(',"turn')[0]
+    literal = text(plain)[: text(plain).index('"},')] + '"'
+    assert json.loads(literal) == odd and called.count(literal) == 3
+    assert json.loads(called)["arguments"] == {"k": odd, "l": [odd, {odd: 1}]}
+
+
+def test_long_chains_of_calls_have_levels(spark):
+    from terraledger.llm import chat
+
+    chain = [{"id": f"c{k}", "name": "n", "arguments": {"on": [f"$c{k - 1}", "$c0"]} if k else {}} for k in range(12)]
+    rows = [(c, 0, "assistant", json.dumps({"tool_calls": chain[::-1]})) for c in range(3)]
+    out = chat.link(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), schemas={"n": {"on": ("array", False)}}, as_calls=False)
+    assert {(r.conv_id, r.id): (r.level, r.status) for r in out.collect()} == {(c, f"c{k}"): (k, "unanswered") for c in range(3) for k in range(12)}
+
+
+def test_derived_tool_calls_match_their_sql(spark):
+    import duckdb
+
+    from terraledger.llm.queries import ORACLE, QUERIES
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{DATA}/conversations.parquet'")
+    want = con.execute(ORACLE["chat_tool_calls"])
+    names = [d[0] for d in want.description]
+    got = QUERIES["chat_tool_calls"](spark, DATA)
+    rows = want.fetchall()
+    assert sorted(tuple(r[n] for n in names) for r in got.collect()) == sorted(rows) and len({r[names.index("status")] for r in rows}) >= 5
+
+
 def test_plain_chat_is_text_whatever_it_looks_like(spark):
     from terraledger.llm import chat
 
