@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terraledger.operators import paths
+from terraledger.operators import paths, rivers
 from terraledger.plans.graphs import TREE, tree
 from terraledger.plans.gridded import CELLS, cells
 from terraledger.plans.registry import query
@@ -113,3 +113,37 @@ def layer_alignment(spark: SparkSession, sf: str) -> DataFrame:
     layers = {"base": base, "same": base.withColumn("value", F.col("value") + 1), "short": base.where("col < 39"), "doubled": base.unionByName(base.where("row = 0 and col = 0")), "altered": base.withColumn("value", F.lit(0.0))}
     pins = {"base": fingerprint(base), "same": fingerprint(layers["same"]), "altered": "another"}
     return stages.alignment_issues(layers, pins).crossJoin(F.broadcast(base.agg(F.count(F.lit(1)).alias("cells"))))
+
+
+#: A bitmap of pixels by size: about half are rivers, some of them sources, markers or splits.
+RIVERS = f"""{CELLS.replace("p_retailprice END AS value FROM part", "p_retailprice END AS value, p_size FROM part")},
+p AS (SELECT row * 40 + col AS node, row, col, CASE WHEN p_size = 8 THEN 'split' WHEN p_size % 10 = 0 THEN 'marker' WHEN p_size % 14 = 2 THEN 'source' ELSE 'flow' END AS kind FROM c WHERE p_size % 2 = 0 AND (row + col) % 13 > 0),
+e AS (SELECT a.node AS a, b.node AS b, a.kind AS ka, b.kind AS kb FROM p a JOIN p b ON abs(a.row - b.row) + abs(a.col - b.col) = 1),
+d AS (SELECT p.*, count(e.b) AS degree, count(*) FILTER (e.kb <> 'marker') AS line, count(*) FILTER (e.kb = 'marker') AS markers FROM p LEFT JOIN e ON e.a = p.node GROUP BY ALL),
+r AS (SELECT node, node AS seen FROM p UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen), w AS (SELECT node, min(seen) AS river FROM r GROUP BY 1),
+s AS (SELECT node, node AS seen FROM p WHERE kind <> 'marker' UNION SELECT s.node, e.b FROM s JOIN e ON e.a = s.seen AND e.kb <> 'marker'), g AS (SELECT node, min(seen) AS segment FROM s GROUP BY 1),
+j AS (SELECT e.a AS node, list_sort(list(n.line)) AS lines, max(CASE WHEN n.line = 1 THEN g.segment END) AS tributary FROM e JOIN d m ON m.node = e.a AND m.kind = 'marker' AND m.degree = 2 AND m.markers = 0 JOIN d n ON n.node = e.b JOIN g ON g.node = e.b GROUP BY 1),
+u AS (SELECT river, count(*) AS n, count(*) FILTER (kind = 'source') AS sources, sum(degree) / 2 AS links FROM d JOIN w USING (node) GROUP BY 1)"""
+
+
+@query(f"""WITH RECURSIVE {RIVERS}
+SELECT row, col, 'a river parts' AS problem FROM d WHERE kind = 'split' UNION ALL SELECT row, col, 'a marker without two neighbours' FROM d WHERE kind = 'marker' AND degree <> 2
+UNION ALL SELECT row, col, 'markers side by side' FROM d WHERE kind = 'marker' AND markers > 0 UNION ALL SELECT row, col, 'a source that is no end' FROM d WHERE kind = 'source' AND degree <> 1
+UNION ALL SELECT row, col, 'a branch without a marker' FROM d WHERE kind <> 'marker' AND line > 2 UNION ALL SELECT row, col, 'a marker that joins no end to an inside' FROM d JOIN j USING (node) WHERE lines <> [1, 2]
+UNION ALL SELECT river // 40, river % 40, 'not one source' FROM u WHERE sources <> 1 UNION ALL SELECT river // 40, river % 40, 'a cycle' FROM u WHERE links <> n - 1
+UNION ALL SELECT row, col, 'a source on a tributary' FROM d JOIN g USING (node) WHERE kind = 'source' AND segment IN (SELECT tributary FROM j WHERE lines = [1, 2])
+UNION ALL SELECT tributary // 40, tributary % 40, 'a segment that flows two ways' FROM j WHERE lines = [1, 2] GROUP BY tributary HAVING count(*) > 1""")
+def river_grammar(spark: SparkSession, sf: str) -> DataFrame:
+    """What keeps a bitmap from being a set of river trees."""
+    size = F.col("p_size")
+    kind = F.when(size == 8, "split").when(size % 10 == 0, "marker").when(size % 14 == 2, "source").otherwise("flow")
+    row, col = F.expr("p_partkey div 40"), F.col("p_partkey") % 40
+    pixels = table(spark, sf, "part").select(row.alias("row"), col.alias("col"), F.when((size % 2 == 0) & ((row + col) % 13 > 0), kind).alias("kind"))
+    return rivers.bitmap_violations(pixels, 40)
+
+
+@query(f"""WITH {CELLS}, z AS (SELECT row // 3 * 100 + col // 4 AS zone, CASE WHEN value IS NOT NULL THEN CAST(row * 7 + col * 3 AS INTEGER) % 6 END AS level, (row * 5 + col) % 37 = 0 AS marker FROM c)
+SELECT zone, CASE WHEN bool_or(marker) THEN 5 ELSE coalesce(max(level), 0) END AS level, coalesce(max(level), 0) AS plain_level, bool_or(marker) AND coalesce(max(level), 0) < 5 AS promoted FROM z GROUP BY 1""")
+def zone_levels(spark: SparkSession, sf: str) -> DataFrame:
+    rows = cells(spark, sf).select(F.expr("row div 3 * 100 + col div 4").alias("zone"), F.when(F.col("value").isNotNull(), ((F.col("row") * 7 + F.col("col") * 3) % 6).cast("int")).alias("level"), ((F.col("row") * 5 + F.col("col")) % 37 == 0).alias("marker"))
+    return rivers.zone_levels(rows, "zone", "level", "marker")

@@ -175,3 +175,48 @@ def test_layers_must_lie_alike(spark):
     hole = base.where("row <> 1 or col <> 1").unionByName(spark.createDataFrame([(2, 2, 1.0)], "row long, col long, v double"))
     got = sorted((r.layer, r.issue) for r in stages.alignment_issues({"a": base, "b": base.limit(9), "c": moved, "d": hole, "e": base.limit(0)}).collect())
     assert got == [("c", "other places"), ("d", "a place stands twice"), ("d", "other places"), ("e", "other places")]
+
+
+def bitmap(spark, pixels):
+    return spark.createDataFrame([(r, c, k) for (r, c), k in pixels.items()], "row long, col long, kind string")
+
+
+def confluence():
+    """A river from above with its source, and a tributary from the left whose marker stands before the junction."""
+    pixels = {(r, 10): "flow" for r in range(2, 19)} | {(10, c): "flow" for c in range(2, 10)}
+    return pixels | {(2, 10): "source", (10, 9): "marker"}
+
+
+CHANGES = {
+    "sound": ({}, set()),
+    "marker on the junction": ({(10, 9): "flow", (10, 10): "marker"}, {"a marker without two neighbours"}),
+    "no marker": ({(10, 9): "flow"}, {"a branch without a marker"}),
+    "two sources": ({(18, 10): "source"}, {"not one source"}),
+    "no source": ({(2, 10): "flow"}, {"not one source"}),
+    "apart": ({(15, c): "flow" for c in range(2, 6)}, {"not one source"}),
+    "source at the junction": ({(2, 10): "flow", (10, 10): "source"}, {"a source that is no end"}),
+    "another tributary": ({(6, c): "flow" for c in range(12, 18)} | {(6, 11): "marker"}, set()),
+    "a ring": ({(r, c): "flow" for r in range(14, 18) for c in range(2, 6) if r in (14, 17) or c in (2, 5)}, {"a cycle", "not one source"}),
+    "source on the tributary": ({(2, 10): "flow", (10, 2): "source"}, {"a source on a tributary"}),
+    "split": ({(5, 10): "split"}, {"a river parts"}),
+    "two markers": ({(10, 8): "marker"}, {"markers side by side"}),
+    "none": ({(5, 10): None, (6, 10): None}, {"not one source"}),
+}
+
+
+def test_bitmaps_that_are_no_trees(spark):
+    from terraledger.operators import rivers
+
+    # all of them in one bitmap, each forty rows below the one before
+    names = list(CHANGES)
+    drawn = {(r + 40 * n, c): k for n, name in enumerate(names) for (r, c), k in (confluence() | CHANGES[name][0]).items()}
+    drawn |= {(40 * len(names) + c, 20 - r): k for (r, c), k in confluence().items()}  # turned
+    pixels = bitmap(spark, drawn)
+    found = {name: set() for name in [*names, "turned"]}
+    for r in rivers.bitmap_violations(pixels.unionByName(pixels.limit(30)), 21).collect():
+        found[[*names, "turned"][r.row // 40]].add(r.problem)
+    assert not found["turned"]
+    for name in names:
+        want = CHANGES[name][1]
+        assert found[name] >= want and bool(found[name]) == bool(want), name
+    assert rivers.bitmap_violations(pixels.limit(0), 21).count() == 0
