@@ -89,3 +89,10 @@ def connected_components(spark: SparkSession, sf: str) -> DataFrame:
     edges = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("a")).distinct().withColumn("b", F.expr("(a * 7 + 3) % 20 + (a div 20) * 20"))
     edges = written(edges)
     return graph.components(edges, nodes=edges.select(F.explode(F.array("a", "b")).alias("node")))
+
+
+@query(f"""WITH {TREE}, b AS (SELECT id, CASE WHEN id % 23 = 4 THEN id + 1000000 ELSE down_id END AS down_id FROM t) SELECT id, down_id FROM b WHERE down_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM t WHERE t.id = b.down_id)""")
+def dangling_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Links that lead to no node, listed and not raised."""
+    nodes = tree(spark, sf).withColumn("down_id", F.when(F.col("id") % 23 == 4, F.col("id") + 1_000_000).otherwise(F.col("down_id")))
+    return graph.dangling(nodes).select("id", "down_id")

@@ -212,3 +212,10 @@ def rule_refusals(spark: SparkSession, sf: str) -> DataFrame:
         "transfers": rules.transfer_faults(rf, ir, {"paddy": wide, "polders": st}, {"paddy": (0.6, 0.2), "polders": (0.9, 0.3)}, F.lit(1.0)),
     }
     return rows.select("p_partkey", *[F.array_join(c, ",").alias(k) for k, c in found.items()])
+
+
+@query(f"""WITH {SQL} SELECT p_partkey, round(CASE WHEN rf - 8 >= 0 THEN 30.0 * 1.2 * pow((rf - 8) / 30.0, 0.8) END, 6) AS scaled, round(CASE WHEN ir > rf THEN (al - rf) / (ir - rf) END, 6) AS position, round(mx * st / (st + 0.35), 6) AS active FROM f""")
+def yield_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Yields scaled by a power, negative ones missing; a place between two yields, never clipped; saturating activation."""
+    rows, (_, st, mx, _, _, _, rf, ir, _, al) = fields(spark, sf)
+    return rounded(rows, {"scaled": expr.scale_yield(rf - 8, 1.2, 0.8, 30.0), "position": expr.position(al, rf, ir), "active": expr.activation(mx, st, 0.35)})
