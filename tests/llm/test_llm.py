@@ -713,7 +713,7 @@ def test_interleaving_follows_fractional_ranks(spark):
     for s in range(24):
         assert sorted(r.slot for r in got if r.shard == s) == list(range(size[s]))
     # the same order by plain sorting, in any bucket width
-    key = {(r.doc_id, r.text_crc32): r.k for r in out.select("doc_id", "text_crc32", F.xxhash64(F.lit(17), F.col("doc_id")).alias("k")).distinct().collect()}
+    key = {(r.doc_id, r.text_crc32): r.k for r in out.select("doc_id", "text_crc32", F.xxhash64(F.lit(17), "doc_id", "text_crc32", (F.col("size") - 8).cast("int")).alias("k")).distinct().collect()}
     flip = lambda k: k if k >= 0 else k + (1 << 64)
     by = {}
     for r in got:
