@@ -19,16 +19,16 @@ def lower_envelope(at: list[int], up: list) -> tuple[np.ndarray, np.ndarray]:
     """Which of the parabolas ``(x - at)^2 + up``, at ascending ``at``, are lowest somewhere, and from where on.
 
     Those that are lowest at a single point stay, so that several may be equally
-    near there.  Whole numbers are compared exactly.
+    near there.  Whole numbers are compared exactly; heights are subtracted before
+    squares are added, which the largest heights would swallow.
     """
     stays: list[int] = []
     # the point from which a member is at least as low as the one before it: a / (2 b)
     starts: list[tuple] = []
     for k, q in enumerate(at):
-        cost = up[k] + q * q
         while stays:
             p = at[stays[-1]]
-            a, b = cost - up[stays[-1]] - p * p, q - p
+            a, b = (up[k] - up[stays[-1]]) + (q * q - p * p), q - p
             if starts[-1] is None or a * starts[-1][1] >= starts[-1][0] * b:
                 break
             stays.pop()
@@ -63,10 +63,10 @@ def nearest_valid_cell(cells: DataFrame, valid: Column, *, row_scale: float | No
 
     Distances are in cells; or ``row_scale`` is the way between rows and
     ``col_scale`` (of ``row``) that between columns, both in the unit wanted, the
-    latter as it is at the cell that asks.  Valid cells are their own nearest, at
-    distance 0.  Without any valid cell there are no rows.
+    latter as it is at the cell that asks; a way has no sign, and may be 0.  Valid
+    cells are their own nearest, at distance 0.  Without any valid cell there are no rows.
     """
-    wide = (F.lit(1.0) if col_scale is None else col_scale).cast("double")
+    wide = F.abs((F.lit(1.0) if col_scale is None else col_scale).cast("double"))
     tall = 1.0 if row_scale is None else float(row_scale)
     exact = row_scale is None and col_scale is None
     own = cells.select(F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), F.coalesce(valid, F.lit(False)).alias("ok")).distinct()
@@ -76,8 +76,9 @@ def nearest_valid_cell(cells: DataFrame, valid: Column, *, row_scale: float | No
     asked = asking.select("row").distinct().join(F.broadcast(columns)).select("row", F.explode("_cols").alias("col"), F.lit(False).alias("ok"))
     lines = known.withColumn("ok", F.lit(True)).unionByName(asked).groupBy("row", "col").agg(F.max("ok").alias("ok"))
     held = F.when(F.col("ok"), F.col("row"))
-    line = Window.partitionBy("col").orderBy("row")
-    near = lines.withColumn("_up", F.max(held).over(line.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_down", F.min(held).over(line.rowsBetween(0, Window.unboundedFollowing)))
+    # both frames grow from their start: one that shrinks to its end is summed anew at each row
+    line, back = [Window.partitionBy("col").orderBy(o).rowsBetween(Window.unboundedPreceding, 0) for o in (F.asc("row"), F.desc("row"))]
+    near = lines.withColumn("_up", F.max(held).over(line)).withColumn("_down", F.min(held).over(back))
     nearer = F.when(F.col("_down").isNull() | (F.col("row") - F.col("_up") <= F.col("_down") - F.col("row")), F.col("_up")).otherwise(F.col("_down"))
     candidates = near.join(asking.select("row").distinct(), "row", "left_semi").select("row", "col", nearer.alias("source"), F.lit(0).alias("kind"))
     laid = candidates.unionByName(asking.select("row", "col", F.lit(None).cast("long").alias("source"), F.lit(1).alias("kind")))
@@ -90,9 +91,15 @@ def nearest_valid_cell(cells: DataFrame, valid: Column, *, row_scale: float | No
         if not len(have) or not len(ask):
             return empty
         col, source = have["col"].to_numpy(np.int64), have["source"].to_numpy(np.int64)
-        up = (source - row) ** 2 if exact else ((source - row) * (tall / scale)) ** 2
-        best, d2 = _nearest_in_row(col, up, source, ask)
-        return pd.DataFrame({"row": row, "col": ask, "from_row": source[best], "from_col": col[best], "distance": np.sqrt(d2) * (1.0 if exact else scale)})
+        if exact:
+            best, d2 = _nearest_in_row(col, (source - row) ** 2, source, ask)
+        elif scale:
+            best, _ = _nearest_in_row(col, ((source - row) * (tall / scale)) ** 2, source, ask)
+        else:  # all columns in one place
+            best = np.full(len(ask), np.lexsort((col, source, np.abs(source - row)))[0])
+        if not exact:
+            d2 = ((source[best] - row) * tall) ** 2 + ((col[best] - ask) * scale) ** 2
+        return pd.DataFrame({"row": row, "col": ask, "from_row": source[best], "from_col": col[best], "distance": np.sqrt(d2)})
 
     found = laid.groupBy("row").applyInPandas(look, "row long, col long, from_row long, from_col long, distance double")
     return known.select("row", "col", F.col("row").alias("from_row"), F.col("col").alias("from_col"), F.lit(0.0).alias("distance")).unionByName(found)
@@ -126,7 +133,7 @@ def depth_in_zone(cells: DataFrame, zone: str) -> DataFrame:
     tall = tall.select("row", "col", "zone", F.least(F.col("row") - F.min("row").over(whole), F.max("row").over(whole) - F.col("row")).alias("_g"))
     wide = stretch(tall, "row", "col", "_s")
     part = Window.partitionBy("row", "zone", "_s")
-    before, after = part.orderBy("col").rowsBetween(Window.unboundedPreceding, 0), part.orderBy("col").rowsBetween(0, Window.unboundedFollowing)
+    before, after = [part.orderBy(o).rowsBetween(Window.unboundedPreceding, 0) for o in (F.asc("col"), F.desc("col"))]
     # outside places are at cost 0, those of the stretch at their depth along the column
     ends = F.least(F.col("col") - F.min("col").over(part), F.max("col").over(part) - F.col("col")) + 1
     g = F.col("_g") + 1

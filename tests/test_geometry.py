@@ -146,6 +146,28 @@ def test_nearest_cells_against_all_pairs(spark):
     assert distance.nearest_valid_cell(df, F.lit(False)).count() == 0 and distance.nearest_valid_cell(df.limit(0), F.col("ok")).count() == 0
 
 
+def test_ways_between_columns_that_shrink_to_nothing_and_turn(spark):
+    rng = random.Random(8)
+    at = sorted({(rng.randint(0, 300), rng.randint(0, 12)) for _ in range(700)})
+    rows = [(r, c, rng.random() < 0.1) for r, c in at]
+    # rows beyond the pole, and one at which all columns are one place
+    wide = lambda r: 0.0 if r == 90 else 9.0 * math.cos(math.radians(r))
+    scale = F.when(F.col("row") == 90, 0.0).otherwise(9.0 * F.cos(F.radians(F.col("row"))))
+    found = distance.nearest_valid_cell(spark.createDataFrame(rows, "row long, col long, ok boolean"), F.col("ok"), row_scale=9.0, col_scale=scale).collect()
+    good = [(r, c) for r, c, ok in rows if ok]
+    assert len(found) == len(rows)
+    for f in found:
+        assert f.distance == pytest.approx(min(math.hypot((f.row - x) * 9.0, (f.col - y) * wide(f.row)) for x, y in good), abs=1e-9)
+
+
+def test_running_nearest_rows_only_grow(spark):
+    cells = spark.createDataFrame([(1, 1, 1.0)], "row long, col long, value double").withColumn("zone", F.lit(1))
+    for df in (distance.nearest_fill(cells, "value"), distance.deepest_cells(cells, "zone")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        # a frame from each row to the end of its column takes the square of the column's length
+        assert "currentrow$(), unboundedfollowing" not in plan
+
+
 def test_envelope_keeps_those_that_touch():
     rng = random.Random(9)
     for _ in range(300):
