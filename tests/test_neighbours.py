@@ -110,3 +110,22 @@ def test_tiles_give_what_loops_give(spark):
         tiles.gradient(df.union(df), "v").collect()
     with pytest.raises(ValueError, match="border"):
         tiles.with_border(df, 9, 4)
+
+
+def test_many_dimensions_move_each_row_once_a_block(spark):
+    """Where rings rule out nothing all pairs are compared in blocks; copies tie by id, groups stay apart."""
+    rng = np.random.default_rng(12)
+    x = np.concatenate([rng.normal(size=(560, 32)), np.repeat(rng.normal(size=(2, 32)), 20, 0)]) + 1000.0
+    groups = [i % 3 if i % 41 else None for i in range(600)]
+    rows = spark.createDataFrame([(i, v.tolist(), g) for i, (v, g) in enumerate(zip(x, groups, strict=True))], "id long, vec array<double>, g int")
+    seen = []
+    out = {}
+    for r in knn(rows, rows, 4, group="g", small=50, block=64, visited=seen).collect():
+        out.setdefault(r.q, {})[r.place] = (r.s, r.d2)
+    assert sum(v.count() for v in seen) <= 3 * len(x)
+    assert len(out) == 600
+    for q in range(600):
+        d = ((x - x[q]) ** 2).sum(1)
+        best = sorted((d[s], s) for s in range(600) if s != q and groups[s] == groups[q])[:4]
+        assert [out[q][p + 1][0] for p in range(4)] == [s for _, s in best]
+        assert [out[q][p + 1][1] for p in range(4)] == pytest.approx([v for v, _ in best], abs=1e-9)
