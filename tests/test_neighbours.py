@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from terraledger.operators import tiles, transfer
+from terraledger.operators import grid, tiles, transfer
 from terraledger.operators.neighbours import knn
 
 
@@ -129,3 +129,24 @@ def test_many_dimensions_move_each_row_once_a_block(spark):
         best = sorted((d[s], s) for s in range(600) if s != q and groups[s] == groups[q])[:4]
         assert [out[q][p + 1][0] for p in range(4)] == [s for _, s in best]
         assert [out[q][p + 1][1] for p in range(4)] == pytest.approx([v for v, _ in best], abs=1e-9)
+
+
+def test_nearest_donors_of_crowded_places(spark):
+    """Places that many points share are compared once; the far targets of an empty half are found too."""
+    rng = random.Random(13)
+    spots = [(round(rng.uniform(-20, 20), 2), round(rng.uniform(-5, 5), 2)) for _ in range(60)] + [(-179.99, 80.0), (179.99, 80.0)]
+    donors = [(i, *spots[i % 62]) for i in range(3000)]
+    targets = [(10_000 + i, *spots[i % 62]) if i % 3 else (10_000 + i, rng.uniform(-180, 180), rng.uniform(-89, 89)) for i in range(400)]
+    frames = [spark.createDataFrame(r, "k long, lon double, lat double") for r in (targets, donors)]
+    out = grid.nearest_donor(*frames, "k")
+    got = {r.k: r for r in out.collect()}
+    assert len(got) == 400
+
+    def km(a, b):
+        lon1, lat1, lon2, lat2 = map(math.radians, (*a, *b))
+        h = math.sin((lat2 - lat1) / 2) ** 2 + math.cos(lat1) * math.cos(lat2) * math.sin((lon2 - lon1) / 2) ** 2
+        return 2 * 6371.0088 * math.asin(math.sqrt(min(1.0, h)))
+
+    for k, *at in targets:
+        far, donor = min((km(at, spots[d]), d) for d in range(62))
+        assert got[k].km == pytest.approx(far, abs=1e-6) and got[k].donor == donor
