@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from terraledger.functions.expr import guarded
 
+#: Keys of two sets that one task compares.
+KEYS_A_PART = 1_000_000
+
 
 def overlap_mean(overlap: DataFrame, cells: DataFrame, entity: str, cell: str, weight: str, value: str) -> DataFrame:
     """``(entity, mean_value, coverage, cells)``: the sparse matrix product as a join and one aggregation.
@@ -103,3 +106,18 @@ def fit_metrics(rows: DataFrame, observed: str, predicted: str) -> DataFrame:
         F.sqrt(F.avg((p - y) * (p - y))).alias("rmse"), F.lit(middle).cast("double").alias("medape"), F.lit(high).cast("double").alias("p90"),
         F.avg((rel <= 0.2).cast("double")).alias("within20"), F.avg((rel <= 0.5).cast("double")).alias("within50"), F.avg(p - y).alias("bias"),
     )
+
+
+def one_sided(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``(id, side)``: rows of ``left(id)`` that ``right(id)`` lacks (``missing``, as often as they stand there), and ids of ``right`` that ``left`` lacks (``extra``, once); null matches nothing.
+
+    Both sides meet in one aggregation dealt over as many parts as their rows ask
+    for, so a task holds the same few keys however large the tables are, and no
+    side is broadcast.
+    """
+    rows = left.select("id", F.lit(1).alias("_l")).unionByName(right.select("id", F.lit(0).alias("_l")))
+    dealt = rows.repartition(-(-rows.count() // KEYS_A_PART) or 1, "id")
+    apart = F.when(F.col("id").isNull(), F.col("_l"))  # a null of one side is not that of the other
+    counted = dealt.groupBy("id", apart.alias("_apart")).agg(F.sum("_l").cast("int").alias("_left"), F.min("_l").alias("_least"))
+    missing = counted.where("_least = 1").select("id", F.explode(F.array_repeat(F.lit("missing"), F.col("_left"))).alias("side"))
+    return missing.unionByName(counted.where("_left = 0").select("id", F.lit("extra").alias("side")))

@@ -281,3 +281,14 @@ def test_routes_of_every_shape_match_a_walk(spark):
     for bad in cycle:
         with pytest.raises(ValueError):
             graph.route(spark.createDataFrame([(*r, 1.0, 1.0) for r in bad], "id long, down_id long, runoff double, demand double"), "runoff", "demand")
+
+
+def test_one_sided_ids_broadcast_nothing(spark):
+    left = spark.createDataFrame([(1,), (2,), (2,), (3,), (None,), (None,)], "id long")
+    right = spark.createDataFrame([(3,), (3,), (4,), (4,), (None,)], "id long")
+    found = ag.one_sided(left, right)
+    got = sorted(map(tuple, found.collect()), key=str)
+    assert got == sorted([(1, "missing"), (2, "missing"), (2, "missing"), (None, "missing"), (None, "missing"), (4, "extra"), (None, "extra")], key=str)
+    assert ag.one_sided(left.limit(0), right.limit(0)).count() == 0
+    plan = registry.QUERIES["set_equality"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Join" not in plan
