@@ -19,6 +19,14 @@ from terraledger.sources.lineage import written as settled
 ROWS_A_FILE = 250_000
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that grows with the input: sorted and shuffled, never sent through the driver.
+
+    Tables of ids fill many times their bytes in files, by which Spark judges what is small.
+    """
+    return df.hint("merge")
+
+
 def dangling(nodes: DataFrame) -> DataFrame:
     """Links to nodes that do not exist."""
     return nodes.where("down_id is not null").join(nodes.select(F.col("id").alias("down_id")), "down_id", "left_anti")
@@ -205,10 +213,10 @@ def components(edges: DataFrame, *, nodes: DataFrame | None = None, most_rounds:
     both = settled(pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct().coalesce(files))
     labels = settled(both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("label")).withColumnRenamed("u", "node").coalesce(files))
     for _ in range(most_rounds):
-        near = both.join(labels.withColumnRenamed("node", "u"), "u").groupBy("v").agg(F.min("label").alias("near"))
-        hooked = labels.join(near.withColumnRenamed("v", "node"), "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        near = both.join(spread(labels.withColumnRenamed("node", "u")), "u").groupBy("v").agg(F.min("label").alias("near"))
+        hooked = labels.join(spread(near.withColumnRenamed("v", "node")), "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
         parent = labels.select(F.col("node").alias("label"), F.col("label").alias("over"))
-        moved = hooked.join(parent, "label", "left").select("node", "old", F.least("label", F.coalesce("over", "label")).alias("label"))
+        moved = hooked.join(spread(parent), "label", "left").select("node", "old", F.least("label", F.coalesce("over", "label")).alias("label"))
         new = settled(moved.coalesce(files))
         changed = new.where("label <> old").limit(1).count()
         drop_written(labels)
@@ -221,7 +229,7 @@ def components(edges: DataFrame, *, nodes: DataFrame | None = None, most_rounds:
     labels = labels.withColumnRenamed("label", "component")
     if nodes is None:
         return labels
-    return nodes.select("node").distinct().join(labels, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    return nodes.select("node").distinct().join(spread(labels), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
 
 
 def toward_source(edges: DataFrame, reached: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terraledger.operators.graph import components
+from terraledger.operators.graph import components, spread
 from terraledger.sources.lineage import written
 
 
@@ -20,7 +20,7 @@ def pixel_edges(pixels: DataFrame) -> DataFrame:
     """``(a, b)``: pixels ``(node, row, col)`` that share a side, each pair once."""
     step = F.explode(F.array(F.struct(F.lit(0).alias("r"), F.lit(1).alias("c")), F.struct(F.lit(1).alias("r"), F.lit(0).alias("c")))).alias("s")
     sent = pixels.select(F.col("node").alias("a"), "row", "col", step).select("a", (F.col("row") + F.col("s.r")).alias("row"), (F.col("col") + F.col("s.c")).alias("col"))
-    return sent.join(pixels.select(F.col("node").alias("b"), "row", "col"), ["row", "col"]).select("a", "b")
+    return sent.join(spread(pixels.select(F.col("node").alias("b"), "row", "col")), ["row", "col"]).select("a", "b")
 
 
 def bitmap_violations(pixels: DataFrame, width: int) -> DataFrame:
@@ -34,15 +34,15 @@ def bitmap_violations(pixels: DataFrame, width: int) -> DataFrame:
     edges = written(pixel_edges(held))
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     kinds = held.select(F.col("node").alias("b"), F.col("kind").alias("beside"))
-    around = both.join(kinds, "b").groupBy(F.col("a").alias("node")).agg(
+    around = both.join(spread(kinds), "b").groupBy(F.col("a").alias("node")).agg(
         F.count(F.lit(1)).alias("degree"), F.count_if(F.col("beside") != "marker").alias("line"), F.count_if(F.col("beside") == "marker").alias("markers")
     )
-    full = held.join(around, "node", "left").fillna(0, ["degree", "line", "markers"])
+    full = held.join(spread(around), "node", "left").fillna(0, ["degree", "line", "markers"])
     full = written(full)
     river = written(components(edges, nodes=held.select("node")))
     # segments: components without the markers
     plain = full.where("kind <> 'marker'")
-    inner = edges.join(plain.select(F.col("node").alias("a")), "a", "left_semi").join(plain.select(F.col("node").alias("b")), "b", "left_semi")
+    inner = edges.join(spread(plain.select(F.col("node").alias("a"))), "a", "left_semi").join(spread(plain.select(F.col("node").alias("b"))), "b", "left_semi")
     segment = written(components(inner, nodes=plain.select("node")).withColumnRenamed("component", "segment"))
 
     at = lambda df, problem: df.select("row", "col", F.lit(problem).alias("problem"))
@@ -53,19 +53,19 @@ def bitmap_violations(pixels: DataFrame, width: int) -> DataFrame:
     out = out.unionByName(at(full.where("kind = 'source' and degree <> 1"), "a source that is no end"))
     out = out.unionByName(at(full.where("kind <> 'marker' and line > 2"), "a branch without a marker"))
     # a marker joins the end of one segment to the inside of another
-    ends = both.join(full.where("kind = 'marker' and degree = 2 and markers = 0").select(F.col("node").alias("a")), "a", "left_semi")
-    ends = ends.join(plain.select(F.col("node").alias("b"), "line"), "b").join(segment.select(F.col("node").alias("b"), "segment"), "b")
+    ends = both.join(spread(full.where("kind = 'marker' and degree = 2 and markers = 0").select(F.col("node").alias("a"))), "a", "left_semi")
+    ends = ends.join(spread(plain.select(F.col("node").alias("b"), "line")), "b").join(spread(segment.select(F.col("node").alias("b"), "segment")), "b")
     joins = ends.groupBy(F.col("a").alias("node")).agg(F.array_sort(F.collect_list("line")).alias("lines"), F.max(F.when(F.col("line") == 1, F.col("segment"))).alias("tributary"))
     joins = written(joins.withColumn("sound", F.col("lines") == F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))))
-    out = out.unionByName(at(joins.where("not sound").join(full, "node"), "a marker that joins no end to an inside"))
+    out = out.unionByName(at(joins.where("not sound").join(spread(full), "node"), "a marker that joins no end to an inside"))
     # one source a river, no cycle, and the source on the segment that flows into no other
     sizes = river.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    links = edges.join(river.withColumnRenamed("node", "a"), "a").groupBy("component").agg(F.count(F.lit(1)).alias("links"))
-    sources = full.where("kind = 'source'").join(river, "node").groupBy("component").agg(F.count(F.lit(1)).alias("sources"))
-    whole = sizes.join(links, "component", "left").join(sources, "component", "left").fillna(0, ["links", "sources"])
+    links = edges.join(spread(river.withColumnRenamed("node", "a")), "a").groupBy("component").agg(F.count(F.lit(1)).alias("links"))
+    sources = full.where("kind = 'source'").join(spread(river), "node").groupBy("component").agg(F.count(F.lit(1)).alias("sources"))
+    whole = sizes.join(spread(links), "component", "left").join(spread(sources), "component", "left").fillna(0, ["links", "sources"])
     out = out.unionByName(first(whole.where("sources <> 1"), "not one source")).unionByName(first(whole.where("links <> n - 1"), "a cycle"))
     feeds = joins.where("sound").groupBy(F.col("tributary").alias("segment")).agg(F.count(F.lit(1)).alias("n"))
-    bad = full.where("kind = 'source'").join(segment, "node").join(feeds, "segment")
+    bad = full.where("kind = 'source'").join(spread(segment), "node").join(spread(feeds), "segment")
     return out.unionByName(at(bad, "a source on a tributary")).unionByName(first(feeds.where("n > 1").withColumnRenamed("segment", "component"), "a segment that flows two ways"))
 
 

@@ -6,7 +6,7 @@ from collections import deque
 import pytest
 from pyspark.sql import functions as F
 
-from terraledger.operators import paths
+from terraledger.operators import paths, rivers
 from terraledger.sources import sinks, stages
 
 
@@ -220,3 +220,17 @@ def test_bitmaps_that_are_no_trees(spark):
         want = CHANGES[name][1]
         assert found[name] >= want and bool(found[name]) == bool(want), name
     assert rivers.bitmap_violations(pixels.limit(0), 21).count() == 0
+
+
+def broadcasts(spark, run):
+    """How many broadcast joins ran in the executions that ``run`` started."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    run()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    return sum(store.executionsList(k, 1).apply(0).physicalPlanDescription().count("BroadcastHashJoin") for k in range(before, store.executionsCount()))
+
+
+def test_rounds_over_pixels_broadcast_nothing(spark):
+    pixels = spark.range(400).select(F.expr("id div 20").alias("row"), F.expr("id % 20").alias("col"), F.when(F.col("id") % 7 == 0, "source").otherwise("flow").alias("kind"))
+    assert broadcasts(spark, lambda: rivers.bitmap_violations(pixels, 20).collect()) == 0
