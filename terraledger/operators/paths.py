@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terraledger.operators.graph import components
+from terraledger.operators.graph import components, spread
 from terraledger.sources.lineage import drop_written
 from terraledger.sources.lineage import written as settled
 
@@ -30,7 +30,7 @@ def follow(steps: DataFrame, starts: DataFrame) -> DataFrame:
     jumps, nodes = [jump], jump.count()
     while True:
         there = jumps[-1].select(F.col("node").alias("to"), F.col("to").alias("_further"))
-        longer = settled(jumps[-1].join(there, "to").select("node", F.col("_further").alias("to")))
+        longer = settled(jumps[-1].join(spread(there), "to").select("node", F.col("_further").alias("to")))
         if not longer.limit(1).count():
             drop_written(longer)
             break
@@ -39,7 +39,7 @@ def follow(steps: DataFrame, starts: DataFrame) -> DataFrame:
         jumps.append(longer)
     rows = starts.where("id is not null").select(F.col("id").alias("start"), F.lit(0).cast("long").alias("place"), F.col("id").alias("node")).distinct()
     for k in range(len(jumps) - 1, -1, -1):
-        on = rows.join(jumps[k], "node").select("start", (F.col("place") + (1 << k)).alias("place"), F.col("to").alias("node"))
+        on = rows.join(spread(jumps[k]), "node").select("start", (F.col("place") + (1 << k)).alias("place"), F.col("to").alias("node"))
         longer = settled(rows.unionByName(on))
         if k < len(jumps) - 1:
             drop_written(rows)
@@ -58,15 +58,15 @@ def claimed(edges: DataFrame, sources: DataFrame, hops: int, *, groups: DataFram
     both = both_ways(edges)
     if groups is not None:
         g = groups.where("group is not null").select("node", "group")
-        inside = both.join(g.select(F.col("node").alias("a"), F.col("group").alias("_ga")), "a").join(g.select(F.col("node").alias("b"), F.col("group").alias("_gb")), "b")
+        inside = both.join(spread(g.select(F.col("node").alias("a"), F.col("group").alias("_ga"))), "a").join(spread(g.select(F.col("node").alias("b"), F.col("group").alias("_gb"))), "b")
         both = inside.where("_ga = _gb").select("a", "b")
     both = settled(both)
     ring = sources.where("id is not null").select(F.col("id").alias("node"), F.col("id").alias("source"), F.lit(0).cast("long").alias("distance"), F.lit(None).cast(both.schema["a"].dataType).alias("back")).distinct()
     ring = settled(ring)
     seen = ring
     for k in range(1, hops + 1):
-        met = ring.join(both, F.col("node") == F.col("a")).groupBy(F.col("b").alias("node")).agg(F.min(F.struct("source", "a")).alias("m"))
-        ring = settled(met.join(seen.select("node"), "node", "left_anti").select("node", "m.source", F.lit(k).cast("long").alias("distance"), F.col("m.a").alias("back")))
+        met = ring.join(spread(both), F.col("node") == F.col("a")).groupBy(F.col("b").alias("node")).agg(F.min(F.struct("source", "a")).alias("m"))
+        ring = settled(met.join(spread(seen.select("node")), "node", "left_anti").select("node", "m.source", F.lit(k).cast("long").alias("distance"), F.col("m.a").alias("back")))
         if not ring.limit(1).count():
             break
         seen = seen.unionByName(ring)
@@ -87,14 +87,14 @@ def gap_links(edges: DataFrame, sources: DataFrame, hops: int, *, groups: DataFr
     open_ = both_ways(edges).where("a < b")
     if groups is not None:
         g = groups.select("node", "group")
-        open_ = open_.join(g.select(F.col("node").alias("a"), F.col("group").alias("_ga")), "a").join(g.select(F.col("node").alias("b"), F.col("group").alias("_gb")), "b").where("_ga = _gb").select("a", "b")
-    touch = open_.join(side("a"), "a").join(side("b"), "b").where("sa <> sb").withColumn("length", F.col("da") + F.col("db") + 1).where(F.col("length") <= hops)
+        open_ = open_.join(spread(g.select(F.col("node").alias("a"), F.col("group").alias("_ga"))), "a").join(spread(g.select(F.col("node").alias("b"), F.col("group").alias("_gb"))), "b").where("_ga = _gb").select("a", "b")
+    touch = open_.join(spread(side("a")), "a").join(spread(side("b")), "b").where("sa <> sb").withColumn("length", F.col("da") + F.col("db") + 1).where(F.col("length") <= hops)
     pair = touch.groupBy(F.least("sa", "sb").alias("one"), F.greatest("sa", "sb").alias("two")).agg(F.min(F.struct("length", "a", "b")).alias("m"))
     pair = settled(pair.select("one", "two", "m.length", "m.a", "m.b"))
     kept, label = None, sources.where("id is not null").select(F.col("id").alias("node"), F.col("id").alias("component")).distinct()
     while True:
         named = lambda n: label.select(F.col("node").alias(n), F.col("component").alias(f"_{n}"))
-        between = pair.join(named("one"), "one").join(named("two"), "two").where("_one <> _two")
+        between = pair.join(spread(named("one")), "one").join(spread(named("two")), "two").where("_one <> _two")
         rank = F.struct("length", "one", "two", "a", "b")
         best = between.select(F.explode(F.array("_one", "_two")).alias("_c"), rank.alias("r")).groupBy("_c").agg(F.min("r").alias("r")).select("r.*").distinct()
         best = settled(best)
@@ -102,11 +102,11 @@ def gap_links(edges: DataFrame, sources: DataFrame, hops: int, *, groups: DataFr
             drop_written(best)
             break
         kept = best if kept is None else kept.unionByName(best)
-        label = components(kept.select(F.col("one").alias("a"), F.col("two").alias("b")), nodes=label)
+        label = settled(components(kept.select(F.col("one").alias("a"), F.col("two").alias("b")), nodes=label))
     links = (pair.where("false") if kept is None else kept).select("one", "two", "length", "a", "b")
     ends = links.select("one", "two", F.explode(F.array("a", "b")).alias("id"))
     ways = follow(near.select("node", F.col("back").alias("next")), ends.select("id").distinct())
-    cells = ends.join(ways, F.col("id") == F.col("start")).select("one", "two", "node").distinct()
+    cells = ends.join(spread(ways), F.col("id") == F.col("start")).select("one", "two", "node").distinct()
     return links, cells
 
 

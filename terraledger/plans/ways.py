@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terraledger.operators import paths, rivers
+from terraledger.operators.graph import spread
 from terraledger.plans.graphs import TREE, tree
 from terraledger.plans.gridded import CELLS, cells
 from terraledger.plans.registry import query
@@ -26,7 +27,7 @@ def beside(nodes: DataFrame) -> DataFrame:
     """Edges between open cells that share a side."""
     step = F.explode(F.array(F.struct(F.lit(0).alias("r"), F.lit(1).alias("c")), F.struct(F.lit(1).alias("r"), F.lit(0).alias("c")))).alias("s")
     sent = nodes.select(F.col("node").alias("a"), "row", "col", step).select("a", (F.col("row") + F.col("s.r")).alias("row"), (F.col("col") + F.col("s.c")).alias("col"))
-    return sent.join(nodes.select(F.col("node").alias("b"), "row", "col"), ["row", "col"]).select("a", "b")
+    return sent.join(spread(nodes.select(F.col("node").alias("b"), "row", "col")), ["row", "col"]).select("a", "b")
 
 
 GRID = f"""{CELLS}, n AS (SELECT row * 40 + col AS node, row, col, (row + col // 3) // 9 AS basin FROM c WHERE value IS NOT NULL),
@@ -48,14 +49,14 @@ def shortest_ways(spark: SparkSession, sf: str) -> DataFrame:
     """Lengths between pairs of cells, at most nine steps; ``sound``: the way given has that length, both ends, and steps between neighbours."""
     nodes = open_cells(spark, sf)
     far = nodes.select(F.col("node").alias("b"), (F.col("row") - 2).alias("row"), (F.col("col") - 5).alias("col"))
-    pairs = nodes.where("node % 11 = 0").join(far, ["row", "col"]).select(F.col("node").alias("pair"), F.col("node").alias("a"), "b")
+    pairs = nodes.where("node % 11 = 0").join(spread(far), ["row", "col"]).select(F.col("node").alias("pair"), F.col("node").alias("a"), "b")
     lengths, ways = paths.shortest_ways(beside(nodes), pairs, 9)
     after = ways.select("pair", (F.col("place") - 1).alias("place"), F.col("node").alias("after"))
     apart = F.abs(F.col("node") - F.col("after"))
-    steps = ways.join(after, ["pair", "place"], "left").groupBy("pair").agg(
+    steps = ways.join(spread(after), ["pair", "place"], "left").groupBy("pair").agg(
         F.count(F.lit(1)).alias("cells"), F.bool_and(F.col("after").isNull() | apart.isin(1, 40)).alias("near"), F.min_by("node", "place").alias("first"), F.max_by("node", "place").alias("last")
     )
-    met = lengths.join(steps, "pair", "left").join(pairs, "pair")
+    met = lengths.join(spread(steps), "pair", "left").join(spread(pairs), "pair")
     return met.select("pair", "length", F.coalesce((F.col("cells") == F.col("length") + 1) & F.col("near") & (F.col("first") == F.col("a")) & (F.col("last") == F.col("b")), F.lit(False)).alias("sound"))
 
 
@@ -70,7 +71,7 @@ def gap_closing(spark: SparkSession, sf: str) -> DataFrame:
     """Links over gaps of at most five steps inside a basin, by length; the SQL counts how many parts each longer reach leaves."""
     nodes = open_cells(spark, sf)
     links, _ = paths.gap_links(beside(nodes), nodes.where("node % 13 = 5").select(F.col("node").alias("id")), 5, groups=nodes)
-    return links.join(nodes.select(F.col("node").alias("one"), F.col("group").alias("basin")), "one").groupBy("basin", "length").agg(F.count(F.lit(1)).alias("links"))
+    return links.join(spread(nodes.select(F.col("node").alias("one"), F.col("group").alias("basin"))), "one").groupBy("basin", "length").agg(F.count(F.lit(1)).alias("links"))
 
 
 @query("""WITH RECURSIVE p AS (SELECT a.s_suppkey AS port, list(b.n_nationkey * 100 + c) AS own FROM supplier a JOIN nation b ON (a.s_suppkey * 7 + b.n_nationkey * 3) % 5 < 2 JOIN range(4) r(c) ON (a.s_suppkey + c * b.n_nationkey) % 3 = 0 GROUP BY 1),

@@ -231,6 +231,15 @@ def broadcasts(spark, run):
     return sum(store.executionsList(k, 1).apply(0).physicalPlanDescription().count("BroadcastHashJoin") for k in range(before, store.executionsCount()))
 
 
+def chains(spark, n):
+    return spark.range(n).where("id % 4 < 3").select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+
+
 def test_rounds_over_pixels_broadcast_nothing(spark):
     pixels = spark.range(400).select(F.expr("id div 20").alias("row"), F.expr("id % 20").alias("col"), F.when(F.col("id") % 7 == 0, "source").otherwise("flow").alias("kind"))
     assert broadcasts(spark, lambda: rivers.bitmap_violations(pixels, 20).collect()) == 0
+
+
+def test_rounds_over_gaps_broadcast_nothing(spark):
+    sources = spark.range(0, 400, 3).select("id")
+    assert broadcasts(spark, lambda: paths.gap_links(chains(spark, 400), sources, 4)[0].collect()) == 0
