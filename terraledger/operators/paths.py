@@ -114,37 +114,50 @@ def shortest_ways(edges: DataFrame, pairs: DataFrame, most: int) -> tuple[DataFr
     """For each ``(pair, a, b)`` the fewest edges from ``a`` to ``b``, at most ``most``: ``(pair, length)``, and one shortest way ``(pair, place, node)``.
 
     All pairs are searched at once from both ends, the sides taking turns; a pair
-    leaves the search when its sides meet.  Pairs further apart, or with an unknown
-    end, are left out.  Of several ways the one through the smallest nodes met is kept.
+    leaves the search when its sides meet.  Sides can only meet where the ring just
+    grown lies on the last one of the other side, and neighbours of a ring lie in it
+    or in the two beside it, so no turn looks at more than two rings of a side.
+    Pairs further apart, or with an unknown end, are left out.  Of several ways the
+    one through the smallest nodes met is kept.
     """
     both = settled(both_ways(edges))
-    known = pairs.where("a is not null and b is not null").select("pair", "a", "b").distinct()
-    kind = both.schema["a"].dataType
-    ends = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("node")), F.struct(F.lit(1).alias("side"), F.col("b").alias("node"))))
-    seen = settled(known.select("pair", ends.alias("e")).select("pair", "e.side", "e.node", F.lit(0).alias("step"), F.lit(None).cast(kind).alias("back")).distinct())
+    known = settled(pairs.where("a is not null and b is not null").select("pair", "a", "b").distinct())
+    none = F.lit(None).cast(both.schema["a"].dataType).alias("back")
+    rings = [[settled(known.select("pair", F.col(end).alias("node"), none).distinct())] for end in ("a", "b")]
+    step = both.select(F.col("a").alias("node"), F.col("b").alias("_to"))
     done = None
     for turn in range(most + 1):
-        a, b = seen.where("side = 0"), seen.where("side = 1").select("pair", "node", F.col("step").alias("_s"))
-        met = settled(a.join(b, ["pair", "node"]).groupBy("pair").agg(F.min(F.struct((F.col("step") + F.col("_s")).cast("long").alias("length"), "node")).alias("m")).select("pair", "m.length", F.col("m.node").alias("middle")))
+        if turn:
+            own = rings[(turn - 1) % 2]
+            open_ = own[-1].join(spread(done.select("pair")), "pair", "left_anti")
+            grown = open_.join(spread(step), "node").groupBy("pair", F.col("_to").alias("node")).agg(F.min("node").alias("back"))
+            old = own[-1] if len(own) == 1 else own[-1].unionByName(own[-2])
+            grown = settled(grown.join(spread(old.select("pair", "node")), ["pair", "node"], "left_anti").select("pair", "node", "back"))
+            if not grown.limit(1).count():
+                break
+            own.append(grown)
+        there = rings[1][-1].select("pair", "node")
         if done is not None:
-            met = settled(met.join(done.select("pair"), "pair", "left_anti"))
+            there = there.join(spread(done.select("pair")), "pair", "left_anti")
+        met = rings[0][-1].select("pair", "node").join(spread(there), ["pair", "node"]).groupBy("pair").agg(F.min("node").alias("middle"))
+        met = settled(met.select("pair", F.lit(turn).cast("long").alias("length"), "middle"))
         done = met if done is None else done.unionByName(met)
-        open_ = seen.join(done.select("pair"), "pair", "left_anti").where(F.col("side") == turn % 2)
-        edge = open_.join(open_.groupBy("pair").agg(F.max("step").alias("_last")), "pair").where("step = _last")
-        grown = edge.join(both.withColumnRenamed("a", "node").withColumnRenamed("b", "_to"), "node").groupBy("pair", "side", F.col("_to").alias("node")).agg((F.max("step") + 1).alias("step"), F.min("node").alias("back"))
-        grown = settled(grown.join(seen.select("pair", "side", "node"), ["pair", "side", "node"], "left_anti").select(*seen.columns))
-        if not grown.limit(1).count():
-            break
-        seen = seen.unionByName(grown)
-    # the ways from the middle to both ends, along the neighbours that the search came from
-    state = lambda side, node: F.when(node.isNotNull(), F.struct("pair", side.alias("side"), node.alias("node")))
-    steps = seen.join(done.select("pair"), "pair", "left_semi").select(state(F.col("side"), F.col("node")).alias("node"), state(F.col("side"), F.col("back")).alias("next"))
-    starts = done.select(F.explode(F.array(state(F.lit(0), F.col("middle")), state(F.lit(1), F.col("middle")))).alias("id"))
-    way = follow(steps, starts).select("node.pair", "node.side", "node.node", "place")
-    half = way.where("side = 0").groupBy("pair").agg(F.max("place").alias("_half"))
-    way = way.where("side = 0 or place > 0").join(half, "pair")
-    place = F.when(F.col("side") == 0, F.col("_half") - F.col("place")).otherwise(F.col("_half") + F.col("place"))
-    return done.select("pair", "length"), way.select("pair", place.alias("place"), "node")
+    # the ways from the middle to both ends, ring by ring along the neighbours that the search came from
+    way = None
+    for side, own in enumerate(rings):
+        radius = F.floor((F.col("length") + 1 - side) / 2)
+        at = None
+        for k in range(len(own) - 1, -1, -1):
+            here = done.where(radius == k).select("pair", "length", F.col("middle").alias("node"))
+            here = here if at is None else here.unionByName(at)
+            place = F.lit(k).cast("long") if side == 0 else F.col("length") - k
+            kept = here if side == 0 else here.where(radius > k)  # the first side has the middle
+            placed = kept.select("pair", place.alias("place"), "node")
+            way = placed if way is None else way.unionByName(placed)
+            if k:
+                at = settled(here.join(spread(own[k]), ["pair", "node"]).select("pair", "length", F.col("back").alias("node")))
+    drop_written(both, known, *rings[0], *rings[1])
+    return done.select("pair", "length"), way
 
 
 def greedy_cover(reach: DataFrame, *, most: int | None = None, least: int = 1) -> DataFrame:

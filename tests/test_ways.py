@@ -243,3 +243,11 @@ def test_rounds_over_pixels_broadcast_nothing(spark):
 def test_rounds_over_gaps_broadcast_nothing(spark):
     sources = spark.range(0, 400, 3).select("id")
     assert broadcasts(spark, lambda: paths.gap_links(chains(spark, 400), sources, 4)[0].collect()) == 0
+
+
+def test_turns_of_a_search_look_at_the_last_rings_alone(spark):
+    asked = spark.range(0, 400, 4).select(F.col("id").alias("pair"), F.col("id").alias("a"), (F.col("id") + 3).alias("b"))
+    found = {}
+    assert broadcasts(spark, lambda: found.update(zip("lw", paths.shortest_ways(chains(spark, 400), asked, 3), strict=True))) == 0
+    assert {r.length for r in found["l"].collect()} == {3} and found["l"].count() == 100
+    assert sorted((r.pair, r.place, r.node) for r in found["w"].collect()) == [(k, j, k + j) for k in range(0, 400, 4) for j in range(4)]
