@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terraledger.functions.expr import scaled_round
 from terraledger.operators import graph
 from terraledger.plans.registry import query
 from terraledger.sources.lineage import written
@@ -58,14 +59,14 @@ def watershed(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"{ROUTE} SELECT id, round(allocated, 4) AS allocated, round(outflow, 4) AS outflow, round(lost, 4) AS lost FROM q{LEVELS}")
 def route_allocate(spark: SparkSession, sf: str) -> DataFrame:
     out = graph.route(watershed(spark, sf), "runoff", "demand", 0.5, "survival")
-    return out.select("id", *[F.round(c, 4).alias(c) for c in ("allocated", "outflow", "lost")])
+    return out.select("id", *[scaled_round(F.col(c), 4).alias(c) for c in ("allocated", "outflow", "lost")])
 
 
 @query(f"{ROUTE} SELECT round(sum(generated), 2) AS generated, round(sum(allocated), 2) AS allocated, round(sum(lost), 2) AS lost, round(sum(CASE WHEN down_id IS NULL THEN outflow ELSE 0 END), 2) AS at_outlets, true AS balanced FROM q{LEVELS}")
 def route_balance(spark: SparkSession, sf: str) -> DataFrame:
     nodes = watershed(spark, sf)
     out = graph.route_balance(graph.route(nodes, "runoff", "demand", 0.5, "survival"), nodes)
-    return out.select(*[F.round(c, 2).alias(c) for c in ("generated", "allocated", "lost", "at_outlets")], (F.abs("residual") < 1e-3).alias("balanced"))
+    return out.select(*[scaled_round(F.col(c), 2).alias(c) for c in ("generated", "allocated", "lost", "at_outlets")], (F.abs("residual") < 1e-3).alias("balanced"))
 
 
 HEADS = f"""{TREE}, m AS (SELECT down_id, id, row_number() OVER (PARTITION BY down_id ORDER BY size DESC, id) AS k FROM t WHERE down_id IS NOT NULL)"""

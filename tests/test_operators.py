@@ -283,6 +283,26 @@ def test_routes_of_every_shape_match_a_walk(spark):
             graph.route(spark.createDataFrame([(*r, 1.0, 1.0) for r in bad], "id long, down_id long, runoff double, demand double"), "runoff", "demand")
 
 
+def test_routes_of_few_levels_are_those_of_a_walk_to_the_last_bit(spark):
+    n, inflow, want = 700, [0.0] * 700, {}
+    rows = [(i, (i - 1) // 2 if i else None, float(1 + i * 7 % 50), float(i % 11), 1 - (i % 5) / 50.0) for i in range(n)]
+    for i, down, runoff, demand, survival in reversed(rows):
+        left = (runoff * 0.5 + inflow[i]) * survival
+        want[i] = max(left - min(left, demand), 0.0)
+        if down is not None:
+            inflow[down] += want[i]
+    got = graph.route(spark.createDataFrame(rows, "id long, down_id long, runoff double, demand double, survival double"), "runoff", "demand", 0.5, "survival")
+    assert {r.id: r.outflow for r in got.collect()} == want
+
+
+def test_rounding_goes_by_the_scaled_double(spark):
+    duckdb = pytest.importorskip("duckdb")
+    values = [127.89734999999999, 124.12684999999999, 202.76115, 242.02994999999999, -124.12684999999999, 0.00005, 1e308, math.inf, None]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select(expr.scaled_round(F.col("v"), 4).alias("r"), F.round("v", 4).alias("own")).collect()
+    assert [r.r for r in got] == [duckdb.execute("SELECT round(CAST(? AS DOUBLE), 4)", [v]).fetchall()[0][0] for v in values]
+    assert [r.r == r.own for r in got[:5]] == [False] * 5
+
+
 def test_one_sided_ids_broadcast_nothing(spark):
     left = spark.createDataFrame([(1,), (2,), (2,), (3,), (None,), (None,)], "id long")
     right = spark.createDataFrame([(3,), (3,), (4,), (4,), (None,)], "id long")
