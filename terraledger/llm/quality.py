@@ -31,6 +31,8 @@ from terraledger.llm.toxicity import class_counts, class_shift, labelled_sample,
 WORDS, BUCKETS, HIDDEN, GATE = 48, 1024, 24, 12
 STEP = 1 << 20
 SHARES = 8
+#: Texts that a fit encodes at once.
+ENCODED = 20
 
 
 def spaced(text: str | None) -> bytes:
@@ -57,6 +59,34 @@ def encode_passages(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return x, of
 
 
+class Bags:
+    """The passages of texts, kept as the features that are not 0: most are, and the driver holds all of a fit's."""
+
+    def __init__(self, texts: list[str]):
+        self.passages = np.zeros(len(texts), np.int64)
+        #: Of each ``ENCODED`` texts: places, values, and where each text's begin and end.
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for at in range(0, len(texts), ENCODED):
+            own = texts[at : at + ENCODED]
+            x, of = encode_passages(own)
+            self.passages[at : at + len(own)] = np.bincount(of, minlength=len(own))
+            row, feature = np.nonzero(x)
+            # places count from the first passage of the text
+            place = (row - np.searchsorted(of, of)[row]) * x.shape[1] + feature
+            self.parts.append((place.astype(np.int32), x[row, feature], np.searchsorted(of[row], np.arange(len(own) + 1))))
+
+    def laid(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The passages of the texts ``own`` end to end, and the place in ``own`` that each belongs to."""
+        n = self.passages[own]
+        x = np.zeros((n.sum(), BUCKETS + SHARES), np.float32)
+        flat = x.reshape(-1)
+        for k, start in zip(own, (np.cumsum(n) - n) * x.shape[1], strict=True):
+            place, value, cuts = self.parts[k // ENCODED]
+            at = slice(cuts[k % ENCODED], cuts[k % ENCODED + 1])
+            flat[start + place[at]] = value[at]
+        return x, np.repeat(np.arange(len(own)), n)
+
+
 class GatedAttention:
     """Weights of encoder, gate and output; a forward pass over bags laid end to end."""
 
@@ -109,7 +139,7 @@ def fit(rows: list[tuple[str, int]], *, epochs: int = 14, bag: int = 48, rate: f
         return model
     rng = np.random.RandomState(seed)
     model.w["out_b"][0] = np.log(y.mean() / (1 - y.mean()))
-    bags = [encode_passages([t])[0] for t, _ in rows]
+    bags = Bags([t for t, _ in rows])
     first = {k: np.zeros_like(v) for k, v in model.w.items()}
     second = {k: np.zeros_like(v) for k, v in model.w.items()}
     step = 0
@@ -117,7 +147,7 @@ def fit(rows: list[tuple[str, int]], *, epochs: int = 14, bag: int = 48, rate: f
         order = rng.permutation(len(rows))
         for at in range(0, len(order), bag):
             own = order[at : at + bag]
-            x, of = np.concatenate([bags[k] for k in own]), np.repeat(np.arange(len(own)), [len(bags[k]) for k in own])
+            x, of = bags.laid(own)
             f = model.forward(x, of, len(own))
             step += 1
             now = rate * (1 - epoch / epochs)

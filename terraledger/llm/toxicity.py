@@ -53,6 +53,8 @@ OVER = 20
 LEVELS = (1, 2, 3, 4, 5, 6)
 #: Margins of words that a task remembers; a full store is emptied, which changes no result.
 KNOWN = 400_000
+#: Texts whose words the fit holds at once.
+FIT_TEXTS = 100
 
 
 def clean(text: str | None) -> bytes:
@@ -139,6 +141,15 @@ class CompressionDistance:
         return logistic(self.features(*self.margins(texts, pair, known), len(texts)), self.weights)
 
 
+def _held_by(texts: list[bytes], often: int) -> np.ndarray:
+    """How many of the texts hold each word start ``often`` times at least."""
+    held = np.zeros(1 << START_BITS, np.min_scalar_type(len(texts)))
+    for t in texts:
+        cell, n = np.unique(word_starts(t)[0], return_counts=True)
+        held[cell[n >= often]] += 1
+    return held
+
+
 def over_used(toxic: list[bytes], ordinary: list[bytes]) -> list[tuple[bytes, int]]:
     """Word starts that toxic texts over-use and how often they stand there, most frequent first.
 
@@ -146,17 +157,11 @@ def over_used(toxic: list[bytes], ordinary: list[bytes]) -> list[tuple[bytes, in
     longest that still covers half of its uses is taken.
     """
     least = min(5, max(2, len(toxic) // 20))
-    seen = []
-    for side in (toxic, ordinary):
-        once, twice = np.zeros(1 << START_BITS, np.int32), np.zeros(1 << START_BITS, np.int32)
-        for t in side:
-            cell, n = np.unique(word_starts(t)[0], return_counts=True)
-            once[cell] += 1
-            twice[cell[n > 1]] += 1
-        seen.append((once, twice))
     marked = np.zeros(1 << START_BITS, bool)
-    for own, other in zip(*seen, strict=True):
-        marked |= (own >= least) & ((own + 0.1) / len(toxic) > OVER * (other + 0.1) / len(ordinary))
+    for often in (1, 2):
+        own, other = (_held_by(side, often) for side in (toxic, ordinary))
+        cell = np.flatnonzero(own >= least)
+        marked[cell] |= (own[cell] + 0.1) / len(toxic) > OVER * (other[cell] + 0.1) / len(ordinary)
     uses: Counter[bytes] = Counter()
     for t in toxic:
         cell, at, size = word_starts(t)
@@ -180,17 +185,27 @@ def fit(toxic: list[str], ordinary: list[str]) -> CompressionDistance:
     marks = over_used(*sides)
     # the most frequent last: what lies nearest is the cheapest to refer to
     toxic_part = b"".join(s + b" " for s, _ in reversed(marks[: TOXIC_BYTES // (max(STARTS) + 1)]))
-    data, starts, length, _ = windows(sides[1], 4)
-    pick = np.random.RandomState(0).permutation(len(starts))[:30_000]
-    ordinary_part = _dictionary([data[s : s + n] for s, n in zip(starts[pick], length[pick], strict=True)], ORDINARY_BYTES)
+    ordinary_part = _dictionary(_picked(sides[1], 4, 30_000), ORDINARY_BYTES)
+    del sides
     model = CompressionDistance(toxic_part, ordinary_part)
-    texts = toxic + ordinary
     label = np.r_[np.ones(len(toxic)), np.zeros(len(ordinary))]
-    margin, of = model.margins(texts, model.compressors())
-    model.weights = fit_logistic(model.features(margin, of, len(texts)), label)
+    # by parts: the words of all texts together take many times the texts' bytes
+    pair, known, parts = model.compressors(), {}, []
+    for side in (toxic, ordinary):
+        for at in range(0, len(side), FIT_TEXTS):
+            own = side[at : at + FIT_TEXTS]
+            parts.append(model.features(*model.margins(own, pair, known), len(own)))
+    model.weights = fit_logistic(np.concatenate(parts), label)
     return model
 
 
+def _picked(texts: list[bytes], words: int, n: int) -> list[bytes]:
+    """Some windows of the texts, in an order drawn once for all."""
+    data, starts, length, _ = windows(texts, words)
+    pick = np.random.RandomState(0).permutation(len(starts))[:n]
+    return [data[s : s + k] for s, k in zip(starts[pick], length[pick], strict=True)]
+
+
 def _dictionary(samples: list[bytes], size: int) -> bytes:
     """A trained dictionary, or the samples themselves where they are too few to train on."""
     try:

@@ -4,6 +4,7 @@ import hashlib
 import json
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -808,3 +809,33 @@ def test_all_are_registered():
 
     found = __spark_entry__.queries()
     assert sorted(int(q[2:].split("_")[0]) for q in found if q.startswith("op")) == list(range(1, 14)) and "pipeline" in found
+
+
+def _peak_mb(run) -> float:
+    tracemalloc.start()
+    run()
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return peak
+
+
+def test_fits_leave_the_driver_its_memory():
+    from terraledger.llm import quality, toxicity
+
+    rng = np.random.RandomState(3)
+    texts = [" ".join(f"w{k}" for k in rng.randint(0, 3000, 900)) for _ in range(1000)]
+    dense = sum(quality.encode_passages([t])[0].nbytes for t in texts) / 1e6
+    assert dense > 60
+    rows = [(t, k % 2) for k, t in enumerate(texts)]
+    assert _peak_mb(lambda: quality.fit(rows, epochs=1)) < 0.8 * dense
+    assert _peak_mb(lambda: toxicity.fit([t for t, y in rows if y], [t for t, y in rows if not y])) < 80
+
+
+def test_bags_are_the_passages_of_their_texts():
+    from terraledger.llm import quality
+
+    texts = ["", "one", *(" ".join(f"word{k * j % 37}" for k in range(120 + j)) for j in range(120))]
+    bags, own = quality.Bags(texts), np.array([101, 0, 57, 3, 1, 49, 50, 0])
+    x, of = bags.laid(own)
+    want = [quality.encode_passages([texts[k]])[0] for k in own]
+    assert (x == np.concatenate(want)).all() and of.tolist() == np.repeat(np.arange(len(own)), [len(w) for w in want]).tolist()
