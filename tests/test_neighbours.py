@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from terraledger.operators import grid, tiles, transfer
 from terraledger.operators.neighbours import knn
+from terraledger.plans import registry
 
 
 def nearest(x, ids, k, groups=None):
@@ -150,3 +151,28 @@ def test_nearest_donors_of_crowded_places(spark):
     for k, *at in targets:
         far, donor = min((km(at, spots[d]), d) for d in range(62))
         assert got[k].km == pytest.approx(far, abs=1e-6) and got[k].donor == donor
+
+
+def test_donors_of_small_and_missing_labels_are_sought_among_all(spark, tmp_path):
+    """A label of four rows offers each three others only; one of five is enough."""
+    duckdb = pytest.importorskip("duckdb")
+    rng = np.random.default_rng(14)
+    labels = [1] * 20 + [2] * 5 + [3] * 4 + [4, None, None, None, None, None, None]
+    x = rng.integers(0, 4, (len(labels), 3)).astype(float)  # many ties
+    rows = [(i, v.tolist(), g) for i, (v, g) in enumerate(zip(x, labels, strict=True))]
+
+    def both(some, name):
+        spark.createDataFrame(some, "vec_id long, embedding array<float>, label int").coalesce(1).write.parquet(f"{tmp_path}/{name}/embeddings.parquet")
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/{name}/embeddings.parquet/*.parquet'")
+        return [sorted((r[0], r[1], r[2]) for r in found) for found in (registry.QUERIES["donor_quantile"](spark, f"{tmp_path}/{name}").collect(), con.execute(registry.ORACLE["donor_quantile"]).fetchall())]
+
+    want = []
+    for i, v, g in rows:
+        own = [s for s, _, h in rows if s != i and h is not None and h == g]
+        pool = own if len(own) >= 4 else [s for s, _, _ in rows if s != i]
+        near = sorted((float(((x[i] - x[s]) ** 2).sum()), s) for s in pool)[:4]
+        want.append((i, round(float(np.quantile([s for _, s in near], 0.25)), 6), 4))
+    assert both(rows, "all") == [want, want]
+    got, sql = both(rows[25:28], "few")  # no more than two others at all
+    assert got == sql and [r[2] for r in got] == [2, 2, 2]
