@@ -176,3 +176,17 @@ def test_donors_of_small_and_missing_labels_are_sought_among_all(spark, tmp_path
     assert both(rows, "all") == [want, want]
     got, sql = both(rows[25:28], "few")  # no more than two others at all
     assert got == sql and [r[2] for r in got] == [2, 2, 2]
+
+
+def test_an_unknown_vector_takes_nothing_from_others(spark):
+    rng = np.random.default_rng(15)
+    x = rng.normal(size=(130, 3))
+    rows = [(i, v.tolist(), 1 if i < 120 else 2) for i, v in enumerate(x)]
+    nan, inf = float("nan"), float("inf")
+    odd = [(900, [nan, 0.0, 0.0], 1), (901, [0.0, -inf, 0.0], 1), (902, [None, 0.0, 0.0], 1), (903, None, 1), (904, [0.0, 0.0, nan], 2)]
+    schema = "id long, vec array<double>, g int"
+    sound, df = spark.createDataFrame(rows, schema), spark.createDataFrame(rows + odd, schema)
+    assert found(knn(df, df, 4)) == nearest(x, list(range(130)), 4)
+    assert found(knn(df, df, 4, group="g", small=50, block=64)) == nearest(x, list(range(130)), 4, [r[2] for r in rows])
+    estimates = lambda some: {r.q: tuple(r) for r in grid.donor_quantile(some, some.withColumn("v", F.col("id")), 4, 0.25, group="g", value="v", least=11).collect()}
+    assert estimates(df) == estimates(sound)  # ten known rows and one unknown are no eleven donors
